@@ -92,7 +92,7 @@ def reading_time(t):
 @query("excerpt", oracle=f"""
 WITH w AS (
   SELECT id, post_excerpt,
-    list_filter(string_split_regex({strip_sql('post_content')}, '[\\n\\r\\t ]+'), x -> x <> '') AS ws
+    list_filter(string_split_regex({strip_sql('post_content')}, '[\\n\\r\\t ]+'), lambda x: x <> '') AS ws
   FROM posts)
 SELECT CAST(id AS BIGINT) AS id,
   CASE WHEN post_excerpt IS NOT NULL AND post_excerpt <> '' THEN post_excerpt
