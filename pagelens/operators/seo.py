@@ -75,7 +75,7 @@ META_KEYS = {
     ),
 }
 # Generic backup fields always read by get_all_meta.
-ECHO5_FIELDS = (
+BACKUP_FIELDS = (
     ("_echo5_seo_title", "echo5_title"), ("_echo5_seo_description", "echo5_description"),
     ("_echo5_focus_keyword", "echo5_focus_keyword"), ("_echo5_secondary_keywords", "echo5_secondary_keywords"),
 )
@@ -227,8 +227,8 @@ def seo_meta_read(posts: DataFrame, postmeta: DataFrame, site_plugins: DataFrame
     spark = posts.sparkSession
     active = active_seo_plugin(posts, site_plugins)
     kmap = F.broadcast(key_map_df(spark))
-    echo5 = F.broadcast(spark.createDataFrame(list(ECHO5_FIELDS), "meta_key string, field string"))
-    all_keys = sorted({k for pairs in META_KEYS.values() for _, k in pairs} | {k for k, _ in ECHO5_FIELDS}
+    echo5 = F.broadcast(spark.createDataFrame(list(BACKUP_FIELDS), "meta_key string, field string"))
+    all_keys = sorted({k for pairs in META_KEYS.values() for _, k in pairs} | {k for k, _ in BACKUP_FIELDS}
                       | {MANAGED_KEY})
     pm = load_postmeta(postmeta, all_keys).withColumnRenamed("post_id", "id")
     nonempty = ~falsy(F.col("meta_value"))

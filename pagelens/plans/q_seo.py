@@ -120,7 +120,7 @@ def featured_image_join(t):
 
 def _keymap_sql() -> str:
     rows = ", ".join(f"('{p}', '{f}', '{k}')" for p, pairs in S.META_KEYS.items() for f, k in pairs)
-    e5 = ", ".join(f"('{k}', '{f}')" for k, f in S.ECHO5_FIELDS)
+    e5 = ", ".join(f"('{k}', '{f}')" for k, f in S.BACKUP_FIELDS)
     return (f"km AS (SELECT * FROM (VALUES {rows}) v(plugin, field, meta_key)),\n"
             f"e5 AS (SELECT * FROM (VALUES {e5}) v(meta_key, field))")
 

@@ -43,6 +43,6 @@ def query(key: str, oracle: str | None = None, views: tuple[str, ...] = ()):
 def load_all() -> dict[str, Query]:
     """Import every catalogue module (registration happens on import)."""
     from pagelens.plans import (  # noqa: F401
-        q_export, q_logs, q_blocks, q_seo, q_tree, q_brand, q_publish, q_access, q_streams,
+        q_export, q_logs, q_blocks, q_seo, q_site, q_tree, q_brand, q_publish, q_access, q_streams,
     )
     return REGISTRY

@@ -160,6 +160,22 @@ SELECT site_id, concat('{"system_colors":[{"_id":"primary","color":"#1A2B3C","ti
 FROM (SELECT DISTINCT page_id % 4 AS site_id FROM pages) s
 """
 
+FIXTURE_SQL["blog_requests"] = """
+SELECT doc_id AS request_id,
+  CASE WHEN doc_id % 11 = 0 THEN '' ELSE substr(text, 1, 40) END AS title,
+  CASE WHEN doc_id % 13 = 0 THEN '' ELSE concat('<p>', substr(text, 1, 300), '</p>',
+    CASE WHEN doc_id % 2 = 0 THEN '<!-- image:1 --><p>middle</p><!-- image:2 --><!-- image:3 -->' ELSE '<!-- image:1 -->' END) END AS content,
+  CASE doc_id % 4 WHEN 0 THEN 'draft' WHEN 1 THEN 'publish' WHEN 2 THEN 'pending' ELSE '' END AS status,
+  CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN 'algeria' WHEN 2 THEN 'nowhere' ELSE 'brazil' END AS category_slug,
+  CASE WHEN doc_id % 7 = 0 THEN '' ELSE concat('SUPPLIER#', lpad(CAST(doc_id % 150 AS STRING), 9, '0')) END AS author_name,
+  CASE WHEN doc_id % 2 = 0 THEN concat('slug-', CAST(doc_id % 50 AS STRING)) ELSE concat('new-', CAST(doc_id AS STRING)) END AS slug,
+  concat('[{"url":"https://cdn.example.com/in', CAST(doc_id AS STRING), '.jpg","alt":"First ', CAST(doc_id % 9 AS STRING),
+    '"},{"url":"","alt":"none"},{"url":"https://cdn.example.com/x.png","alt":"Third"}]') AS inline_images_json,
+  doc_id % 3 = 0 AS featured_is_first_inline,
+  TIMESTAMP '2024-03-01 00:00:00' + INTERVAL '1' MINUTE * doc_id AS requested_at
+FROM documents
+"""
+
 # Base tables each view reads (registered as temp views before it runs).
 VIEW_DEPS: dict[str, tuple[str, ...]] = {
     "posts": ('pages',),
@@ -178,6 +194,7 @@ VIEW_DEPS: dict[str, tuple[str, ...]] = {
     "terms": ('nation',),
     "term_relationships": ('pages',),
     "kit_settings": ('pages',),
+    "blog_requests": ('documents',),
 }
 
 
