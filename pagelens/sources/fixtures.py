@@ -204,6 +204,8 @@ def with_views(body: str, *names: str) -> str:
         return body
     ctes = ",\n".join(f"{n} AS (\n{FIXTURE_SQL[n]}\n)" for n in names)
     head = body.lstrip()
+    if head[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {ctes},\n{head[15:]}"
     if head[:5].upper() == "WITH ":
         # The body has its own CTEs: append them after the views.
         return f"WITH {ctes},\n{head[5:]}"
