@@ -1 +1,142 @@
-"""Queries (filled in below)."""
+"""§2.10 queries: Structured Streaming jobs drained with ``availableNow``.
+
+Each query starts a streaming job over the given files, waits for it to
+drain, and returns its sink as a DataFrame. Oracles are the batch forms;
+append-mode windows are compared on closed windows only (the watermark
+holds the last open window back).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pagelens.operators import access as A
+from pagelens.plans.q_access import HEADERS, IP_SQL, RATE_MAX, RATE_WINDOW
+from pagelens.plans.q_logs import REDACT_SQL
+from pagelens.plans.registry import query
+from pagelens.streaming import streams as ST
+
+SCHEDULE_AS_OF = "2024-03-02 12:00:00"
+
+
+def _access_stream(t):
+    s = ST.stream_view(t.spark, t.sf_dir, "access_log", "events")
+    return s.withColumn("ip", A.client_ip(*HEADERS))
+
+
+@query("stream_failed_sessions", oracle=f"""
+WITH f AS (SELECT event_id, {IP_SQL} AS ip, CAST(ts AS TIMESTAMP) AS ts FROM access_log WHERE failed),
+g AS (SELECT *, lag(ts) OVER (PARTITION BY ip ORDER BY ts, event_id) AS pts FROM f),
+h AS (SELECT *, sum(CASE WHEN pts IS NULL OR epoch_us(ts) - epoch_us(pts) >= 3600000000 THEN 1 ELSE 0 END)
+        OVER (PARTITION BY ip ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM g),
+s AS (SELECT ip, min(ts) AS session_start, max(ts) + INTERVAL 1 HOUR AS session_end,
+        CAST(count(*) AS BIGINT) AS failures FROM h GROUP BY ip, sid)
+SELECT * FROM s WHERE session_end <= (SELECT max(ts) FROM f)""", views=("access_log",))
+def stream_failed_sessions(t):
+    """Failure sessions per address from a stream: session_window(1 h), closed sessions."""
+    return ST.run_available_now(ST.failed_sessions(_access_stream(t)), "failed_sessions")
+
+
+@query("stream_publish_stats", oracle="""
+WITH d AS (SELECT date_trunc('day', created_at) AS window_start, date_trunc('day', created_at) + INTERVAL 1 DAY AS window_end,
+    CAST(count(*) FILTER (WHERE action = 'publish_success') AS BIGINT) AS total_publishes,
+    CAST(count(*) FILTER (WHERE action = 'publish_error') AS BIGINT) AS error_count,
+    round(avg(response_time_ms), 6) AS avg_response_time_ms
+  FROM publish_logs GROUP BY 1, 2)
+SELECT * FROM d WHERE window_end <= (SELECT max(created_at) FROM publish_logs)""", views=("publish_logs",))
+def stream_publish_stats(t):
+    """Daily publish counts, errors and mean response time from a stream (closed days)."""
+    logs = ST.stream_view(t.spark, t.sf_dir, "publish_logs", "events")
+    out = ST.run_available_now(ST.publish_stats(logs), "publish_stats")
+    return out.withColumn("avg_response_time_ms", F.round("avg_response_time_ms", 6))
+
+
+@query("stream_publish_stats_weekly", oracle="""
+WITH b AS (SELECT created_at, action, response_time_ms FROM publish_logs),
+w AS (SELECT TIMESTAMP '1970-01-01' + INTERVAL 1 DAY * (CAST(floor(epoch(created_at) / 86400) AS BIGINT) - k) AS window_start,
+        action, response_time_ms, created_at
+      FROM b, range(0, 7) r(k)),
+d AS (SELECT window_start, window_start + INTERVAL 7 DAY AS window_end,
+    CAST(count(*) FILTER (WHERE action = 'publish_success') AS BIGINT) AS total_publishes,
+    CAST(count(*) FILTER (WHERE action = 'publish_error') AS BIGINT) AS error_count,
+    round(avg(response_time_ms), 6) AS avg_response_time_ms
+  FROM w GROUP BY 1, 2)
+SELECT * FROM d WHERE window_end <= (SELECT max(created_at) FROM publish_logs)""", views=("publish_logs",))
+def stream_publish_stats_weekly(t):
+    """Sliding 7-day windows (1-day slide) of publish statistics from a stream (closed windows)."""
+    logs = ST.stream_view(t.spark, t.sf_dir, "publish_logs", "events")
+    out = ST.run_available_now(ST.publish_stats(logs, "7 days", "1 day"), "publish_stats_week")
+    return out.withColumn("avg_response_time_ms", F.round("avg_response_time_ms", 6))
+
+
+@query("stream_webhook_outbox", oracle=f"""
+SELECT id, 'echo5_publish_' || action AS event, status, correlation_id, created_at AS timestamp,
+  {REDACT_SQL.format(x='request_data')} AS data
+FROM publish_logs WHERE status = 'error' OR action IN ('publish_success', 'publish_failed', 'rollback_success')
+""", views=("publish_logs",))
+def stream_webhook_outbox(t):
+    """Webhook outbox written per micro-batch by foreachBatch (retries replace their batch)."""
+    logs = ST.stream_view(t.spark, t.sf_dir, "publish_logs", "events")
+    return ST.run_foreach_batch(logs, "webhook_outbox", ST.webhook_outbox_handler).drop("batch_id")
+
+
+@query("stream_latest_page_state", oracle="""
+SELECT slug, arg_max(request_id, requested_at) AS request_id, max(requested_at) AS requested_at
+FROM publish_requests GROUP BY slug""", views=("publish_requests",))
+def stream_latest_page_state(t):
+    """Newest publish request per slug, upserted per micro-batch (last write wins)."""
+    reqs = ST.stream_view(t.spark, t.sf_dir, "publish_requests", "documents").select(
+        "slug", "request_id", F.col("requested_at").cast("timestamp").alias("requested_at"))
+    return ST.run_foreach_batch(reqs, "latest_page_state", ST.latest_state_handler("slug", "requested_at"))
+
+
+def _fold_sql(key_sql: str, max_n: int, window_s: int, key_name: str) -> str:
+    return f"""
+WITH RECURSIVE r AS (
+  SELECT event_id, {key_sql} AS k, CAST(ts AS TIMESTAMP) AS ts,
+    row_number() OVER (PARTITION BY {key_sql} ORDER BY ts, event_id) AS rn FROM access_log),
+f(k, rn, event_id, ts, cnt, last_ok, accepted) AS (
+  SELECT k, rn, event_id, ts, 1, epoch_us(ts), true FROM r WHERE rn = 1
+  UNION ALL
+  SELECT r.k, r.rn, r.event_id, r.ts,
+    CASE WHEN epoch_us(r.ts) - f.last_ok > {window_s}000000 THEN 1 WHEN f.cnt >= {max_n} THEN f.cnt ELSE f.cnt + 1 END,
+    CASE WHEN epoch_us(r.ts) - f.last_ok > {window_s}000000 THEN epoch_us(r.ts) WHEN f.cnt >= {max_n} THEN f.last_ok
+         ELSE epoch_us(r.ts) END,
+    CASE WHEN epoch_us(r.ts) - f.last_ok > {window_s}000000 THEN true WHEN f.cnt >= {max_n} THEN false ELSE true END
+  FROM f JOIN r ON r.k = f.k AND r.rn = f.rn + 1)
+SELECT event_id, k AS {key_name}, ts, accepted FROM f"""
+
+
+@query("stream_idempotent_requests", oracle=_fold_sql("idempotency_key", 1, 3600, "idempotency_key"),
+       views=("access_log",))
+def stream_idempotent_requests(t):
+    """Idempotency cache as stream state: a key is processed again only 1 h after its kept result."""
+    s = ST.stream_view(t.spark, t.sf_dir, "access_log", "events")
+    return ST.run_available_now(ST.ttl_counter(s, "idempotency_key", 1, 3600), "idempotency")
+
+
+@query("stream_rate_limit", oracle=_fold_sql(IP_SQL, RATE_MAX, RATE_WINDOW, "ip"), views=("access_log",))
+def stream_rate_limit(t):
+    """Rate limit as per-address stream state (count, last accepted); max 3 per 6 h."""
+    return ST.run_available_now(ST.ttl_counter(_access_stream(t), "ip", RATE_MAX, RATE_WINDOW), "rate_limit")
+
+
+@query("schedule_filter", oracle="""
+SELECT request_id, coalesce(TRY_CAST(publish_at AS TIMESTAMP) > requested_at, false) AS accepted,
+  CASE WHEN TRY_CAST(publish_at AS TIMESTAMP) > requested_at
+       THEN md5(slug || CAST(CAST(epoch(TRY_CAST(publish_at AS TIMESTAMP)) AS BIGINT) AS VARCHAR)) END AS schedule_key
+FROM schedule_requests""", views=("schedule_requests",))
+def schedule_filter(t):
+    """Accept schedules whose publish time parses and is after the request time; md5 key."""
+    return ST.schedule_filter(t.schedule_requests).select("request_id", "accepted", "schedule_key")
+
+
+@query("stream_schedule_due", oracle=f"""
+SELECT request_id, slug, TRY_CAST(publish_at AS TIMESTAMP) AS publish_ts,
+  md5(slug || CAST(CAST(epoch(TRY_CAST(publish_at AS TIMESTAMP)) AS BIGINT) AS VARCHAR)) AS schedule_key
+FROM schedule_requests WHERE TRY_CAST(publish_at AS TIMESTAMP) > requested_at
+  AND TRY_CAST(publish_at AS TIMESTAMP) <= TIMESTAMP '{SCHEDULE_AS_OF}'""", views=("schedule_requests",))
+def stream_schedule_due(t):
+    """Scheduled publishes released from a stream when due at the release time."""
+    s = ST.stream_view(t.spark, t.sf_dir, "schedule_requests", "documents")
+    return ST.run_available_now(ST.schedule_due(s, SCHEDULE_AS_OF), "schedule_due")

@@ -176,6 +176,14 @@ SELECT doc_id AS request_id,
 FROM documents
 """
 
+FIXTURE_SQL["schedule_requests"] = """
+SELECT doc_id AS request_id, concat('slug-', CAST(doc_id % 60 AS STRING)) AS slug,
+  CASE WHEN doc_id % 10 = 0 THEN 'soon' WHEN doc_id % 10 = 1 THEN NULL
+       ELSE CAST(TIMESTAMP '2024-03-01 00:00:00' + INTERVAL '1' HOUR * (doc_id % 97) AS STRING) END AS publish_at,
+  TIMESTAMP '2024-03-01 00:00:00' + INTERVAL '1' MINUTE * doc_id AS requested_at
+FROM documents
+"""
+
 # Base tables each view reads (registered as temp views before it runs).
 VIEW_DEPS: dict[str, tuple[str, ...]] = {
     "posts": ('pages',),
@@ -195,6 +203,7 @@ VIEW_DEPS: dict[str, tuple[str, ...]] = {
     "term_relationships": ('pages',),
     "kit_settings": ('pages',),
     "blog_requests": ('documents',),
+    "schedule_requests": ('documents',),
 }
 
 
