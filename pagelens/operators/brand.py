@@ -34,12 +34,30 @@ def builder_pages_limit(posts: DataFrame, trees: DataFrame, limit: int = PAGE_LI
             .select("site_id", F.col("id").alias("page_id"), "page_rank"))
 
 
-def analyzed_nodes(posts: DataFrame, trees: DataFrame, limit: int = PAGE_LIMIT) -> DataFrame:
+def analyzed_nodes(posts: DataFrame, trees: DataFrame, limit: int = PAGE_LIMIT,
+                   materialize: bool = True) -> DataFrame:
+    """Flattened nodes of the analysed pages (at most ``limit`` per site).
+
+    The selected trees are a bounded subset (``limit`` pages per site), so
+    they are written once to the shared checkpoint folder (reliable
+    ``checkpoint``): the flattening, its depth check and every token
+    aggregation then read that subset instead of re-running the selection.
+    """
     pages = builder_pages_limit(posts, trees, limit)
     t = trees.select("page_id", "tree_json").join(pages, "page_id")
+    if materialize:
+        from pagelens.session import checkpoint_dir
+        checkpoint_dir(t.sparkSession)
+        t = t.checkpoint(eager=True)
     return TR.tree_nodes(t, keep=("site_id", "page_rank"))
 
 
+def analyzed_settings(posts: DataFrame, trees: DataFrame, limit: int = PAGE_LIMIT) -> DataFrame:
+    """Setting rows of the analysed pages, checkpointed once for all token aggregations."""
+    st = setting_rows(analyzed_nodes(posts, trees, limit))
+    return st.checkpoint(eager=True)
+
+
 def setting_rows(nodes: DataFrame) -> DataFrame:
     """(site_id, page_rank, path, elType, key, value) for every node setting."""
     m = F.try_variant_get(F.col("settings"), "$", "map<string,variant>")

@@ -57,6 +57,10 @@ def _pages(t):
     return BR.analyzed_nodes(t.posts, t.builder_trees)
 
 
+def _settings(t):
+    return BR.analyzed_settings(t.posts, t.builder_trees)
+
+
 @query("builder_pages_limit", oracle=f"WITH {BP_SQL} SELECT site_id, page_id, CAST(page_rank AS INTEGER) AS page_rank FROM bp",
        views=("posts", "builder_trees"))
 def builder_pages_limit(t):
@@ -78,7 +82,7 @@ def meta_exists_filter(t):
        views=("posts", "builder_trees"))
 def color_frequency(t):
     """Per site: colour counts and contexts over the analysed builder pages."""
-    cf = BR.color_frequency(BR.setting_rows(_pages(t)))
+    cf = BR.color_frequency(_settings(t))
     return cf.select("site_id", "color", "count", F.array_join("contexts", ",").alias("contexts"))
 
 
@@ -88,7 +92,7 @@ SELECT site_id, CAST(rank AS INTEGER) AS rank, color, count FROM (
 """, views=("posts", "builder_trees"))
 def top_colors(t):
     """Top 20 colours per site by count (ties: first seen)."""
-    cf = BR.color_frequency(BR.setting_rows(_pages(t)))
+    cf = BR.color_frequency(_settings(t))
     return BR.top_k(cf, BR.TOP_COLORS).select("site_id", F.col("rank").cast("int").alias("rank"), "color", "count")
 
 
@@ -116,7 +120,7 @@ ff AS (SELECT f.site_id, f.family, CAST(count(*) AS BIGINT) AS count, min(ord) A
        views=("posts", "builder_trees"))
 def font_frequency(t):
     """Per site: font family counts and distinct weights over the analysed pages."""
-    ff = BR.font_frequency(BR.setting_rows(_pages(t)))
+    ff = BR.font_frequency(_settings(t))
     return ff.select("site_id", "family", "count",
                      F.array_join(F.col("weights").cast("array<string>"), ",").alias("weights"))
 
@@ -127,7 +131,7 @@ SELECT site_id, CAST(rank AS INTEGER) AS rank, family, count FROM (
 """, views=("posts", "builder_trees"))
 def top_fonts(t):
     """Top 10 font families per site by count."""
-    ff = BR.font_frequency(BR.setting_rows(_pages(t)))
+    ff = BR.font_frequency(_settings(t))
     return BR.top_k(ff, BR.TOP_FONTS).select("site_id", F.col("rank").cast("int").alias("rank"), "family", "count")
 
 
@@ -143,7 +147,7 @@ SELECT s.site_id,
 FROM (SELECT DISTINCT site_id FROM sp) s""", views=("posts", "builder_trees"))
 def spacing_tokens(t):
     """Last section padding and container width seen per site."""
-    return BR.spacing_tokens(BR.setting_rows(_pages(t)))
+    return BR.spacing_tokens(_settings(t))
 
 
 KIT_SQL = """kl AS (
@@ -210,7 +214,7 @@ FM_SQL = FM_SQL.replace("e1 AS (SELECT * FROM (SELECT *, row_number() OVER (PART
 
 
 def _font_merge(t):
-    ff = BR.font_frequency(BR.setting_rows(_pages(t)))
+    ff = BR.font_frequency(_settings(t))
     return BR.font_merge(BR.kit_tokens(t.kit_settings), BR.top_k(ff, BR.TOP_FONTS))
 
 
@@ -233,7 +237,7 @@ def font_slots(t):
 
 
 def _color_merge(t):
-    cf = BR.color_frequency(BR.setting_rows(_pages(t)))
+    cf = BR.color_frequency(_settings(t))
     return BR.color_merge(BR.kit_tokens(t.kit_settings), BR.top_k(cf, BR.TOP_COLORS))
 
 
@@ -254,8 +258,7 @@ def color_slots(t):
 @query("brand_tokens")
 def brand_tokens(t):
     """Full brand token record per site: colour/font slots, spacing, pages analysed, version, status."""
-    nodes = _pages(t)
-    st = BR.setting_rows(nodes)
+    st = _settings(t)
     kit = BR.kit_tokens(t.kit_settings)
     cm = BR.color_merge(kit, BR.top_k(BR.color_frequency(st), BR.TOP_COLORS))
     fm = BR.font_merge(kit, BR.top_k(BR.font_frequency(st), BR.TOP_FONTS))
@@ -280,7 +283,7 @@ def color_similarity(t):
     The per-site globals are a bounded array (kit size), joined on site_id and
     tested with ``exists``: no pair join.
     """
-    cf = BR.color_frequency(BR.setting_rows(_pages(t)))
+    cf = BR.color_frequency(_settings(t))
     tc = BR.top_k(cf, BR.TOP_COLORS)
     g = (BR.kit_tokens(t.kit_settings).filter(F.col("section") == "color")
          .groupBy("site_id").agg(F.collect_list("value").alias("globals")))
@@ -346,7 +349,7 @@ def hex_to_rgb(t):
 @query("color_name")
 def color_name(t):
     """Suggested name of every top colour from its contexts, luminance and hue."""
-    cf = BR.color_frequency(BR.setting_rows(_pages(t)))
+    cf = BR.color_frequency(_settings(t))
     return cf.select("site_id", "color", C.color_name(F.col("color"), F.col("contexts")).alias("name"))
 
 

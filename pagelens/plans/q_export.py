@@ -336,3 +336,28 @@ SELECT doc_id, regexp_matches(lower(text),
 def boilerplate_filter(t):
     """Whether each document contains one of the 13 boilerplate phrases."""
     return t.documents.select("doc_id", T.is_boilerplate(F.col("text")).alias("is_boilerplate"))
+
+
+@query("export_record", oracle=f"""
+WITH w AS (
+  SELECT *, {path_sql('url')} AS path, {strip_sql('post_content')} AS txt,
+    list_filter(string_split_regex({strip_sql('post_content')}, '[\\n\\r\\t ]+'), lambda x: x <> '') AS ws
+  FROM posts WHERE post_type IN ('page', 'post') AND post_status = 'publish'),
+l AS ({links_sql("(SELECT id AS page_id, url, post_content AS html FROM posts WHERE post_type IN ('page', 'post') AND post_status = 'publish')")})
+SELECT CAST(w.id AS BIGINT) AS id, post_type AS type, url,
+  CASE WHEN path IN ('/', '') THEN '__root__' ELSE ltrim(path, '/') END AS slug, path,
+  post_title AS title, post_status AS status,
+  CAST(post_date AS TIMESTAMP) AS published_date, CAST(post_modified AS TIMESTAMP) AS modified_date,
+  {wc_sql('txt')} AS word_count, CAST(ceil({wc_sql('txt')} / 200) AS BIGINT) AS reading_time,
+  CASE WHEN post_excerpt IS NOT NULL AND post_excerpt <> '' THEN post_excerpt
+       ELSE array_to_string(list_slice(ws, 1, 30), ' ') || CASE WHEN len(ws) > 30 THEN '&hellip;' ELSE '' END END AS excerpt,
+  contains(post_content, '<!-- wp:') AS has_blocks,
+  CAST(len(regexp_extract_all(post_content, '(?is)<h1[^>]*>(.*?)</h1>', 1)) AS BIGINT) AS h1_count,
+  CAST((SELECT count(*) FROM l WHERE l.page_id = w.id AND l.kind = 'internal') AS BIGINT) AS internal_count,
+  CAST((SELECT count(*) FROM l WHERE l.page_id = w.id AND l.kind = 'external') AS BIGINT) AS external_count,
+  {blen('post_content')} AS html_length,
+  CAST(len(regexp_extract_all(post_content, '(?i)<h[1-6]')) AS BIGINT) AS heading_count
+FROM w""", views=("posts",))
+def export_record(t):
+    """Flagship export record of published pages/posts in one narrow projection (no shuffle)."""
+    return X.export_record(t.posts)
