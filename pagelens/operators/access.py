@@ -50,7 +50,9 @@ def client_ip(*headers) -> Column:
         v = col(h)
         first = F.when(F.contains(v, F.lit(",")), F.trim(F.split(v, ",").getItem(0))).otherwise(v)
         out = F.when(~falsy(v) & is_ip(first), first).otherwise(out)
-    return out
+    # Never NULL: declaring it keeps the optimizer from copying the whole
+    # expression into inferred IS NOT NULL filters of joins on the address.
+    return F.coalesce(out, F.lit(DEFAULT_IP))
 
 
 def ip2long(c) -> Column:
@@ -111,10 +113,12 @@ def _bucket_table(events: DataFrame, key: str, ts: str, gap_seconds: int):
          .withColumn("_b", F.floor(F.col("_t") / F.lit(gap)).cast("bigint")))
     b = e.groupBy(key, "_b").agg(F.min("_t").alias("_min"), F.max("_t").alias("_max"),
                                  F.count(F.lit(1)).alias("_n"))
-    prev = b.select(F.col(key).alias("_k"), (F.col("_b") + 1).alias("_pb"), F.col("_max").alias("_prev_max"))
-    b = b.join(prev, (b[key] == prev["_k"]) & (b["_b"] == prev["_pb"]), "left").drop("_k", "_pb")
+    # Previous non-empty bucket: if it is not the adjacent one, the gap is
+    # already longer than the bucket width, so lag() decides exactly.
+    order = Window.partitionBy(key).orderBy("_b")
+    b = b.withColumn("_prev_max", F.lag("_max").over(order))
     starts = F.col("_prev_max").isNull() | (F.col("_min") - F.col("_prev_max") > F.lit(gap))
-    w = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    w = order.rowsBetween(Window.unboundedPreceding, 0)
     b = b.withColumn("seg_start", F.last(F.when(starts, F.col("_min")), ignorenulls=True).over(w))
     # events of earlier buckets in the same run (for running counters)
     w2 = Window.partitionBy(key, "seg_start").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

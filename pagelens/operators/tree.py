@@ -97,6 +97,27 @@ TREE_TEXT_FIELDS = (
 )
 
 
+def _expand(df: DataFrame, keys: list[str], v: str = "v") -> DataFrame:
+    """Rows (keys..., i, j, x): a value, its items, and its items' values, in order.
+
+    Two chained explodes over small per-value arrays: one pass, no union.
+    """
+    lvl1 = F.concat(F.array(F.struct(F.lit(-1).alias("i"), F.col(v).alias("x"))),
+                    F.transform(vvalues(F.col(v)), lambda it, i: F.struct(i.alias("i"), it.alias("x"))))
+    a = df.select(*keys, F.explode(lvl1).alias("a")).select(*keys, "a.i", F.col("a.x").alias("item"))
+    lvl2 = F.concat(F.array(F.struct(F.lit(-1).alias("j"), F.col("item").alias("x"))),
+                    F.when(F.col("i") >= 0, F.transform(vvalues(F.col("item")),
+                                                        lambda sv, j: F.struct(j.alias("j"), sv.alias("x"))))
+                    .otherwise(F.array().cast(f"array<struct<j:int,x:variant>>")))
+    return a.select(*keys, "i", F.explode(lvl2).alias("b")).select(*keys, "i", "b.j", "b.x")
+
+
+def _field_values(nodes: DataFrame, fields) -> DataFrame:
+    arr = F.array(*[F.struct(F.lit(i).alias("f"), setting(f).alias("v")) for i, f in enumerate(fields)])
+    return (nodes.select("page_id", "path", F.explode(F.filter(arr, lambda x: x["v"].isNotNull())).alias("x"))
+            .select("page_id", "path", "x.f", "x.v"))
+
+
 def tree_text_pieces(nodes: DataFrame) -> DataFrame:
     """Text pieces (page_id, path, f, i, j, text) from every node's text settings.
 
@@ -104,19 +125,10 @@ def tree_text_pieces(nodes: DataFrame) -> DataFrame:
     items and the string values of its array/object items. Pieces that are
     empty before or after tag stripping are dropped.
     """
-    fields = F.array(*[F.struct(F.lit(i).alias("f"), setting(f).alias("v")) for i, f in enumerate(TREE_TEXT_FIELDS)])
-    fv = (nodes.select("page_id", "path", F.explode(fields).alias("x"))
-          .filter(F.col("x.v").isNotNull()).select("page_id", "path", "x.f", F.col("x.v").alias("v")))
-    direct = fv.select("page_id", "path", "f", F.lit(-1).alias("i"), F.lit(-1).alias("j"),
-                       vstring(F.col("v")).alias("raw"))
-    items = fv.select("page_id", "path", "f", F.posexplode(vvalues(F.col("v"))).alias("i", "item"))
-    item_str = items.select("page_id", "path", "f", "i", F.lit(-1).alias("j"), vstring(F.col("item")).alias("raw"))
-    subs = (items.filter(vkind(F.col("item")).isin("array", "object"))
-            .select("page_id", "path", "f", "i", F.posexplode(vvalues(F.col("item"))).alias("j", "sv"))
-            .select("page_id", "path", "f", "i", "j", vstring(F.col("sv")).alias("raw")))
-    allp = direct.unionByName(item_str).unionByName(subs).filter(~falsy(F.col("raw")))
-    return (allp.withColumn("text", strip_tags(F.col("raw"))).filter(~falsy(F.col("text")))
-            .select("page_id", "path", "f", "i", "j", "text"))
+    rows = _expand(_field_values(nodes, TREE_TEXT_FIELDS), ["page_id", "path", "f"])
+    rows = rows.select("page_id", "path", "f", "i", "j", vstring(F.col("x")).alias("raw")).filter(~falsy(F.col("raw")))
+    return (rows.select("page_id", "path", "f", "i", "j", strip_tags(F.col("raw")).alias("text"))
+            .filter(~falsy(F.col("text"))))
 
 
 def join_pieces(pieces: DataFrame, keys=("page_id",), order=("path", "f", "i", "j"),
@@ -177,23 +189,14 @@ def tree_image_objects(nodes: DataFrame) -> DataFrame:
 
     An object with ``url`` counts once; otherwise each item of an array/object
     value counts if it has ``url``, and each of the item's own values that has
-    ``url``. Then ``_background_image`` with a url.
+    ``url``. Then ``_background_image`` with a url. One pass of chained explodes.
     """
-    fields = F.array(*[F.struct(F.lit(i).alias("f"), setting(f).alias("v")) for i, f in enumerate(TREE_IMAGE_FIELDS)]
-                     + [F.struct(F.lit(len(TREE_IMAGE_FIELDS)).alias("f"), setting("_background_image").alias("v"))])
-    fv = (nodes.select("page_id", "path", F.explode(fields).alias("x"))
-          .filter(F.col("x.v").isNotNull()).select("page_id", "path", "x.f", F.col("x.v").alias("v")))
-    single = fv.filter(_has_url(F.col("v"))).select("page_id", "path", "f", F.lit(-1).alias("i"),
-                                                    F.lit(-1).alias("j"), F.col("v").alias("obj"))
-    rep = (fv.filter(~_has_url(F.col("v")) & (vkind(F.col("v")).isin("array", "object"))
-                     & (F.col("f") < len(TREE_IMAGE_FIELDS)))
-           .select("page_id", "path", "f", F.posexplode(vvalues(F.col("v"))).alias("i", "item"))
-           .filter(vkind(F.col("item")).isin("array", "object")))
-    item_obj = rep.filter(_has_url(F.col("item"))).select("page_id", "path", "f", "i", F.lit(-1).alias("j"),
-                                                        F.col("item").alias("obj"))
-    sub_obj = (rep.select("page_id", "path", "f", "i", F.posexplode(vvalues(F.col("item"))).alias("j", "sv"))
-               .filter(_has_url(F.col("sv"))).select("page_id", "path", "f", "i", "j", F.col("sv").alias("obj")))
-    return single.unionByName(item_obj).unionByName(sub_obj)
+    n = len(TREE_IMAGE_FIELDS)
+    fv = _field_values(nodes, TREE_IMAGE_FIELDS + ("_background_image",)).withColumn("whole", _has_url(F.col("v")))
+    rows = _expand(fv, ["page_id", "path", "f", "whole"])
+    keep = F.when(F.col("whole"), (F.col("i") == -1) & (F.col("j") == -1)).otherwise(
+        (F.col("f") < n) & (F.col("i") >= 0) & _has_url(F.col("x")))
+    return rows.filter(keep).select("page_id", "path", "f", "i", "j", F.col("x").alias("obj"))
 
 
 def tree_images(nodes: DataFrame, attachments: DataFrame | None = None) -> DataFrame:
