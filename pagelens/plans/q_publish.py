@@ -1 +1,519 @@
-"""Queries (filled in below)."""
+"""M7 queries: publish requests, content rewriting, validation, versions, media, upserts."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pagelens.functions.common import falsy
+from pagelens.operators import media as M
+from pagelens.operators import publish as P
+from pagelens.operators import seo as S
+from pagelens.operators import site as X
+from pagelens.operators import versions as V
+from pagelens.plans.duck import blen, falsy_sql, tags_only_sql, wc_sql
+from pagelens.plans.q_site import BEST_SQL
+from pagelens.plans.registry import query
+
+
+def _payloads(t):
+    r = t.publish_requests
+    payload = F.to_json(F.struct(
+        F.struct("title", "slug", "parent_slug", "update_mode").alias("page"),
+        F.struct("html").alias("content"),
+        F.struct("meta_description", "focus_keyword").alias("seo"),
+        F.from_json("schema_json", "map<string,string>").alias("schema"),
+        F.struct(F.concat(F.lit("idem-"), F.col("slug")).alias("idempotency_key")).alias("options")))
+    return r.select("request_id", "requested_at", payload.alias("payload"))
+
+
+@query("read_publish_requests", oracle="""
+SELECT request_id, title, slug, 'draft' AS status, parent_slug, update_mode, meta_description, focus_keyword,
+  'idem-' || slug AS idempotency_key, false AS skip_validation
+FROM publish_requests""", views=("publish_requests",))
+def read_publish_requests(t):
+    """Publish payloads (JSON) parsed to typed columns with defaults (status draft, update_mode safe)."""
+    return P.read_publish_requests(_payloads(t)).select(
+        "request_id", "title", "slug", "status", "parent_slug", "update_mode", "meta_description",
+        "focus_keyword", "idempotency_key", "skip_validation")
+
+
+SCORE_SQL = f"""greatest(0, 100
+  - CASE WHEN strlen(coalesce(title, '')) < 30 THEN 10 ELSE 0 END - CASE WHEN strlen(coalesce(title, '')) > 60 THEN 5 ELSE 0 END
+  - CASE WHEN {falsy_sql('meta_description')} THEN 15 WHEN strlen(meta_description) < 120 THEN 5
+         WHEN strlen(meta_description) > 160 THEN 5 ELSE 0 END
+  - CASE WHEN {wc_sql(tags_only_sql("coalesce(html, '')"))} < 300 THEN 20
+         WHEN {wc_sql(tags_only_sql("coalesce(html, '')"))} < 500 THEN 10 ELSE 0 END
+  - CASE WHEN NOT contains(coalesce(html, ''), '<h1') THEN 15 ELSE 0 END
+  - CASE WHEN {falsy_sql('focus_keyword')} THEN 10 ELSE 0 END)"""
+
+
+@query("seo_score", oracle=f"SELECT request_id, CAST({SCORE_SQL} AS INTEGER) AS seo_score FROM publish_requests",
+       views=("publish_requests",))
+def seo_score(t):
+    """SEO score of every publish request (title, description, words, h1, keyword penalties)."""
+    r = t.publish_requests
+    return r.select("request_id", P.seo_score(F.col("title"), F.col("meta_description"), F.col("html"),
+                                              F.col("focus_keyword")).alias("seo_score"))
+
+
+@query("validate_page", oracle=f"""WITH {BEST_SQL},
+v AS (SELECT r.*, best.post_id AS existing_page_id,
+  list_filter([CASE WHEN {falsy_sql('title')} OR strlen(coalesce(title, '')) < 10 THEN 'title_too_short' END,
+               CASE WHEN {falsy_sql('html')} OR strlen(coalesce(html, '')) < 500 THEN 'content_too_short' END],
+              lambda x: x IS NOT NULL) AS issues,
+  list_filter([CASE WHEN strlen(coalesce(title, '')) > 60 THEN 'title_too_long' END,
+               CASE WHEN {falsy_sql('meta_description')} THEN 'meta_description_missing' END,
+               CASE WHEN NOT {falsy_sql('meta_description')} AND strlen(meta_description) < 120 THEN 'meta_description_short' END,
+               CASE WHEN NOT {falsy_sql('meta_description')} AND strlen(meta_description) > 160 THEN 'meta_description_long' END,
+               CASE WHEN NOT contains(coalesce(html, ''), '<h1') THEN 'no_h1' END,
+               CASE WHEN update_mode = 'safe' AND NOT regexp_matches(coalesce(html, ''),
+                    '(?s)<!-- ECHO5:START (\\w+) -->.*?<!-- ECHO5:END (\\w+) -->') THEN 'no_section_markers' END],
+              lambda x: x IS NOT NULL) AS warnings
+  FROM publish_requests r LEFT JOIN best ON best.s = r.slug)
+SELECT request_id, len(issues) = 0 AS valid, existing_page_id IS NULL AS would_create,
+  existing_page_id IS NOT NULL AS would_update, existing_page_id,
+  array_to_string(issues, ',') AS issues, array_to_string(warnings, ',') AS warnings,
+  CAST({SCORE_SQL} AS INTEGER) AS seo_score, {blen("coalesce(html, '')")} AS html_length,
+  {wc_sql(tags_only_sql("coalesce(html, '')"))} AS word_count,
+  CAST(len(regexp_extract_all(coalesce(html, ''), '(?i)<h[1-6]')) AS BIGINT) AS heading_count
+FROM v""", views=("posts", "publish_requests"))
+def validate_page(t):
+    """Dry-run validation of every publish request: issues, warnings, create/update, score, stats."""
+    r = t.publish_requests
+    existing = X.find_by_slug(r.select("request_id", "slug"), t.posts)
+    return P.validate_page(r, existing)
+
+
+@query("blog_validate", oracle=f"""
+SELECT request_id,
+  CASE WHEN {falsy_sql('title')} THEN 'title is required' WHEN {falsy_sql('content')} THEN 'content is required' END AS error,
+  CASE WHEN (CASE WHEN {falsy_sql('status')} THEN 'publish' ELSE status END) IN ('publish', 'draft')
+       THEN (CASE WHEN {falsy_sql('status')} THEN 'publish' ELSE status END) ELSE 'publish' END AS status,
+  CASE WHEN {falsy_sql('category_slug')} THEN 'blog' ELSE category_slug END AS category_slug
+FROM blog_requests""", views=("blog_requests",))
+def blog_validate(t):
+    """Blog payload checks: required title/content, status publish|draft, default category."""
+    return P.blog_validate(t.blog_requests)
+
+
+def _existing_pages(t):
+    r = P.last_request_per_slug(t.publish_requests)
+    found = X.find_by_slug(r, t.posts).filter(F.col("post_id").isNotNull())
+    return found.join(t.posts.select(F.col("id").alias("post_id"), F.col("post_content").alias("existing")), "post_id")
+
+
+SAFE_SQL = f"""WITH {BEST_SQL},
+last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY requested_at DESC, request_id DESC) AS rk
+                        FROM publish_requests) WHERE rk = 1),
+e AS (SELECT l.*, best.post_id, p.post_content AS existing FROM last l JOIN best ON best.s = l.slug JOIN posts p ON p.id = best.post_id),
+secs AS (SELECT *, regexp_extract_all(html, '(?s)<!-- ECHO5:START \\w+ -->.*?<!-- ECHO5:END \\w+ -->') AS sl FROM e),
+m AS (SELECT request_id, post_id, CASE WHEN len(sl) = 0 THEN html ELSE list_reduce(list_prepend(existing, sl), lambda acc, s:
+  CASE WHEN regexp_matches(acc, '(?s)<!-- ECHO5:START ' || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->.*?<!-- ECHO5:END '
+                                || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->')
+       THEN regexp_replace(acc, '(?s)<!-- ECHO5:START ' || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->.*?<!-- ECHO5:END '
+                                || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->', s, 'g')
+       WHEN contains(acc, '</body>') THEN replace(acc, '</body>', s || chr(10) || '</body>')
+       ELSE acc || chr(10) || s END) END AS merged
+  FROM secs)"""
+
+
+@query("safe_update", oracle=f"""{SAFE_SQL}
+SELECT request_id, post_id, md5(merged) AS merged_md5, {blen('merged')} AS merged_length FROM m""",
+       views=("posts", "publish_requests"))
+def safe_update(t):
+    """Marked sections of each request merged into its existing page (last request per slug)."""
+    e = _existing_pages(t)
+    merged = P.safe_update(F.col("existing"), F.col("html"))
+    return e.select("request_id", "post_id", F.md5(merged).alias("merged_md5"),
+                    F.octet_length(merged).cast("bigint").alias("merged_length"))
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+WRAP_SQL = (f"CASE WHEN contains(html, 'echo5-tailwind-content') THEN html ELSE "
+            f"{_sql_str(P.WRAP_PREFIX)} || {_sql_str(P.WRAP_OPEN)} || html || {_sql_str(P.WRAP_CLOSE)} END")
+
+
+@query("wrap_content", oracle=f"SELECT request_id, md5({WRAP_SQL}) AS wrapped_md5, {blen(WRAP_SQL)} AS wrapped_length FROM publish_requests",
+       views=("publish_requests",))
+def wrap_content(t):
+    """Style wrapper added to every request's html (idempotent on already wrapped html)."""
+    w = P.wrap_content(F.col("html"))
+    return t.publish_requests.select("request_id", F.md5(w).alias("wrapped_md5"),
+                                     F.octet_length(w).cast("bigint").alias("wrapped_length"))
+
+
+@query("inject_schema", oracle="""
+WITH e AS (SELECT request_id, html, schema_json FROM publish_requests),
+s AS (SELECT e.request_id, string_agg('<script type="application/ld+json">' || chr(10) || je.value || chr(10) || '</script>' || chr(10), ''
+        ORDER BY je.key) AS scripts
+      FROM e, json_each(e.schema_json) je WHERE je.value IS NOT NULL AND CAST(je.value AS VARCHAR) NOT IN ('', '0', 'null', '{}', '[]', 'false')
+      GROUP BY e.request_id),
+b AS (SELECT e.request_id, e.html, e.schema_json,
+        chr(10) || '<!-- ECHO5:START SCHEMA -->' || chr(10) || coalesce(s.scripts, '') || '<!-- ECHO5:END SCHEMA -->' || chr(10) AS block
+      FROM e LEFT JOIN s ON s.request_id = e.request_id)
+SELECT request_id, md5(CASE WHEN schema_json IS NULL OR len(json_keys(schema_json)) = 0 THEN html
+  WHEN regexp_matches(html, '(?s)<!-- ECHO5:START SCHEMA -->.*?<!-- ECHO5:END SCHEMA -->')
+  THEN regexp_replace(html, '(?s)<!-- ECHO5:START SCHEMA -->.*?<!-- ECHO5:END SCHEMA -->', block, 'g')
+  ELSE html || block END) AS content_md5
+FROM b""", views=("publish_requests",))
+def inject_schema(t):
+    """JSON-LD SCHEMA section injected into every request's html (replace or append)."""
+    r = t.publish_requests
+    out = P.inject_schema(F.col("html"), F.from_json("schema_json", "map<string,string>"))
+    return r.select("request_id", F.md5(out).alias("content_md5"))
+
+
+@query("inject_gallery", oracle="""
+WITH g AS (SELECT request_id, html,
+  chr(10) || '<!-- ECHO5:START GALLERY -->' || chr(10) || '<div class="g">' || CAST(request_id AS VARCHAR) || '</div>'
+  || chr(10) || '<!-- ECHO5:END GALLERY -->' || chr(10) AS sec FROM publish_requests)
+SELECT request_id, md5(CASE
+  WHEN regexp_matches(html, '(?s)<!-- ECHO5:START GALLERY -->.*?<!-- ECHO5:END GALLERY -->')
+  THEN regexp_replace(html, '(?s)<!-- ECHO5:START GALLERY -->.*?<!-- ECHO5:END GALLERY -->', sec, 'g')
+  WHEN contains(html, '<!-- ECHO5:START FAQ -->') THEN replace(html, '<!-- ECHO5:START FAQ -->', sec || chr(10) || '<!-- ECHO5:START FAQ -->')
+  WHEN contains(html, '<!-- ECHO5:START SCHEMA -->') THEN replace(html, '<!-- ECHO5:START SCHEMA -->', sec || chr(10) || '<!-- ECHO5:START SCHEMA -->')
+  ELSE html || sec END) AS content_md5
+FROM g""", views=("publish_requests",))
+def inject_gallery(t):
+    """GALLERY section injected into every request's html (replace, before FAQ/SCHEMA, or append)."""
+    r = t.publish_requests
+    g = F.concat(F.lit('<div class="g">'), F.col("request_id").cast("string"), F.lit("</div>"))
+    return r.select("request_id", F.md5(P.inject_gallery(F.col("html"), g)).alias("content_md5"))
+
+
+def _esc_sql(x: str) -> str:
+    return (f"replace(replace(replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), "
+            f"'\"', '&quot;'), '''', '&#039;')")
+
+
+@query("gallery_html", oracle=f"""
+WITH a AS (SELECT post_parent, id, source_url, alt FROM attachments WHERE post_parent > 0)
+SELECT post_parent, md5('<div class="echo5-gallery grid grid-cols-1 md:grid-cols-2 lg:grid-cols-3 gap-4">' ||
+  string_agg('<figure class="echo5-gallery-item overflow-hidden rounded-lg shadow-lg"><a href="' || source_url ||
+    '" class="block" data-lightbox="echo5-gallery"><img src="' || source_url || '" alt="' || {_esc_sql("coalesce(alt, '')")} ||
+    '" loading="lazy" class="w-full h-auto object-cover transition-transform hover:scale-105"></a></figure>', '' ORDER BY id)
+  || '</div>') AS gallery_md5
+FROM a GROUP BY post_parent""", views=("attachments",))
+def gallery_html(t):
+    """Gallery grid markup of each page's attached images (ordered by attachment id)."""
+    a = t.attachments.filter(F.col("post_parent") > 0)
+    imgs = a.groupBy("post_parent").agg(F.array_sort(F.collect_list(F.struct(
+        F.col("id"), F.col("source_url").alias("url"), "alt", F.lit(None).cast("string").alias("caption")))).alias("imgs"))
+    return imgs.select("post_parent", F.md5(P.gallery_html(F.col("imgs"))).alias("gallery_md5"))
+
+
+IMG_T = "array<struct<url:string,alt:string>>"
+
+
+@query("inline_image_markers", oracle="""
+WITH b AS (SELECT request_id, content, featured_is_first_inline AS ff,
+  from_json(inline_images_json, '[{"url":"VARCHAR","alt":"VARCHAR"}]') AS imgs FROM blog_requests),
+s1 AS (SELECT *, CASE WHEN len(imgs) >= 1 THEN CASE WHEN ff THEN replace(content, '<!-- image:1 -->', '')
+  WHEN coalesce(imgs[1].url, '') <> '' THEN replace(content, '<!-- image:1 -->', '<figure><img src="' || imgs[1].url || '" alt="' ||
+    replace(replace(replace(replace(replace(coalesce(imgs[1].alt, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#039;') || '" /></figure>')
+  ELSE content END ELSE content END AS c1 FROM b),
+s2 AS (SELECT *, CASE WHEN len(imgs) >= 2 AND coalesce(imgs[2].url, '') <> '' THEN replace(c1, '<!-- image:2 -->', '<figure><img src="' ||
+    imgs[2].url || '" alt="' || replace(replace(replace(replace(replace(coalesce(imgs[2].alt, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#039;')
+    || '" /></figure>') ELSE c1 END AS c2 FROM s1),
+s3 AS (SELECT *, CASE WHEN len(imgs) >= 3 AND coalesce(imgs[3].url, '') <> '' THEN replace(c2, '<!-- image:3 -->', '<figure><img src="' ||
+    imgs[3].url || '" alt="' || replace(replace(replace(replace(replace(coalesce(imgs[3].alt, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#039;')
+    || '" /></figure>') ELSE c2 END AS c3 FROM s2)
+SELECT request_id, c3 AS content FROM s3""", views=("blog_requests",))
+def inline_image_markers(t):
+    """Inline image markers of every blog request replaced by figures (featured first removed)."""
+    b = t.blog_requests
+    imgs = F.from_json("inline_images_json", IMG_T)
+    return b.select("request_id", P.inline_image_markers(F.col("content"), imgs,
+                                                         F.col("featured_is_first_inline")).alias("content"))
+
+
+@query("tailwind_section_style", oracle="""
+WITH c AS (SELECT page_id, unnest(regexp_extract_all(html, 'class="([^"]*)"', 1)) AS cls FROM enriched_pages)
+SELECT page_id, cls,
+  CASE WHEN TRY_CAST(regexp_extract(cls, '(?i)bg-(?:gray|slate|zinc|neutral|stone)-(\\d+)', 1) AS INTEGER) >= 800 THEN '#1f2937'
+       WHEN TRY_CAST(regexp_extract(cls, '(?i)bg-(?:gray|slate|zinc|neutral|stone)-(\\d+)', 1) AS INTEGER) >= 600 THEN '#4b5563'
+       WHEN TRY_CAST(regexp_extract(cls, '(?i)bg-(?:gray|slate|zinc|neutral|stone)-(\\d+)', 1) AS INTEGER) >= 100 THEN '#f3f4f6' END
+    AS background_color,
+  CAST(TRY_CAST(regexp_extract(cls, '(?i)py-(\\d+)', 1) AS INTEGER) * 4 AS VARCHAR) AS padding_y
+FROM c""", views=("enriched_pages",))
+def tailwind_section_style(t):
+    """Section settings (gray background shade, py-N padding) from every class attribute."""
+    c = t.enriched_pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit('class="([^"]*)"'), 1)).alias("cls"))
+    st = P.tailwind_section_style(F.col("cls"))
+    return c.select("page_id", "cls", st["background_color"].alias("background_color"),
+                    st["padding_y"].alias("padding_y"))
+
+
+# --- versions -----------------------------------------------------------------
+
+@query("version_history", oracle="""
+SELECT page_id, version, strftime(to_timestamp(version), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS timestamp,
+  CAST(strlen(content) AS BIGINT) AS content_length,
+  CAST(row_number() OVER (PARTITION BY page_id ORDER BY version DESC) AS INTEGER) AS rank
+FROM page_versions""", views=("page_versions",))
+def version_history(t):
+    """Snapshots of every page newest first, with ISO time and stored length."""
+    return V.version_history(t.page_versions).withColumn("rank", F.col("rank").cast("int"))
+
+
+@query("version_retention", oracle="""
+SELECT page_id, version FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY version DESC) AS r FROM page_versions)
+WHERE r <= 3""", views=("page_versions",))
+def version_retention(t):
+    """Snapshots kept with keep=3 (newest three per page)."""
+    return V.version_retention(t.page_versions, keep=3).select("page_id", "version")
+
+
+@query("version_retention_compat", oracle="""
+SELECT page_id, version FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY version DESC) AS r FROM page_versions)
+WHERE r <= 9""", views=("page_versions",))
+def version_retention_compat(t):
+    """Snapshots kept by the reference's keep=10 cleanup (its pattern also matches the count key: 9 stay)."""
+    return V.version_retention(t.page_versions, keep=10, compat=True).select("page_id", "version")
+
+
+@query("version_timestamp", oracle="""
+SELECT page_id, '_echo5_version_' || CAST(version AS VARCHAR) AS meta_key,
+  strftime(to_timestamp(version), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS timestamp
+FROM page_versions""", views=("page_versions",))
+def version_timestamp(t):
+    """ISO time read back from every version meta key."""
+    k = F.concat(F.lit(V.VERSION_KEY_PREFIX), F.col("version").cast("string"))
+    return t.page_versions.select("page_id", k.alias("meta_key"), V.version_timestamp(k).alias("timestamp"))
+
+
+SNAP_META_VALUES = ", ".join(f"('{k}')" for k in V.SNAPSHOT_META_KEYS)
+
+
+@query("snapshot_versions", oracle=f"""{SAFE_SQL.split(',' + chr(10) + 'secs AS')[0]},
+u AS (SELECT post_id AS page_id, CAST(epoch(requested_at) AS BIGINT) AS version, max(request_id) AS request_id
+      FROM e GROUP BY 1, 2),
+km AS (SELECT * FROM (VALUES {SNAP_META_VALUES}) v(k)),
+pm AS (SELECT post_id, meta_key, arg_min(meta_value, meta_id) AS mv FROM postmeta WHERE meta_key IN (SELECT k FROM km)
+       GROUP BY post_id, meta_key),
+mc AS (SELECT post_id, count(*) AS n FROM pm WHERE mv IS NOT NULL AND mv <> '' GROUP BY post_id)
+SELECT u.page_id, u.version, u.request_id, p.post_title, md5(p.post_content) AS content_md5,
+  CAST(coalesce(mc.n, 0) AS INTEGER) AS meta_count
+FROM u JOIN posts p ON p.id = u.page_id LEFT JOIN mc ON mc.post_id = u.page_id""",
+       views=("posts", "publish_requests", "postmeta"))
+def snapshot_versions(t):
+    """Snapshot (content, title, SEO meta) of every page about to be updated; one per page and second."""
+    e = _existing_pages(t).select(F.col("post_id").alias("page_id"), "request_id",
+                                  F.col("requested_at").alias("saved_at"))
+    s = V.snapshot_versions(e, t.posts, t.postmeta)
+    return s.select("page_id", "version", "request_id", "post_title", F.md5("content").alias("content_md5"),
+                    F.size("seo_meta").cast("int").alias("meta_count"))
+
+
+ROLLBACK_REQ = """SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 1 ELSE max(version) - 1 END AS version,
+  page_id AS request_id FROM page_versions GROUP BY page_id"""
+
+
+@query("rollback", oracle=f"""
+WITH r AS ({ROLLBACK_REQ}),
+j AS (SELECT r.request_id, r.page_id, r.version, p.id AS pid, p.post_title AS cur_title, v.content AS v_content,
+        v.post_title AS v_title, v.seo_meta_json, v.legacy_format
+      FROM r LEFT JOIN (SELECT * FROM posts WHERE post_type IN ('page', 'post')) p ON p.id = r.page_id
+      LEFT JOIN page_versions v ON v.page_id = r.page_id AND v.version = r.version),
+k AS (SELECT *, CASE WHEN pid IS NULL THEN 'not_found' WHEN v_content IS NULL OR {falsy_sql('v_content')} THEN 'version_not_found'
+                     ELSE 'rolled_back' END AS status FROM j)
+SELECT request_id, page_id, version, status,
+  CASE WHEN status = 'rolled_back' THEN md5(v_content) END AS content_md5,
+  CASE WHEN status = 'rolled_back' THEN CASE WHEN legacy_format THEN cur_title ELSE coalesce(v_title, cur_title) END END AS post_title,
+  coalesce(status = 'rolled_back' AND NOT coalesce(legacy_format, false) AND seo_meta_json IS NOT NULL
+           AND len(json_keys(seo_meta_json)) > 0, false) AS seo_meta_restored
+FROM k""", views=("posts", "page_versions"))
+def rollback(t):
+    """Rollback of pages to a previous (or missing) version: status, restored title, meta restored."""
+    pv = t.page_versions
+    reqs = (pv.groupBy("page_id").agg(F.max("version").alias("_mx"))
+            .select("page_id", F.when(F.col("page_id") % 3 == 0, F.lit(1)).otherwise(F.col("_mx") - 1)
+                    .cast("bigint").alias("version"), F.col("page_id").alias("request_id")))
+    out = V.rollback(reqs, t.posts, pv)
+    return out.select("request_id", "page_id", "version", "status", F.md5("content").alias("content_md5"),
+                      "post_title", F.coalesce("seo_meta_restored", F.lit(False)).alias("seo_meta_restored"))
+
+
+# --- upserts and meta ------------------------------------------------------------
+
+@query("upsert_pages", oracle=f"""{SAFE_SQL.split(',' + chr(10) + 'secs AS')[0]},
+lastall AS (SELECT l.*, best.post_id FROM last l LEFT JOIN best ON best.s = l.slug),
+up AS (SELECT coalesce(post_id, 1000000000000 + request_id) AS id, title AS post_title, slug AS post_name, html AS post_content
+       FROM lastall)
+SELECT CAST(coalesce(up.id, p.id) AS BIGINT) AS id, coalesce(up.post_title, p.post_title) AS post_title,
+  coalesce(up.post_name, p.post_name) AS post_name, md5(coalesce(up.post_content, p.post_content)) AS content_md5
+FROM (SELECT id, post_title, post_name, post_content FROM posts) p FULL OUTER JOIN up ON up.id = p.id""",
+       views=("posts", "publish_requests"))
+def upsert_pages(t):
+    """Posts after the batch: matched slugs updated (last request wins), new slugs inserted."""
+    r = P.last_request_per_slug(t.publish_requests)
+    found = X.find_by_slug(r, t.posts)
+    updates = found.select(F.coalesce(F.col("post_id"), F.lit(1000000000000) + F.col("request_id")).alias("id"),
+                           F.col("title").alias("post_title"), F.col("slug").alias("post_name"),
+                           F.col("html").alias("post_content"))
+    base = t.posts.select("id", "post_title", "post_name", "post_content")
+    out = P.upsert_pages(base, updates)
+    return out.select(F.col("id").cast("bigint").alias("id"), "post_title", "post_name",
+                      F.md5("post_content").alias("content_md5"))
+
+
+@query("upsert_meta", oracle=f"""{SAFE_SQL.split(',' + chr(10) + 'secs AS')[0]},
+ch AS (SELECT post_id, '_echo5_update_mode' AS meta_key, update_mode AS meta_value FROM e
+       UNION ALL SELECT post_id, '_echo5_managed', '1' FROM e),
+cur AS (SELECT post_id, meta_key, arg_min(meta_value, meta_id) AS meta_value FROM postmeta GROUP BY post_id, meta_key)
+SELECT coalesce(ch.post_id, cur.post_id) AS post_id, coalesce(ch.meta_key, cur.meta_key) AS meta_key,
+  coalesce(ch.meta_value, cur.meta_value) AS meta_value
+FROM cur FULL OUTER JOIN ch ON ch.post_id = cur.post_id AND ch.meta_key = cur.meta_key""",
+       views=("posts", "publish_requests", "postmeta"))
+def upsert_meta(t):
+    """Post meta after setting update mode and managed flag on every updated page."""
+    e = _existing_pages(t)
+    ch = e.select("post_id", F.explode(F.array(
+        F.struct(F.lit("_echo5_update_mode").alias("k"), F.col("update_mode").alias("v")),
+        F.struct(F.lit("_echo5_managed").alias("k"), F.lit("1").alias("v")))).alias("x")) \
+        .select("post_id", F.col("x.k").alias("meta_key"), F.col("x.v").alias("meta_value"))
+    return P.upsert_meta(t.postmeta, ch)
+
+
+@query("save_meta_map")
+def save_meta_map(t):
+    """Meta writes of save_all_meta for every updated page (plugin keys, backups, excerpt, flags)."""
+    e = _existing_pages(t).select("request_id", "post_id", F.col("title").alias("meta_title"),
+                                  "meta_description", "focus_keyword",
+                                  F.lit(None).cast("string").alias("canonical"),
+                                  F.lit(None).cast("string").alias("og_title"),
+                                  F.lit(None).cast("string").alias("og_description"))
+    active = S.active_seo_plugin(t.posts, t.site_plugins)
+    return P.save_meta_map(e, active)
+
+
+@query("robots_meta")
+def robots_meta(t):
+    """Robots meta in each post's active plugin format (noindex for non-published, nofollow odd ids)."""
+    active = S.active_seo_plugin(t.posts, t.site_plugins)
+    j = active.join(t.posts.select(F.col("id").cast("bigint").alias("id"), "post_status"), "id")
+    return j.select("id", "seo_plugin", P.robots_meta(F.col("seo_plugin"), F.col("post_status") != "publish",
+                                                        F.col("id") % 2 == 1).alias("robots"))
+
+
+@query("publish_batch")
+def publish_batch(t):
+    """The publish flow over a batch: merge/wrap/schema, parent, author, create-or-update rows."""
+    r = P.last_request_per_slug(t.publish_requests)
+    found = X.find_by_slug(r, t.posts)
+    cur = t.posts.select(F.col("id").alias("post_id"), F.col("post_content").alias("existing"))
+    j = found.join(cur, "post_id", "left")
+    merged = F.when(F.col("post_id").isNotNull() & (F.col("update_mode") == "safe"),
+                    P.safe_update(F.col("existing"), F.col("html"))).otherwise(F.col("html"))
+    content = P.inject_schema(P.wrap_content(merged), F.from_json("schema_json", "map<string,string>"))
+    parents = X.parent_lookup(r.select("request_id", "parent_slug"), t.posts).select("request_id", "post_parent")
+    # one-row author: attached by a broadcast equi-join on a constant key
+    author = X.publisher_author(t.users).withColumn("_k", F.lit(1))
+    out = (j.join(parents, "request_id", "left").withColumn("_k", F.lit(1))
+           .join(F.broadcast(author), "_k", "left").drop("_k"))
+    return out.select(
+        "request_id", "slug",
+        F.coalesce("post_id", F.lit(1000000000000) + F.col("request_id")).alias("post_id"),
+        F.when(F.col("post_id").isNotNull(), F.lit("updated")).otherwise(F.lit("created")).alias("action"),
+        F.lit("draft").alias("status"), F.coalesce("post_parent", F.lit(0)).alias("post_parent"),
+        "author_id", F.md5(content).alias("content_md5"))
+
+
+# --- media ------------------------------------------------------------------------
+
+@query("image_accept", oracle="""
+SELECT id, CASE WHEN NOT coalesce(regexp_matches(source_url, '^[A-Za-z][A-Za-z0-9+.-]*://[^\\s/?#]+[^\\s]*$'), false) THEN 'invalid_url'
+  WHEN mime_type NOT IN ('image/jpeg', 'image/png', 'image/gif', 'image/webp') THEN 'invalid_type'
+  WHEN n_bytes > 10485760 THEN 'file_too_large' END AS reason,
+  CASE mime_type WHEN 'image/png' THEN 'png' WHEN 'image/gif' THEN 'gif' WHEN 'image/webp' THEN 'webp' ELSE 'jpg' END AS extension
+FROM attachments""", views=("attachments",))
+def image_accept(t):
+    """Upload checks of every attachment: url, type, size (first failing reason) and extension."""
+    return M.image_accept(t.attachments).select("id", "reason", "extension")
+
+
+@query("image_filename", oracle="""
+WITH a AS (SELECT id, source_url AS u, alt,
+  CASE mime_type WHEN 'image/png' THEN 'png' WHEN 'image/gif' THEN 'gif' WHEN 'image/webp' THEN 'webp' ELSE 'jpg' END AS ext,
+  regexp_replace(regexp_extract(regexp_extract(source_url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1), '([^/]*)$', 1),
+                 '\\.[^.]*$', '') AS b FROM attachments)
+SELECT id, CASE WHEN alt IS NOT NULL AND alt NOT IN ('', '0')
+    THEN trim(regexp_replace(regexp_replace(lower(substr(alt, 1, 50)), '[^a-z0-9-]', '-', 'g'), '-+', '-', 'g'), '-')
+    ELSE CASE WHEN b IS NULL OR b IN ('', '0') OR strlen(b) < 3 THEN 'echo5-image-' || substr(md5(u), 1, 8) ELSE b END END
+  || '-' || substr(md5(u || '1709251200'), 1, 6) || '.' || ext AS filename
+FROM a""", views=("attachments",))
+def image_filename(t):
+    """SEO file name of every attachment (alt-based or url-based, unique suffix at a fixed time)."""
+    a = M.image_accept(t.attachments)
+    return a.select("id", M.image_filename(F.col("source_url"), F.col("alt"), F.col("extension"),
+                                           F.lit(1709251200)).alias("filename"))
+
+
+@query("base64_image")
+def base64_image(t):
+    """Decode base64 image payloads (data URI or raw): validity, type, size, file name."""
+    d = t.documents.select("doc_id", "text")
+    raw = F.base64(F.encode(F.col("text"), "UTF-8"))
+    data = (F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("data:image/png;base64,"), raw))
+            .when(F.col("doc_id") % 3 == 1, raw).otherwise(F.concat(raw, F.lit("!"))))
+    b = M.base64_image(data, F.substring("text", 1, 30), F.to_timestamp(F.lit("2024-03-01 00:00:00")))
+    return d.select("doc_id", b["ok"].alias("ok"), b["mime"].alias("mime"), b["n_bytes"].alias("n_bytes"),
+                    b["filename"].alias("filename"))
+
+
+def _upload_requests(t):
+    imgs = t.enriched_pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit('(?i)src="([^"]+)"'), 1)).alias("src"))
+    return imgs.select(F.col("page_id").alias("batch_id"),
+                       F.when(F.col("src").startswith("/"), F.concat(F.lit("https://cdn.example.com"), F.col("src")))
+                       .otherwise(F.col("src")).alias("url"))
+
+
+UPLOAD_SQL = """u AS (SELECT page_id AS batch_id, CASE WHEN starts_with(src, '/') THEN 'https://cdn.example.com' || src ELSE src END AS url
+  FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?i)src="([^"]+)"', 1)) AS src FROM enriched_pages)),
+lib AS (SELECT url_hash, min(id) AS existing_id FROM attachments GROUP BY url_hash)"""
+
+
+@query("media_dedup", oracle=f"""WITH {UPLOAD_SQL}
+SELECT u.batch_id, u.url, lib.existing_id, lib.existing_id IS NOT NULL AS duplicate
+FROM u LEFT JOIN lib ON lib.url_hash = md5(u.url)""", views=("enriched_pages", "attachments"))
+def media_dedup(t):
+    """Requested image urls already in the library (md5 of url = stored hash)."""
+    return M.media_dedup(_upload_requests(t), t.attachments).select("batch_id", "url", "existing_id", "duplicate")
+
+
+@query("media_upload_summary", oracle=f"""WITH {UPLOAD_SQL},
+o AS (SELECT u.batch_id, u.url, CASE WHEN NOT coalesce(regexp_matches(u.url, '^[A-Za-z][A-Za-z0-9+.-]*://[^\\s/?#]+[^\\s]*$'), false)
+  THEN 'failed' WHEN lib.existing_id IS NOT NULL THEN 'duplicate' ELSE 'success' END AS outcome
+  FROM u LEFT JOIN lib ON lib.url_hash = md5(u.url))
+SELECT batch_id, outcome, CAST(count(*) AS BIGINT) AS n, array_to_string(list_sort(list(url)), ' ') AS urls
+FROM o GROUP BY batch_id, outcome""", views=("enriched_pages", "attachments"))
+def media_upload_summary(t):
+    """Per page upload batch: success / duplicate / failed counts and urls."""
+    return M.media_upload_summary(_upload_requests(t), t.attachments)
+
+
+@query("orphan_media", oracle="""
+WITH c AS (SELECT id, source_url, post_date FROM attachments WHERE post_parent = 0 AND uploaded_by_us
+           AND post_date < TIMESTAMP '2024-03-01 00:00:00' - INTERVAL 30 DAY ORDER BY post_date DESC, id DESC LIMIT 100)
+SELECT * FROM c WHERE id NOT IN (SELECT TRY_CAST(meta_value AS BIGINT) FROM postmeta
+                                 WHERE meta_key = '_thumbnail_id' AND TRY_CAST(meta_value AS BIGINT) IS NOT NULL)
+""", views=("attachments", "postmeta"))
+def orphan_media(t):
+    """Orphaned uploads to delete: newest 100 candidates older than 30 days, not a featured image."""
+    return M.orphan_media(t.attachments, t.postmeta, "2024-03-01 00:00:00", 30, 100)
+
+
+def _image_meta_sql() -> str:
+    from pagelens.plans.registry import REGISTRY
+    return (f"SELECT page_id, pos, src, alt, width, height, has_alt FROM ({REGISTRY['tree_images'].oracle}) q")
+
+
+@query("image_meta_join", oracle=_image_meta_sql())
+def image_meta_join(t):
+    """Builder image objects joined to attachments for alt/width/height (alt falls back to the widget's)."""
+    from pagelens.operators import tree as TR
+    return TR.tree_images(TR.tree_nodes(t.builder_trees), t.attachments).select(
+        "page_id", "pos", "src", "alt", "width", "height", "has_alt")
