@@ -213,3 +213,41 @@ def export_record(posts: DataFrame) -> DataFrame:
 def export_records(t) -> DataFrame:
     """``export_record`` over the posts view of a table directory."""
     return export_record(t.posts)
+
+
+def internal_link_graph(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
+                        url_col: str = "url") -> DataFrame:
+    """Internal link graph: per page out_links, out_degree (links to known pages), in_degree.
+
+    Relative ('/x'), protocol-relative and absolute same-host links are
+    resolved to (host, path) and equi-joined to the pages' own (host, path).
+    A popular target (e.g. a home page) is a skewed join key: the join is a
+    plain equi-join so AQE's skew handling can split it, and degrees are
+    partial (map-side) aggregations.
+    """
+    links = page_links(pages, id_col, html_col, url_col).filter(F.col("kind") == "internal")
+    src = pages.select(F.col(id_col).alias("page_id"), U.url_host(F.col(url_col)).alias("src_host"))
+    target_host = F.when(U.url_host(F.col("url")) == "", F.col("src_host")).otherwise(U.url_host(F.col("url")))
+    resolvable = F.col("url").startswith("/") | F.lower(F.col("url")).startswith("http")
+    edges = (links.join(src, "page_id").filter(resolvable)
+             .select("page_id", target_host.alias("host"), U.url_path(F.col("url")).alias("path")))
+    nodes = pages.select(F.col(id_col).alias("dst"), U.url_host(F.col(url_col)).alias("host"),
+                         U.url_path(F.col(url_col)).alias("path"))
+    matched = edges.join(nodes, ["host", "path"])
+    out_links = edges.groupBy("page_id").agg(F.count(F.lit(1)).alias("out_links"))
+    out_deg = matched.groupBy("page_id").agg(F.count(F.lit(1)).alias("out_degree"))
+    in_deg = matched.groupBy(F.col("dst").alias("page_id")).agg(F.count(F.lit(1)).alias("in_degree"))
+    base = pages.select(F.col(id_col).alias("page_id"))
+    return (base.join(out_links, "page_id", "left").join(out_deg, "page_id", "left").join(in_deg, "page_id", "left")
+            .select("page_id", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+                                 for c in ("out_links", "out_degree", "in_degree")]))
+
+
+def union_images(content_images: DataFrame, builder_images: DataFrame) -> DataFrame:
+    """Content images followed by builder images per page (order and duplicates kept)."""
+    cols = ["page_id", "pos", "src", "alt", "source"]
+    a = content_images.select(*cols).withColumn("_g", F.lit(0))
+    b = builder_images.select(*cols).withColumn("_g", F.lit(1))
+    n = a.groupBy("page_id").agg(F.max("pos").alias("_n"))
+    b = b.join(n, "page_id", "left").withColumn("pos", F.col("pos") + F.coalesce("_n", F.lit(0))).drop("_n")
+    return a.unionByName(b).drop("_g")

@@ -383,3 +383,33 @@ def last_request_per_slug(requests: DataFrame, order: str = "requested_at") -> D
     """Within one batch, the last request per slug wins (window top-1 per slug)."""
     w = Window.partitionBy("slug").orderBy(F.col(order).desc(), F.col("request_id").desc())
     return requests.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+
+
+# SEO update fields in the order they are reported.
+SEO_UPDATE_FIELDS = ("meta_title", "meta_description", "focus_keyword", "canonical", "og_title",
+                     "og_description", "og_image")
+
+
+def seo_update_batch(requests: DataFrame, posts: DataFrame, h1_actions: DataFrame | None = None) -> DataFrame:
+    """Partial SEO updates by post id: fields provided (non-NULL) are applied and listed.
+
+    ``updates_applied`` = provided SEO fields in order, then page_title, then
+    schema. Unknown ids give status ``post_not_found``. With ``h1_actions``
+    (from the builder tree) the H1 handling is reported when a page title is set.
+    """
+    p = posts.select(F.col("id").alias("post_id"), F.col("post_title").alias("old_title"))
+    j = requests.join(p, "post_id", "left")
+    applied = F.array_compact(F.array(*[F.when(F.col(f).isNotNull(), F.lit(f)) for f in SEO_UPDATE_FIELDS],
+                                      F.when(F.col("page_title").isNotNull(), F.lit("page_title")),
+                                      F.when(F.col("schema").isNotNull(), F.lit("schema"))))
+    found = F.col("old_title").isNotNull()
+    out = j.select("request_id", "post_id",
+                   F.when(found, F.lit("ok")).otherwise(F.lit("post_not_found")).alias("status"),
+                   F.when(found, F.array_join(applied, ",")).alias("updates_applied"),
+                   F.when(found, F.coalesce("page_title", "old_title")).alias("post_title"),
+                   F.col("page_title").isNotNull().alias("_pt"))
+    if h1_actions is not None:
+        a = h1_actions.select(F.col("page_id").alias("post_id"), F.col("action").alias("_a"))
+        out = out.join(a, "post_id", "left").withColumn(
+            "elementor_h1_action", F.when((F.col("status") == "ok") & F.col("_pt"), F.col("_a"))).drop("_a")
+    return out.drop("_pt")

@@ -290,3 +290,21 @@ def _attach_network(sites: DataFrame, network: DataFrame) -> DataFrame:
     return (sites.withColumn("_k", F.lit(1))
             .join(F.broadcast(network.select("path").withColumn("_k", F.lit(1))), "_k")
             .select("site_id", "path"))
+
+
+def schema_merge(schemas, structured) -> Column:
+    """Merge stored schema map with structured data (JSON text).
+
+    Structured data with ``@graph``/``@type`` is stored under
+    ``structured_data``; otherwise its keys are merged in (later wins, via the
+    session's LAST_WIN map-key policy). Empty entries are dropped.
+    """
+    s = F.coalesce(F.col(schemas) if isinstance(schemas, str) else schemas,
+                   F.create_map().cast("map<string,string>"))
+    sd_text = F.col(structured) if isinstance(structured, str) else structured
+    sd = F.from_json(sd_text, "map<string,string>")
+    wrapped = F.when(sd.isNotNull() & (F.map_contains_key(sd, "@graph") | F.map_contains_key(sd, "@type")),
+                     F.create_map(F.lit("structured_data"), sd_text))
+    extra = F.coalesce(wrapped, sd, F.create_map().cast("map<string,string>"))
+    merged = F.map_concat(s, F.when(falsy(sd_text), F.create_map().cast("map<string,string>")).otherwise(extra))
+    return F.map_filter(merged, lambda k, v: ~(falsy(v) | v.isin("null", "{}", "[]", "false")))

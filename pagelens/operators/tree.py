@@ -330,3 +330,36 @@ def tree_set_h1_action(nodes: DataFrame) -> DataFrame:
     target = F.coalesce(F.col("h1_path"), F.col("h23_path"))
     return per_page.select("page_id", action.alias("action"),
                            F.array_join(target.cast("array<string>"), ".").alias("target_path"))
+
+
+# Flat-builder settings that hold an image (reference order).
+FLAT_IMAGE_FIELDS = ("photo", "bg_image", "photo_source", "image", "poster", "ss_photo")
+
+
+def flat_builder_images(flat: DataFrame, attachments: DataFrame, id_col: str = "page_id",
+                        json_col: str = "flat_json") -> DataFrame:
+    """Images of flat builder nodes: numeric ids -> attachment (url, alt, size); URL strings as is."""
+    from pagelens.operators.media import is_valid_url
+    nodes = flat.select(F.col(id_col).alias("page_id"),
+                        F.posexplode(F.try_variant_get(F.try_parse_json(F.col(json_col)), "$", "array<variant>"))
+                        .alias("n", "node"))
+    fields = F.array(*[F.struct(F.lit(i).alias("f"),
+                                F.try_variant_get("node", f"$.settings['{f}']", "variant").alias("v"))
+                       for i, f in enumerate(FLAT_IMAGE_FIELDS)])
+    fv = (nodes.select("page_id", "n", F.explode(fields).alias("x"))
+          .select("page_id", "n", "x.f", F.col("x.v").alias("v")).filter(F.col("v").isNotNull()))
+    s = F.try_variant_get("v", "$", "string")
+    numeric = s.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$")
+    att = attachments.select(F.col("id").alias("_aid"), F.col("source_url").alias("_url"), F.col("alt").alias("_alt"),
+                             F.col("width").cast("string").alias("_w"), F.col("height").cast("string").alias("_h"))
+    by_id = (fv.filter(numeric).withColumn("_aid", s.cast("double").cast("bigint"))
+             .join(att, "_aid").filter(~falsy(F.col("_url")))
+             .select("page_id", "n", "f", F.col("_url").alias("src"), F.coalesce("_alt", F.lit("")).alias("alt"),
+                     F.coalesce("_w", F.lit("")).alias("width"), F.coalesce("_h", F.lit("")).alias("height")))
+    by_url = (fv.filter(~numeric & (vkind(F.col("v")) == "string") & is_valid_url(s))
+              .select("page_id", "n", "f", s.alias("src"), F.lit("").alias("alt"), F.lit("").alias("width"),
+                      F.lit("").alias("height")))
+    rows = by_id.unionByName(by_url)
+    w = Window.partitionBy("page_id").orderBy("n", "f")
+    return rows.select("page_id", F.row_number().over(w).cast("bigint").alias("pos"), "src", "alt", "width", "height",
+                       (~falsy(F.col("alt"))).alias("has_alt"), F.lit("beaver_builder").alias("source"))

@@ -184,6 +184,14 @@ SELECT doc_id AS request_id, concat('slug-', CAST(doc_id % 60 AS STRING)) AS slu
 FROM documents
 """
 
+FIXTURE_SQL["flat_builder"] = """
+SELECT page_id, concat('[{"node":"a","settings":{"heading":"Flat heading ', CAST(page_id AS STRING),
+  '","text":"<p>Flat body text</p>","photo":', CAST(page_id + 100000 AS STRING), '}},',
+  '{"node":"b","settings":{"title":"', CASE WHEN page_id % 2 = 0 THEN '' ELSE 'Second' END,
+  '","bg_image":"https://cdn.example.com/bg', CAST(page_id AS STRING), '.jpg","image":"not a url","btn_text":"Go"}}]') AS flat_json
+FROM pages WHERE page_id % 3 <> 1
+"""
+
 # Base tables each view reads (registered as temp views before it runs).
 VIEW_DEPS: dict[str, tuple[str, ...]] = {
     "posts": ('pages',),
@@ -204,6 +212,7 @@ VIEW_DEPS: dict[str, tuple[str, ...]] = {
     "kit_settings": ('pages',),
     "blog_requests": ('documents',),
     "schedule_requests": ('documents',),
+    "flat_builder": ('pages',),
 }
 
 
