@@ -322,18 +322,25 @@ def upsert_meta(postmeta: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def robots_meta(plugin, noindex, nofollow) -> Column:
-    """Robots meta in the active plugin's format, as a JSON object of key -> value."""
+    """Robots meta writes in the active plugin's format: array of (meta_key, meta_value).
+
+    yoast '1'/'' per flag; aioseo/seopress '1'/'0'; rankmath a list (JSON text);
+    otherwise the generic 'index|noindex,follow|nofollow' string.
+    """
     p, ni, nf = col(plugin), col(noindex), col(nofollow)
-    yoast = F.to_json(F.create_map(F.lit("_yoast_wpseo_meta-robots-noindex"), F.when(ni, "1").otherwise(""),
-                                   F.lit("_yoast_wpseo_meta-robots-nofollow"), F.when(nf, "1").otherwise("")))
-    rank = F.to_json(F.create_map(F.lit("rank_math_robots"), F.to_json(F.array_compact(F.array(
+
+    def kv(k, v):
+        return F.struct(F.lit(k).alias("meta_key"), v.alias("meta_value"))
+    yoast = F.array(kv("_yoast_wpseo_meta-robots-noindex", F.when(ni, "1").otherwise("")),
+                    kv("_yoast_wpseo_meta-robots-nofollow", F.when(nf, "1").otherwise("")))
+    rank = F.array(kv("rank_math_robots", F.to_json(F.array_compact(F.array(
         F.when(ni, F.lit("noindex")), F.when(nf, F.lit("nofollow")))))))
-    aio = F.to_json(F.create_map(F.lit("_aioseo_noindex"), F.when(ni, "1").otherwise("0"),
-                                 F.lit("_aioseo_nofollow"), F.when(nf, "1").otherwise("0")))
-    sp = F.to_json(F.create_map(F.lit("_seopress_robots_index"), F.when(ni, "1").otherwise("0"),
-                                F.lit("_seopress_robots_follow"), F.when(nf, "1").otherwise("0")))
-    gen = F.to_json(F.create_map(F.lit("_echo5_robots"), F.concat(F.when(ni, "noindex").otherwise("index"), F.lit(","),
-                                                                   F.when(nf, "nofollow").otherwise("follow"))))
+    aio = F.array(kv("_aioseo_noindex", F.when(ni, "1").otherwise("0")),
+                  kv("_aioseo_nofollow", F.when(nf, "1").otherwise("0")))
+    sp = F.array(kv("_seopress_robots_index", F.when(ni, "1").otherwise("0")),
+                 kv("_seopress_robots_follow", F.when(nf, "1").otherwise("0")))
+    gen = F.array(kv("_echo5_robots", F.concat(F.when(ni, "noindex").otherwise("index"), F.lit(","),
+                                              F.when(nf, "nofollow").otherwise("follow"))))
     return (F.when(p == "yoast", yoast).when(p == "rankmath", rank).when(p == "aioseo", aio)
             .when(p == "seopress", sp).otherwise(gen))
 

@@ -346,7 +346,23 @@ def hex_to_rgb(t):
                     F.round(C.luminance(rgb), 6).alias("luminance"))
 
 
-@query("color_name")
+RGBS = "CASE WHEN length(ltrim(color, '#')) = 6 THEN CAST(('0x' || substr(ltrim(color, '#'), {i}, 2)) AS INTEGER) END"
+
+
+@query("color_name", oracle=f"""WITH {CF_SQL},
+c AS (SELECT site_id, color, contexts, {RGBS.format(i=1)} AS r, {RGBS.format(i=3)} AS g, {RGBS.format(i=5)} AS b FROM cf),
+l AS (SELECT *, (0.299 * r + 0.587 * g + 0.114 * b) / 255 AS lum, greatest(r, g, b) - least(r, g, b) AS spread FROM c)
+SELECT site_id, color, CASE WHEN r IS NULL THEN 'Color'
+  WHEN contains(contexts, 'button') THEN 'Button Color'
+  WHEN contains(contexts, 'heading') OR contains(contexts, 'title') THEN 'Heading Color'
+  WHEN contains(contexts, 'background') THEN 'Background' WHEN contains(contexts, 'link') THEN 'Link Color'
+  WHEN lum > 0.95 THEN 'White/Light' WHEN lum < 0.05 THEN 'Black/Dark' WHEN lum > 0.8 THEN 'Light Background'
+  WHEN lum < 0.2 THEN 'Dark Text' WHEN spread < 20 THEN 'Neutral Gray'
+  WHEN r >= g AND r >= b THEN CASE WHEN g > b THEN 'Orange/Yellow' ELSE 'Red/Pink' END
+  WHEN g >= r AND g >= b THEN CASE WHEN b > r THEN 'Teal/Cyan' ELSE 'Green' END
+  WHEN b >= r AND b >= g THEN CASE WHEN r > g THEN 'Purple/Violet' ELSE 'Blue' END
+  ELSE 'Accent Color' END AS name
+FROM l""", views=("posts", "builder_trees"))
 def color_name(t):
     """Suggested name of every top colour from its contexts, luminance and hue."""
     cf = BR.color_frequency(_settings(t))

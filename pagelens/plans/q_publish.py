@@ -378,7 +378,25 @@ def upsert_meta(t):
     return P.upsert_meta(t.postmeta, ch)
 
 
-@query("save_meta_map")
+def _keymap_values() -> str:
+    return ", ".join(f"('{p}', '{f}', '{k}')" for p, pairs in S.META_KEYS.items() for f, k in pairs)
+
+
+@query("save_meta_map", oracle=f"""{SAFE_SQL.split(',' + chr(10) + 'secs AS')[0]},
+{__import__('pagelens.plans.q_seo', fromlist=['x']).FLAGS_SQL},
+km AS (SELECT * FROM (VALUES {_keymap_values()}) v(plugin, field, meta_key)),
+r AS (SELECT e.request_id, e.post_id, ap.seo_plugin, e.title AS meta_title, e.meta_description, e.focus_keyword
+      FROM e JOIN ap ON ap.id = e.post_id),
+fv AS (SELECT request_id, post_id, seo_plugin, 'title' AS f, meta_title AS v, '_echo5_seo_title' AS g FROM r
+  UNION ALL SELECT request_id, post_id, seo_plugin, 'description', meta_description, '_echo5_seo_description' FROM r
+  UNION ALL SELECT request_id, post_id, seo_plugin, 'focus_keyword', focus_keyword, '_echo5_focus_keyword' FROM r),
+nz AS (SELECT * FROM fv WHERE NOT {falsy_sql('v')})
+SELECT nz.request_id, nz.post_id, km.meta_key, nz.v AS meta_value FROM nz JOIN km ON km.plugin = nz.seo_plugin AND km.field = nz.f
+UNION ALL SELECT request_id, post_id, g, v FROM nz
+UNION ALL SELECT request_id, post_id, 'post_excerpt', meta_description FROM r WHERE NOT {falsy_sql('meta_description')}
+UNION ALL SELECT request_id, post_id, '_echo5_seo_managed', '1' FROM r
+UNION ALL SELECT request_id, post_id, '_echo5_seo_plugin_used', seo_plugin FROM r""",
+       views=("posts", "publish_requests", "site_plugins"))
 def save_meta_map(t):
     """Meta writes of save_all_meta for every updated page (plugin keys, backups, excerpt, flags)."""
     e = _existing_pages(t).select("request_id", "post_id", F.col("title").alias("meta_title"),
@@ -390,13 +408,25 @@ def save_meta_map(t):
     return P.save_meta_map(e, active)
 
 
-@query("robots_meta")
+@query("robots_meta", oracle=f"""WITH {__import__('pagelens.plans.q_seo', fromlist=['x']).FLAGS_SQL},
+j AS (SELECT ap.id, ap.seo_plugin, p.post_status <> 'publish' AS ni, ap.id % 2 = 1 AS nf FROM ap JOIN posts p ON p.id = ap.id)
+SELECT id, seo_plugin, '_yoast_wpseo_meta-robots-noindex' AS meta_key, CASE WHEN ni THEN '1' ELSE '' END AS meta_value FROM j WHERE seo_plugin = 'yoast'
+UNION ALL SELECT id, seo_plugin, '_yoast_wpseo_meta-robots-nofollow', CASE WHEN nf THEN '1' ELSE '' END FROM j WHERE seo_plugin = 'yoast'
+UNION ALL SELECT id, seo_plugin, 'rank_math_robots', '[' || array_to_string(list_filter([CASE WHEN ni THEN '"noindex"' END,
+  CASE WHEN nf THEN '"nofollow"' END], lambda x: x IS NOT NULL), ',') || ']' FROM j WHERE seo_plugin = 'rankmath'
+UNION ALL SELECT id, seo_plugin, '_aioseo_noindex', CASE WHEN ni THEN '1' ELSE '0' END FROM j WHERE seo_plugin = 'aioseo'
+UNION ALL SELECT id, seo_plugin, '_aioseo_nofollow', CASE WHEN nf THEN '1' ELSE '0' END FROM j WHERE seo_plugin = 'aioseo'
+UNION ALL SELECT id, seo_plugin, '_seopress_robots_index', CASE WHEN ni THEN '1' ELSE '0' END FROM j WHERE seo_plugin = 'seopress'
+UNION ALL SELECT id, seo_plugin, '_seopress_robots_follow', CASE WHEN nf THEN '1' ELSE '0' END FROM j WHERE seo_plugin = 'seopress'
+UNION ALL SELECT id, seo_plugin, '_echo5_robots', CASE WHEN ni THEN 'noindex' ELSE 'index' END || ',' ||
+  CASE WHEN nf THEN 'nofollow' ELSE 'follow' END FROM j WHERE seo_plugin NOT IN ('yoast', 'rankmath', 'aioseo', 'seopress')""",
+       views=("posts", "site_plugins"))
 def robots_meta(t):
-    """Robots meta in each post's active plugin format (noindex for non-published, nofollow odd ids)."""
+    """Robots meta writes in each post's active plugin format (noindex if not published, nofollow odd ids)."""
     active = S.active_seo_plugin(t.posts, t.site_plugins)
     j = active.join(t.posts.select(F.col("id").cast("bigint").alias("id"), "post_status"), "id")
-    return j.select("id", "seo_plugin", P.robots_meta(F.col("seo_plugin"), F.col("post_status") != "publish",
-                                                        F.col("id") % 2 == 1).alias("robots"))
+    r = P.robots_meta(F.col("seo_plugin"), F.col("post_status") != "publish", F.col("id") % 2 == 1)
+    return j.select("id", "seo_plugin", F.explode(r).alias("x")).select("id", "seo_plugin", "x.meta_key", "x.meta_value")
 
 
 @query("publish_batch")
