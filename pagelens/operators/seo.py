@@ -227,7 +227,7 @@ def seo_meta_read(posts: DataFrame, postmeta: DataFrame, site_plugins: DataFrame
     spark = posts.sparkSession
     active = active_seo_plugin(posts, site_plugins)
     kmap = F.broadcast(key_map_df(spark))
-    echo5 = F.broadcast(spark.createDataFrame(list(BACKUP_FIELDS), "meta_key string, field string"))
+    backup = F.broadcast(spark.createDataFrame(list(BACKUP_FIELDS), "meta_key string, field string"))
     all_keys = sorted({k for pairs in META_KEYS.values() for _, k in pairs} | {k for k, _ in BACKUP_FIELDS}
                       | {MANAGED_KEY})
     pm = load_postmeta(postmeta, all_keys).withColumnRenamed("post_id", "id")
@@ -235,7 +235,7 @@ def seo_meta_read(posts: DataFrame, postmeta: DataFrame, site_plugins: DataFrame
     by_plugin = (pm.join(active, "id")
                  .join(kmap, (kmap.meta_key == pm.meta_key) & (kmap.plugin == F.col("seo_plugin")))
                  .filter(nonempty).select("id", "field", F.col("meta_value").alias("value")))
-    generic = (pm.join(echo5, "meta_key").filter(nonempty)
+    generic = (pm.join(backup, "meta_key").filter(nonempty)
                .select("id", "field", F.col("meta_value").alias("value")))
     managed = (active.join(pm.filter(F.col("meta_key") == MANAGED_KEY), "id", "left")
                .select("id", F.lit("echo5_managed").alias("field"),
