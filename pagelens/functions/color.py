@@ -76,9 +76,12 @@ def color_distance_lt(rgb1, rgb2, threshold: float = 30.0) -> Column:
     return F.coalesce(d < F.lit(threshold), F.lit(False))
 
 
-def color_name(hex_value, contexts) -> Column:
-    """Name suggested from the contexts (setting keys), else luminance, else hue."""
-    rgb = hex_to_rgb(hex_value)
+def color_name(hex_value, contexts, rgb=None) -> Column:
+    """Name suggested from the contexts (setting keys), else luminance, else hue.
+
+    Pass a precomputed ``rgb`` struct column to avoid re-deriving it per use.
+    """
+    rgb = hex_to_rgb(hex_value) if rgb is None else col(rgb)
     ctx = F.array_join(col(contexts), " ")
     lum = luminance(rgb)
     r, g, b = rgb["r"], rgb["g"], rgb["b"]

@@ -188,12 +188,15 @@ def kit_tokens(kit: DataFrame) -> DataFrame:
     return listed_rows.unionByName(buttons)
 
 
-COLOR_T = "struct<kid:string,value:string,source:string,name:string,frequency:bigint,contexts:array<string>>"
+COLOR_T = ("struct<kid:string,value:string,source:string,name:string,frequency:bigint,contexts:array<string>,"
+           "rgb:struct<r:int,g:int,b:int>,lum:double>")
 
 
-def _color_struct(kid, value, source, name, frequency, contexts) -> Column:
+def _color_struct(kid, value, source, name, frequency, contexts, rgb) -> Column:
+    """Colour record; rgb/luminance are computed once here, not inside the folds."""
     return F.struct(kid.alias("kid"), value.alias("value"), source.alias("source"), name.alias("name"),
-                    frequency.cast("bigint").alias("frequency"), contexts.alias("contexts"))
+                    frequency.cast("bigint").alias("frequency"), contexts.alias("contexts"), rgb.alias("rgb"),
+                    C.luminance(rgb).cast("double").alias("lum"))
 
 
 def color_merge(kit_rows: DataFrame, top_colors: DataFrame, threshold: float = SIMILAR) -> DataFrame:
@@ -202,25 +205,27 @@ def color_merge(kit_rows: DataFrame, top_colors: DataFrame, threshold: float = S
     Returns (site_id, colors ARRAY<struct>) in merge order. The fold runs over
     at most ``TOP_COLORS`` candidates per site.
     """
-    g = (kit_rows.filter(F.col("section") == "color")
+    g = (kit_rows.filter(F.col("section") == "color").withColumn("_rgb", C.hex_to_rgb(F.col("value")))
          .groupBy("site_id").agg(F.array_sort(F.collect_list(F.struct(
              "pos", _color_struct(F.col("key"), F.col("value"), F.lit("global"), F.col("name"),
-                                  F.lit(GLOBAL_FREQUENCY), F.expr("CAST(array() AS array<string>)")).alias("c"))))
+                                  F.lit(GLOBAL_FREQUENCY), F.expr("CAST(array() AS array<string>)"),
+                                  F.col("_rgb")).alias("c"))))
              .alias("_g"))
          .select("site_id", F.transform("_g", lambda x: x["c"]).alias("globals")))
-    norm = C.normalize_hex(F.col("color"))
-    e = (top_colors.filter(norm.isNotNull())
+    e = (top_colors.withColumn("_hex", C.normalize_hex(F.col("color"))).filter(F.col("_hex").isNotNull())
+         .withColumn("_rgb", C.hex_to_rgb(F.col("_hex")))
+         .withColumn("_name", C.color_name(F.col("_hex"), F.col("contexts"), F.col("_rgb")))
          .groupBy("site_id").agg(F.array_sort(F.collect_list(F.struct(
-             "rank", _color_struct(norm, norm, F.lit("extracted"), C.color_name(norm, F.col("contexts")),
-                                   F.col("count"), F.slice(F.col("contexts"), 1, 5)).alias("c")))).alias("_e"))
+             "rank", _color_struct(F.col("_hex"), F.col("_hex"), F.lit("extracted"), F.col("_name"),
+                                   F.col("count"), F.slice(F.col("contexts"), 1, 5), F.col("_rgb")).alias("c"))))
+             .alias("_e"))
          .select("site_id", F.transform("_e", lambda x: x["c"]).alias("extracted")))
     j = g.join(e, "site_id", "full")
     empty = F.expr(f"CAST(array() AS array<{COLOR_T}>)")
     start = F.coalesce(F.col("globals"), empty)
 
     def step(acc, c):
-        rgb_c = C.hex_to_rgb(c["value"])
-        similar = F.exists(acc, lambda a: C.color_distance_lt(C.hex_to_rgb(a["value"]), rgb_c, threshold))
+        similar = F.exists(acc, lambda a: C.color_distance_lt(a["rgb"], c["rgb"], threshold))
         return F.when(similar, acc).otherwise(F.concat(acc, F.array(c)))
     merged = F.aggregate(F.coalesce(F.col("extracted"), empty), start, step)
     return j.select("site_id", merged.alias("colors"))
@@ -254,8 +259,8 @@ def color_slots(merged: DataFrame, max_additional: int = 5) -> DataFrame:
                         F.concat(acc["additional"], F.array(c)).alias("additional"))
 
     def step(acc, c):
-        rgb = C.hex_to_rgb(c["value"])
-        lum = C.luminance(rgb)
+        rgb = c["rgb"]
+        lum = c["lum"]
         name = F.lower(F.coalesce(c["name"], F.lit("")))
         has = lambda s: acc[s].isNotNull()
         cont = lambda x: F.contains(name, F.lit(x))

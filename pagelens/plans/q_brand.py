@@ -286,10 +286,11 @@ def color_similarity(t):
     cf = BR.color_frequency(_settings(t))
     tc = BR.top_k(cf, BR.TOP_COLORS)
     g = (BR.kit_tokens(t.kit_settings).filter(F.col("section") == "color")
-         .groupBy("site_id").agg(F.collect_list("value").alias("globals")))
-    rgb = C.hex_to_rgb(F.col("color"))
-    sim = F.exists(F.coalesce("globals", F.array().cast("array<string>")),
-                   lambda gv: C.color_distance_lt(C.hex_to_rgb(gv), rgb))
+         .withColumn("_rgb", C.hex_to_rgb(F.col("value")))
+         .groupBy("site_id").agg(F.collect_list("_rgb").alias("globals")))
+    tc = tc.withColumn("_rgb", C.hex_to_rgb(F.col("color")))
+    sim = F.exists(F.coalesce("globals", F.array().cast("array<struct<r:int,g:int,b:int>>")),
+                   lambda gv: C.color_distance_lt(gv, F.col("_rgb")))
     return tc.join(g, "site_id", "left").select("site_id", "color", sim.alias("similar_to_global"))
 
 
@@ -366,7 +367,8 @@ FROM l""", views=("posts", "builder_trees"))
 def color_name(t):
     """Suggested name of every top colour from its contexts, luminance and hue."""
     cf = BR.color_frequency(_settings(t))
-    return cf.select("site_id", "color", C.color_name(F.col("color"), F.col("contexts")).alias("name"))
+    cf = cf.withColumn("_rgb", C.hex_to_rgb(F.col("color")))
+    return cf.select("site_id", "color", C.color_name(F.col("color"), F.col("contexts"), F.col("_rgb")).alias("name"))
 
 
 @query("font_weights", oracle=f"""WITH {KIT_SQL}
