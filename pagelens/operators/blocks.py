@@ -92,9 +92,11 @@ def html_tokens(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
     )
 
 
-def _class_has(attrs: Column, frag: str) -> Column:
-    cls = F.regexp_extract(attrs, r"""(?is)\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", 0)
-    return F.contains(cls, F.lit(frag))
+CLASS_ATTR_RE = r"""(?is)\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))"""
+
+
+def _class_attr(attrs: Column) -> Column:
+    return F.regexp_extract(attrs, CLASS_ATTR_RE, 0)
 
 
 # Main-content selectors in the reference's priority order.
@@ -102,11 +104,15 @@ MAIN_SELECTORS = ("main", "role=main", "article", "content", "main-content", "po
                   "entry-content", "page-content", "elementor")
 
 
-def selector_priority(name: Column, attrs: Column) -> Column:
-    """1..9 = first selector this open tag matches; NULL when none."""
+def selector_priority(name: Column, attrs: Column, cls: Column | None = None) -> Column:
+    """1..9 = first selector this open tag matches; NULL when none.
+
+    ``cls`` is the class attribute text, extracted once per token by the caller.
+    """
+    cls = _class_attr(attrs) if cls is None else cls
     role_main = attrs.rlike(r"""(?i)\brole\s*=\s*(?:"main"|'main'|main(?:[\s/>]|$))""")
     tests = [name == "main", role_main, name == "article"]
-    tests += [_class_has(attrs, frag) for frag in MAIN_SELECTORS[3:]]
+    tests += [F.contains(cls, F.lit(frag)) for frag in MAIN_SELECTORS[3:]]
     out = F.lit(None).cast("int")
     for i in range(len(tests), 0, -1):
         out = F.when(tests[i - 1], F.lit(i)).otherwise(out)
@@ -121,8 +127,8 @@ def main_content_scope(tokens: DataFrame) -> DataFrame:
     page = Window.partitionBy("page_id")
     by_name = Window.partitionBy("page_id", "name").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     opens = F.col("is_tag") & ~F.col("is_close")
-    t = tokens.withColumn(
-        "prio", F.when(opens, selector_priority(F.col("name"), F.col("attrs"))))
+    t = tokens.withColumn("_cls", F.when(opens, _class_attr(F.col("attrs"))))
+    t = t.withColumn("prio", F.when(opens, selector_priority(F.col("name"), F.col("attrs"), F.col("_cls"))))
     t = t.withColumn("depth", F.sum(F.when(opens, 1).when(F.col("is_close"), -1).otherwise(0)).over(by_name))
     best = F.min(F.when(F.col("prio").isNotNull(),
                         F.struct(F.col("prio"), F.col("pos"), F.col("name"), F.col("depth")))).over(page)

@@ -121,11 +121,10 @@ def export_logs(logs: DataFrame, start_date: str | None = None, end_date: str |
     out = logs.orderBy(F.col("created_at").desc(), F.col("id").desc())
     if limit:
         out = out.limit(limit)
-    # total over the result: a global window would pull every row into one
-    # partition, so count separately and attach the one-row total by a
-    # broadcast equi-join on a constant key.
-    total = out.agg(F.count(F.lit(1)).cast("bigint").alias("total_records")).withColumn("_k", F.lit(1))
-    return out.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k").drop("_k")
+    # total over the result as a scalar subquery: evaluated once, attached as a
+    # value (no global window pulling every row into one partition, no join).
+    total = out.agg(F.count(F.lit(1)).cast("bigint").alias("total_records")).scalar()
+    return out.withColumn("total_records", total)
 
 
 def redact_json(c) -> Column:

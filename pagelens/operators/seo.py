@@ -275,23 +275,31 @@ def plugin_capabilities(site_plugins: DataFrame) -> DataFrame:
     return caps.withColumn("pro_capable", F.col("elementor_pro") | F.col("pro_elements"))
 
 
+# Network-activated plugin lists are admin configuration; they are read to the
+# driver only after checking this bound (an error, never a silent cap).
+MAX_NETWORK_PLUGINS = 10000
+
+
 def distinct_plugins(site_plugins: DataFrame, network_plugins: DataFrame | None = None) -> DataFrame:
-    """Active plugin paths per site: site list plus network-activated list, distinct."""
+    """Active plugin paths per site: site list plus network-activated list, distinct.
+
+    Every site gets every network plugin, so the network list (checked to be
+    at most ``MAX_NETWORK_PLUGINS`` paths) becomes a literal array exploded
+    per site row: no join.
+    """
     paths = site_plugins.select("site_id", "path")
     if network_plugins is not None:
-        sites = site_plugins.select("site_id").distinct()
-        paths = paths.unionByName(_attach_network(sites, network_plugins))
+        net = network_plugins.select("path").distinct()
+        n = net.limit(MAX_NETWORK_PLUGINS + 1).count()
+        if n > MAX_NETWORK_PLUGINS:
+            raise ValueError(f"more than {MAX_NETWORK_PLUGINS} network plugins")
+        if n:
+            lits = [F.lit(r[0]) for r in net.collect()]
+            sites = site_plugins.select("site_id").distinct()
+            paths = paths.unionByName(sites.select("site_id", F.explode(F.array(*lits)).alias("path")))
     return paths.distinct()
 
 
-def _attach_network(sites: DataFrame, network: DataFrame) -> DataFrame:
-    # Network-activated plugins apply to every site: a broadcast equi-join on a
-    # constant key (the network list is a handful of rows).
-    return (sites.withColumn("_k", F.lit(1))
-            .join(F.broadcast(network.select("path").withColumn("_k", F.lit(1))), "_k")
-            .select("site_id", "path"))
-
-
 def schema_merge(schemas, structured) -> Column:
     """Merge stored schema map with structured data (JSON text).
 

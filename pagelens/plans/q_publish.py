@@ -440,10 +440,9 @@ def publish_batch(t):
                     P.safe_update(F.col("existing"), F.col("html"))).otherwise(F.col("html"))
     content = P.inject_schema(P.wrap_content(merged), F.from_json("schema_json", "map<string,string>"))
     parents = X.parent_lookup(r.select("request_id", "parent_slug"), t.posts).select("request_id", "post_parent")
-    # one-row author: attached by a broadcast equi-join on a constant key
-    author = X.publisher_author(t.users).withColumn("_k", F.lit(1))
-    out = (j.join(parents, "request_id", "left").withColumn("_k", F.lit(1))
-           .join(F.broadcast(author), "_k", "left").drop("_k"))
+    # the publishing author is one value: a scalar subquery, not a join
+    author = X.publisher_author(t.users).scalar()
+    out = j.join(parents, "request_id", "left").withColumn("author_id", author)
     return out.select(
         "request_id", "slug",
         F.coalesce("post_id", F.lit(1000000000000) + F.col("request_id")).alias("post_id"),
