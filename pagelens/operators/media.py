@@ -102,13 +102,21 @@ def media_dedup(requests: DataFrame, attachments: DataFrame, url_col: str = "url
 
 def media_upload_summary(requests: DataFrame, attachments: DataFrame, batch_col: str = "batch_id",
                          url_col: str = "url") -> DataFrame:
-    """Per upload batch: counts and url lists of success / duplicate / failed images."""
+    """Per upload batch: success / duplicate / failed counts.
+
+    The per-image outcomes stay rows (``upload_outcomes``); only counts are
+    aggregated, so a huge batch is never gathered into one row.
+    """
+    d = upload_outcomes(requests, attachments, url_col)
+    return (d.groupBy(batch_col, "outcome").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+
+
+def upload_outcomes(requests: DataFrame, attachments: DataFrame, url_col: str = "url") -> DataFrame:
+    """Per requested image: failed (invalid url), duplicate (already stored) or success."""
     d = media_dedup(requests, attachments, url_col)
     outcome = (F.when(~is_valid_url(F.col(url_col)), F.lit("failed"))
                .when(F.col("duplicate"), F.lit("duplicate")).otherwise(F.lit("success")))
-    return (d.withColumn("outcome", outcome).groupBy(batch_col, "outcome")
-            .agg(F.count(F.lit(1)).cast("bigint").alias("n"),
-                 F.array_join(F.array_sort(F.collect_list(F.col(url_col))), " ").alias("urls")))
+    return d.withColumn("outcome", outcome)
 
 
 def orphan_media(attachments: DataFrame, postmeta: DataFrame, as_of: str, older_than_days: int = 30,

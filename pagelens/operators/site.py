@@ -109,10 +109,12 @@ def slug_exists(requests: DataFrame, posts: DataFrame, slug_col: str = "slug") -
 
 
 def menu_structure(items: DataFrame) -> DataFrame:
-    """Menu -> items in menu order (rows: menu, pos, id, title, url, parent_id, order)."""
-    w = Window.partitionBy("menu").orderBy("menu_order", "id")
-    return items.select("menu", F.row_number().over(w).alias("pos"), "id", "title", "url",
-                        "parent_id", F.col("menu_order").alias("order"))
+    """Menu -> items (menu, id, title, url, parent_id, order); items order by (order, id).
+
+    The ordering keys are kept instead of a per-menu rank: ranking would sort a
+    whole (possibly huge) menu in one task; consumers sort by (order, id).
+    """
+    return items.select("menu", "id", "title", "url", "parent_id", F.col("menu_order").alias("order"))
 
 
 def version_count(versions: DataFrame) -> DataFrame:

@@ -517,10 +517,9 @@ def media_dedup(t):
 o AS (SELECT u.batch_id, u.url, CASE WHEN NOT coalesce(regexp_matches(u.url, '^[A-Za-z][A-Za-z0-9+.-]*://[^\\s/?#]+[^\\s]*$'), false)
   THEN 'failed' WHEN lib.existing_id IS NOT NULL THEN 'duplicate' ELSE 'success' END AS outcome
   FROM u LEFT JOIN lib ON lib.url_hash = md5(u.url))
-SELECT batch_id, outcome, CAST(count(*) AS BIGINT) AS n, array_to_string(list_sort(list(url)), ' ') AS urls
-FROM o GROUP BY batch_id, outcome""", views=("enriched_pages", "attachments"))
+SELECT batch_id, outcome, CAST(count(*) AS BIGINT) AS n FROM o GROUP BY batch_id, outcome""", views=("enriched_pages", "attachments"))
 def media_upload_summary(t):
-    """Per page upload batch: success / duplicate / failed counts and urls."""
+    """Per page upload batch: success / duplicate / failed counts."""
     return M.media_upload_summary(_upload_requests(t), t.attachments)
 
 

@@ -99,13 +99,11 @@ def slug_exists(t):
 
 
 @query("menu_structure", oracle="""
-SELECT menu, CAST(row_number() OVER (PARTITION BY menu ORDER BY menu_order, id) AS INTEGER) AS pos,
-  id, title, url, parent_id, menu_order AS "order"
-FROM menu_items
+SELECT menu, id, title, url, parent_id, menu_order AS "order" FROM menu_items
 """, views=("menu_items",))
 def menu_structure(t):
-    """Every menu's items in menu order."""
-    return X.menu_structure(t.menu_items).withColumn("pos", F.col("pos").cast("int"))
+    """Every menu's items with their ordering keys (order, id)."""
+    return X.menu_structure(t.menu_items)
 
 
 @query("version_count", oracle="""
