@@ -198,11 +198,11 @@ def _widget_pages(t):
     d = t.documents.select("doc_id", "text")
     special = F.element_at(F.array(*[F.lit(x) for x in W.SPECIAL_TYPES]), (F.col("doc_id") % 8 + 1).cast("int"))
     html = F.concat(
-        F.lit('<section class="py-8"><h2 class="text-center">'), F.substring("text", 1, 40), F.lit("</h2><p>"),
-        F.substring("text", 1, 200), F.lit('</p><img src="/w.png" alt="w"><hr></section>'),
+        F.lit('<section class="py-8"><h2 class="text-center">Section '), F.col("doc_id").cast("string"),
+        F.lit("</h2><p>"), F.col("text"), F.lit('</p><img src="/w.png" alt="w"><hr></section>'),
         F.lit('<div class="grid"><a class="btn" href="/x">Go now</a><table><tr><td>1</td></tr></table></div>'),
         F.lit('<div data-elementor="'), special, F.lit('"><strong>Widget title</strong><p>'),
-        F.substring("text", 1, 60), F.lit("</p></div>"))
+        F.col("text"), F.lit("</p></div>"))
     return d.select(F.col("doc_id").alias("page_id"), html.alias("html"))
 
 

@@ -488,7 +488,7 @@ def base64_image(t):
     raw = F.base64(F.encode(F.col("text"), "UTF-8"))
     data = (F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("data:image/png;base64,"), raw))
             .when(F.col("doc_id") % 3 == 1, raw).otherwise(F.concat(raw, F.lit("!"))))
-    b = M.base64_image(data, F.substring("text", 1, 30), F.to_timestamp(F.lit("2024-03-01 00:00:00")))
+    b = M.base64_image(data, F.col("text"), F.to_timestamp(F.lit("2024-03-01 00:00:00")))
     return d.select("doc_id", b["ok"].alias("ok"), b["mime"].alias("mime"), b["n_bytes"].alias("n_bytes"),
                     b["filename"].alias("filename"))
 

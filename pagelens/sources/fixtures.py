@@ -162,8 +162,8 @@ FROM (SELECT DISTINCT page_id % 4 AS site_id FROM pages) s
 
 FIXTURE_SQL["blog_requests"] = """
 SELECT doc_id AS request_id,
-  CASE WHEN doc_id % 11 = 0 THEN '' ELSE substr(text, 1, 40) END AS title,
-  CASE WHEN doc_id % 13 = 0 THEN '' ELSE concat('<p>', substr(text, 1, 300), '</p>',
+  CASE WHEN doc_id % 11 = 0 THEN '' ELSE concat('Post ', CAST(doc_id AS STRING)) END AS title,
+  CASE WHEN doc_id % 13 = 0 THEN '' ELSE concat('<p>', text, '</p>',
     CASE WHEN doc_id % 2 = 0 THEN '<!-- image:1 --><p>middle</p><!-- image:2 --><!-- image:3 -->' ELSE '<!-- image:1 -->' END) END AS content,
   CASE doc_id % 4 WHEN 0 THEN 'draft' WHEN 1 THEN 'publish' WHEN 2 THEN 'pending' ELSE '' END AS status,
   CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN 'algeria' WHEN 2 THEN 'nowhere' ELSE 'brazil' END AS category_slug,
