@@ -236,3 +236,40 @@ def content_blocks_smart(main: DataFrame, builder: DataFrame, fragment: DataFram
     w = Window.partitionBy("page_id")
     return (tagged.withColumn("_best", F.min("src").over(w)).filter(F.col("src") == F.col("_best"))
             .drop("_best"))
+
+
+def block_spans(tokens: DataFrame) -> DataFrame:
+    """(page_id, pos, bend): every h1-h6/p open and the token position that ends it.
+
+    Same termination rule as ``block_rows`` (own close, next heading/p open,
+    block-level open for p, non-inline close).
+    """
+    name, is_close, is_tag = F.col("name"), F.col("is_close"), F.col("is_tag")
+    opens = is_tag & ~is_close
+    non_inline_close = is_close & ~name.isin(*INLINE)
+    term_p = (opens & name.isin(*P_CLOSERS)) | non_inline_close
+    term_h = (opens & name.isin(*BLOCK_TAGS)) | non_inline_close
+    back = Window.partitionBy("page_id").orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    t = tokens.withColumns({
+        "next_tp": F.last(F.when(term_p, F.col("pos")), ignorenulls=True).over(back),
+        "next_th": F.last(F.when(term_h, F.col("pos")), ignorenulls=True).over(back),
+    })
+    bend = F.coalesce(F.when(name == "p", F.col("next_tp")).otherwise(F.col("next_th")), F.lit(BIG))
+    return t.filter(opens & name.isin(*BLOCK_TAGS)).select("page_id", "pos", bend.alias("bend"))
+
+
+def element_ends(tokens: DataFrame) -> DataFrame:
+    """(page_id, pos, end): the matching close of every non-void element open.
+
+    Within (page, tag name, nesting level) an open is directly followed by its
+    close, so the match is a ``lead`` over that window: linear, no pairing of
+    opens with closes. ``end`` is NULL for unclosed elements.
+    """
+    opens = F.col("is_tag") & ~F.col("is_close")
+    by_name = Window.partitionBy("page_id", "name").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    t = (tokens.filter(F.col("is_tag") & ~F.col("name").isin(*VOID))
+         .withColumn("_d", F.sum(F.when(opens, 1).otherwise(-1)).over(by_name)))
+    t = t.withColumn("_lvl", F.when(opens, F.col("_d")).otherwise(F.col("_d") + 1))
+    w = Window.partitionBy("page_id", "name", "_lvl").orderBy("pos")
+    return (t.withColumn("_np", F.lead("pos").over(w)).withColumn("_nc", F.lead("is_close").over(w))
+            .filter(opens).select("page_id", "pos", F.when(F.col("_nc"), F.col("_np")).alias("end")))

@@ -1,17 +1,21 @@
 """HTML -> builder widget rows, on the same token rows as content blocks.
 
-Mapping (document order, per page):
-* h1-h6 / p blocks (recovered exactly as ``blocks.block_rows``) -> ``heading``
-  (size = tag, align from text-center/text-right classes) / ``text-editor``;
+Mapping (document order, per page), for *outermost* widget elements only —
+an element inside another widget element is part of that widget's content:
+* h1-h6 -> ``heading`` (size = tag, align from text-center/text-right), p ->
+  ``text-editor`` (text recovered exactly as ``blocks.block_rows``);
 * ``img`` -> ``image`` (src, alt); ``hr`` -> ``divider``;
-* ``a`` with a btn/button class or data-elementor="button" -> ``button``;
+* ``a`` with a btn/button class or data-elementor="button" -> ``button``,
+  other ``a`` and ``span``/``strong``/``em``/``b``/``i`` -> ``text-editor``;
 * ``ul``/``ol``/``blockquote`` -> ``text-editor``; ``table``, ``form``,
   ``iframe``, ``video``, ``audio``, ``canvas``, ``svg`` -> ``html``;
-* elements carrying ``data-elementor="<type>"`` -> special widget rows;
+* elements carrying ``data-elementor="<type>"`` -> that special widget;
+* non-empty text directly inside containers -> ``text-editor``;
 * a new section starts at every section/header/footer/article/main open;
 * a page with no widget at all becomes one ``text-editor`` with the whole html.
-Containers (div, span, ...) are transparent. Known simplification: elements
-nested inside another widget element are reported as their own rows.
+Containers (div, section, ...) are transparent. Element spans come from the
+matching close of the same tag name (depth per name), ``p`` spans from the
+block recovery; nesting is a running max of span ends (one window).
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from pagelens.operators import blocks as B
 SECTION_TAGS = ("section", "header", "footer", "article", "main")
 HTML_WIDGET_TAGS = ("table", "form", "iframe", "video", "audio", "canvas", "svg")
 LIST_TAGS = ("ul", "ol", "blockquote")
+INLINE_TEXT_TAGS = ("span", "strong", "em", "b", "i")
 # Data-elementor types with their own widget builders.
 SPECIAL_TYPES = ("icon-box", "icon-list", "counter", "testimonial", "call-to-action", "accordion",
                  "star-rating", "button")
@@ -33,40 +38,58 @@ def _attr(name: str):
     return F.regexp_extract(F.col("attrs"), rf"""(?is)\b{name}\s*=\s*["']([^"']*)["']""", 1)
 
 
+def _widget_type():
+    name = F.col("name")
+    cls, special = _attr("class"), _attr("data-elementor")
+    return (F.when(special.isin(*SPECIAL_TYPES), special)
+            .when(name.isin(*B.HEADINGS), F.lit("heading")).when(name == "p", F.lit("text-editor"))
+            .when(name == "img", F.lit("image")).when(name == "hr", F.lit("divider"))
+            .when((name == "a") & (cls.rlike("btn|button") | (special == "button")), F.lit("button"))
+            .when(name.isin("a", *INLINE_TEXT_TAGS, *LIST_TAGS), F.lit("text-editor"))
+            .when(name.isin(*HTML_WIDGET_TAGS), F.lit("html")))
+
+
 def html_to_widgets(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Widget rows (page_id, section, pos, widgetType, tag, text, src, alt, align)."""
     tokens = B.html_tokens(pages, id_col, html_col)
-    opens = F.col("is_tag") & ~F.col("is_close")
-    name = F.col("name")
-    sec_w = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    t = tokens.withColumn("section", F.sum(F.when(opens & name.isin(*SECTION_TAGS), 1).otherwise(0)).over(sec_w))
-    cls = _attr("class")
-    special = _attr("data-elementor")
-    elem_type = (F.when(special.isin(*SPECIAL_TYPES), special)
-                 .when(name == "img", F.lit("image")).when(name == "hr", F.lit("divider"))
-                 .when((name == "a") & (cls.rlike("btn|button") | (special == "button")), F.lit("button"))
-                 .when(name.isin(*LIST_TAGS), F.lit("text-editor"))
-                 .when(name.isin(*HTML_WIDGET_TAGS), F.lit("html")))
-    elems = (t.filter(opens & elem_type.isNotNull())
-             .select("page_id", "section", "pos", elem_type.alias("widgetType"), name.alias("tag"),
-                     F.when(name == "a", F.trim(F.col("tail"))).alias("text"),
-                     F.when(name == "img", _attr("src")).alias("src"),
-                     F.when(name == "img", _attr("alt")).alias("alt"),
+    name, opens = F.col("name"), F.col("is_tag") & ~F.col("is_close")
+    page_run = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    t = (tokens.withColumn("section", F.sum(F.when(opens & name.isin(*SECTION_TAGS), 1).otherwise(0)).over(page_run))
+         .withColumn("wtype", F.when(opens, _widget_type())))
+    # matching close of every element (window per page/name/level, no pairing join)
+    ends = B.element_ends(tokens)
+    blocks = B.block_rows(tokens)
+    spans = B.block_spans(tokens)
+    t = t.join(ends, ["page_id", "pos"], "left").join(spans, ["page_id", "pos"], "left")
+    # h1-h6/p end where the block recovery ends them; others at their matching close
+    span_end = (F.when(F.col("wtype").isNotNull() & name.isin(*B.VOID), F.col("pos") + 1)
+                .when(F.col("wtype").isNotNull() & name.isin(*B.BLOCK_TAGS), F.col("bend"))
+                .when(F.col("wtype").isNotNull(), F.coalesce(F.col("end"), F.lit(B.BIG))))
+    t = t.withColumn("span_end", span_end)
+    prev_end = F.max("span_end").over(Window.partitionBy("page_id").orderBy("pos")
+                                      .rowsBetween(Window.unboundedPreceding, -1))
+    t = t.withColumn("inside", F.coalesce(prev_end, F.lit(-1)) > F.col("pos"))
+    outer = t.filter(F.col("wtype").isNotNull() & ~F.col("inside"))
+    texts = blocks.select("page_id", "pos", F.col("text").alias("block_text"))
+    w_rows = (outer.join(texts, ["page_id", "pos"], "left")
+              .select("page_id", "section", "pos", F.col("wtype").alias("widgetType"), F.col("name").alias("tag"),
+                      F.when(name.isin(*B.BLOCK_TAGS), F.col("block_text"))
+                      .when(name == "a", F.trim(F.col("tail"))).alias("text"),
+                      F.when(name == "img", _attr("src")).alias("src"),
+                      F.when(name == "img", _attr("alt")).alias("alt"),
+                      F.when(_attr("class").contains("text-center"), F.lit("center"))
+                      .when(_attr("class").contains("text-right"), F.lit("right")).alias("align"))
+              .filter(~(F.col("tag").isin(*B.BLOCK_TAGS) & (F.coalesce("text", F.lit("")) == ""))))
+    # text directly inside containers (outside every widget element)
+    loose = (t.filter(~F.col("inside") & F.col("wtype").isNull() & (F.trim(F.col("tail")) != "")
+                      & ~(F.col("is_tag") & ~F.col("is_close") & name.isin("title", "head")))
+             .select("page_id", "section", "pos", F.lit("text-editor").alias("widgetType"),
+                     F.lit(None).cast("string").alias("tag"), F.trim(F.col("tail")).alias("text"),
+                     F.lit(None).cast("string").alias("src"), F.lit(None).cast("string").alias("alt"),
                      F.lit(None).cast("string").alias("align")))
-    sections = t.select("page_id", "pos", "section")
-    blocks = B.block_rows(t.drop("section"))
-    heads = (blocks.join(sections, ["page_id", "pos"])
-             .join(t.select("page_id", "pos", F.col("attrs")), ["page_id", "pos"])
-             .select("page_id", "section", "pos",
-                     F.when(F.col("tag") == "p", F.lit("text-editor")).otherwise(F.lit("heading")).alias("widgetType"),
-                     "tag", "text", F.lit(None).cast("string").alias("src"), F.lit(None).cast("string").alias("alt"),
-                     F.when(_attr("class").contains("text-center"), F.lit("center"))
-                     .when(_attr("class").contains("text-right"), F.lit("right")).alias("align"))
-             .filter(F.col("text") != ""))
-    widgets = heads.unionByName(elems)
+    widgets = w_rows.unionByName(loose)
     w = Window.partitionBy("page_id").orderBy("pos")
     out = widgets.withColumn("pos", F.row_number().over(w))
-    # pages without any widget: the whole html as one text widget
     none = (pages.select(F.col(id_col).alias("page_id"), F.col(html_col).alias("text"))
             .join(out.select("page_id").distinct(), "page_id", "left_anti")
             .select("page_id", F.lit(0).cast("bigint").alias("section"), F.lit(1).alias("pos"),
@@ -84,17 +107,12 @@ def special_widgets(pages: DataFrame, id_col: str = "page_id", html_col: str = "
     depth of the same tag name).
     """
     tokens = B.html_tokens(pages, id_col, html_col)
+    t = tokens
     opens = F.col("is_tag") & ~F.col("is_close")
-    by_name = Window.partitionBy("page_id", "name").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    t = tokens.withColumn("depth", F.sum(F.when(opens, 1).when(F.col("is_close"), -1).otherwise(0)).over(by_name))
     special = _attr("data-elementor")
     starts = (t.filter(opens & special.isin(*SPECIAL_TYPES))
-              .select("page_id", F.col("pos").alias("start"), F.col("name").alias("sname"),
-                      F.col("depth").alias("sdepth"), special.alias("widgetType")))
-    ends = (t.filter("is_close").join(starts, "page_id")
-            .filter((F.col("name") == F.col("sname")) & (F.col("pos") > F.col("start"))
-                    & (F.col("depth") == F.col("sdepth") - 1))
-            .groupBy("page_id", "start").agg(F.min("pos").alias("end")))
+              .select("page_id", F.col("pos").alias("start"), special.alias("widgetType")))
+    ends = B.element_ends(tokens).select("page_id", F.col("pos").alias("start"), "end")
     span = starts.join(ends, ["page_id", "start"], "left")
     inner = (t.join(span, "page_id").filter((F.col("pos") > F.col("start"))
                                             & (F.col("pos") < F.coalesce("end", F.lit(B.BIG)))))
