@@ -238,54 +238,49 @@ COLOR_SLOTS = ("primary", "secondary", "accent", "text", "heading", "background"
 def color_slots(merged: DataFrame, max_additional: int = 5) -> DataFrame:
     """Greedy slot assignment per site (ordered fold over colours by frequency).
 
-    Output rows (site_id, slot, ord, value, name, source, frequency); the
+    State = (slots: array of the 8 named slots, additional: array). Output
+    rows (site_id, slot, ord, value, name, source, frequency); the
     ``additional`` slot keeps its first ``max_additional`` entries.
     """
     idx = F.transform("colors", lambda c, i: F.struct((-c["frequency"]).alias("f"), i.alias("i"), c.alias("c")))
     ordered = F.transform(F.array_sort(idx), lambda x: x["c"])
-    null_c = F.lit(None).cast(COLOR_T)
-    init = F.struct(*[null_c.alias(s) for s in COLOR_SLOTS],
+    k = {name: i for i, name in enumerate(COLOR_SLOTS)}
+    init = F.struct(F.array(*[F.lit(None).cast(COLOR_T)] * len(COLOR_SLOTS)).alias("slots"),
                     F.expr(f"CAST(array() AS array<{COLOR_T}>)").alias("additional"))
 
-    def setf(acc, slot, c):
-        fields = []
-        for s in COLOR_SLOTS:
-            fields.append((c if s == slot else acc[s]).alias(s))
-        fields.append(acc["additional"].alias("additional"))
-        return F.struct(*fields)
-
-    def add(acc, c):
-        return F.struct(*[acc[s].alias(s) for s in COLOR_SLOTS],
-                        F.concat(acc["additional"], F.array(c)).alias("additional"))
-
     def step(acc, c):
-        rgb = c["rgb"]
+        slots = acc["slots"]
+        has = lambda s: F.element_at(slots, k[s] + 1).isNotNull()
+        put = lambda s: F.struct(F.transform(slots, lambda x, i: F.when(i == k[s], c).otherwise(x)).alias("slots"),
+                                 acc["additional"].alias("additional"))
+        add = F.struct(slots.alias("slots"), F.concat(acc["additional"], F.array(c)).alias("additional"))
         lum = c["lum"]
         name = F.lower(F.coalesce(c["name"], F.lit("")))
-        has = lambda s: acc[s].isNotNull()
         cont = lambda x: F.contains(name, F.lit(x))
-        glob = (F.when(cont("primary") & ~has("primary"), setf(acc, "primary", c))
-                .when(cont("secondary") & ~has("secondary"), setf(acc, "secondary", c))
-                .when(cont("accent") & ~has("accent"), setf(acc, "accent", c))
-                .when(cont("text") & ~has("text"), setf(acc, "text", c))
-                .otherwise(add(acc, c)))
+        glob = (F.when(cont("primary") & ~has("primary"), put("primary"))
+                .when(cont("secondary") & ~has("secondary"), put("secondary"))
+                .when(cont("accent") & ~has("accent"), put("accent"))
+                .when(cont("text") & ~has("text"), put("text"))
+                .otherwise(add))
         mid = (lum > 0.2) & (lum < 0.8)
-        ext = (F.when(cont("button"), F.when(~has("buttonBg"), setf(acc, "buttonBg", c))
-                      .when(~has("buttonText"), setf(acc, "buttonText", c)).otherwise(acc))
-               .when(cont("heading") & ~has("heading"), setf(acc, "heading", c))
-               .when(cont("background") & (lum > 0.7) & ~has("background"), setf(acc, "background", c))
-               .when((lum < 0.3) & ~has("text"), setf(acc, "text", c))
-               .when(~has("primary") & mid, setf(acc, "primary", c))
-               .when(~has("secondary") & mid, setf(acc, "secondary", c))
-               .otherwise(add(acc, c)))
-        return (F.when(rgb.isNull(), acc)
+        ext = (F.when(cont("button"), F.when(~has("buttonBg"), put("buttonBg"))
+                      .when(~has("buttonText"), put("buttonText")).otherwise(acc))
+               .when(cont("heading") & ~has("heading"), put("heading"))
+               .when(cont("background") & (lum > 0.7) & ~has("background"), put("background"))
+               .when((lum < 0.3) & ~has("text"), put("text"))
+               .when(~has("primary") & mid, put("primary"))
+               .when(~has("secondary") & mid, put("secondary"))
+               .otherwise(add))
+        return (F.when(c["rgb"].isNull(), acc)
                 .when(F.coalesce(c["source"], F.lit("extracted")) == "global", glob).otherwise(ext))
 
     slots = merged.select("site_id", F.aggregate(ordered, init, step).alias("s"))
-    one = [F.struct(F.lit(s).alias("slot"), F.lit(0).alias("ord"), F.col(f"s.{s}").alias("c")) for s in COLOR_SLOTS]
+    named = F.transform(F.col("s.slots"), lambda c, i: F.struct(
+        F.element_at(F.array(*[F.lit(n) for n in COLOR_SLOTS]), i + 1).alias("slot"), F.lit(0).alias("ord"),
+        c.alias("c")))
     extra = F.transform(F.slice(F.col("s.additional"), 1, max_additional),
                         lambda c, i: F.struct(F.lit("additional").alias("slot"), i.alias("ord"), c.alias("c")))
-    rows = slots.select("site_id", F.explode(F.concat(F.array(*one), extra)).alias("x"))
+    rows = slots.select("site_id", F.explode(F.concat(named, extra)).alias("x"))
     return rows.filter(F.col("x.c").isNotNull()).select(
         "site_id", "x.slot", "x.ord", "x.c.value", "x.c.name", "x.c.source", "x.c.frequency")
 
