@@ -53,10 +53,45 @@ WS_CLASS = "[ \\t\\n\\r\\f\\x0B]"
 BIG = 2 ** 31 - 1
 
 
+def _hex2(n: Column) -> Column:
+    return F.format_string("%02X", n.cast("int"))
+
+
+def codepoint_to_str(cp: Column) -> Column:
+    """The character of a Unicode code point (UTF-8 bytes built arithmetically)."""
+    cp = cp.cast("bigint")
+    b = lambda shift, mask, mark: _hex2(F.lit(mark).bitwiseOR(F.shiftright(cp, shift).bitwiseAND(F.lit(mask))))
+    hexs = (F.when(cp < 0x80, _hex2(cp))
+            .when(cp < 0x800, F.concat(b(6, 0x1F, 0xC0), b(0, 0x3F, 0x80)))
+            .when(cp < 0x10000, F.concat(b(12, 0x0F, 0xE0), b(6, 0x3F, 0x80), b(0, 0x3F, 0x80)))
+            .when(cp <= 0x10FFFF, F.concat(b(18, 0x07, 0xF0), b(12, 0x3F, 0x80), b(6, 0x3F, 0x80), b(0, 0x3F, 0x80))))
+    return F.decode(F.unhex(hexs), "UTF-8")
+
+
+NUMERIC_ENTITY_RE = r"^&#([xX]?)([0-9A-Fa-f]+);"
+
+
+def decode_numeric_entities(c: Column) -> Column:
+    """``&#NNN;`` / ``&#xHH;`` -> character (only for text that contains ``&#``)."""
+    def piece(p):
+        m_hex = F.regexp_extract(p, NUMERIC_ENTITY_RE, 1)
+        digits = F.regexp_extract(p, NUMERIC_ENTITY_RE, 2)
+        cp = F.when(m_hex != "", F.conv(digits, 16, 10)).otherwise(
+            F.when(digits.rlike("^[0-9]+$"), digits)).cast("bigint")
+        ch = codepoint_to_str(cp)
+        rest = F.regexp_replace(p, NUMERIC_ENTITY_RE, "")
+        return F.when(p.rlike(NUMERIC_ENTITY_RE) & ch.isNotNull() & (cp > 0), F.concat(ch, rest)).otherwise(p)
+    parts = F.split(c, "(?=&#)")
+    return F.when(F.contains(c, F.lit("&#")), F.array_join(F.transform(parts, piece), "")).otherwise(c)
+
+
 def decode_entities(c: Column) -> Column:
-    for ent, ch in ENTITIES:
+    """Named entities of the fixed list, numeric entities, then ``&amp;`` last."""
+    for ent, ch in ENTITIES[:-1]:
         c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    c = decode_numeric_entities(c)
+    ent, ch = ENTITIES[-1]
+    return F.replace(c, F.lit(ent), F.lit(ch))
 
 
 def clean_html(c: Column) -> Column:

@@ -147,3 +147,11 @@ def test_cidr_and_client_ip(spark):
 def test_q19_seo_score_floor(spark):
     df = spark.createDataFrame([("t", None, "<p>x</p>", None)], "t string, d string, h string, k string")
     assert df.select(P.seo_score("t", "d", "h", "k")).first()[0] == 100 - 10 - 15 - 20 - 15 - 10
+
+
+def test_entities_decoded_like_dom(spark):
+    import html as pyhtml
+    text = "It&#8217;s &#x27;q&#39; &amp; &#128512; caf&#233; &#; &amp;#38; &copy;"
+    got = one(spark, B.decode_entities(F.col("s")), text)
+    assert got == "It’s 'q' & 😀 café &#; &#38; ©"
+    assert pyhtml.unescape("It&#8217;s &#x27;q&#39;") == "It’s 'q'"
