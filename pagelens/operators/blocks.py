@@ -212,7 +212,9 @@ def block_rows(tokens: DataFrame) -> DataFrame:
     if "scope_start" in tokens.columns:
         t = t.filter((F.col("bstart") > F.col("scope_start")) & (F.col("bstart") < F.col("scope_end")))
 
-    piece = decode_entities(F.col("tail"))
+    # decode once per token (the trims below reference the piece several times)
+    t = t.withColumn("_dec", decode_entities(F.col("tail")))
+    piece = F.col("_dec")
     piece = F.when(opens & ~name.isin(*VOID), F.regexp_replace(piece, f"^{WS_CLASS}+", "")).otherwise(piece)
     piece = F.when(F.col("next_close"), F.regexp_replace(piece, f"{WS_CLASS}+$", "")).otherwise(piece)
     parts = t.select("page_id", F.col("bstart").alias("pos"), F.col("btag").alias("tag"),
