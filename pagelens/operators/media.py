@@ -74,15 +74,22 @@ def sanitize_title(c) -> Column:
 def base64_image(data, alt, date) -> Column:
     """Decode a (data-URI or raw) base64 image: struct(ok, mime, n_bytes, filename).
 
-    Strict decode; fewer than 100 bytes is rejected. Name =
-    date-<alt slug, 40 bytes or 'blog-image'>-<md5(bytes)[0:6]>.<ext>.
+    Strict decode as in PHP: whitespace is skipped, any other character
+    outside the alphabet fails, at most two '=' at the end, a lone trailing
+    sextet fails, padding (when present) completes a 4-char group. Fewer than
+    100 bytes is rejected. Name = date-<alt slug, 40 chars or 'blog-image'>-
+    <md5(bytes)[0:6]>.<ext>.
     """
     d = col(data)
     prefix = F.regexp_extract(d, r"^data:(image/\w+);base64,", 0)
     mime = F.when(prefix != "", F.regexp_extract(d, r"^data:(image/\w+);base64,", 1)).otherwise(F.lit("image/jpeg"))
     payload = F.when(prefix != "", F.substring(d, F.length(prefix) + 1, 1 << 30)).otherwise(d)
-    strict = payload.rlike(r"^[A-Za-z0-9+/]*={0,2}$") & (F.length(payload) % 4 == 0)
-    raw = F.when(strict, F.try_to_binary(payload, F.lit("base64")))
+    p = F.regexp_replace(payload, r"\s", "")
+    core = F.regexp_replace(p, "=+$", "")
+    pad = F.length(p) - F.length(core)
+    valid = (core.rlike("^[A-Za-z0-9+/]*$") & (pad <= 2) & (F.length(core) % 4 != 1)
+             & ((pad == 0) | ((F.length(core) + pad) % 4 == 0)))
+    raw = F.when(valid, F.try_to_binary(core, F.lit("base64")))
     ok = raw.isNotNull() & (F.octet_length(raw) >= 100)
     ext = mime_extension(mime)
     stem = F.when(~falsy(col(alt)), F.substring(sanitize_title(col(alt)), 1, 40)).otherwise(F.lit("blog-image"))

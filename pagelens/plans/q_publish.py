@@ -481,7 +481,26 @@ def image_filename(t):
                                            F.lit(1709251200)).alias("filename"))
 
 
-@query("base64_image")
+@query("base64_image", oracle="""
+WITH d AS (SELECT doc_id, text, to_base64(encode(text)) AS raw FROM documents),
+i AS (SELECT doc_id, text, CASE doc_id % 3 WHEN 0 THEN 'data:image/png;base64,' || raw WHEN 1 THEN raw
+                              ELSE raw || '!' END AS data FROM d),
+p AS (SELECT doc_id, text, data, regexp_extract(data, '^data:(image/\\w+);base64,', 0) AS prefix FROM i),
+q AS (SELECT doc_id, text, CASE WHEN prefix <> '' THEN regexp_extract(data, '^data:(image/\\w+);base64,', 1) ELSE 'image/jpeg' END AS mime,
+        regexp_replace(CASE WHEN prefix <> '' THEN substr(data, length(prefix) + 1) ELSE data END, '\\s', '', 'g') AS p FROM p),
+r AS (SELECT *, regexp_replace(p, '=+$', '') AS core FROM q),
+s AS (SELECT *, length(p) - length(core) AS pad FROM r),
+v AS (SELECT *, regexp_matches(core, '^[A-Za-z0-9+/]*$') AND pad <= 2 AND length(core) % 4 <> 1
+        AND (pad = 0 OR (length(core) + pad) % 4 = 0) AS valid FROM s),
+b AS (SELECT *, CASE WHEN valid THEN try(from_base64(core || repeat('=', (4 - length(core) % 4) % 4))) END AS bin FROM v)
+SELECT doc_id, coalesce(bin IS NOT NULL AND octet_length(bin) >= 100, false) AS ok, mime,
+  CAST(octet_length(bin) AS BIGINT) AS n_bytes,
+  CASE WHEN bin IS NOT NULL AND octet_length(bin) >= 100 THEN '2024-03-01-' ||
+    CASE WHEN text IS NOT NULL AND text NOT IN ('', '0')
+         THEN substr(trim(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '-'), 1, 40) ELSE 'blog-image' END
+    || '-' || substr(md5(bin), 1, 6) || '.' ||
+    CASE mime WHEN 'image/png' THEN 'png' WHEN 'image/gif' THEN 'gif' WHEN 'image/webp' THEN 'webp' ELSE 'jpg' END END AS filename
+FROM b""")
 def base64_image(t):
     """Decode base64 image payloads (data URI or raw): validity, type, size, file name."""
     d = t.documents.select("doc_id", "text")
