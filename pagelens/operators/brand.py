@@ -64,9 +64,6 @@ def setting_rows(nodes: DataFrame) -> DataFrame:
     return nodes.select("site_id", "page_rank", "path", "elType", F.explode(m).alias("key", "value"))
 
 
-def _seen(*cols) -> Column:
-    return F.struct(*[F.col(c) for c in cols])
-
 
 def color_frequency(settings: DataFrame) -> DataFrame:
     """Per site: normalized colour -> count, contexts (keys in first-seen order)."""

@@ -20,8 +20,6 @@ from pagelens.functions.text import TAG_RE, word_count
 # Request defaults from the endpoint's argument schema.
 DEFAULT_STATUS = "draft"
 DEFAULT_UPDATE_MODE = "safe"
-MARKER_START = "<!-- ECHO5:START {} -->"
-MARKER_END = "<!-- ECHO5:END {} -->"
 WRAP_MARKER = "echo5-tailwind-content"
 
 # Fixed value: the style wrapper put around published html (exact markup).

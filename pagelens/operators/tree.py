@@ -17,7 +17,6 @@ from pagelens.functions.common import falsy
 from pagelens.functions.text import normalize_text, strip_tags
 
 LEVELS_PER_ROUND = 8
-NODE = "struct<path:array<int>,node:variant>"
 
 
 def _children(node: Column) -> Column:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pagelens.functions import color as C
 from pagelens.functions import text as T
 from pagelens.operators import blocks as B
 from pagelens.operators import export as X

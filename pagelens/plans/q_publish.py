@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pagelens.functions.common import falsy
 from pagelens.operators import media as M
 from pagelens.operators import publish as P
 from pagelens.operators import seo as S
