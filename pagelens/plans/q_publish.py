@@ -428,7 +428,44 @@ def robots_meta(t):
     return j.select("id", "seo_plugin", F.explode(r).alias("x")).select("id", "seo_plugin", "x.meta_key", "x.meta_value")
 
 
-@query("publish_batch")
+MERGE_SQL = """list_reduce(list_prepend(existing, sl), lambda acc, s:
+  CASE WHEN regexp_matches(acc, '(?s)<!-- ECHO5:START ' || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->.*?<!-- ECHO5:END '
+                                || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->')
+       THEN regexp_replace(acc, '(?s)<!-- ECHO5:START ' || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->.*?<!-- ECHO5:END '
+                                || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->', s, 'g')
+       WHEN contains(acc, '</body>') THEN replace(acc, '</body>', s || chr(10) || '</body>')
+       ELSE acc || chr(10) || s END)"""
+SCHEMA_RE_SQL = "'(?s)<!-- ECHO5:START SCHEMA -->.*?<!-- ECHO5:END SCHEMA -->'"
+
+
+@query("publish_batch", oracle=f"""WITH {BEST_SQL},
+last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY requested_at DESC, request_id DESC) AS rk
+                        FROM publish_requests) WHERE rk = 1),
+lb AS (SELECT l.*, best.post_id, p.post_content AS existing FROM last l LEFT JOIN best ON best.s = l.slug
+       LEFT JOIN posts p ON p.id = best.post_id),
+secs AS (SELECT *, regexp_extract_all(html, '(?s)<!-- ECHO5:START \\w+ -->.*?<!-- ECHO5:END \\w+ -->') AS sl FROM lb),
+m AS (SELECT *, CASE WHEN post_id IS NOT NULL AND update_mode = 'safe'
+                     THEN CASE WHEN len(sl) = 0 THEN html ELSE {{MERGE}} END ELSE html END AS merged FROM secs),
+w AS (SELECT *, {{WRAP}} AS wrapped FROM m),
+sc AS (SELECT w.request_id, string_agg('<script type="application/ld+json">' || chr(10) || je.value || chr(10) || '</script>'
+         || chr(10), '' ORDER BY je.key) AS scripts
+       FROM w, json_each(w.schema_json) je WHERE je.value IS NOT NULL
+         AND CAST(je.value AS VARCHAR) NOT IN ('', '0', 'null', '{{}}', '[]', 'false') GROUP BY w.request_id),
+b AS (SELECT w.*, chr(10) || '<!-- ECHO5:START SCHEMA -->' || chr(10) || coalesce(sc.scripts, '') || '<!-- ECHO5:END SCHEMA -->'
+        || chr(10) AS block FROM w LEFT JOIN sc ON sc.request_id = w.request_id),
+c AS (SELECT *, CASE WHEN schema_json IS NULL OR len(json_keys(schema_json)) = 0 THEN wrapped
+                     WHEN regexp_matches(wrapped, {SCHEMA_RE_SQL}) THEN regexp_replace(wrapped, {SCHEMA_RE_SQL}, block, 'g')
+                     ELSE wrapped || block END AS content FROM b),
+par AS (SELECT r.request_id, CAST(coalesce(best.post_id, 0) AS BIGINT) AS post_parent FROM last r
+        LEFT JOIN best ON best.s = r.parent_slug),
+au AS (SELECT CAST(coalesce(min(id) FILTER (WHERE lower(login) = 'echo5-seo'),
+                   arg_min(id, login) FILTER (WHERE lower(display_name) = 'echo5-seo'), 1) AS BIGINT) AS author_id FROM users)
+SELECT c.request_id, c.slug, CAST(coalesce(c.post_id, 1000000000000 + c.request_id) AS BIGINT) AS post_id,
+  CASE WHEN c.post_id IS NOT NULL THEN 'updated' ELSE 'created' END AS action, 'draft' AS status,
+  par.post_parent, (SELECT author_id FROM au) AS author_id, md5(c.content) AS content_md5
+FROM c JOIN par ON par.request_id = c.request_id""".replace("{MERGE}", MERGE_SQL).replace(
+    "{WRAP}", WRAP_SQL.replace("html", "merged")),
+       views=("posts", "publish_requests", "users"))
 def publish_batch(t):
     """The publish flow over a batch: merge/wrap/schema, parent, author, create-or-update rows."""
     r = P.last_request_per_slug(t.publish_requests)
