@@ -241,12 +241,41 @@ def _color_merge(t):
     return BR.color_merge(BR.kit_tokens(t.kit_settings), BR.top_k(cf, BR.TOP_COLORS))
 
 
-@query("color_merge")
+def _chan_sql(v: str, i: int) -> str:
+    return (f"coalesce(TRY_CAST(('0x' || nullif(regexp_replace(substr(ltrim({v}, '#'), {i}, 2), '[^0-9A-Fa-f]', '', 'g'), ''))"
+            f" AS INTEGER), 0)")
+
+
+def _similar_sql(a: str, b: str) -> str:
+    ok = f"length(ltrim({a}, '#')) = 6 AND length(ltrim({b}, '#')) = 6"
+    d = " + ".join(f"pow({_chan_sql(a, i)} - {_chan_sql(b, i)}, 2)" for i in (1, 3, 5))
+    return f"({ok} AND sqrt({d}) < 30)"
+
+
+@query("color_merge", oracle=f"""WITH RECURSIVE {CF_SQL}, {KIT_SQL},
+tc AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY count DESC, first_ord) AS rank FROM cf)
+       WHERE rank <= 20),
+ex AS (SELECT site_id, color, count, row_number() OVER (PARTITION BY site_id ORDER BY rank) AS rn FROM tc
+       WHERE regexp_matches(color, '^#[A-Fa-f0-9]{{6}}$')),
+g AS (SELECT site_id, list({{'kid': key, 'value': value, 'source': 'global', 'frequency': 999}} ORDER BY pos) AS acc
+      FROM kt WHERE section = 'color' GROUP BY site_id),
+sites AS (SELECT site_id FROM g UNION SELECT site_id FROM ex),
+f(site_id, rn, acc) AS (
+  SELECT s.site_id, 0, coalesce(g.acc, []) FROM sites s LEFT JOIN g ON g.site_id = s.site_id
+  UNION ALL
+  SELECT f.site_id, f.rn + 1,
+    CASE WHEN len(list_filter(f.acc, lambda a: {_similar_sql('a.value', 'ex.color')})) > 0 THEN f.acc
+         ELSE list_append(f.acc, {{'kid': ex.color, 'value': ex.color, 'source': 'extracted', 'frequency': ex.count}}) END
+  FROM f JOIN ex ON ex.site_id = f.site_id AND ex.rn = f.rn + 1),
+fin AS (SELECT site_id, arg_max(acc, rn) AS acc FROM f GROUP BY site_id)
+SELECT site_id, CAST(generate_subscripts(acc, 1) - 1 AS INTEGER) AS pos, unnest(acc).kid AS kid, unnest(acc).value AS value,
+  unnest(acc).source AS source, CAST(unnest(acc).frequency AS BIGINT) AS frequency FROM fin""",
+       views=("posts", "builder_trees", "kit_settings"))
 def color_merge(t):
     """Globals + extracted colours not similar (RGB distance < 30) to any kept colour (ordered fold)."""
     cm = _color_merge(t)
     return cm.select("site_id", F.posexplode("colors").alias("pos", "c")).select(
-        "site_id", "pos", "c.kid", "c.value", "c.source", "c.name", "c.frequency")
+        "site_id", "pos", "c.kid", "c.value", "c.source", "c.frequency")
 
 
 @query("color_slots")
