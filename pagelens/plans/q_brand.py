@@ -278,7 +278,80 @@ def color_merge(t):
         "site_id", "pos", "c.kid", "c.value", "c.source", "c.frequency")
 
 
-@query("color_slots")
+SLOT_NAMES = "['primary', 'secondary', 'accent', 'text', 'heading', 'background', 'buttonBg', 'buttonText']"
+
+
+def _name_sql(c: str, ctx: str) -> str:
+    r, g, b = (_chan_sql(c, i) for i in (1, 3, 5))
+    lum = f"((0.299 * {r} + 0.587 * {g} + 0.114 * {b}) / 255)"
+    return f"""CASE WHEN length(ltrim({c}, '#')) <> 6 THEN 'Color'
+  WHEN contains({ctx}, 'button') THEN 'Button Color'
+  WHEN contains({ctx}, 'heading') OR contains({ctx}, 'title') THEN 'Heading Color'
+  WHEN contains({ctx}, 'background') THEN 'Background' WHEN contains({ctx}, 'link') THEN 'Link Color'
+  WHEN {lum} > 0.95 THEN 'White/Light' WHEN {lum} < 0.05 THEN 'Black/Dark' WHEN {lum} > 0.8 THEN 'Light Background'
+  WHEN {lum} < 0.2 THEN 'Dark Text' WHEN greatest({r}, {g}, {b}) - least({r}, {g}, {b}) < 20 THEN 'Neutral Gray'
+  WHEN {r} >= {g} AND {r} >= {b} THEN CASE WHEN {g} > {b} THEN 'Orange/Yellow' ELSE 'Red/Pink' END
+  WHEN {g} >= {r} AND {g} >= {b} THEN CASE WHEN {b} > {r} THEN 'Teal/Cyan' ELSE 'Green' END
+  WHEN {b} >= {r} AND {b} >= {g} THEN CASE WHEN {r} > {g} THEN 'Purple/Violet' ELSE 'Blue' END
+  ELSE 'Accent Color' END"""
+
+
+def _lum_sql(c: str) -> str:
+    r, g, b = (_chan_sql(c, i) for i in (1, 3, 5))
+    return f"((0.299 * {r} + 0.587 * {g} + 0.114 * {b}) / 255)"
+
+
+CT = "STRUCT(value VARCHAR, name VARCHAR, source VARCHAR, frequency BIGINT)"
+TG_SQL = """CASE WHEN NOT o.ok THEN 'skip'
+     WHEN o.c.source = 'global' THEN CASE
+        WHEN contains(o.nm, 'primary') AND ss.sl[1] IS NULL THEN 'primary'
+        WHEN contains(o.nm, 'secondary') AND ss.sl[2] IS NULL THEN 'secondary'
+        WHEN contains(o.nm, 'accent') AND ss.sl[3] IS NULL THEN 'accent'
+        WHEN contains(o.nm, 'text') AND ss.sl[4] IS NULL THEN 'text' ELSE 'additional' END
+     WHEN contains(o.nm, 'button') THEN CASE WHEN ss.sl[7] IS NULL THEN 'buttonBg' WHEN ss.sl[8] IS NULL THEN 'buttonText'
+        ELSE 'skip' END
+     WHEN contains(o.nm, 'heading') AND ss.sl[5] IS NULL THEN 'heading'
+     WHEN contains(o.nm, 'background') AND o.lum > 0.7 AND ss.sl[6] IS NULL THEN 'background'
+     WHEN o.lum < 0.3 AND ss.sl[4] IS NULL THEN 'text'
+     WHEN ss.sl[1] IS NULL AND o.lum > 0.2 AND o.lum < 0.8 THEN 'primary'
+     WHEN ss.sl[2] IS NULL AND o.lum > 0.2 AND o.lum < 0.8 THEN 'secondary'
+     ELSE 'additional' END"""
+
+
+@query("color_slots", oracle=f"""WITH RECURSIVE {CF_SQL}, {KIT_SQL},
+tc AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY count DESC, first_ord) AS rank FROM cf)
+       WHERE rank <= 20),
+ex AS (SELECT site_id, color, count, {_name_sql('color', 'contexts')} AS name,
+         row_number() OVER (PARTITION BY site_id ORDER BY rank) AS rn FROM tc
+       WHERE regexp_matches(color, '^#[A-Fa-f0-9]{{6}}$')),
+g AS (SELECT site_id, list(CAST({{'value': value, 'name': name, 'source': 'global', 'frequency': 999}} AS {CT}) ORDER BY pos) AS acc
+      FROM kt WHERE section = 'color' GROUP BY site_id),
+sites AS (SELECT site_id FROM g UNION SELECT site_id FROM ex),
+f(site_id, rn, acc) AS (
+  SELECT s.site_id, 0, coalesce(g.acc, CAST([] AS {CT}[])) FROM sites s LEFT JOIN g ON g.site_id = s.site_id
+  UNION ALL
+  SELECT f.site_id, f.rn + 1,
+    CASE WHEN len(list_filter(f.acc, lambda a: {_similar_sql('a.value', 'ex.color')})) > 0 THEN f.acc
+         ELSE list_append(f.acc, CAST({{'value': ex.color, 'name': ex.name, 'source': 'extracted', 'frequency': ex.count}} AS {CT})) END
+  FROM f JOIN ex ON ex.site_id = f.site_id AND ex.rn = f.rn + 1),
+fin AS (SELECT site_id, arg_max(acc, rn) AS acc FROM f GROUP BY site_id),
+mu AS (SELECT site_id, generate_subscripts(acc, 1) AS pos, unnest(acc) AS c FROM fin),
+o AS (SELECT site_id, row_number() OVER (PARTITION BY site_id ORDER BY c.frequency DESC, pos) AS k, c,
+        lower(coalesce(c.name, '')) AS nm, length(ltrim(c.value, '#')) = 6 AS ok, {_lum_sql('c.value')} AS lum FROM mu),
+ss(site_id, k, sl, ad) AS (
+  SELECT site_id, 0, list_transform(range(8), lambda i: CAST(NULL AS {CT})), CAST([] AS {CT}[]) FROM fin
+  UNION ALL
+  SELECT ss.site_id, ss.k + 1,
+    list_transform(range(8), lambda i: CASE WHEN {SLOT_NAMES}[i + 1] = ({TG_SQL}) THEN o.c ELSE ss.sl[i + 1] END),
+    CASE WHEN ({TG_SQL}) = 'additional' THEN list_append(ss.ad, o.c) ELSE ss.ad END
+  FROM ss JOIN o ON o.site_id = ss.site_id AND o.k = ss.k + 1),
+fs AS (SELECT site_id, arg_max(sl, k) AS sl, arg_max(ad, k) AS ad FROM ss GROUP BY site_id),
+named AS (SELECT site_id, {SLOT_NAMES}[generate_subscripts(sl, 1)] AS slot, 0 AS ord, unnest(sl) AS c FROM fs),
+extra AS (SELECT site_id, 'additional' AS slot, generate_subscripts(ad, 1) - 1 AS ord, unnest(ad) AS c FROM fs)
+SELECT site_id, slot, CAST(ord AS INTEGER) AS ord, c.value AS value, c.name AS name, c.source AS source,
+  CAST(c.frequency AS BIGINT) AS frequency
+FROM (SELECT * FROM named UNION ALL SELECT * FROM extra WHERE ord < 5) WHERE c IS NOT NULL""",
+       views=("posts", "builder_trees", "kit_settings"))
 def color_slots(t):
     """Colour slots per site (primary ... buttonText, up to 5 additional) by greedy fold."""
     return BR.color_slots(_color_merge(t))
