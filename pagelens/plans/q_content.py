@@ -245,9 +245,10 @@ def page_full(t):
             .join(heads, "id", "left"))
 
 
-@query("write_export_json")
+@query("write_export_json", oracle=REGISTRY["export_record"].oracle)
 def write_export_json(t):
-    """Export records written as JSON lines (+ pagination totals) and read back from the sink."""
+    """Export records written as JSON lines (+ pagination totals) and read back with the records' schema."""
     from pagelens.sources.sinks import write_export_json as write
-    out = write(X.export_record(t.posts), "export_record")
-    return t.spark.read.json(out + "/data")
+    records = X.export_record(t.posts)
+    out = write(records, "export_record")
+    return t.spark.read.schema(records.schema).json(out + "/data")
