@@ -211,7 +211,41 @@ def html_to_widgets(t):
     return W.html_to_widgets(_widget_pages(t))
 
 
-@query("special_widgets")
+def _special_sql() -> str:
+    from pagelens.plans.q_blocks import tokens_sql
+    types = ", ".join(f"'{x}'" for x in W.SPECIAL_TYPES)
+    void = ", ".join(f"'{x}'" for x in B.VOID)
+    heads = ", ".join(f"'{x}'" for x in (*B.HEADINGS, "strong"))
+    src = f"""src AS (SELECT doc_id AS page_id,
+  '<section class="py-8"><h2 class="text-center">Section ' || CAST(doc_id AS VARCHAR) || '</h2><p>' || text ||
+  '</p><img src="/w.png" alt="w"><hr></section>' ||
+  '<div class="grid"><a class="btn" href="/x">Go now</a><table><tr><td>1</td></tr></table></div>' ||
+  '<div data-elementor="' || [{types}][doc_id % 8 + 1] || '"><strong>Widget title</strong><p>' || text || '</p></div>' AS html
+  FROM documents)"""
+    return f"""WITH {src},{tokens_sql('src')},
+lv AS (SELECT *, sum(CASE WHEN is_close THEN -1 ELSE 1 END) OVER (PARTITION BY page_id, name ORDER BY pos
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS d FROM tk WHERE is_tag AND name NOT IN ({void})),
+lv2 AS (SELECT *, CASE WHEN is_close THEN d + 1 ELSE d END AS lvl FROM lv),
+ee AS (SELECT page_id, pos, is_close,
+         CASE WHEN lead(is_close) OVER (PARTITION BY page_id, name, lvl ORDER BY pos)
+              THEN lead(pos) OVER (PARTITION BY page_id, name, lvl ORDER BY pos) END AS e_end FROM lv2),
+sw AS (SELECT page_id, pos AS start,
+         regexp_extract(attrs, '(?is)\\bdata-elementor\\s*=\\s*["'']([^"'']*)["'']', 1) AS wt
+       FROM tk WHERE is_tag AND NOT is_close),
+sp AS (SELECT sw.*, ee.e_end FROM sw LEFT JOIN ee ON ee.page_id = sw.page_id AND ee.pos = sw.start AND NOT ee.is_close
+       WHERE sw.wt IN ({types})),
+inn AS (SELECT sp.page_id, sp.start, sp.wt, tk.pos, tk.name, tk.is_tag, tk.is_close, trim(tk.tail) AS tt
+        FROM sp JOIN tk ON tk.page_id = sp.page_id AND tk.pos > sp.start AND tk.pos < coalesce(sp.e_end, {B.BIG})),
+pick AS (SELECT page_id, start,
+           arg_min(tt, pos) FILTER (WHERE is_tag AND NOT is_close AND name IN ({heads})) AS title,
+           arg_min(tt, pos) FILTER (WHERE is_tag AND NOT is_close AND name = 'p') AS text
+         FROM inn GROUP BY page_id, start)
+SELECT sp.page_id, CAST(row_number() OVER (PARTITION BY sp.page_id ORDER BY sp.start) AS INTEGER) AS pos,
+  sp.wt AS widgetType, pick.title, pick.text
+FROM sp LEFT JOIN pick ON pick.page_id = sp.page_id AND pick.start = sp.start"""
+
+
+@query("special_widgets", oracle=_special_sql())
 def special_widgets(t):
     """data-elementor widgets (icon-box, counter, testimonial, ...) with title and text."""
     return W.special_widgets(_widget_pages(t))
