@@ -205,7 +205,80 @@ def _widget_pages(t):
     return d.select(F.col("doc_id").alias("page_id"), html.alias("html"))
 
 
-@query("html_to_widgets")
+def _widget_src_sql() -> str:
+    """The widget test pages as a DuckDB CTE (same construction as ``_widget_pages``)."""
+    types = ", ".join(f"'{x}'" for x in W.SPECIAL_TYPES)
+    return f"""src AS (SELECT doc_id AS page_id,
+  '<section class="py-8"><h2 class="text-center">Section ' || CAST(doc_id AS VARCHAR) || '</h2><p>' || text ||
+  '</p><img src="/w.png" alt="w"><hr></section>' ||
+  '<div class="grid"><a class="btn" href="/x">Go now</a><table><tr><td>1</td></tr></table></div>' ||
+  '<div data-elementor="' || [{types}][doc_id % 8 + 1] || '"><strong>Widget title</strong><p>' || text || '</p></div>' AS html
+  FROM documents)"""
+
+
+def _widgets_sql() -> str:
+    from pagelens.plans.q_blocks import WS, _decode, _in, tokens_sql
+    types = ", ".join(f"'{x}'" for x in W.SPECIAL_TYPES)
+    opens = "is_tag AND NOT is_close"
+    nic = f"(is_close AND name NOT IN {_in(B.INLINE)})"
+    term_p = f"(({opens} AND name IN {_in(B.P_CLOSERS)}) OR {nic})"
+    term_h = f"(({opens} AND name IN {_in(B.BLOCK_TAGS)}) OR {nic})"
+    back = "OVER (PARTITION BY page_id ORDER BY pos DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    run = "OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    attr = lambda n: f"regexp_extract(attrs, '(?is)\\b{n}\\s*=\\s*[\"'']([^\"'']*)[\"'']', 1)"
+    wtype = (f"CASE WHEN NOT ({opens}) THEN NULL WHEN {attr('data-elementor')} IN ({types}) THEN {attr('data-elementor')} "
+             f"WHEN name IN {_in(B.HEADINGS)} THEN 'heading' WHEN name = 'p' THEN 'text-editor' "
+             f"WHEN name = 'img' THEN 'image' WHEN name = 'hr' THEN 'divider' "
+             f"WHEN name = 'a' AND (regexp_matches({attr('class')}, 'btn|button') OR {attr('data-elementor')} = 'button') THEN 'button' "
+             f"WHEN name IN {_in(('a',) + W.INLINE_TEXT_TAGS + W.LIST_TAGS)} THEN 'text-editor' "
+             f"WHEN name IN {_in(W.HTML_WIDGET_TAGS)} THEN 'html' END")
+    piece = _decode("tail")
+    piece = f"CASE WHEN {opens} AND name NOT IN {_in(B.VOID)} THEN regexp_replace({piece}, '^{WS}+', '') ELSE {piece} END"
+    piece = f"CASE WHEN next_close THEN regexp_replace({piece}, '{WS}+$', '') ELSE {piece} END"
+    void = _in(B.VOID)
+    return f"""WITH {_widget_src_sql()},{tokens_sql('src')},
+t1 AS (SELECT *, last_value(CASE WHEN {term_p} THEN pos END IGNORE NULLS) {back} AS next_tp,
+    last_value(CASE WHEN {term_h} THEN pos END IGNORE NULLS) {back} AS next_th,
+    lead(is_close, 1, false) OVER (PARTITION BY page_id ORDER BY pos) AS next_close,
+    sum(CASE WHEN {opens} AND name IN {_in(W.SECTION_TAGS)} THEN 1 ELSE 0 END) {run} AS section,
+    {wtype} AS wtype FROM tk),
+t2 AS (SELECT *,
+    last_value(CASE WHEN {opens} AND name IN {_in(B.BLOCK_TAGS)} THEN pos END IGNORE NULLS) {run} AS bstart,
+    last_value(CASE WHEN {opens} AND name IN {_in(B.BLOCK_TAGS)} THEN coalesce(CASE WHEN name = 'p' THEN next_tp ELSE next_th END, {B.BIG}) END IGNORE NULLS) {run} AS bend,
+    CASE WHEN {opens} AND name IN {_in(B.BLOCK_TAGS)} THEN coalesce(CASE WHEN name = 'p' THEN next_tp ELSE next_th END, {B.BIG}) END AS own_bend
+  FROM t1),
+bt AS (SELECT page_id, bstart AS pos,
+    regexp_replace(regexp_replace(string_agg({piece}, '' ORDER BY pos), '^{WS}+|{WS}+$', '', 'g'), '{WS}+', ' ', 'g') AS block_text
+  FROM t2 WHERE bstart IS NOT NULL AND pos < bend GROUP BY page_id, bstart),
+lv AS (SELECT *, sum(CASE WHEN is_close THEN -1 ELSE 1 END) OVER (PARTITION BY page_id, name ORDER BY pos
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS d FROM tk WHERE is_tag AND name NOT IN {void}),
+lv2 AS (SELECT *, CASE WHEN is_close THEN d + 1 ELSE d END AS lvl FROM lv),
+ee AS (SELECT page_id, pos, CASE WHEN lead(is_close) OVER (PARTITION BY page_id, name, lvl ORDER BY pos)
+              THEN lead(pos) OVER (PARTITION BY page_id, name, lvl ORDER BY pos) END AS e_end, is_close FROM lv2),
+t3 AS (SELECT t2.*, CASE WHEN t2.wtype IS NULL THEN NULL WHEN t2.name IN {void} THEN t2.pos + 1
+                         WHEN t2.name IN {_in(B.BLOCK_TAGS)} THEN t2.own_bend ELSE coalesce(ee.e_end, {B.BIG}) END AS span_end
+       FROM t2 LEFT JOIN ee ON ee.page_id = t2.page_id AND ee.pos = t2.pos AND NOT ee.is_close),
+t4 AS (SELECT *, coalesce(max(span_end) OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1)
+         > pos AS inside FROM t3),
+w AS (SELECT t4.page_id, t4.section, t4.pos, t4.wtype AS widgetType, t4.name AS tag,
+        CASE WHEN t4.name IN {_in(B.BLOCK_TAGS)} THEN bt.block_text WHEN t4.name = 'a' THEN trim(t4.tail) END AS text,
+        CASE WHEN t4.name = 'img' THEN {attr('src')} END AS src, CASE WHEN t4.name = 'img' THEN {attr('alt')} END AS alt,
+        CASE WHEN contains({attr('class')}, 'text-center') THEN 'center' WHEN contains({attr('class')}, 'text-right') THEN 'right' END AS align
+      FROM t4 LEFT JOIN bt ON bt.page_id = t4.page_id AND bt.pos = t4.pos
+      WHERE t4.wtype IS NOT NULL AND NOT t4.inside),
+w2 AS (SELECT * FROM w WHERE NOT (tag IN {_in(B.BLOCK_TAGS)} AND coalesce(text, '') = '')),
+lo AS (SELECT page_id, section, pos, 'text-editor' AS widgetType, CAST(NULL AS VARCHAR) AS tag, trim(tail) AS text,
+         CAST(NULL AS VARCHAR) AS src, CAST(NULL AS VARCHAR) AS alt, CAST(NULL AS VARCHAR) AS align
+       FROM t4 WHERE NOT inside AND wtype IS NULL AND trim(tail) <> '' AND NOT ({opens} AND name IN ('title', 'head'))),
+u AS (SELECT * FROM w2 UNION ALL SELECT * FROM lo)
+SELECT page_id, CAST(section AS BIGINT) AS section, CAST(row_number() OVER (PARTITION BY page_id ORDER BY pos) AS INTEGER) AS pos,
+  widgetType, tag, text, src, alt, align FROM u
+UNION ALL
+SELECT s.page_id, 0, 1, 'text-editor', NULL, s.html, NULL, NULL, NULL FROM src s
+WHERE s.page_id NOT IN (SELECT page_id FROM u)"""
+
+
+@query("html_to_widgets", oracle=_widgets_sql())
 def html_to_widgets(t):
     """Widget rows (section, position, type, text/src) converted from each page's html."""
     return W.html_to_widgets(_widget_pages(t))
@@ -216,13 +289,7 @@ def _special_sql() -> str:
     types = ", ".join(f"'{x}'" for x in W.SPECIAL_TYPES)
     void = ", ".join(f"'{x}'" for x in B.VOID)
     heads = ", ".join(f"'{x}'" for x in (*B.HEADINGS, "strong"))
-    src = f"""src AS (SELECT doc_id AS page_id,
-  '<section class="py-8"><h2 class="text-center">Section ' || CAST(doc_id AS VARCHAR) || '</h2><p>' || text ||
-  '</p><img src="/w.png" alt="w"><hr></section>' ||
-  '<div class="grid"><a class="btn" href="/x">Go now</a><table><tr><td>1</td></tr></table></div>' ||
-  '<div data-elementor="' || [{types}][doc_id % 8 + 1] || '"><strong>Widget title</strong><p>' || text || '</p></div>' AS html
-  FROM documents)"""
-    return f"""WITH {src},{tokens_sql('src')},
+    return f"""WITH {_widget_src_sql()},{tokens_sql('src')},
 lv AS (SELECT *, sum(CASE WHEN is_close THEN -1 ELSE 1 END) OVER (PARTITION BY page_id, name ORDER BY pos
          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS d FROM tk WHERE is_tag AND name NOT IN ({void})),
 lv2 AS (SELECT *, CASE WHEN is_close THEN d + 1 ELSE d END AS lvl FROM lv),
