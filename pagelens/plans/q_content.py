@@ -318,32 +318,41 @@ def special_widgets(t):
     return W.special_widgets(_widget_pages(t))
 
 
-@query("page_full")
+SEO_COLS = ("meta_title", "meta_description", "focus_keyword", "canonical_url", "robots", "og_title",
+            "og_description", "og_image", "twitter_title", "twitter_description", "twitter_image")
+
+
+@query("page_full", oracle=f"""
+SELECT r.*, {", ".join("s." + c for c in SEO_COLS)}, a.author_name, a.author_email, t.categories, t.tags
+FROM {_sub('export_record')} r
+LEFT JOIN {_sub('seo_fallbacks')} s ON s.id = r.id
+LEFT JOIN {_sub('join_author')} a ON a.id = r.id
+LEFT JOIN (SELECT post_id, string_agg(name, ',' ORDER BY term_id) FILTER (WHERE taxonomy = 'category') AS categories,
+             string_agg(name, ',' ORDER BY term_id) FILTER (WHERE taxonomy = 'post_tag') AS tags
+           FROM {_sub('join_terms')} GROUP BY post_id) t ON t.post_id = r.id""")
 def page_full(t):
-    """Full export record per published post: base + content + seo + author + terms + counts.
+    """Full export record per published post: base, content stats, seo record, author, categories, tags.
 
-    Nested parts (headings, links, images, blocks, categories) are per-page
-    aggregates joined on the post id (one shuffle per part, keyed by id).
+    Flattened to scalar columns (the JSON envelope is ``write_export_json``);
+    each part is a per-post aggregate joined on the post id.
     """
     posts = X.load_pages(t.posts)
     rec = X.export_record(t.posts)
     seo = S.seo_resolve(t.posts, t.postmeta, t.site_plugins)
     exc = t.posts.select(F.col("id").cast("bigint").alias("id"),
                          T.excerpt(F.col("post_excerpt"), F.col("post_content")).alias("excerpt"))
-    seo_rec = S.seo_fallbacks(seo, t.posts, exc, S.featured_images(t.postmeta, t.attachments))
-    seo_json = seo_rec.select("id", F.to_json(F.struct(*[c for c in seo_rec.columns if c != "id"])).alias("seo"))
+    seo_rec = S.seo_fallbacks(seo, t.posts, exc, S.featured_images(t.postmeta, t.attachments)).select("id", *SEO_COLS)
     author = SI.join_author(posts.select("id", "post_author"), t.users).select(
-        F.col("id").cast("bigint").alias("id"),
-        F.to_json(F.struct(F.col("post_author").alias("id"), F.col("author_name").alias("name"),
-                           F.col("author_email").alias("email"))).alias("author"))
-    terms = (SI.join_terms(posts, t.term_relationships, t.terms)
-             .groupBy(F.col("post_id").alias("id"))
-             .agg(F.to_json(F.array_sort(F.collect_list(F.struct("taxonomy", "term_id", "name", "slug")))).alias("terms")))
-    heads = (X.page_headings(posts.select(F.col("id").alias("page_id"), F.col("post_content").alias("html")))
-             .groupBy(F.col("page_id").alias("id"))
-             .agg(F.to_json(F.array_sort(F.collect_list(F.struct("level", "pos", "text")))).alias("headings")))
-    return (rec.join(seo_json, "id", "left").join(author, "id", "left").join(terms, "id", "left")
-            .join(heads, "id", "left"))
+        F.col("id").cast("bigint").alias("id"), "author_name", "author_email")
+    tr = SI.join_terms(posts, t.term_relationships, t.terms)
+
+    def names(tax):
+        st = F.when(F.col("taxonomy") == tax, F.struct("term_id", "name"))
+        return F.array_join(F.transform(F.array_sort(F.collect_list(st)), lambda x: x["name"]), ",")
+    terms = tr.groupBy(F.col("post_id").alias("id")).agg(
+        F.when(F.count_if(F.col("taxonomy") == "category") > 0, names("category")).alias("categories"),
+        F.when(F.count_if(F.col("taxonomy") == "post_tag") > 0, names("post_tag")).alias("tags"))
+    return (rec.join(seo_rec, "id", "left").join(author, "id", "left").join(terms, "id", "left"))
 
 
 @query("write_export_json", oracle=REGISTRY["export_record"].oracle)
