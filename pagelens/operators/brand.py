@@ -341,3 +341,33 @@ def brand_tokens(color_slot_rows: DataFrame, font_slot_rows: DataFrame, spacing:
     return (pa.join(cs, "site_id", "full").join(fs, "site_id", "full").join(sp, "site_id", "full")
             .select("site_id", F.coalesce("pages_analyzed", F.lit(0)).alias("pages_analyzed"),
                     "colors", "typography", "spacing", F.lit(1).alias("version"), F.lit("draft").alias("status")))
+
+
+def brand_token_rows(color_slot_rows: DataFrame, font_slot_rows: DataFrame, spacing: DataFrame,
+                     pages: DataFrame) -> DataFrame:
+    """The token record as scalar rows: (site_id, section, slot, ord, value, name, source, frequency).
+
+    Sections: colors, typography, spacing, meta (pagesAnalyzed, version, status).
+    """
+    cols = ["site_id", "section", "slot", "ord", "value", "name", "source", "frequency"]
+    c = color_slot_rows.select("site_id", F.lit("colors").alias("section"), "slot", "ord", "value", "name", "source",
+                               F.col("frequency").cast("bigint").alias("frequency"))
+    f = font_slot_rows.select("site_id", F.lit("typography").alias("section"), "slot", "ord",
+                              F.col("family").alias("value"), "name", "source",
+                              F.col("frequency").cast("bigint").alias("frequency"))
+    sp = spacing.select("site_id", F.explode(F.array(
+        F.struct(F.lit("section_padding").alias("slot"), F.col("section_padding").alias("value")),
+        F.struct(F.lit("container_width").alias("slot"), F.col("container_width").alias("value")))).alias("x"))
+    sp = sp.filter(F.col("x.value").isNotNull()).select(
+        "site_id", F.lit("spacing").alias("section"), F.col("x.slot").alias("slot"), F.lit(0).alias("ord"),
+        F.col("x.value").alias("value"), *[F.lit(None).cast(t).alias(n) for n, t in
+                                           (("name", "string"), ("source", "string"), ("frequency", "bigint"))])
+    pa = pages.groupBy("site_id").agg(F.count(F.lit(1)).alias("n"))
+    meta = pa.select("site_id", F.explode(F.array(
+        F.struct(F.lit("pagesAnalyzed").alias("slot"), F.col("n").cast("string").alias("value")),
+        F.struct(F.lit("version").alias("slot"), F.lit("1").alias("value")),
+        F.struct(F.lit("status").alias("slot"), F.lit("draft").alias("value")))).alias("x")).select(
+        "site_id", F.lit("meta").alias("section"), F.col("x.slot").alias("slot"), F.lit(0).alias("ord"),
+        F.col("x.value").alias("value"), *[F.lit(None).cast(t).alias(n) for n, t in
+                                           (("name", "string"), ("source", "string"), ("frequency", "bigint"))])
+    return c.select(*cols).unionByName(f.select(*cols)).unionByName(sp.select(*cols)).unionByName(meta.select(*cols))

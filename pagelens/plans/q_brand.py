@@ -357,15 +357,34 @@ def color_slots(t):
     return BR.color_slots(_color_merge(t))
 
 
-@query("brand_tokens")
+def _brand_sql() -> str:
+    from pagelens.plans.registry import REGISTRY
+
+    def sub(k):
+        return f"({REGISTRY[k].oracle}) q_{k}"
+    return f"""
+SELECT site_id, 'colors' AS section, slot, CAST(ord AS INTEGER) AS ord, value, name, source, CAST(frequency AS BIGINT) AS frequency
+FROM {sub('color_slots')}
+UNION ALL SELECT site_id, 'typography', slot, CAST(ord AS INTEGER), family, name, source, CAST(frequency AS BIGINT) FROM {sub('font_slots')}
+UNION ALL SELECT site_id, 'spacing', 'section_padding', 0, section_padding, NULL, NULL, NULL FROM {sub('spacing_tokens')}
+  WHERE section_padding IS NOT NULL
+UNION ALL SELECT site_id, 'spacing', 'container_width', 0, container_width, NULL, NULL, NULL FROM {sub('spacing_tokens')}
+  WHERE container_width IS NOT NULL
+UNION ALL SELECT site_id, 'meta', m.slot, 0, CASE m.slot WHEN 'pagesAnalyzed' THEN CAST(n AS VARCHAR)
+    WHEN 'version' THEN '1' ELSE 'draft' END, NULL, NULL, NULL
+  FROM (SELECT site_id, count(*) AS n FROM {sub('builder_pages_limit')} GROUP BY site_id) p,
+       (VALUES ('pagesAnalyzed'), ('version'), ('status')) m(slot)"""
+
+
+@query("brand_tokens", oracle=_brand_sql())
 def brand_tokens(t):
-    """Full brand token record per site: colour/font slots, spacing, pages analysed, version, status."""
+    """Brand token record per site as rows: colour and font slots, spacing, pages analysed, version, status."""
     st = _settings(t)
     kit = BR.kit_tokens(t.kit_settings)
     cm = BR.color_merge(kit, BR.top_k(BR.color_frequency(st), BR.TOP_COLORS))
     fm = BR.font_merge(kit, BR.top_k(BR.font_frequency(st), BR.TOP_FONTS))
     pages = BR.builder_pages_limit(t.posts, t.builder_trees)
-    return BR.brand_tokens(BR.color_slots(cm), BR.font_slots(fm), BR.spacing_tokens(st), pages)
+    return BR.brand_token_rows(BR.color_slots(cm), BR.font_slots(fm), BR.spacing_tokens(st), pages)
 
 
 @query("color_similarity", oracle=f"""WITH {CF_SQL}, {KIT_SQL},
