@@ -5,11 +5,16 @@ from __future__ import annotations
 import string
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import pagelens.llm
 from pagelens.session import checkpoint_dir
 
+# Tasks get the functions of this subpackage with the job, so executors need no copy of it.
+cloudpickle.register_pickle_by_value(pagelens.llm)
+
 #: Rows handed to a Python worker at once: bounds its memory when texts are long.
 ROWS_PER_BATCH = 512
 

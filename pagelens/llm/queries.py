@@ -6,14 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pagelens.llm.decontaminate import OP1_SQL, op1_winnowing
 from pagelens.llm.sharding import op5_weighted_hash_tree
+from pagelens.llm.simhash import op6_simhash_pivots
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_winnowing": op1_winnowing,
         "op5_weighted_hash_tree": op5_weighted_hash_tree,
+        "op6_simhash_pivots": op6_simhash_pivots,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_winnowing": OP1_SQL,
+    }
