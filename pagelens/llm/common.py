@@ -16,7 +16,7 @@ from pagelens.session import checkpoint_dir
 cloudpickle.register_pickle_by_value(pagelens.llm)
 
 #: Rows handed to a Python worker at once: bounds its memory when texts are long.
-ROWS_PER_BATCH = 512
+ROWS_PER_BATCH = 1024
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -93,3 +93,23 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     up, down = _powers(len(data))
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up, dtype=np.uint64)))
     return start, end, mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+
+
+def worker_cache() -> dict:
+    """What a Python worker keeps from one task to the next (functions come anew with each task)."""
+    import sys
+    import types
+    return sys.modules.setdefault("_pagelens_worker", types.ModuleType("_pagelens_worker")).__dict__
+
+
+def runs(texts: list, size: int):
+    """(first row, rows) of successive texts of about ``size`` bytes or characters together; None counts as empty."""
+    run, first, got = [], 0, 0
+    for i, t in enumerate(texts):
+        run.append(t)
+        got += len(t or "") + 1
+        if got >= size:
+            yield first, run
+            run, first, got = [], i + 1, 0
+    if run:
+        yield first, run

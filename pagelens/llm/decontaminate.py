@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagelens.llm.common import LOWER_BYTE, mix64, prepare, row_key, table, word_hashes
+from pagelens.llm.common import LOWER_BYTE, mix64, prepare, row_key, runs, table, word_hashes
 
 #: Words of a window and of a fingerprinted gram.
 SPAN, K = 10, 5
@@ -59,19 +59,6 @@ def winnow(words: np.ndarray, owner: np.ndarray, k: int, w: int) -> tuple[np.nda
     return kept, grams[kept]
 
 
-def chunks(texts: list[bytes | None]):
-    """(first row, rows' bytes) of runs of texts of about CHUNK bytes."""
-    run, first, size = [], 0, 0
-    for i, t in enumerate(texts):
-        run.append(t or b"")
-        size += len(run[-1]) + 1
-        if size >= CHUNK:
-            yield first, run
-            run, first, size = [], i + 1, 0
-    if run:
-        yield first, run
-
-
 def fingerprints(run: list[bytes], lengths: list[int], short_items: bool, passes):
     """(row, words in it, hash, position, gram length, context, gram's place in the context) of a run of texts.
 
@@ -115,7 +102,7 @@ def _item_pass(batches):
     for b in batches:
         ids, rows = b.column(0), {n: [] for n in ("item", "hash", "k", "ctx", "at")}
         texts = b.column(1).cast(pa.binary()).to_pylist()
-        for base, run in chunks(texts):
+        for base, run in runs([t or b"" for t in texts], CHUNK):
             _, found = fingerprints(run, [], True, lambda h: np.ones(len(h), bool))
             for r, h, _, k, ctx, at in found:
                 for n, v in zip(rows, (ids[base + r].as_py(), h, k, ctx, at)):
@@ -151,7 +138,7 @@ def _doc_pass(bits, lengths: list[int]):
             keys = b.column(0)
             texts = b.column(1).cast(pa.binary()).to_pylist()
             row, cols = [], {n: [] for n in ("words", "hash", "pos", "k", "ctx", "at")}
-            for base, run in chunks(texts):
+            for base, run in runs([t or b"" for t in texts], CHUNK):
                 count, found = fingerprints(run, lengths, False, passes)
                 row += range(base, base + len(run))
                 cols["words"] += count.tolist()

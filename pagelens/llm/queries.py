@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pagelens.llm.bpe import op2_distinct_words
 from pagelens.llm.decontaminate import OP1_SQL, op1_winnowing
 from pagelens.llm.sharding import op5_weighted_hash_tree
 from pagelens.llm.simhash import op6_simhash_pivots
+from pagelens.llm.token_counts import op8_ragged_merging
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_winnowing": op1_winnowing,
+        "op2_distinct_words": op2_distinct_words,
         "op5_weighted_hash_tree": op5_weighted_hash_tree,
         "op6_simhash_pivots": op6_simhash_pivots,
+        "op8_ragged_merging": op8_ragged_merging,
     }
 
 
