@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pagelens.llm.bpe import op2_distinct_words
 from pagelens.llm.decontaminate import OP1_SQL, op1_winnowing
+from pagelens.llm.line_dedup import OP10_SQL, op10_line_chunks
 from pagelens.llm.sharding import op5_weighted_hash_tree
 from pagelens.llm.simhash import op6_simhash_pivots
+from pagelens.llm.substring_dedup import op4_unit_hashing
 from pagelens.llm.token_counts import op8_ragged_merging
 
 
@@ -17,13 +19,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_winnowing": op1_winnowing,
         "op2_distinct_words": op2_distinct_words,
+        "op4_unit_hashing": op4_unit_hashing,
         "op5_weighted_hash_tree": op5_weighted_hash_tree,
         "op6_simhash_pivots": op6_simhash_pivots,
         "op8_ragged_merging": op8_ragged_merging,
+        "op10_line_chunks": op10_line_chunks,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_winnowing": OP1_SQL,
+        "op10_line_chunks": OP10_SQL,
     }
