@@ -13,12 +13,14 @@ from pagelens.llm.sharding import op5_weighted_hash_tree
 from pagelens.llm.simhash import op6_simhash_pivots
 from pagelens.llm.substring_dedup import op4_unit_hashing
 from pagelens.llm.token_counts import op8_ragged_merging
+from pagelens.llm.topk import OP3_SQL, op3_histogram_selection
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_winnowing": op1_winnowing,
         "op2_distinct_words": op2_distinct_words,
+        "op3_histogram_selection": op3_histogram_selection,
         "op4_unit_hashing": op4_unit_hashing,
         "op5_weighted_hash_tree": op5_weighted_hash_tree,
         "op6_simhash_pivots": op6_simhash_pivots,
@@ -30,5 +32,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_winnowing": OP1_SQL,
+        "op3_histogram_selection": OP3_SQL,
         "op10_line_chunks": OP10_SQL,
     }
