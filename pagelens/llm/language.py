@@ -22,7 +22,7 @@ from pagelens.llm.common import LOWER_BYTE, prepare, runs, table
 WINDOW, WIDTHS, FILTERS, EMBED = 256, (2, 3, 4), 12, 8
 #: Documents of each language that are learned from, windows of each, languages at most (the most frequent ones).
 TRAIN_PER_LANG, TRAIN_WINDOWS, LANGS = 400, 4, 200
-EPOCHS, BATCH = 14, 128
+EPOCHS, BATCH = 8, 128
 #: Bytes of text a task works on at once.
 CHUNK = 1 << 17
 UNKNOWN = "und"

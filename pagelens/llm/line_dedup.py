@@ -66,7 +66,8 @@ def removed_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` with repeated chunks taken out of the text, and ``spans`` (null where nothing went).
+    """All columns of ``docs`` with repeated chunks taken out of the text, and ``spans`` (null where nothing went;
+    a column of that name in ``docs`` is replaced).
 
     A null text stays null, an empty one empty; a text all of whose chunks go becomes
     empty. Equal rows (same id and text) are one row to the ranking: they keep and lose the same chunks.

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pagelens.llm.bpe import op2_distinct_words
 from pagelens.llm.decontaminate import OP1_SQL, op1_winnowing
+from pagelens.llm.language import op7_byte_convolution
 from pagelens.llm.line_dedup import OP10_SQL, op10_line_chunks
+from pagelens.llm.quality import op9_random_indexing
 from pagelens.llm.sharding import op5_weighted_hash_tree
 from pagelens.llm.simhash import op6_simhash_pivots
 from pagelens.llm.substring_dedup import op4_unit_hashing
@@ -24,7 +26,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_unit_hashing": op4_unit_hashing,
         "op5_weighted_hash_tree": op5_weighted_hash_tree,
         "op6_simhash_pivots": op6_simhash_pivots,
+        "op7_byte_convolution": op7_byte_convolution,
         "op8_ragged_merging": op8_ragged_merging,
+        "op9_random_indexing": op9_random_indexing,
         "op10_line_chunks": op10_line_chunks,
     }
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagelens.llm.common import prepare, table
+from pagelens.llm.common import prepare, row_key, table
 from pagelens.llm.components import components
 
 #: Words of a shingle and largest distance of a link.
@@ -55,15 +55,15 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint as a signed long) of every row."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("_text"))
+    """``doc_id, _key, fp`` (the row's key and its fingerprint as a signed long) of every row."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("_key"), F.col(text_col).cast("string").alias("_text"))
 
     def run(batches):
         for b in batches:
-            fps = np.array([fingerprint(t, shingle) for t in b.column(1).cast(pa.binary()).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], names=["doc_id", "fp"])
+            fps = np.array([fingerprint(t, shingle) for t in b.column(2).cast(pa.binary()).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps)], names=["doc_id", "_key", "fp"])
 
-    return rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], T.StructField("fp", T.LongType())]))
+    return rows.mapInArrow(run, T.StructType([*rows.schema[:2], T.StructField("fp", T.LongType())]))
 
 
 def cell_masks(max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> list[int]:
@@ -154,11 +154,11 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> Dat
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``doc_id, fp, component_id`` of every row; component_id is the smallest id that links reach.
+    """``doc_id, _key, fp, _root, component_id`` of every row; component_id is the smallest id that links reach.
 
     Null, empty and blank texts have fingerprint 0 and are linked like any other. A null
     id never is a component's id unless the component has no other. Equal rows stay equal rows.
-    An empty table gives an empty result.
+    An empty table gives an empty result. ``_root`` is the component's least fingerprint.
     """
     prepare(docs.sparkSession)
     rows = fingerprints(docs, id_col, text_col, shingle).checkpoint()
@@ -166,8 +166,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(links(firsts.select("fp"), max_bits))
     rooted = firsts.join(roots, firsts["fp"] == roots["node"], "left").select("fp", "_first", F.coalesce("root", "fp").alias("_root"))
     least = rooted.groupBy("_root").agg(F.min("_first").alias("component_id"))
-    of_fp = rooted.join(least, "_root").select(F.col("fp").alias("_fp"), "component_id")
-    return rows.join(of_fp, rows["fp"] == of_fp["_fp"]).select("doc_id", "fp", "component_id")
+    of_fp = rooted.join(least, "_root").select(F.col("fp").alias("_fp"), "_root", "component_id")
+    return rows.join(of_fp, rows["fp"] == of_fp["_fp"]).select("doc_id", "_key", "fp", "_root", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of each component, with all columns of ``docs``: that of the smallest id (null ids last)."""
+    found = near_duplicates(docs, id_col, text_col, shingle, max_bits)
+    rank = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("_key").alias("k"))
+    kept = found.groupBy("_root").agg(F.min(rank).alias("_first")).select(F.col("_first.k").alias("__kept"))
+    keyed = docs.withColumn("__key", row_key(id_col, text_col))
+    return keyed.join(kept, F.col("__key") == F.col("__kept"), "left_semi").dropDuplicates(["__key"]).drop("__key")
 
 
 def op6_simhash_pivots(spark, sf_dir: str) -> DataFrame:
