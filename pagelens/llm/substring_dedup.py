@@ -2,7 +2,7 @@
 
 A unit ends at a line's end or after a lone ``.``, ``!`` or ``?`` before blanks, so a
 passage is found wherever it stands in a line. Units are normalised (lower case,
-blanks run together), digests are grouped over the whole corpus, the earliest
+blanks run together, no end mark), digests are grouped over the whole corpus, the earliest
 occurrence stays and the others are cut out; their places in the original text are kept.
 Units of fewer than MIN_WORDS words are too common to tell a repeat and stay.
 """
@@ -35,7 +35,7 @@ def units(text: str) -> list[tuple[int, int]]:
 def digest(unit: str, min_words: int) -> bytes | None:
     """128 bits of the normalised unit; None if it is too short."""
     words = unit.lower().split()
-    return hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest() if len(words) >= min_words else None
+    return hashlib.blake2b(" ".join(words).rstrip(".!?").encode(), digest_size=16).digest() if len(words) >= min_words else None
 
 
 def _unit_pass(min_words: int):
