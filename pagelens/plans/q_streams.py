@@ -1,9 +1,8 @@
 """§2.10 queries: Structured Streaming jobs drained with ``availableNow``.
 
 Each query starts a streaming job over the given files, waits for it to
-drain, and returns its sink as a DataFrame. Oracles are the batch forms;
-append-mode windows are compared on closed windows only (the watermark
-holds the last open window back).
+drain, and returns its sink as a DataFrame. Oracles are the batch forms over
+the whole input.
 """
 
 from __future__ import annotations
@@ -31,10 +30,11 @@ h AS (SELECT *, sum(CASE WHEN pts IS NULL OR epoch_us(ts) - epoch_us(pts) >= 360
         OVER (PARTITION BY ip ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM g),
 s AS (SELECT ip, min(ts) AS session_start, max(ts) + INTERVAL 1 HOUR AS session_end,
         CAST(count(*) AS BIGINT) AS failures FROM h GROUP BY ip, sid)
-SELECT * FROM s WHERE session_end <= (SELECT max(ts) FROM f)""", views=("access_log",))
+SELECT * FROM s""", views=("access_log",))
 def stream_failed_sessions(t):
-    """Failure sessions per address from a stream: session_window(1 h), closed sessions."""
-    return ST.run_available_now(ST.failed_sessions(_access_stream(t)), "failed_sessions")
+    """Failure sessions per address from a stream: session_window(1 h), all sessions once the input has ended."""
+    m = ST.Marked(_access_stream(t), "ts", failed=True)
+    return ST.run_available_now(ST.failed_sessions(m.stream), "failed_sessions", marked=m)
 
 
 @query("stream_publish_stats", oracle="""
@@ -43,11 +43,11 @@ WITH d AS (SELECT date_trunc('day', created_at) AS window_start, date_trunc('day
     CAST(count(*) FILTER (WHERE action = 'publish_error') AS BIGINT) AS error_count,
     round(avg(response_time_ms), 6) AS avg_response_time_ms
   FROM publish_logs GROUP BY 1, 2)
-SELECT * FROM d WHERE window_end <= (SELECT max(created_at) FROM publish_logs)""", views=("publish_logs",))
+SELECT * FROM d""", views=("publish_logs",))
 def stream_publish_stats(t):
-    """Daily publish counts, errors and mean response time from a stream (closed days)."""
-    logs = ST.stream_view(t.spark, t.sf_dir, "publish_logs", "events")
-    out = ST.run_available_now(ST.publish_stats(logs), "publish_stats")
+    """Daily publish counts, errors and mean response time from a stream, the last day included."""
+    m = ST.Marked(ST.stream_view(t.spark, t.sf_dir, "publish_logs", "events"), "created_at")
+    out = ST.run_available_now(ST.publish_stats(m.stream), "publish_stats", marked=m)
     return out.withColumn("avg_response_time_ms", F.round("avg_response_time_ms", 6))
 
 
@@ -61,11 +61,11 @@ d AS (SELECT window_start, window_start + INTERVAL 7 DAY AS window_end,
     CAST(count(*) FILTER (WHERE action = 'publish_error') AS BIGINT) AS error_count,
     round(avg(response_time_ms), 6) AS avg_response_time_ms
   FROM w GROUP BY 1, 2)
-SELECT * FROM d WHERE window_end <= (SELECT max(created_at) FROM publish_logs)""", views=("publish_logs",))
+SELECT * FROM d""", views=("publish_logs",))
 def stream_publish_stats_weekly(t):
-    """Sliding 7-day windows (1-day slide) of publish statistics from a stream (closed windows)."""
-    logs = ST.stream_view(t.spark, t.sf_dir, "publish_logs", "events")
-    out = ST.run_available_now(ST.publish_stats(logs, "7 days", "1 day"), "publish_stats_week")
+    """Sliding 7-day windows (1-day slide) of publish statistics from a stream, the last ones included."""
+    m = ST.Marked(ST.stream_view(t.spark, t.sf_dir, "publish_logs", "events"), "created_at")
+    out = ST.run_available_now(ST.publish_stats(m.stream, "7 days", "1 day"), "publish_stats_week", marked=m)
     return out.withColumn("avg_response_time_ms", F.round("avg_response_time_ms", 6))
 
 
@@ -84,10 +84,11 @@ def stream_webhook_outbox(t):
 SELECT slug, arg_max(request_id, requested_at) AS request_id, max(requested_at) AS requested_at
 FROM publish_requests GROUP BY slug""", views=("publish_requests",))
 def stream_latest_page_state(t):
-    """Newest publish request per slug, upserted per micro-batch (last write wins)."""
+    """Newest publish request per slug: the newest of each micro-batch, the newest of these on read."""
     reqs = ST.stream_view(t.spark, t.sf_dir, "publish_requests", "documents").select(
         "slug", "request_id", F.col("requested_at").cast("timestamp").alias("requested_at"))
-    return ST.run_foreach_batch(reqs, "latest_page_state", ST.latest_state_handler("slug", "requested_at"))
+    kept = ST.run_foreach_batch(reqs, "latest_page_state", ST.latest_state_handler("slug", "requested_at"))
+    return ST.latest_state(kept, "slug", "requested_at")
 
 
 def _fold_sql(key_sql: str, max_n: int, window_s: int, key_name: str) -> str:
@@ -111,14 +112,15 @@ SELECT event_id, k AS {key_name}, ts, accepted FROM f"""
        views=("access_log",))
 def stream_idempotent_requests(t):
     """Idempotency cache as stream state: a key is processed again only 1 h after its kept result."""
-    s = ST.stream_view(t.spark, t.sf_dir, "access_log", "events")
-    return ST.run_available_now(ST.ttl_counter(s, "idempotency_key", 1, 3600), "idempotency")
+    m = ST.Marked(ST.stream_view(t.spark, t.sf_dir, "access_log", "events"), "ts", event_id=-1)
+    return ST.run_available_now(ST.ttl_counter(m.stream, "idempotency_key", 1, 3600), "idempotency", marked=m)
 
 
 @query("stream_rate_limit", oracle=_fold_sql(IP_SQL, RATE_MAX, RATE_WINDOW, "ip"), views=("access_log",))
 def stream_rate_limit(t):
     """Rate limit as per-address stream state (count, last accepted); max 3 per 6 h."""
-    return ST.run_available_now(ST.ttl_counter(_access_stream(t), "ip", RATE_MAX, RATE_WINDOW), "rate_limit")
+    m = ST.Marked(_access_stream(t), "ts", event_id=-1)
+    return ST.run_available_now(ST.ttl_counter(m.stream, "ip", RATE_MAX, RATE_WINDOW), "rate_limit", marked=m)
 
 
 @query("schedule_filter", oracle="""
@@ -137,6 +139,6 @@ SELECT request_id, slug, TRY_CAST(publish_at AS TIMESTAMP) AS publish_ts,
 FROM schedule_requests WHERE TRY_CAST(publish_at AS TIMESTAMP) > requested_at
   AND TRY_CAST(publish_at AS TIMESTAMP) <= TIMESTAMP '{SCHEDULE_AS_OF}'""", views=("schedule_requests",))
 def stream_schedule_due(t):
-    """Scheduled publishes released from a stream when due at the release time."""
+    """Accepted schedules kept by a stream, released when due at the release time."""
     s = ST.stream_view(t.spark, t.sf_dir, "schedule_requests", "documents")
-    return ST.run_available_now(ST.schedule_due(s, SCHEDULE_AS_OF), "schedule_due")
+    return ST.schedule_due(ST.run_available_now(ST.schedules(s), "schedules"), SCHEDULE_AS_OF)

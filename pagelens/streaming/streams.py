@@ -6,11 +6,14 @@ writes to a sink under the cluster's shared checkpoint folder
 from the checkpoint. ``run_available_now`` drains the available input
 (``trigger(availableNow=True)``) and returns the sink as a batch DataFrame.
 
-Semantics: append-mode windows are emitted once the watermark passes their
-end, so at the end of the input the still-open window per key is held back
-(compare "closed windows"). Order-dependent per-key rules (idempotency cache,
-rate limit) use ``applyInPandasWithState`` with O(1) state per key; rows of a
-key inside one micro-batch are sorted by event time before the fold.
+Semantics: windows and folds are final once the watermark has passed them. A
+drain that is the end of its input says so with an end mark: a second stream, empty
+until the input is drained, then brings one row far in the future, which moves the
+watermark past everything that is still open (``Marked``). Order-dependent per-key rules
+(idempotency cache, rate limit) hold a key's rows in state until the watermark has passed
+them and then fold them in event order, so the order of files and batches does not
+matter; rows behind the watermark are late and dropped; a key's state ends when its
+counter has run out.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from __future__ import annotations
 import os
 import uuid
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,17 +30,22 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from pagelens.session import checkpoint_dir
 from pagelens.sources.fixtures import FIXTURE_SQL
 
+# The event time of an end mark: later than any event, within the range of nanosecond timestamps.
+END_OF_INPUT = "2200-01-01 00:00:00"
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table as a file stream (schema taken from the batch table)."""
-    schema = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")).schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-            .option("maxFilesPerTrigger", 1).parquet(sf_dir))
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
+    """A given table (a file or a folder of part files) as a file stream with the batch table's schema."""
+    reader = spark.readStream.schema(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")).schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    # a pattern that matches the table alone: a stream takes a plain path for a folder, a pattern for file or folder
+    return reader.parquet(os.path.join(sf_dir, f"{name}.parque[t]"))
 
-def stream_view(spark: SparkSession, sf_dir: str, view: str, base: str) -> DataFrame:
+
+def stream_view(spark: SparkSession, sf_dir: str, view: str, base: str, max_files: int | None = None) -> DataFrame:
     """A derived input view over a streaming base table (same SQL as batch)."""
-    stream_table(spark, sf_dir, base).createOrReplaceTempView(base)
+    stream_table(spark, sf_dir, base, max_files).createOrReplaceTempView(base)
     return spark.sql(FIXTURE_SQL[view])
 
 
@@ -45,13 +54,43 @@ def _dirs(spark: SparkSession, name: str) -> tuple[str, str]:
     return os.path.join(root, "out"), os.path.join(root, "checkpoint")
 
 
-def run_available_now(df: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
-    """Drain the stream into a parquet sink and return the sink as a batch DataFrame."""
+class Marked:
+    """A stream joined by its end-mark stream; ``close`` writes the mark once the stream is drained.
+
+    The mark row has the event time END_OF_INPUT, ``fills`` in the columns that a job
+    filters or groups by, and NULL elsewhere. It never reaches a sink: its own window or
+    turn only comes after END_OF_INPUT.
+    """
+
+    def __init__(self, stream: DataFrame, ts: str, **fills):
+        spark = stream.sparkSession
+        self.folder = os.path.join(checkpoint_dir(spark), "streams", f"marks-{uuid.uuid4().hex[:12]}")
+        kinds = {f.name: f.dataType for f in stream.schema}
+        values = {ts: END_OF_INPUT, **fills}
+        self.mark = spark.range(1).select(*[F.lit(values.get(c)).cast(t).alias(c) for c, t in kinds.items()])
+        self.mark.limit(0).write.parquet(self.folder)
+        self.stream = stream.unionByName(spark.readStream.schema(self.mark.schema).parquet(self.folder))
+
+    def close(self) -> None:
+        self.mark.write.mode("append").parquet(self.folder)
+
+
+def run_available_now(df: DataFrame, name: str, output_mode: str = "append", marked: Marked | None = None) -> DataFrame:
+    """Drain the stream into a parquet sink and return the sink as a batch DataFrame.
+
+    With ``marked`` the same query then runs on over the end mark, and what was open comes out too.
+    """
     spark = df.sparkSession
     out, ckpt = _dirs(spark, name)
-    q = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
-         .outputMode(output_mode).trigger(availableNow=True).queryName(f"{name}_{uuid.uuid4().hex[:6]}").start())
-    q.awaitTermination()
+
+    def drain() -> None:
+        (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+         .outputMode(output_mode).trigger(availableNow=True).queryName(f"{name}_{uuid.uuid4().hex[:6]}").start().awaitTermination())
+
+    drain()
+    if marked is not None:
+        marked.close()
+        drain()
     return spark.read.schema(df.schema).parquet(out)
 
 
@@ -99,65 +138,77 @@ def webhook_outbox_handler(batch: DataFrame, batch_id: int, table: str) -> None:
      .partitionBy("batch_id").parquet(table))
 
 
+def _newest(rows: DataFrame, key: str, ts: str, cols: list[str]) -> DataFrame:
+    order = F.struct(ts, *[c for c in cols if c != key])
+    return rows.groupBy(key).agg(F.max_by(F.struct(*cols), order).alias("r")).select("r.*")
+
+
 def latest_state_handler(key: str, ts: str):
-    """Upsert: keep the newest row per key across batches (max_by on event time)."""
+    """Appends the newest row per key of each batch; a retried batch replaces its own rows only."""
     def handle(batch: DataFrame, batch_id: int, table: str) -> None:
-        spark = batch.sparkSession
-        cols = batch.columns
-        newest = batch.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct(ts, *[c for c in cols if c != key]))
-                                         .alias("r")).select("r.*")
-        try:
-            old = spark.read.parquet(table)
-            merged = old.unionByName(newest)
-            merged = merged.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct(ts, *[c for c in cols if c != key]))
-                                              .alias("r")).select("r.*")
-            # Materialize before overwriting the table it was read from.
-            ckpt = os.path.join(checkpoint_dir(spark), "upsert-staging", f"{uuid.uuid4().hex}")
-            merged.write.parquet(ckpt)
-            spark.read.parquet(ckpt).write.mode("overwrite").parquet(table)
-        except Exception as e:  # first batch: no table yet
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
-            newest.write.mode("overwrite").parquet(table)
+        (_newest(batch, key, ts, batch.columns).withColumn("batch_id", F.lit(batch_id))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(table))
     return handle
 
 
+def latest_state(table: DataFrame, key: str, ts: str) -> DataFrame:
+    """The newest row per key over all batches of a ``latest_state_handler`` table (last write wins)."""
+    return _newest(table, key, ts, [c for c in table.columns if c != "batch_id"])
+
+
 # --- stateful per-key folds ---------------------------------------------------
 
 def _ttl_fold(max_requests: int, window_seconds: int, key_col: str):
-    """applyInPandasWithState function: counter with TTL restarted by accepted rows."""
+    """applyInPandasWithState function: counter with TTL restarted by accepted rows.
+
+    State: count, last accepted time, and the rows ahead of the watermark as packed (time, id)
+    pairs. A call folds the rows that the watermark has passed, in event order.
+    """
     window_us = int(window_seconds) * 1_000_000
 
     def fn(key, pdfs, state):
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"], kind="stable")
-        count, last_ok = state.get if state.exists else (0, None)
-        t = pd.to_datetime(pdf["ts"]).astype("int64").to_numpy() // 1000
-        acc = []
-        for ti in t:
+        count, last_ok, held = state.get if state.exists else (0, None, b"")
+        parts = [np.frombuffer(held, "<i8").reshape(-1, 2)]
+        for pdf in pdfs:
+            t = pd.to_datetime(pdf["ts"]).to_numpy().astype("datetime64[us]").astype("int64")
+            parts.append(np.column_stack([t, pdf["event_id"].to_numpy(dtype="int64")]))
+        rows = np.concatenate(parts)
+        rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+        now = state.getCurrentWatermarkMs() * 1000
+        due, later = rows[rows[:, 0] < now], rows[rows[:, 0] >= now]
+        accepted = np.zeros(len(due), bool)
+        for i, ti in enumerate(due[:, 0].tolist()):
             if last_ok is None or ti - last_ok > window_us:
-                count, last_ok = 1, int(ti)
-                acc.append(True)
-            elif count >= max_requests:
-                acc.append(False)
-            else:
-                count, last_ok = count + 1, int(ti)
-                acc.append(True)
-        state.update((int(count), int(last_ok)))
-        yield pd.DataFrame({"event_id": pdf["event_id"].to_numpy(), key_col: pdf[key_col].to_numpy(),
-                            "ts": pdf["ts"].to_numpy(), "accepted": acc})
+                count, last_ok, accepted[i] = 1, ti, True
+            elif count < max_requests:
+                count, last_ok, accepted[i] = count + 1, ti, True
+        if not len(later) and (last_ok is None or last_ok + window_us < now):
+            if state.exists:
+                state.remove()
+        else:
+            state.update((int(count), last_ok, later.astype("<i8").tobytes()))
+            # wake when the earliest held row is passed, or when the counter has run out
+            wake = int(later[0, 0]) if len(later) else last_ok + window_us
+            state.setTimeoutTimestamp(max(wake, now) // 1000 + 1)
+        yield pd.DataFrame({"event_id": due[:, 1], key_col: pd.Series([key[0]] * len(due), dtype=object),
+                            "ts": due[:, 0].astype("datetime64[us]"), "accepted": accepted})
     return fn
 
 
 def ttl_counter(events: DataFrame, key_col: str, max_requests: int, window_seconds: int,
                 delay: str = "1 hour") -> DataFrame:
-    """Per-key accept/reject decisions from a stateful stream (state: count, last accepted)."""
+    """Per-key accept/reject decisions from a stateful stream, in event order whatever the order of arrival.
+
+    A decision comes out once the watermark (``delay`` behind the newest event) has passed
+    its row; a row that arrives behind the watermark is dropped.
+    """
     e = (events.select("event_id", key_col, F.col("ts").cast("timestamp").alias("ts"))
          .withWatermark("ts", delay))
     return e.groupBy(key_col).applyInPandasWithState(
         _ttl_fold(max_requests, window_seconds, key_col),
         outputStructType=f"event_id bigint, {key_col} string, ts timestamp, accepted boolean",
-        stateStructType="count bigint, last_ok bigint",
-        outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
+        stateStructType="count bigint, last_ok bigint, held binary",
+        outputMode="append", timeoutConf=GroupStateTimeout.EventTimeTimeout)
 
 
 def schedule_filter(requests: DataFrame) -> DataFrame:
@@ -172,8 +223,12 @@ def schedule_filter(requests: DataFrame) -> DataFrame:
                            F.when(ok, key).alias("schedule_key"))
 
 
-def schedule_due(requests: DataFrame, as_of: str) -> DataFrame:
-    """Accepted schedules whose publish time has come at ``as_of`` (release rows)."""
-    acc = schedule_filter(requests).filter("accepted")
-    return (acc.filter(F.col("publish_ts") <= F.to_timestamp(F.lit(as_of)))
-            .select("request_id", "slug", "publish_ts", "schedule_key"))
+def schedules(requests: DataFrame) -> DataFrame:
+    """Accepted schedules, due or not: what the stream keeps until their time comes."""
+    return schedule_filter(requests).filter("accepted").select("request_id", "slug", "publish_ts", "schedule_key")
+
+
+def schedule_due(kept: DataFrame, as_of: str, after: str | None = None) -> DataFrame:
+    """Kept schedules whose publish time has come at ``as_of`` (and had not at ``after``, the last release)."""
+    due = kept.filter(F.col("publish_ts") <= F.to_timestamp(F.lit(as_of)))
+    return due.filter(F.col("publish_ts") > F.to_timestamp(F.lit(after))) if after else due
