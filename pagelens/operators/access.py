@@ -82,23 +82,21 @@ def ip_whitelist(requests: DataFrame, whitelist: DataFrame, ip_col: str = "ip",
                     F.split("e", "/").getItem(1).try_cast("int").alias("bits"))
             .filter(is_ipv4("net") & F.col("bits").between(0, 32))
             .select("bits", ip2long("net").bitwiseAND(cidr_mask("bits")).alias("key")).distinct())
-    exact = entries.filter(~F.contains("e", F.lit("/"))).select(F.col("e").alias("_exact")).distinct()
-    bits = sorted(r[0] for r in cidr.select("bits").distinct().collect())  # <= 33 values
-    has_entries = entries.limit(1).count() > 0
-
-    req = requests.withColumn("_rid", F.monotonically_increasing_id())
-    hits = None
+    exact = entries.filter(~F.contains("e", F.lit("/"))).select(F.col("e").alias("_ip"))
+    bits = sorted(r[0] for r in cidr.select("bits").distinct().collect())  # 33 values at most
+    if not bits and exact.isEmpty():
+        return requests.withColumn("allowed", F.lit(True))
+    # decided once per distinct address, then joined back by address
+    ips = requests.select(F.col(ip_col).alias("_ip")).distinct()
+    hits = ips.join(exact.distinct(), "_ip", "left_semi")
     if bits:
-        probe = (req.filter(is_ipv4(ip_col))
-                 .select("_rid", F.explode(F.array(*[F.lit(b) for b in bits])).alias("bits"), F.col(ip_col).alias("_ip"))
-                 .select("_rid", "bits", ip2long("_ip").bitwiseAND(cidr_mask("bits")).alias("key")))
-        hits = probe.join(F.broadcast(cidr), ["bits", "key"]).select("_rid")
-    ex = req.join(F.broadcast(exact), req[ip_col] == F.col("_exact")).select("_rid")
-    hits = ex if hits is None else hits.unionByName(ex)
-    hits = hits.distinct().withColumn("_hit", F.lit(True))
-    out = req.join(hits, "_rid", "left")
-    allowed = F.coalesce(F.col("_hit"), F.lit(False)) if has_entries else F.lit(True)
-    return out.withColumn("allowed", allowed).drop("_rid", "_hit")
+        probe = (ips.filter(is_ipv4("_ip"))
+                 .select("_ip", F.explode(F.array(*[F.lit(b) for b in bits])).alias("bits"))
+                 .select("_ip", "bits", ip2long("_ip").bitwiseAND(cidr_mask("bits")).alias("key")))
+        hits = hits.unionByName(probe.join(cidr, ["bits", "key"], "left_semi").select("_ip"))
+    hits = hits.distinct().select(F.col("_ip").alias("_allowed_ip"))
+    out = requests.join(hits, F.col(ip_col) == F.col("_allowed_ip"), "left")
+    return out.withColumn("allowed", F.col("_allowed_ip").isNotNull()).drop("_allowed_ip")
 
 
 def request_expired(ts, signed_at, expiry_seconds: int = 300) -> Column:

@@ -242,22 +242,22 @@ def block_dedup(blocks: DataFrame) -> DataFrame:
             .withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "norm"))
 
 
-def block_cap(blocks: DataFrame, cap: int = 100) -> DataFrame:
-    """First ``cap`` blocks per page; output pos = 1..n."""
+def block_cap(blocks: DataFrame, cap: int | None = 100) -> DataFrame:
+    """First ``cap`` blocks per page (all, if None); output pos = 1..n."""
     w = Window.partitionBy("page_id").orderBy("pos")
-    return (blocks.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= cap)
+    return (blocks.withColumn("_rn", F.row_number().over(w)).filter(F.lit(True) if cap is None else F.col("_rn") <= cap)
             .select("page_id", F.col("_rn").cast("int").alias("pos"), "tag", "text"))
 
 
 def content_blocks_main(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
-                        cap: int = 100) -> DataFrame:
+                        cap: int | None = None) -> DataFrame:
     """Blocks of the main content area of rendered pages."""
     tokens = main_content_scope(html_tokens(pages, id_col, html_col))
     return block_cap(block_dedup(block_filters(block_rows(tokens), True)), cap)
 
 
 def content_blocks_html(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
-                        cap: int = 100) -> DataFrame:
+                        cap: int | None = None) -> DataFrame:
     """Blocks of a whole html fragment (no scope, no phrase filter)."""
     return block_cap(block_dedup(block_filters(block_rows(html_tokens(pages, id_col, html_col)), False)), cap)
 

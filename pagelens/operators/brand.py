@@ -1,12 +1,11 @@
 """Brand tokens: colour and font frequencies over builder pages, merged with
 site-kit globals and assigned to semantic slots.
 
-Per site the work is: pick the first N builder pages (window top-k, which
-Spark limits per partition before the shuffle), flatten their trees
-(row-local), count colours/fonts (partial aggregation), keep the top 20/10
-(window top-k), then the order-dependent merge and slot assignment run as
-``aggregate()`` folds over arrays of at most ~30 rows per site. A hot site
-only ever moves its top-k rows, never all its pages, through one task.
+Per site the work is: flatten the trees of all published builder pages (row-local),
+count colours/fonts (partial aggregation), keep the top 20/10 (window top-k),
+then the order-dependent merge and slot assignment run as ``aggregate()`` folds over
+arrays of at most ~30 rows per site. A hot site only ever moves its partial counts,
+never all its pages, through one task.
 """
 
 from __future__ import annotations
@@ -34,28 +33,21 @@ def builder_pages_limit(posts: DataFrame, trees: DataFrame, limit: int = PAGE_LI
             .select("site_id", F.col("id").alias("page_id"), "page_rank"))
 
 
-def analyzed_nodes(posts: DataFrame, trees: DataFrame, limit: int = PAGE_LIMIT,
-                   materialize: bool = True) -> DataFrame:
-    """Flattened nodes of the analysed pages (at most ``limit`` per site).
+def builder_pages(posts: DataFrame) -> DataFrame:
+    """All published pages and posts with their place in menu order (``page_rank``: menu order, then id)."""
+    pub = posts.filter(F.col("post_type").isin("page", "post") & (F.col("post_status") == "publish"))
+    return pub.select("site_id", F.col("id").alias("page_id"), F.struct("menu_order", "id").alias("page_rank"))
 
-    The selected trees are a bounded subset (``limit`` pages per site), so
-    they are written once to the shared checkpoint folder (reliable
-    ``checkpoint``): the flattening, its depth check and every token
-    aggregation then read that subset instead of re-running the selection.
-    """
-    pages = builder_pages_limit(posts, trees, limit)
-    t = trees.select("page_id", "tree_json").join(pages, "page_id")
-    if materialize:
-        from pagelens.session import checkpoint_dir
-        checkpoint_dir(t.sparkSession)
-        t = t.checkpoint(eager=True)
-    return TR.tree_nodes(t, keep=("site_id", "page_rank"))
+
+def analyzed_nodes(posts: DataFrame, trees: DataFrame, limit: int | None = None) -> DataFrame:
+    """Flattened nodes of all published builder pages, or of the first ``limit`` per site."""
+    pages = builder_pages(posts) if limit is None else builder_pages_limit(posts, trees, limit)
+    return TR.tree_nodes(trees.select("page_id", "tree_json").join(pages, "page_id"), keep=("site_id", "page_rank"))
 
 
-def analyzed_settings(posts: DataFrame, trees: DataFrame, limit: int = PAGE_LIMIT) -> DataFrame:
-    """Setting rows of the analysed pages, checkpointed once for all token aggregations."""
-    st = setting_rows(analyzed_nodes(posts, trees, limit))
-    return st.checkpoint(eager=True)
+def analyzed_settings(posts: DataFrame, trees: DataFrame, limit: int | None = None) -> DataFrame:
+    """Setting rows of the analysed pages."""
+    return setting_rows(analyzed_nodes(posts, trees, limit))
 
 
 def setting_rows(nodes: DataFrame) -> DataFrame:
@@ -66,15 +58,20 @@ def setting_rows(nodes: DataFrame) -> DataFrame:
 
 
 def color_frequency(settings: DataFrame) -> DataFrame:
-    """Per site: normalized colour -> count, contexts (keys in first-seen order)."""
+    """Per site: normalized colour -> count, contexts (the distinct keys in first-seen order).
+
+    Counted per (site, colour, key) first, so what is gathered per colour grows with the number of
+    setting names, not with the pages.
+    """
     val = TR.vstring(F.col("value"))
     rows = (settings.filter(C.is_color_property(F.col("key")) & C.is_valid_color(val))
             .select("site_id", "page_rank", "path", "key", C.normalize_hex(val).alias("color"))
             .filter(F.col("color").isNotNull()))
-    st = F.struct("page_rank", "path", "key")
-    return (rows.groupBy("site_id", "color")
-            .agg(F.count(F.lit(1)).cast("bigint").alias("count"), F.min(st).alias("first_seen"),
-                 F.array_sort(F.collect_list(st)).alias("_ctx"))
+    per_key = rows.groupBy("site_id", "color", "key").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(F.struct("page_rank", "path", "key")).alias("_seen"))
+    return (per_key.groupBy("site_id", "color")
+            .agg(F.sum("_n").cast("bigint").alias("count"), F.min("_seen").alias("first_seen"),
+                 F.array_sort(F.collect_list("_seen")).alias("_ctx"))
             .withColumn("contexts", F.transform("_ctx", lambda x: x["key"])).drop("_ctx"))
 
 
@@ -93,13 +90,12 @@ def _family_rows(settings: DataFrame) -> DataFrame:
 
 def font_frequency(settings: DataFrame) -> DataFrame:
     """Per site: font family -> count, distinct non-zero weights in first-seen order."""
-    rows = _family_rows(settings)
-    st = F.struct("page_rank", "path", "key", "weight")
-    agg = (rows.groupBy("site_id", "family")
-           .agg(F.count(F.lit(1)).cast("bigint").alias("count"), F.min(F.struct("page_rank", "path", "key"))
-                .alias("first_seen"), F.array_sort(F.collect_list(st)).alias("_w")))
-    weights = F.array_distinct(F.filter(F.transform("_w", lambda x: x["weight"]), lambda w: w != 0))
-    return agg.withColumn("weights", weights).drop("_w")
+    per_weight = _family_rows(settings).groupBy("site_id", "family", "weight").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(F.struct("page_rank", "path", "key")).alias("_seen"))
+    agg = (per_weight.groupBy("site_id", "family")
+           .agg(F.sum("_n").cast("bigint").alias("count"), F.min("_seen").alias("first_seen"),
+                F.array_sort(F.collect_list(F.when(F.col("weight") != 0, F.struct("_seen", "weight")))).alias("_w")))
+    return agg.withColumn("weights", F.transform("_w", lambda x: x["weight"])).drop("_w")
 
 
 def top_k(freq: DataFrame, k: int) -> DataFrame:

@@ -15,7 +15,6 @@ from pagelens.functions import html as H
 from pagelens.functions import text as T
 from pagelens.functions import url as U
 from pagelens.functions.common import php_trim
-from pagelens.sources.tables import spread
 
 PUBLISHED = ("publish",)
 EDITABLE = ("publish", "draft", "pending", "private")
@@ -116,7 +115,7 @@ def union_pages_posts(pages: DataFrame, posts: DataFrame) -> DataFrame:
 def page_headings(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Heading rows (id, level, pos, text) of every page, h1..h6 in order."""
     m = H.heading_map(F.col(html_col))
-    pages = spread(pages.select(id_col, html_col))
+    pages = pages.select(id_col, html_col)
     return (pages.select(F.col(id_col).alias("page_id"), F.explode(m).alias("level", "texts"))
             .select("page_id", "level", F.posexplode("texts").alias("pos", "text"))
             .select("page_id", "level", (F.col("pos") + 1).cast("bigint").alias("pos"), "text"))
@@ -126,7 +125,7 @@ def page_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
                url_col: str = "url") -> DataFrame:
     """Link rows (page_id, pos, url, text, kind); site host = host of the page url."""
     site_host = U.url_host(F.col(url_col))
-    pages = spread(pages.select(id_col, html_col, url_col))
+    pages = pages.select(id_col, html_col, url_col)
     return (pages.select(F.col(id_col).alias("page_id"),
                          F.explode(H.links(F.col(html_col), site_host)).alias("l"))
             .select("page_id", F.col("l.pos").cast("bigint").alias("pos"),
@@ -163,9 +162,9 @@ def page_jsonld(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
                        F.try_variant_get(F.try_parse_json("json"), "$['@type']", "string").alias("schema_type"))
 
 
-def internal_links_map(posts: DataFrame, cap: int = 100) -> DataFrame:
-    """The reference only reports how many pages it would map: min(cap, count)."""
-    return posts.agg(F.least(F.count(F.lit(1)), F.lit(cap)).cast("bigint").alias("total_pages"),
+def internal_links_map(posts: DataFrame) -> DataFrame:
+    """How many pages there are to map, and the note; the graph itself is ``internal_link_graph``."""
+    return posts.agg(F.count(F.lit(1)).cast("bigint").alias("total_pages"),
                      F.lit(LINKS_MAP_NOTE).alias("note"))
 
 
@@ -180,9 +179,9 @@ def export_record(posts: DataFrame) -> DataFrame:
     Everything is row-local, so the plan is scan -> filter -> project with no
     shuffle; the html column is read once and dropped after the projection.
     """
-    rows = spread(load_pages(posts).select(
+    rows = load_pages(posts).select(
         "id", "post_type", "url", "post_title", "post_status", "post_date", "post_modified",
-        "post_excerpt", "post_content"))
+        "post_excerpt", "post_content")
     path = U.url_path(F.col("url"))
     text = T.strip_tags(F.col("post_content"))
     wc = T.word_count(text)

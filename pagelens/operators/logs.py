@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagelens.functions.common import col
+from pagelens.functions.pyudf import REDACTED, SENSITIVE_KEYS, redact_nested_json
 from pagelens.sources.tables import as_of_col
 
 PERIOD_INTERVALS = {"day": "INTERVAL 1 DAY", "week": "INTERVAL 7 DAYS", "month": "INTERVAL 1 MONTH"}
@@ -18,8 +19,6 @@ PERIOD_INTERVALS = {"day": "INTERVAL 1 DAY", "week": "INTERVAL 7 DAYS", "month":
 # Actions that trigger a webhook besides any status='error'.
 WEBHOOK_ACTIONS = ("publish_success", "publish_failed", "rollback_success")
 WEBHOOK_EVENT_PREFIX = "echo5_publish_"
-SENSITIVE_KEYS = ("api_key", "password", "secret", "token", "authorization")
-REDACTED = "[REDACTED]"
 
 
 def period_start(period: str, as_of: str | None = None) -> Column | None:
@@ -143,19 +142,16 @@ def has_nested_sensitive(c) -> Column:
     return F.regexp_like(col(c), F.lit(rf'"(?i:{keys})"\s*:\s*[\[{{]'))
 
 
-def redact_sensitive(df: DataFrame, column: str) -> DataFrame:
-    """``sanitize_log_data`` over a JSON text column.
+def redact_text(c) -> Column:
+    """``sanitize_log_data`` of a JSON text: a JVM regex, and a walk of the parsed JSON where a
+    sensitive key holds an object or array (only those texts reach the Arrow-batched UDF)."""
+    nested = F.coalesce(has_nested_sensitive(c), F.lit(False))
+    return F.when(nested, redact_nested_json(F.when(nested, col(c)))).otherwise(redact_json(c))
 
-    Rows whose sensitive keys hold only scalars are rewritten by a JVM regex;
-    the (rare) rows with an object/array under a sensitive key go through an
-    Arrow-batched pandas UDF that walks the parsed JSON.
-    """
-    from pagelens.functions.pyudf import redact_nested_json
 
-    nested = has_nested_sensitive(F.col(column))
-    flat = df.filter(~nested | F.col(column).isNull()).withColumn(column, redact_json(F.col(column)))
-    deep = df.filter(nested).withColumn(column, redact_nested_json(F.col(column)))
-    return flat.unionByName(deep)
+def redact_sensitive(df: DataFrame, column: str) -> DataFrame:
+    """``redact_text`` of a column, in one projection over one scan."""
+    return df.withColumn(column, redact_text(F.col(column)))
 
 
 def webhook_outbox(logs: DataFrame) -> DataFrame:
@@ -184,8 +180,10 @@ def append_log(calls: DataFrame, correlation_id: str | None = None) -> DataFrame
         get("$.page_id").try_cast("bigint").alias("page_id"),
         get("$.slug").alias("page_slug"),
         get("$.response_time_ms").try_cast("bigint").alias("response_time_ms"),
+        F.coalesce(F.col("user_ip") if "user_ip" in calls.columns else F.lit(None).cast("string"),
+                   F.lit("0.0.0.0")).alias("user_ip"),
         get("$.error").alias("error_message"),
-        redact_json(get("$.request")).alias("request_data"),
-        redact_json(get("$.response")).alias("response_data"),
+        redact_text(get("$.request")).alias("request_data"),
+        redact_text(get("$.response")).alias("response_data"),
         F.col("created_at"),
     )

@@ -127,13 +127,13 @@ def upload_outcomes(requests: DataFrame, attachments: DataFrame, url_col: str =
 
 
 def orphan_media(attachments: DataFrame, postmeta: DataFrame, as_of: str, older_than_days: int = 30,
-                 batch: int = 100) -> DataFrame:
-    """Uploads to delete: parent 0, ours, older than N days, newest ``batch`` of those,
-    and not used as any post's featured image."""
+                 batch: int | None = None) -> DataFrame:
+    """Uploads to delete: parent 0, ours, older than N days, not used as any post's featured
+    image; the newest ``batch`` of these if given."""
     cutoff = F.to_timestamp(F.lit(as_of)) - F.expr(f"INTERVAL {int(older_than_days)} DAYS")
     cand = (attachments.filter((F.col("post_parent") == 0) & F.col("uploaded_by_us")
-                               & (F.col("post_date").cast("timestamp") < cutoff))
-            .orderBy(F.col("post_date").desc(), F.col("id").desc()).limit(batch))
+                               & (F.col("post_date").cast("timestamp") < cutoff)))
     used = postmeta.filter(F.col("meta_key") == "_thumbnail_id").select(
         F.col("meta_value").try_cast("bigint").alias("id")).distinct()
-    return cand.join(used, "id", "left_anti").select("id", "source_url", "post_date")
+    orphans = cand.join(used, "id", "left_anti").select("id", "source_url", "post_date")
+    return orphans if batch is None else orphans.orderBy(F.col("post_date").desc(), F.col("id").desc()).limit(batch)

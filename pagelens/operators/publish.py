@@ -301,22 +301,31 @@ def tailwind_section_style(class_attr) -> Column:
 def upsert_pages(posts: DataFrame, updates: DataFrame, key: str = "id") -> DataFrame:
     """Posts after applying ``updates`` (same columns; NULL = keep old value) and inserts.
 
-    Full outer join on the key, then ``coalesce(new, old)`` per column.
+    Posts left-joined with the (few) updates, which Spark may broadcast by their measured
+    size, and the updates without a post: the posts' html is never shuffled for it.
     """
     cols = [c for c in posts.columns if c != key]
     u = updates.select(key, *[F.col(c).alias(f"_n_{c}") for c in cols if c in updates.columns])
-    j = posts.join(u, key, "full")
-    return j.select(key, *[F.coalesce(F.col(f"_n_{c}"), F.col(c)).alias(c) if c in updates.columns else F.col(c)
-                           for c in cols])
+    j = posts.join(u, key, "left")
+    kept = j.select(key, *[F.coalesce(F.col(f"_n_{c}"), F.col(c)).alias(c) if c in updates.columns else F.col(c) for c in cols])
+    new = u.join(posts.select(key), key, "left_anti")
+    kinds = dict(posts.dtypes)
+    return kept.unionByName(new.select(F.col(key).cast(kinds[key]).alias(key), *[
+        (F.col(f"_n_{c}") if c in updates.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in cols]))
 
 
 def upsert_meta(postmeta: DataFrame, changes: DataFrame) -> DataFrame:
-    """(post_id, meta_key) -> value after update-or-insert; existing keys read by first meta_id."""
+    """(post_id, meta_key) -> value after update-or-insert; existing keys read by first meta_id.
+
+    Of several changes of one key the greatest value is taken, so they never multiply rows.
+    """
     from pagelens.operators.seo import load_postmeta
     cur = load_postmeta(postmeta)
-    ch = changes.select("post_id", "meta_key", F.col("meta_value").alias("_new"))
-    j = cur.join(ch, ["post_id", "meta_key"], "full")
-    return j.select("post_id", "meta_key", F.coalesce("_new", "meta_value").alias("meta_value"))
+    ch = changes.groupBy("post_id", "meta_key").agg(F.max("meta_value").alias("_new"))
+    on = ["post_id", "meta_key"]
+    kept = cur.join(ch, on, "left").select(*on, F.coalesce("_new", "meta_value").alias("meta_value"))
+    new = ch.join(postmeta.select(*on), on, "left_anti").select(*on, F.col("_new").alias("meta_value"))
+    return kept.unionByName(new)
 
 
 def robots_meta(plugin, noindex, nofollow) -> Column:
@@ -370,7 +379,8 @@ def save_meta_map(requests: DataFrame, active: DataFrame) -> DataFrame:
     )
     fv = (r.select("request_id", "post_id", "seo_plugin", F.explode(fields).alias("x"))
           .select("request_id", "post_id", "seo_plugin", "x.f", "x.v", "x.g").filter(~falsy(F.col("v"))))
-    plugin_rows = (fv.join(kmap, (fv.seo_plugin == kmap.plugin) & (fv.f == kmap.field))
+    # a plugin whose key is the backup key itself writes it once, as the backup
+    plugin_rows = (fv.join(kmap, (fv.seo_plugin == kmap.plugin) & (fv.f == kmap.field) & ~fv.g.eqNullSafe(kmap.meta_key))
                    .select("request_id", "post_id", "meta_key", F.col("v").alias("meta_value")))
     backup = fv.filter(F.col("g").isNotNull()).select("request_id", "post_id", F.col("g").alias("meta_key"),
                                                       F.col("v").alias("meta_value"))

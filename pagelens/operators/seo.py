@@ -275,28 +275,18 @@ def plugin_capabilities(site_plugins: DataFrame) -> DataFrame:
     return caps.withColumn("pro_capable", F.col("elementor_pro") | F.col("pro_elements"))
 
 
-# Network-activated plugin lists are admin configuration; they are read to the
-# driver only after checking this bound (an error, never a silent cap).
-MAX_NETWORK_PLUGINS = 10000
-
-
 def distinct_plugins(site_plugins: DataFrame, network_plugins: DataFrame | None = None) -> DataFrame:
-    """Active plugin paths per site: site list plus network-activated list, distinct.
+    """Active plugin paths per site: the site's own list plus its network's list, distinct.
 
-    Every site gets every network plugin, so the network list (checked to be
-    at most ``MAX_NETWORK_PLUGINS`` paths) becomes a literal array exploded
-    per site row: no join.
+    ``network_plugins`` (network_id, path) meets the distinct sites on the network's
+    id; sites without a ``network_id`` belong to network 0.
     """
     paths = site_plugins.select("site_id", "path")
     if network_plugins is not None:
-        net = network_plugins.select("path").distinct()
-        n = net.limit(MAX_NETWORK_PLUGINS + 1).count()
-        if n > MAX_NETWORK_PLUGINS:
-            raise ValueError(f"more than {MAX_NETWORK_PLUGINS} network plugins")
-        if n:
-            lits = [F.lit(r[0]) for r in net.collect()]
-            sites = site_plugins.select("site_id").distinct()
-            paths = paths.unionByName(sites.select("site_id", F.explode(F.array(*lits)).alias("path")))
+        network = F.col("network_id") if "network_id" in site_plugins.columns else F.lit(0).cast("bigint")
+        sites = site_plugins.select("site_id", network.alias("network_id")).distinct()
+        net = network_plugins.select(F.col("network_id").cast("bigint").alias("network_id"), "path").distinct()
+        paths = paths.unionByName(sites.join(net, "network_id").select("site_id", "path"))
     return paths.distinct()
 
 

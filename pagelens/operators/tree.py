@@ -228,7 +228,7 @@ def tree_images(nodes: DataFrame, attachments: DataFrame | None = None) -> DataF
         F.lit("elementor").alias("source"))
 
 
-def tree_blocks(nodes: DataFrame, cap: int = 100) -> DataFrame:
+def tree_blocks(nodes: DataFrame, cap: int | None = None) -> DataFrame:
     """Blocks from widgets: heading, icon/image box, call-to-action, simple text widgets.
 
     Candidates are emitted per widget in the reference's order, then the same
@@ -273,7 +273,7 @@ def tree_blocks(nodes: DataFrame, cap: int = 100) -> DataFrame:
     w2 = Window.partitionBy("page_id").orderBy("path", "k", "sub")
     return (allb.withColumn("norm", normalize_text(F.col("text")))
             .withColumn("_r", F.row_number().over(w1)).filter("_r = 1")
-            .withColumn("pos", F.row_number().over(w2)).filter(F.col("pos") <= cap)
+            .withColumn("pos", F.row_number().over(w2)).filter(F.lit(True) if cap is None else F.col("pos") <= cap)
             .select("page_id", F.col("pos").cast("int").alias("pos"), "tag", "text"))
 
 

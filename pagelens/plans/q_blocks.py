@@ -69,7 +69,7 @@ scoped AS (
   FROM tk LEFT JOIN sx ON tk.page_id = sx.page_id LEFT JOIN se ON tk.page_id = se.page_id)"""
 
 
-def blocks_sql(src: str, main: bool, boilerplate: bool, stage: str = "capped") -> str:
+def blocks_sql(src: str, main: bool, boilerplate: bool, stage: str = "capped", cap: int = 2**31 - 1) -> str:
     toks = "scoped" if main else "tk"
     opens = "is_tag AND NOT is_close"
     nic = f"(is_close AND name NOT IN {_in(B.INLINE)})"
@@ -111,7 +111,7 @@ dedup AS (
     FROM kept) WHERE rn = 1),
 capped AS (
   SELECT page_id, CAST(rn AS INTEGER) AS pos, tag, text FROM (
-    SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rn FROM dedup) WHERE rn <= 100)
+    SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rn FROM dedup) WHERE rn <= {cap})
 SELECT * FROM {stage}"""
 
 
@@ -139,7 +139,7 @@ def node_text(t):
 
 @query("content_blocks_main", oracle=blocks_sql("pages", main=True, boilerplate=True))
 def content_blocks_main(t):
-    """Main-content blocks of every rendered page: filters, dedup, cap 100."""
+    """Main-content blocks of every rendered page: filters, dedup."""
     return B.content_blocks_main(t.pages)
 
 
@@ -164,11 +164,11 @@ def block_dedup(t):
     return B.block_dedup(raw)
 
 
-@query("block_cap", oracle=blocks_sql("documents", main=False, boilerplate=False).replace(
+@query("block_cap", oracle=blocks_sql("documents", main=False, boilerplate=False, cap=100).replace(
     "FROM documents)",
     "FROM (SELECT doc_id AS page_id, '<p>' || replace(text, chr(10), '</p><p>') || '</p>' AS html FROM documents))"))
 def block_cap(t):
     """First 100 blocks per document (documents as html fragments: many exceed 100)."""
     docs = t.documents.select(F.col("doc_id").alias("page_id"),
                               F.concat(F.lit("<p>"), F.regexp_replace("text", r"\n", "</p><p>"), F.lit("</p>")).alias("html"))
-    return B.content_blocks_html(docs)
+    return B.content_blocks_html(docs, cap=100)

@@ -12,13 +12,15 @@ from pagelens.functions import color as C
 from pagelens.operators import brand as BR
 from pagelens.operators import tree as TR
 from pagelens.plans.registry import query
+from pagelens.sources.fixtures import with_views
 
 BP_SQL = """bp AS (SELECT site_id, page_id, page_rank FROM (
   SELECT p.site_id, p.id AS page_id, row_number() OVER (PARTITION BY p.site_id ORDER BY p.menu_order, p.id) AS page_rank
   FROM posts p WHERE p.post_type IN ('page', 'post') AND p.post_status = 'publish'
     AND p.id IN (SELECT page_id FROM builder_trees)) WHERE page_rank <= 10)"""
+ALL_SQL = BP_SQL.replace(" WHERE page_rank <= 10", "")
 
-ST_SQL = f"""{BP_SQL},
+ST_SQL = f"""{ALL_SQL},
 nodes AS (
   SELECT bp.site_id, bp.page_rank, jt.value AS node,
     list_transform(regexp_extract_all(jt.fullkey, '\\[(\\d+)\\]', 1), lambda x: CAST(x AS INTEGER)) AS path
@@ -50,11 +52,9 @@ cr AS (SELECT site_id, page_rank, path, key, {_norm_sql('s')} AS color FROM st
 cr2 AS (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY page_rank, path, key) AS ord FROM cr
         WHERE color IS NOT NULL),
 cf AS (SELECT site_id, color, CAST(count(*) AS BIGINT) AS count, min(ord) AS first_ord,
-         string_agg(key, ',' ORDER BY ord) AS contexts FROM cr2 GROUP BY site_id, color)"""
-
-
-def _pages(t):
-    return BR.analyzed_nodes(t.posts, t.builder_trees)
+         string_agg(key, ',' ORDER BY ord) FILTER (WHERE fresh) AS contexts
+       FROM (SELECT *, row_number() OVER (PARTITION BY site_id, color, key ORDER BY ord) = 1 AS fresh FROM cr2)
+       GROUP BY site_id, color)"""
 
 
 def _settings(t):
@@ -372,7 +372,7 @@ UNION ALL SELECT site_id, 'spacing', 'container_width', 0, container_width, NULL
   WHERE container_width IS NOT NULL
 UNION ALL SELECT site_id, 'meta', m.slot, 0, CASE m.slot WHEN 'pagesAnalyzed' THEN CAST(n AS VARCHAR)
     WHEN 'version' THEN '1' ELSE 'draft' END, NULL, NULL, NULL
-  FROM (SELECT site_id, count(*) AS n FROM {sub('builder_pages_limit')} GROUP BY site_id) p,
+  FROM (SELECT site_id, count(*) AS n FROM ({with_views(f"WITH {ALL_SQL} SELECT * FROM bp", "posts", "builder_trees")}) GROUP BY site_id) p,
        (VALUES ('pagesAnalyzed'), ('version'), ('status')) m(slot)"""
 
 
@@ -383,7 +383,7 @@ def brand_tokens(t):
     kit = BR.kit_tokens(t.kit_settings)
     cm = BR.color_merge(kit, BR.top_k(BR.color_frequency(st), BR.TOP_COLORS))
     fm = BR.font_merge(kit, BR.top_k(BR.font_frequency(st), BR.TOP_FONTS))
-    pages = BR.builder_pages_limit(t.posts, t.builder_trees)
+    pages = BR.builder_pages(t.posts).join(t.builder_trees.select("page_id"), "page_id", "left_semi")
     return BR.brand_token_rows(BR.color_slots(cm), BR.font_slots(fm), BR.spacing_tokens(st), pages)
 
 

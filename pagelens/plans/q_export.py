@@ -319,12 +319,12 @@ def pagination_totals(t):
 
 
 @query("internal_links_map", oracle="""
-SELECT CAST(least(count(*), 100) AS BIGINT) AS total_pages,
+SELECT CAST(count(*) AS BIGINT) AS total_pages,
   'Full internal linking graph requires additional processing' AS note
 FROM posts WHERE post_type IN ('page', 'post') AND post_status = 'publish'
 """, views=("posts",))
 def internal_links_map(t):
-    """min(100, published content count) and the reference's note."""
+    """The published content count and the note that goes with it."""
     return X.internal_links_map(X.load_pages(t.posts))
 
 

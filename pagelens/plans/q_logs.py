@@ -117,7 +117,7 @@ def export_logs(t):
     return out.select(*[c.strip() for c in LOG_COLS.split(",")], "total_records")
 
 
-REDACT_SQL = """regexp_replace({x}, '("(?i:api_key|password|secret|token|authorization)"\\s*:\\s*)("(?:[^"\\\\]|\\\\.)*"|-?[0-9][0-9.eE+-]*|true|false|null)', '\\1"[REDACTED]"', 'g')"""
+REDACT_SQL = """regexp_replace({x}, '("(?i:api_key|password|secret|token|authorization)"\\s*:\\s*)("(?:[^"\\\\]|\\\\.)*"|-?[0-9][0-9.eE+-]*|true|false|null|\\{{[^{{}}]*\\}}|\\[[^\\]]*\\])', '\\1"[REDACTED]"', 'g')"""
 
 
 @query("redact_sensitive", oracle=f"""
@@ -143,8 +143,8 @@ SELECT md5(slug) AS correlation_id, 'publish_start' AS action, 'info' AS status,
   CAST(request_id AS BIGINT) AS page_id, slug AS page_slug,
   CAST(request_id % 900 AS BIGINT) AS response_time_ms,
   CASE WHEN request_id % 7 = 0 THEN 'E' || CAST(request_id AS VARCHAR) END AS error_message,
-  '{"slug":"' || slug || '","api_key":"[REDACTED]"}' AS request_data,
-  CAST(NULL AS VARCHAR) AS response_data, requested_at AS created_at
+  '{"slug":"' || slug || '","api_key":"[REDACTED]","authorization":"[REDACTED]"}' AS request_data,
+  '0.0.0.0' AS user_ip, '{"data":[{"token":"[REDACTED]"}]}' AS response_data, requested_at AS created_at
 FROM publish_requests
 """, views=("publish_requests",))
 def append_log(t):
@@ -154,7 +154,9 @@ def append_log(t):
         F.col("request_id").alias("page_id"), F.col("slug"),
         (F.col("request_id") % 900).alias("response_time_ms"),
         F.when(F.col("request_id") % 7 == 0, F.concat(F.lit("E"), F.col("request_id").cast("string"))).alias("error"),
-        F.struct(F.col("slug"), F.concat(F.lit("k"), F.col("request_id").cast("string")).alias("api_key")).alias("request"),
+        F.struct(F.col("slug"), F.concat(F.lit("k"), F.col("request_id").cast("string")).alias("api_key"),
+                 F.struct(F.col("slug").alias("bearer")).alias("authorization")).alias("request"),
+        F.struct(F.array(F.struct(F.array(F.col("slug")).alias("token"))).alias("data")).alias("response"),
     ))
     calls = r.select(F.md5("slug").alias("correlation_id"), F.lit("publish_start").alias("action"),
                      F.lit(None).cast("string").alias("status"), data.alias("data"),

@@ -390,7 +390,7 @@ fv AS (SELECT request_id, post_id, seo_plugin, 'title' AS f, meta_title AS v, '_
   UNION ALL SELECT request_id, post_id, seo_plugin, 'description', meta_description, '_echo5_seo_description' FROM r
   UNION ALL SELECT request_id, post_id, seo_plugin, 'focus_keyword', focus_keyword, '_echo5_focus_keyword' FROM r),
 nz AS (SELECT * FROM fv WHERE NOT {falsy_sql('v')})
-SELECT nz.request_id, nz.post_id, km.meta_key, nz.v AS meta_value FROM nz JOIN km ON km.plugin = nz.seo_plugin AND km.field = nz.f
+SELECT nz.request_id, nz.post_id, km.meta_key, nz.v AS meta_value FROM nz JOIN km ON km.plugin = nz.seo_plugin AND km.field = nz.f AND km.meta_key <> nz.g
 UNION ALL SELECT request_id, post_id, g, v FROM nz
 UNION ALL SELECT request_id, post_id, 'post_excerpt', meta_description FROM r WHERE NOT {falsy_sql('meta_description')}
 UNION ALL SELECT request_id, post_id, '_echo5_seo_managed', '1' FROM r
@@ -580,12 +580,13 @@ def media_upload_summary(t):
 
 @query("orphan_media", oracle="""
 WITH c AS (SELECT id, source_url, post_date FROM attachments WHERE post_parent = 0 AND uploaded_by_us
-           AND post_date < TIMESTAMP '2024-03-01 00:00:00' - INTERVAL 30 DAY ORDER BY post_date DESC, id DESC LIMIT 100)
+           AND post_date < TIMESTAMP '2024-03-01 00:00:00' - INTERVAL 30 DAY)
 SELECT * FROM c WHERE id NOT IN (SELECT TRY_CAST(meta_value AS BIGINT) FROM postmeta
                                  WHERE meta_key = '_thumbnail_id' AND TRY_CAST(meta_value AS BIGINT) IS NOT NULL)
+ORDER BY post_date DESC, id DESC LIMIT 100
 """, views=("attachments", "postmeta"))
 def orphan_media(t):
-    """Orphaned uploads to delete: newest 100 candidates older than 30 days, not a featured image."""
+    """Orphaned uploads to delete: the newest 100 older than 30 days that are no featured image."""
     return M.orphan_media(t.attachments, t.postmeta, "2024-03-01 00:00:00", 30, 100)
 
 

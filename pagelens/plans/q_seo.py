@@ -188,7 +188,7 @@ SELECT CAST(p.id AS BIGINT) AS id, d.path FROM posts p JOIN d ON d.site_id = p.s
 def distinct_plugins(t):
     """Active plugin paths per published post's site: site list + network list (site 0's), distinct."""
     sp = t.site_plugins
-    network = sp.filter(F.col("site_id") == 0).select("path").distinct()
+    network = sp.filter(F.col("site_id") == 0).select(F.col("site_id").alias("network_id"), "path")
     paths = S.distinct_plugins(sp, network)
     return (t.posts.filter(F.col("post_status") == "publish").join(paths, "site_id")
             .select(F.col("id").cast("bigint").alias("id"), "path"))

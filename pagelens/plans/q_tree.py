@@ -137,10 +137,10 @@ c AS ({_cand(0, _HDR, 'title', 10, "widgetType = 'heading'")}
 d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id, regexp_replace(text, '[^a-z0-9]+', '', 'g')
                                                  ORDER BY path, k) AS rn FROM c) WHERE rn = 1)
 SELECT page_id, CAST(pos AS INTEGER) AS pos, tag, text FROM (
-  SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY path, k) AS pos FROM d) WHERE pos <= 100
+  SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY path, k) AS pos FROM d)
 """, views=("builder_trees",))
 def tree_blocks(t):
-    """Content blocks from builder widgets (heading, boxes, CTA, text widgets), dedup, cap 100."""
+    """Content blocks from builder widgets (heading, boxes, CTA, text widgets), dedup."""
     return TR.tree_blocks(TR.tree_nodes(t.builder_trees))
 
 

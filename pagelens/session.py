@@ -71,14 +71,16 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) a fresh scratch folder is
-    created and set; on a cluster the configured shared folder is always used.
+    Only when a local session names none (tests) a fresh scratch folder is created
+    and set; on a cluster a missing setting is an error, never a machine's own folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext._jsc.sc().getCheckpointDir()
         d = d.get() if d.isDefined() else None
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
         d = tempfile.mkdtemp(prefix="pagelens-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

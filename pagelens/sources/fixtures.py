@@ -93,7 +93,8 @@ SELECT event_id AS id, md5(concat(CAST(user_id AS STRING), '-', CAST(CAST(ts AS
   CASE event_type WHEN 'error' THEN 'error' WHEN 'purchase' THEN 'success' ELSE 'info' END AS status,
   user_id AS page_id, concat('slug-', CAST(user_id AS STRING)) AS page_slug,
   concat('10.', CAST(user_id % 4 AS STRING), '.', CAST(user_id % 16 AS STRING), '.', CAST(user_id % 250 AS STRING)) AS user_ip,
-  concat('{"API_Key":"k', CAST(event_id AS STRING), '","slug":"s"}') AS request_data,
+  CASE WHEN event_id % 5 = 0 THEN concat('{"authorization":{"bearer":"b', CAST(event_id AS STRING), '"},"slug":"s","token":["t",1],"secret":2}')
+    ELSE concat('{"API_Key":"k', CAST(event_id AS STRING), '","slug":"s"}') END AS request_data,
   CASE WHEN event_type = 'purchase' THEN CASE WHEN event_id % 2 = 0 THEN '{"action":"created"}' ELSE '{"action":"updated"}' END END AS response_data,
   CASE WHEN event_type = 'error' THEN concat('E', CAST(event_id % 7 AS STRING)) END AS error_message,
   CASE WHEN event_type <> 'view' THEN CAST(floor(value * 10) AS INT) END AS response_time_ms,

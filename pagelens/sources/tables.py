@@ -53,18 +53,5 @@ class Tables:
         return self.spark.sql(FIXTURE_SQL[name])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin rows over all cores when the input has fewer splits than cores.
-
-    For CPU-bound row-local work on wide rows (regexes over html). Decided
-    from the planned scan (file splits) without reading data; on a cluster
-    reading many files this is a no-op.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def as_of_col(as_of: str | None = None):
     return F.to_timestamp(F.lit(as_of or AS_OF))
