@@ -19,6 +19,9 @@ Design (all JVM-side, no Python):
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,14 +44,8 @@ INLINE = (
 )
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
         "source", "track", "wbr")
-# Named entities decoded in text (``&amp;`` last so it is not
-# decoded twice); other entities are left as written.
-ENTITIES = (
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-    ("&apos;", "'"), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"),
-    ("&hellip;", "…"), ("&mdash;", "—"), ("&ndash;", "–"), ("&lsquo;", "‘"),
-    ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&amp;", "&"),
-)
+# All named character references that end in a semicolon, from Python's own table of the HTML standard.
+NAMED_ENTITIES = {name: char for name, char in html5.items() if name.endswith(";")}
 WS_CLASS = "[ \\t\\n\\r\\f\\x0B]"
 BIG = 2 ** 31 - 1
 
@@ -68,30 +65,22 @@ def codepoint_to_str(cp: Column) -> Column:
     return F.decode(F.unhex(hexs), "UTF-8")
 
 
-NUMERIC_ENTITY_RE = r"^&#([xX]?)([0-9A-Fa-f]+);"
-
-
-def decode_numeric_entities(c: Column) -> Column:
-    """``&#NNN;`` / ``&#xHH;`` -> character (only for text that contains ``&#``)."""
-    def piece(p):
-        m_hex = F.regexp_extract(p, NUMERIC_ENTITY_RE, 1)
-        digits = F.regexp_extract(p, NUMERIC_ENTITY_RE, 2)
-        cp = F.when(m_hex != "", F.conv(digits, 16, 10)).otherwise(
-            F.when(digits.rlike("^[0-9]+$"), digits)).cast("bigint")
-        ch = codepoint_to_str(cp)
-        rest = F.regexp_replace(p, NUMERIC_ENTITY_RE, "")
-        return F.when(p.rlike(NUMERIC_ENTITY_RE) & ch.isNotNull() & (cp > 0), F.concat(ch, rest)).otherwise(p)
-    parts = F.split(c, "(?=&#)")
-    return F.when(F.contains(c, F.lit("&#")), F.array_join(F.transform(parts, piece), "")).otherwise(c)
+ENTITY_RE = r"^(?:#[xX]([0-9A-Fa-f]+)|#([0-9]+)|([A-Za-z][A-Za-z0-9]*));"
 
 
 def decode_entities(c: Column) -> Column:
-    """Named entities of the fixed list, numeric entities, then ``&amp;`` last."""
-    for ent, ch in ENTITIES[:-1]:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    c = decode_numeric_entities(c)
-    ent, ch = ENTITIES[-1]
-    return F.replace(c, F.lit(ent), F.lit(ch))
+    """Character references, named and numeric, decoded once; unknown ones stay as written."""
+    names = F.from_json(F.lit(json.dumps(NAMED_ENTITIES)), "map<string,string>")
+
+    def piece(p, i):
+        part = lambda g: F.regexp_extract(p, ENTITY_RE, g)
+        cp = F.when(part(1) != "", F.conv(part(1), 16, 10)).when(part(2) != "", part(2)).try_cast("bigint")
+        char = F.when(part(3) != "", F.try_element_at(names, F.concat(part(3), F.lit(";")))).when(cp > 0, codepoint_to_str(cp))
+        whole = F.length(F.regexp_extract(p, ENTITY_RE, 0))
+        return (F.when(i == 0, p).when(char.isNotNull(), F.concat(char, F.substring(p, whole + 1, F.length(p))))
+                .otherwise(F.concat(F.lit("&"), p)))
+
+    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(F.split(c, "&"), piece), "")).otherwise(c)
 
 
 def clean_html(c: Column) -> Column:

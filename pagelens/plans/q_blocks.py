@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import html.entities
+
 from pyspark.sql import functions as F
 
 from pagelens.operators import blocks as B
@@ -16,9 +18,18 @@ WS = "[ \\t\\n\\r\\f\\x0B]"
 
 
 def _decode(x: str) -> str:
-    for ent, ch in B.ENTITIES:
-        x = f"replace({x}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
-    return x
+    """Named and numeric character references decoded piece by piece (names from the HTML standard's table)."""
+    q = lambda v: "'" + v.replace("'", "''") + "'"
+    named = {k: v for k, v in html.entities.html5.items() if k.endswith(";")}
+    table = f"MAP {{{', '.join(f'{q(k)}: {q(v)}' for k, v in named.items())}}}"
+    name = "regexp_extract(p, '^[A-Za-z][A-Za-z0-9]*;', 0)"
+    dec = "regexp_extract(p, '^#([0-9]+);', 1)"
+    hexa = "regexp_extract(p, '^#[xX]([0-9A-Fa-f]+);', 1)"
+    one = (f"CASE WHEN {name} <> '' AND len(map_extract({table}, {name})) > 0 THEN map_extract({table}, {name})[1] || substr(p, length({name}) + 1) "
+           f"WHEN {dec} <> '' THEN chr(CAST({dec} AS INTEGER)) || regexp_replace(p, '^#[0-9]+;', '') "
+           f"WHEN {hexa} <> '' THEN chr(CAST('0x' || {hexa} AS INTEGER)) || regexp_replace(p, '^#[xX][0-9A-Fa-f]+;', '') ELSE '&' || p END")
+    return (f"CASE WHEN contains({x}, '&') THEN string_split({x}, '&')[1] || "
+            f"array_to_string(list_transform(string_split({x}, '&')[2:], lambda p: {one}), '') ELSE {x} END")
 
 
 def tokens_sql(src: str) -> str:
