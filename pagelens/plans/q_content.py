@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pagelens.functions import html as H
 from pagelens.functions import text as T
+from pagelens.functions import url as U
 from pagelens.operators import blocks as B
 from pagelens.operators import export as X
 from pagelens.operators import publish as P
@@ -322,22 +324,85 @@ SEO_COLS = ("meta_title", "meta_description", "focus_keyword", "canonical_url",
             "og_description", "og_image", "twitter_title", "twitter_description", "twitter_image")
 
 
-@query("page_full", oracle=f"""
-SELECT r.*, {", ".join("s." + c for c in SEO_COLS)}, a.author_name, a.author_email, t.categories, t.tags
-FROM {_sub('export_record')} r
+# Columns that the full record takes over from the flat export record.
+REC_COLS = ("id", "type", "url", "slug", "path", "title", "status", "published_date", "modified_date", "excerpt", "has_blocks",
+            "h1_count", "internal_count", "external_count", "html_length", "heading_count")
+
+
+def _page_full_sql() -> str:
+    from pagelens.plans.duck import wc_sql
+    from pagelens.plans.q_export import HEADINGS_SQL
+    post_src = "(SELECT id AS page_id, post_content AS html, url FROM posts)"
+    levels = ", ".join(f"'\"h{i}\":' || coalesce(to_json(list(text ORDER BY pos) FILTER (WHERE level = 'h{i}')), '[]')" for i in range(1, 7))
+    links = links_sql(post_src)
+    images = REGISTRY["extract_images"].oracle.replace("FROM enriched_pages)", f"FROM {post_src})")
+    half = lambda kind: f"coalesce(to_json(list({{'url': url, 'text': text}} ORDER BY pos) FILTER (WHERE kind = '{kind}')), '[]')"
+    wc = wc_sql("trim(concat(content_text, ' ', coalesce(bt.text, '')))")
+    return f"""
+WITH p AS (SELECT id, post_content AS content_html, {strip_sql('post_content')} AS content_text FROM posts),
+hd AS (SELECT page_id, '{{' || concat_ws(',', {levels}) || '}}' AS headings FROM ({HEADINGS_SQL.format(strip=strip_sql("raw"), src=post_src)}) GROUP BY page_id),
+lk AS (SELECT page_id, '{{"internal":' || {half('internal')} || ',"external":' || {half('external')} || '}}' AS links FROM ({links}) GROUP BY page_id),
+im AS (SELECT page_id, 0 AS g, pos, src, alt, source FROM ({images}) UNION ALL SELECT page_id, 1, pos, src, alt, source FROM {_sub('tree_images')}
+  UNION ALL SELECT page_id, 2, pos, src, alt, source FROM {_sub('flat_builder_images')}),
+ig AS (SELECT page_id, to_json(list({{'src': src, 'alt': alt, 'source': source}} ORDER BY g, pos)) AS images FROM im GROUP BY page_id),
+cb AS (SELECT page_id, to_json(list({{'tag': tag, 'text': text}} ORDER BY pos)) AS content_blocks FROM {_sub('content_blocks_smart')} GROUP BY page_id),
+js AS (SELECT page_id, '[' || string_agg(json, ',' ORDER BY pos) || ']' AS schema FROM {_sub('extract_jsonld')} GROUP BY page_id),
+bt AS (SELECT page_id, text FROM {_sub('builder_text')}),
+fi AS (SELECT pm.post_id, a.source_url FROM (SELECT post_id, TRY_CAST(arg_min(meta_value, meta_id) AS BIGINT) AS aid FROM postmeta
+  WHERE meta_key = '_thumbnail_id' GROUP BY post_id) pm JOIN attachments a ON a.id = pm.aid),
+tp AS (SELECT post_id, arg_min(meta_value, meta_id) AS template FROM postmeta WHERE meta_key = '_wp_page_template' GROUP BY post_id)
+SELECT {", ".join("r." + c for c in REC_COLS)}, p.content_html, p.content_text, {wc} AS word_count,
+  CAST(ceil({wc} / 200) AS BIGINT) AS reading_time,
+  coalesce(hd.headings, '{{"h1":[],"h2":[],"h3":[],"h4":[],"h5":[],"h6":[]}}') AS headings,
+  coalesce(lk.links, '{{"internal":[],"external":[]}}') AS links, coalesce(ig.images, '[]') AS images,
+  coalesce(cb.content_blocks, '[]') AS content_blocks, coalesce(js.schema, '[]') AS schema,
+  fi.source_url AS featured_image, coalesce(tp.template, '') AS template,
+  {", ".join("s." + c for c in SEO_COLS)}, a.author_name, a.author_email, t.categories, t.tags
+FROM {_sub('export_record')} r JOIN p ON p.id = r.id
+LEFT JOIN hd ON hd.page_id = r.id LEFT JOIN lk ON lk.page_id = r.id LEFT JOIN ig ON ig.page_id = r.id
+LEFT JOIN cb ON cb.page_id = r.id LEFT JOIN js ON js.page_id = r.id LEFT JOIN bt ON bt.page_id = r.id
+LEFT JOIN fi ON fi.post_id = r.id LEFT JOIN tp ON tp.post_id = r.id
 LEFT JOIN {_sub('seo_fallbacks')} s ON s.id = r.id
 LEFT JOIN {_sub('join_author')} a ON a.id = r.id
 LEFT JOIN (SELECT post_id, string_agg(name, ',' ORDER BY term_id) FILTER (WHERE taxonomy = 'category') AS categories,
              string_agg(name, ',' ORDER BY term_id) FILTER (WHERE taxonomy = 'post_tag') AS tags
-           FROM {_sub('join_terms')} GROUP BY post_id) t ON t.post_id = r.id""")
-def page_full(t):
-    """Full export record per published post: base, content stats, seo record, author, categories, tags.
+           FROM {_sub('join_terms')} GROUP BY post_id) t ON t.post_id = r.id"""
+
+
+def _json_list(rows, order, fields, name, keep=None):
+    """Per page the rows as one JSON text, in order."""
+    st = F.struct(*order, F.struct(*fields).alias("_v"))
+    return rows.groupBy(F.col("page_id").cast("bigint").alias("id")).agg(
+        F.to_json(F.transform(F.array_sort(F.collect_list(st)), lambda x: x["_v"]), {"ignoreNullFields": "false"}).alias(name))
+
 
-    Flattened to scalar columns (the JSON envelope is ``write_export_json``);
-    each part is a per-post aggregate joined on the post id.
+def full_records(t):
+    """The full export record per published post, flattened; nested parts are JSON text.
+
+    Row-local parts (content, headings, links) are columns of one projection over
+    posts; the rest is joined on the post id from per-page aggregates.
     """
     posts = X.load_pages(t.posts)
-    rec = X.export_record(t.posts)
+    content = F.col("post_content")
+    links = H.links(content, U.url_host(F.col("url")))
+    kind = lambda k: F.transform(F.filter(links, lambda x: x["kind"] == k), lambda x: F.struct(x["url"].alias("url"), x["text"].alias("text")))
+    base = posts.select(
+        F.col("id").cast("bigint").alias("id"), content.alias("content_html"), T.strip_tags(content).alias("content_text"),
+        F.to_json(H.heading_map(content)).alias("headings"),
+        F.to_json(F.struct(kind("internal").alias("internal"), kind("external").alias("external"))).alias("links"))
+    rec = X.export_record(t.posts).select(*REC_COLS)
+    nodes = TR.tree_nodes(t.builder_trees)
+    text = TR.builder_text([TR.tree_text(nodes), TR.flat_builder_text(t.flat_builder)])
+    images = X.page_images(posts, "id", "post_content").select(F.lit(0).alias("_g"), "page_id", "pos", "src", "alt", "source")
+    for g, more in enumerate((TR.tree_images(nodes, t.attachments), TR.flat_builder_images(t.flat_builder, t.attachments)), 1):
+        images = images.unionByName(more.select(F.lit(g).alias("_g"), "page_id", "pos", "src", "alt", "source"))
+    blocks = B.content_blocks_smart(B.content_blocks_main(t.pages), TR.tree_blocks(nodes),
+                                    B.content_blocks_html(t.posts, id_col="id", html_col="post_content"))
+    ld = X.page_jsonld(t.enriched_pages).groupBy(F.col("page_id").cast("bigint").alias("id")).agg(F.concat(
+        F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "json"))), lambda x: x["json"]), ","), F.lit("]")).alias("schema"))
+    template = S.load_postmeta(t.postmeta, ["_wp_page_template"]).select(F.col("post_id").cast("bigint").alias("id"), F.col("meta_value").alias("template"))
+    featured = S.featured_images(t.postmeta, t.attachments).select(F.col("post_id").cast("bigint").alias("id"), "featured_image")
+
     seo = S.seo_resolve(t.posts, t.postmeta, t.site_plugins)
     exc = t.posts.select(F.col("id").cast("bigint").alias("id"),
                          T.excerpt(F.col("post_excerpt"), F.col("post_content")).alias("excerpt"))
@@ -352,13 +417,30 @@ def page_full(t):
     terms = tr.groupBy(F.col("post_id").alias("id")).agg(
         F.when(F.count_if(F.col("taxonomy") == "category") > 0, names("category")).alias("categories"),
         F.when(F.count_if(F.col("taxonomy") == "post_tag") > 0, names("post_tag")).alias("tags"))
-    return (rec.join(seo_rec, "id", "left").join(author, "id", "left").join(terms, "id", "left"))
+    j = rec.join(base, "id")
+    for part in (text.select(F.col("page_id").cast("bigint").alias("id"), F.col("text").alias("_builder")),
+                 _json_list(images, ("_g", "pos"), ("src", "alt", "source"), "images"),
+                 _json_list(blocks, ("pos",), ("tag", "text"), "content_blocks"),
+                 ld, template, featured, seo_rec, author, terms):
+        j = j.join(part, "id", "left")
+    words = T.word_count(F.trim(F.concat("content_text", F.lit(" "), F.coalesce("_builder", F.lit("")))))
+    j = j.withColumns({"word_count": words, **{c: F.coalesce(c, F.lit("[]")) for c in ("images", "content_blocks", "schema")},
+                       "template": F.coalesce("template", F.lit(""))})
+    return j.withColumn("reading_time", T.reading_time(F.col("word_count"))).select(
+        *REC_COLS, "content_html", "content_text", "word_count", "reading_time", "headings", "links", "images", "content_blocks",
+        "schema", "featured_image", "template", *SEO_COLS, "author_name", "author_email", "categories", "tags")
+
+
+@query("page_full", oracle=_page_full_sql(), views=("posts", "postmeta", "attachments"))
+def page_full(t):
+    """Full export record per published post: content, headings, blocks, images, links, seo, schema, author, terms, template."""
+    return full_records(t)
 
 
-@query("write_export_json", oracle=REGISTRY["export_record"].oracle)
+@query("write_export_json", oracle=_page_full_sql(), views=("posts", "postmeta", "attachments"))
 def write_export_json(t):
-    """Export records written as JSON lines (+ pagination totals) and read back with the records' schema."""
+    """Full records written as JSON lines (with pagination totals) and read back with the records' schema."""
     from pagelens.sources.sinks import write_export_json as write
-    records = X.export_record(t.posts)
-    out = write(records, "export_record")
+    records = full_records(t)
+    out = write(records, "page_full")
     return t.spark.read.schema(records.schema).json(out + "/data")
