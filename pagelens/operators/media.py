@@ -31,10 +31,25 @@ def mime_extension(mime) -> Column:
     return out
 
 
+def sniffed_type(head_hex) -> Column:
+    """MIME type told from an image's first bytes (hex text); NULL when they are none of the accepted types'."""
+    h = F.upper(col(head_hex))
+    return (F.when(h.startswith("FFD8FF"), "image/jpeg").when(h.startswith("89504E470D0A1A0A"), "image/png")
+            .when(h.startswith("474946383761") | h.startswith("474946383961"), "image/gif")
+            .when(h.startswith("52494646") & (F.substring(h, 17, 8) == "57454250"), "image/webp"))
+
+
 def image_accept(images: DataFrame, url_col: str = "source_url", mime_col: str = "mime_type",
-                 size_col: str = "n_bytes") -> DataFrame:
-    """Upload checks: valid url, supported type, size <= 10 MB; reason of the first failure."""
-    ok_type = F.col(mime_col).isin(*[t for t, _ in MIME_EXT])
+                 size_col: str = "n_bytes", head_col: str | None = "head_hex") -> DataFrame:
+    """Upload checks: valid url, supported type, size <= 10 MB; reason of the first failure.
+
+    A type that is not supported as declared is told from the first bytes (``head_col``, hex), if there are any.
+    """
+    types = [t for t, _ in MIME_EXT]
+    declared = F.col(mime_col)
+    if head_col in images.columns:
+        images = images.withColumn(mime_col, F.when(declared.isin(*types), declared).otherwise(F.coalesce(sniffed_type(head_col), declared)))
+    ok_type = F.coalesce(F.col(mime_col).isin(*types), F.lit(False))
     reason = (F.when(~is_valid_url(F.col(url_col)), F.lit("invalid_url"))
               .when(~ok_type, F.lit("invalid_type"))
               .when(F.col(size_col) > MAX_FILE_SIZE, F.lit("file_too_large")))

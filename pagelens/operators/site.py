@@ -8,7 +8,7 @@ turns the join into a broadcast when the measured side is small.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagelens.operators.export import EDITABLE
@@ -109,12 +109,18 @@ def slug_exists(requests: DataFrame, posts: DataFrame, slug_col: str = "slug") -
 
 
 def menu_structure(items: DataFrame) -> DataFrame:
-    """Menu -> items (menu, id, title, url, parent_id, order); items order by (order, id).
+    """Menu -> items (menu, position, id, title, url, parent_id, order), numbered from 1 by (order, id).
 
-    The ordering keys are kept instead of a per-menu rank: ranking would sort a
-    whole (possibly huge) menu in one task; consumers sort by (order, id).
+    A position is the number of items with a smaller order plus the rank among those of the
+    same order, so only a menu's distinct orders are sorted in one task, never all its items.
     """
-    return items.select("menu", "id", "title", "url", "parent_id", F.col("menu_order").alias("order"))
+    before = Window.partitionBy("menu").orderBy("menu_order").rowsBetween(Window.unboundedPreceding, -1)
+    orders = (items.groupBy("menu", "menu_order").agg(F.count(F.lit(1)).alias("_n"))
+              .select("menu", "menu_order", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    rank = F.row_number().over(Window.partitionBy("menu", "menu_order").orderBy("id"))
+    return (items.join(orders, ["menu", "menu_order"])
+            .select("menu", (F.col("_before") + rank).cast("bigint").alias("position"), "id", "title", "url", "parent_id",
+                    F.col("menu_order").alias("order")))
 
 
 def version_count(versions: DataFrame) -> DataFrame:

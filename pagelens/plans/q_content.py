@@ -17,6 +17,7 @@ from pagelens.operators import widgets as W
 from pagelens.plans.duck import host_sql, path_sql, strip_sql
 from pagelens.plans.q_export import links_sql
 from pagelens.plans.registry import REGISTRY, query
+from pagelens.sources.fixtures import FIXTURE_SQL
 
 
 def _sub(key: str, cols: str = "*") -> str:
@@ -127,18 +128,23 @@ def flat_builder_text(t):
     return TR.flat_builder_text(t.flat_builder)
 
 
+def _builder_text(t, nodes):
+    module = S.load_postmeta(t.postmeta, ["_et_pb_post_content"]).select(
+        F.col("post_id").alias("page_id"), T.strip_tags(F.col("meta_value")).alias("text"))
+    return TR.builder_text([TR.tree_text(nodes), module, TR.flat_builder_text(t.flat_builder)])
+
+
 @query("builder_text", oracle=f"""
 WITH a AS (SELECT page_id, text, 0 AS f FROM {_sub('tree_text')}),
-b AS (SELECT page_id, text, 2 AS f FROM ({FLAT_TEXT_SQL.replace('flat_builder', 'fb')}) q)
-SELECT page_id, string_agg(text, ' ' ORDER BY f) AS text FROM (SELECT * FROM a UNION ALL SELECT * FROM b)
+b AS (SELECT page_id, text, 2 AS f FROM ({FLAT_TEXT_SQL.replace('flat_builder', 'fb')}) q),
+m AS (SELECT post_id AS page_id, {strip_sql("arg_min(meta_value, meta_id)")} AS text, 1 AS f FROM pmeta
+  WHERE meta_key = '_et_pb_post_content' GROUP BY post_id)
+SELECT page_id, string_agg(text, ' ' ORDER BY f) AS text FROM (SELECT * FROM a UNION ALL SELECT * FROM m UNION ALL SELECT * FROM b)
 WHERE text IS NOT NULL AND text NOT IN ('', '0') GROUP BY page_id""".replace(
-    "WITH a AS", "WITH fb AS (" + __import__("pagelens.sources.fixtures", fromlist=["x"]).FIXTURE_SQL["flat_builder"]
-    + "),\na AS"))
+    "WITH a AS", f"WITH fb AS ({FIXTURE_SQL['flat_builder']}),\npmeta AS ({FIXTURE_SQL['postmeta']}),\na AS"))
 def builder_text(t):
-    """Builder text per page: tree text then flat-builder text, non-empty parts joined by a space."""
-    tree = TR.tree_text(TR.tree_nodes(t.builder_trees))
-    flat = TR.flat_builder_text(t.flat_builder)
-    return TR.builder_text([tree, flat])
+    """Builder text per page: tree text, module text kept in meta, flat-builder text; non-empty parts joined by a space."""
+    return _builder_text(t, TR.tree_nodes(t.builder_trees))
 
 
 @query("flat_builder_images", oracle="""
@@ -392,7 +398,7 @@ def full_records(t):
         F.to_json(F.struct(kind("internal").alias("internal"), kind("external").alias("external"))).alias("links"))
     rec = X.export_record(t.posts).select(*REC_COLS)
     nodes = TR.tree_nodes(t.builder_trees)
-    text = TR.builder_text([TR.tree_text(nodes), TR.flat_builder_text(t.flat_builder)])
+    text = _builder_text(t, nodes)
     images = X.page_images(posts, "id", "post_content").select(F.lit(0).alias("_g"), "page_id", "pos", "src", "alt", "source")
     for g, more in enumerate((TR.tree_images(nodes, t.attachments), TR.flat_builder_images(t.flat_builder, t.attachments)), 1):
         images = images.unionByName(more.select(F.lit(g).alias("_g"), "page_id", "pos", "src", "alt", "source"))

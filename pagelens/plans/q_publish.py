@@ -489,27 +489,34 @@ def publish_batch(t):
 
 # --- media ------------------------------------------------------------------------
 
-@query("image_accept", oracle="""
+MIME_SQL = """CASE WHEN mime_type IN ('image/jpeg', 'image/png', 'image/gif', 'image/webp') THEN mime_type
+    WHEN upper(head_hex) LIKE 'FFD8FF%' THEN 'image/jpeg' WHEN upper(head_hex) LIKE '89504E470D0A1A0A%' THEN 'image/png'
+    WHEN upper(head_hex) LIKE '474946383761%' OR upper(head_hex) LIKE '474946383961%' THEN 'image/gif'
+    WHEN upper(head_hex) LIKE '52494646________57454250%' THEN 'image/webp' ELSE mime_type END"""
+
+
+@query("image_accept", oracle=f"""
+WITH a AS (SELECT * REPLACE ({MIME_SQL} AS mime_type) FROM attachments)
 SELECT id, CASE WHEN NOT coalesce(regexp_matches(source_url, '^[A-Za-z][A-Za-z0-9+.-]*://[^\\s/?#]+[^\\s]*$'), false) THEN 'invalid_url'
   WHEN mime_type NOT IN ('image/jpeg', 'image/png', 'image/gif', 'image/webp') THEN 'invalid_type'
   WHEN n_bytes > 10485760 THEN 'file_too_large' END AS reason,
   CASE mime_type WHEN 'image/png' THEN 'png' WHEN 'image/gif' THEN 'gif' WHEN 'image/webp' THEN 'webp' ELSE 'jpg' END AS extension
-FROM attachments""", views=("attachments",))
+FROM a""", views=("attachments",))
 def image_accept(t):
-    """Upload checks of every attachment: url, type, size (first failing reason) and extension."""
+    """Upload checks of every attachment: url, type (declared or told from the first bytes), size; extension."""
     return M.image_accept(t.attachments).select("id", "reason", "extension")
 
 
 @query("image_filename", oracle="""
 WITH a AS (SELECT id, source_url AS u, alt,
-  CASE mime_type WHEN 'image/png' THEN 'png' WHEN 'image/gif' THEN 'gif' WHEN 'image/webp' THEN 'webp' ELSE 'jpg' END AS ext,
+  CASE {mime} WHEN 'image/png' THEN 'png' WHEN 'image/gif' THEN 'gif' WHEN 'image/webp' THEN 'webp' ELSE 'jpg' END AS ext,
   regexp_replace(regexp_extract(regexp_extract(source_url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1), '([^/]*)$', 1),
                  '\\.[^.]*$', '') AS b FROM attachments)
 SELECT id, CASE WHEN alt IS NOT NULL AND alt NOT IN ('', '0')
     THEN trim(regexp_replace(regexp_replace(lower(substr(alt, 1, 50)), '[^a-z0-9-]', '-', 'g'), '-+', '-', 'g'), '-')
     ELSE CASE WHEN b IS NULL OR b IN ('', '0') OR strlen(b) < 3 THEN 'echo5-image-' || substr(md5(u), 1, 8) ELSE b END END
   || '-' || substr(md5(u || '1709251200'), 1, 6) || '.' || ext AS filename
-FROM a""", views=("attachments",))
+FROM a""".replace("{mime}", MIME_SQL), views=("attachments",))
 def image_filename(t):
     """SEO file name of every attachment (alt-based or url-based, unique suffix at a fixed time)."""
     a = M.image_accept(t.attachments)

@@ -99,10 +99,11 @@ def slug_exists(t):
 
 
 @query("menu_structure", oracle="""
-SELECT menu, id, title, url, parent_id, menu_order AS "order" FROM menu_items
+SELECT menu, row_number() OVER (PARTITION BY menu ORDER BY menu_order, id) AS position, id, title, url, parent_id,
+  menu_order AS "order" FROM menu_items
 """, views=("menu_items",))
 def menu_structure(t):
-    """Every menu's items with their ordering keys (order, id)."""
+    """Every menu's items, numbered by (order, id)."""
     return X.menu_structure(t.menu_items)
 
 

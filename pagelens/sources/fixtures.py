@@ -49,6 +49,8 @@ UNION ALL SELECT page_id * 10 + 5, page_id, '_aioseo_title', CASE WHEN page_id %
 UNION ALL SELECT page_id * 10 + 6, page_id, '_thumbnail_id', CAST(page_id + 100000 AS STRING) FROM pages WHERE page_id % 2 = 0
 UNION ALL SELECT page_id * 10 + 7, page_id, '_echo5_seo_managed', '1' FROM pages WHERE page_id % 3 = 0
 UNION ALL SELECT page_id * 10 + 8, page_id, '_yoast_wpseo_title', 'duplicate, later meta_id' FROM pages WHERE page_id % 6 = 1
+UNION ALL SELECT page_id * 10 + 9, page_id, '_et_pb_post_content', concat('<p>Module text ', CAST(page_id AS STRING), '</p>') FROM pages WHERE page_id % 4 = 1
+UNION ALL SELECT page_id * 10, page_id, '_wp_page_template', CASE WHEN page_id % 8 = 2 THEN 'templates/wide.php' ELSE '' END FROM pages WHERE page_id % 4 = 2
 """
 
 FIXTURE_SQL["site_plugins"] = """
@@ -66,6 +68,8 @@ SELECT page_id + 100000 AS id, concat('https://cdn.example.com/img', CAST(page_i
   CASE WHEN page_id % 3 = 0 THEN '' ELSE concat('Alt ', CAST(page_id AS STRING)) END AS alt,
   CASE WHEN page_id % 4 = 0 THEN NULL ELSE 800 END AS width, CASE WHEN page_id % 4 = 0 THEN NULL ELSE 600 END AS height,
   CASE page_id % 5 WHEN 0 THEN 'image/svg+xml' WHEN 1 THEN 'image/png' ELSE 'image/jpeg' END AS mime_type,
+  CASE page_id % 25 WHEN 0 THEN 'FFD8FFE000104A464946' WHEN 5 THEN '89504e470d0a1a0a0000' WHEN 10 THEN '52494646240000005745425056503820'
+    WHEN 15 THEN '474946383961' WHEN 20 THEN '3C737667' END AS head_hex,
   CASE WHEN page_id % 6 = 0 THEN 11000000 ELSE 50000 END AS n_bytes,
   CASE WHEN page_id % 2 = 0 THEN page_id ELSE 0 END AS post_parent, page_id % 4 <> 3 AS uploaded_by_us,
   TIMESTAMP '2024-01-01 00:00:00' + INTERVAL '6' HOUR * page_id AS post_date
