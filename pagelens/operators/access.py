@@ -140,15 +140,22 @@ def failed_attempt_sessions(failures: DataFrame, key: str = "ip", ts: str = "ts"
     """Failure counter per address; each failure restarts a ``ttl_seconds`` TTL.
 
     Output adds ``session_start`` and ``attempt`` (1-based count within the
-    session) = failures in earlier buckets of the session + rank inside the
-    (address, bucket) group, so no window spans a whole hot session.
+    session) = failures in earlier buckets of the session + in earlier seconds of the
+    bucket + rank inside the (address, second) group, so no window spans a whole hot
+    session or a whole hot hour, and the join back is on the second.
     """
     e, b = _bucket_table(failures, key, ts, ttl_seconds)
-    j = e.join(b.select(key, "_b", "seg_start", "_before"), [key, "_b"])
-    w = Window.partitionBy(key, "_b").orderBy("_t", "event_id")
-    return (j.withColumn("attempt", (F.col("_before") + F.row_number().over(w)).cast("bigint"))
+    e = e.withColumn("_s", F.floor(F.col("_t") / F.lit(1_000_000)).cast("bigint"))
+    order = Window.partitionBy(key, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    seconds = (e.groupBy(key, "_b", "_s").agg(F.count(F.lit(1)).alias("_n"))
+               .withColumn("_in", F.coalesce(F.sum("_n").over(order), F.lit(0)))
+               .join(b.select(key, "_b", "seg_start", "_before"), [key, "_b"])
+               .select(key, "_b", "_s", "seg_start", (F.col("_before") + F.col("_in")).alias("_earlier")))
+    j = e.join(seconds, [key, "_b", "_s"])
+    w = Window.partitionBy(key, "_b", "_s").orderBy("_t", "event_id")
+    return (j.withColumn("attempt", (F.col("_earlier") + F.row_number().over(w)).cast("bigint"))
             .withColumn("session_start", F.timestamp_micros(F.col("seg_start")))
-            .drop("seg_start", "_before", "_b", "_t"))
+            .drop("seg_start", "_earlier", "_b", "_s", "_t"))
 
 
 RATE_SCHEMA = "event_id bigint, ip string, ts timestamp, accepted boolean"

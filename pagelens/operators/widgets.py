@@ -29,6 +29,11 @@ SECTION_TAGS = ("section", "header", "footer", "article", "main")
 HTML_WIDGET_TAGS = ("table", "form", "iframe", "video", "audio", "canvas", "svg")
 LIST_TAGS = ("ul", "ol", "blockquote")
 INLINE_TEXT_TAGS = ("span", "strong", "em", "b", "i")
+# Heading sizes by tag.
+HEADING_SIZES = (("h1", "xl"), ("h2", "large"), ("h3", "medium"), ("h4", "small"), ("h5", "small"), ("h6", "small"))
+# Icon names with a class of their own (``fa fa-<name>``) in icon boxes; other names stay as written.
+BOX_ICONS = ("wrench", "check", "star", "phone", "clock", "shield", "home", "users", "cog", "bolt", "heart", "thumbs-up", "award",
+             "certificate")
 # Data-elementor types with their own widget builders.
 SPECIAL_TYPES = ("icon-box", "icon-list", "counter", "testimonial", "call-to-action", "accordion",
                  "star-rating", "button")
@@ -49,8 +54,29 @@ def _widget_type():
             .when(name.isin(*HTML_WIDGET_TAGS), F.lit("html")))
 
 
+def _markup():
+    """A token written as html again (its tag name in lower case)."""
+    tag = F.concat(F.when(F.col("is_close"), "</").otherwise("<"), F.col("name"), F.col("attrs"), F.lit(">"))
+    return F.concat(F.when(F.col("is_tag"), tag).otherwise(F.lit("")), F.col("tail"))
+
+
+def _section_background(cls):
+    """Background of a section from its class's grey shade."""
+    shade = F.regexp_extract(cls, r"(?i)bg-(?:gray|slate|zinc|neutral|stone)-(\d+)", 1).try_cast("int")
+    return F.when(shade >= 800, "#1f2937").when(shade >= 600, "#4b5563").when(shade >= 100, "#f3f4f6")
+
+
+WIDGET_COLS = ("page_id", "section", "pos", "widgetType", "tag", "text", "src", "alt", "align", "size", "link", "content",
+               "section_background", "section_padding")
+
+
 def html_to_widgets(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """Widget rows (page_id, section, pos, widgetType, tag, text, src, alt, align)."""
+    """Widget rows: WIDGET_COLS.
+
+    ``content`` is the element's markup for lists, quotes, inline text, links, tables, forms and
+    embeds; ``link`` a link's or button's target; ``size`` a heading's size; the section columns are the
+    settings of the section that the widget stands in (background, padding top and bottom in px).
+    """
     tokens = B.html_tokens(pages, id_col, html_col)
     name, opens = F.col("name"), F.col("is_tag") & ~F.col("is_close")
     page_run = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
@@ -69,59 +95,103 @@ def html_to_widgets(pages: DataFrame, id_col: str = "page_id", html_col: str = "
     prev_end = F.max("span_end").over(Window.partitionBy("page_id").orderBy("pos")
                                       .rowsBetween(Window.unboundedPreceding, -1))
     t = t.withColumn("inside", F.coalesce(prev_end, F.lit(-1)) > F.col("pos"))
-    outer = t.filter(F.col("wtype").isNotNull() & ~F.col("inside"))
+    starts = F.col("wtype").isNotNull() & ~F.col("inside")
+    sec_cls = F.last(F.when(opens & name.isin(*SECTION_TAGS), _attr("class")), ignorenulls=True).over(page_run)
+    padding = F.regexp_extract(F.col("_sec"), r"(?i)py-(\d+)", 1).try_cast("int") * 4
+    t = t.withColumn("_sec", sec_cls).withColumns({
+        "section_background": _section_background(F.col("_sec")), "section_padding": padding.cast("bigint"),
+        "_ws": F.last(F.when(starts, F.col("pos")), ignorenulls=True).over(page_run),
+        "_we": F.last(F.when(starts, F.col("span_end")), ignorenulls=True).over(page_run),
+        "_wn": F.last(F.when(starts, name), ignorenulls=True).over(page_run)})
+    outer = t.filter(starts)
+    # the markup of every widget element, its end tag included; one aggregation on the same partitioning
+    closing = (F.col("pos") == F.col("_we")) & F.col("is_close") & (name == F.col("_wn"))
+    inner = t.filter((F.col("pos") < F.col("_we")) | closing).select(
+        "page_id", F.col("_ws").alias("pos"), F.struct(F.col("pos").alias("p"), F.when(closing, F.concat(F.lit("</"), name, F.lit(">")))
+                                                       .otherwise(_markup()).alias("m")).alias("_m"))
+    markup = inner.groupBy("page_id", "pos").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list("_m")), lambda x: x["m"]), "").alias("_markup"))
     texts = blocks.select("page_id", "pos", F.col("text").alias("block_text"))
-    w_rows = (outer.join(texts, ["page_id", "pos"], "left")
+    size = F.lit(None).cast("string")
+    for tag, value in HEADING_SIZES:
+        size = F.when(name == tag, F.lit(value)).otherwise(size)
+    whole = F.col("wtype").isin("text-editor", "html") & ~name.isin(*B.BLOCK_TAGS)
+    none_yet = F.lit(None).cast("string")
+    w_rows = (outer.join(texts, ["page_id", "pos"], "left").join(markup, ["page_id", "pos"], "left")
               .select("page_id", "section", "pos", F.col("wtype").alias("widgetType"), F.col("name").alias("tag"),
                       F.when(name.isin(*B.BLOCK_TAGS), F.col("block_text"))
                       .when(name == "a", F.trim(F.col("tail"))).alias("text"),
                       F.when(name == "img", _attr("src")).alias("src"),
                       F.when(name == "img", _attr("alt")).alias("alt"),
                       F.when(_attr("class").contains("text-center"), F.lit("center"))
-                      .when(_attr("class").contains("text-right"), F.lit("right")).alias("align"))
+                      .when(_attr("class").contains("text-right"), F.lit("right")).alias("align"),
+                      F.when(F.col("wtype") == "heading", size).alias("size"),
+                      F.when((name == "a") | (F.col("wtype") == "button"), _attr("href")).alias("link"),
+                      F.when(whole, F.col("_markup")).alias("content"), "section_background", "section_padding")
               .filter(~(F.col("tag").isin(*B.BLOCK_TAGS) & (F.coalesce("text", F.lit("")) == ""))))
     # text directly inside containers (outside every widget element)
     loose = (t.filter(~F.col("inside") & F.col("wtype").isNull() & (F.trim(F.col("tail")) != "")
                       & ~(F.col("is_tag") & ~F.col("is_close") & name.isin("title", "head")))
              .select("page_id", "section", "pos", F.lit("text-editor").alias("widgetType"),
                      F.lit(None).cast("string").alias("tag"), F.trim(F.col("tail")).alias("text"),
-                     F.lit(None).cast("string").alias("src"), F.lit(None).cast("string").alias("alt"),
-                     F.lit(None).cast("string").alias("align")))
+                     *[none_yet.alias(c) for c in ("src", "alt", "align", "size", "link", "content")],
+                     "section_background", "section_padding"))
     widgets = w_rows.unionByName(loose)
     w = Window.partitionBy("page_id").orderBy("pos")
-    out = widgets.withColumn("pos", F.row_number().over(w))
+    out = widgets.withColumn("pos", F.row_number().over(w)).select(*WIDGET_COLS)
     none = (pages.select(F.col(id_col).alias("page_id"), F.col(html_col).alias("text"))
             .join(out.select("page_id").distinct(), "page_id", "left_anti")
             .select("page_id", F.lit(0).cast("bigint").alias("section"), F.lit(1).alias("pos"),
                     F.lit("text-editor").alias("widgetType"), F.lit(None).cast("string").alias("tag"), "text",
-                    F.lit(None).cast("string").alias("src"), F.lit(None).cast("string").alias("alt"),
-                    F.lit(None).cast("string").alias("align")))
+                    *[none_yet.alias(c) for c in ("src", "alt", "align", "size", "link", "content", "section_background")],
+                    F.lit(None).cast("bigint").alias("section_padding")))
     return out.unionByName(none)
 
 
 def special_widgets(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """Elements with data-elementor="<type>": (page_id, pos, widgetType, title, text) rows.
+    """Elements with data-elementor="<type>": one row each with the settings its type reads.
 
-    ``title`` is the first heading/strong text inside the element, ``text`` its
-    first paragraph, both from the element's token span (matching close by
-    depth of the same tag name).
+    ``title`` is the first heading/strong text inside the element, ``text`` its first
+    paragraph, ``content`` all its text; counters carry number, prefix and suffix, testimonials name,
+    company, rating and image, star ratings rating and scale, icon boxes and lists their icon,
+    buttons and calls to action their link. Elements of this kind are not looked for inside one another:
+    a token belongs to the last such element that is still open.
     """
     tokens = B.html_tokens(pages, id_col, html_col)
-    t = tokens
     opens = F.col("is_tag") & ~F.col("is_close")
     special = _attr("data-elementor")
-    starts = (t.filter(opens & special.isin(*SPECIAL_TYPES))
-              .select("page_id", F.col("pos").alias("start"), special.alias("widgetType")))
-    ends = B.element_ends(tokens).select("page_id", F.col("pos").alias("start"), "end")
-    span = starts.join(ends, ["page_id", "start"], "left")
-    inner = (t.join(span, "page_id").filter((F.col("pos") > F.col("start"))
-                                            & (F.col("pos") < F.coalesce("end", F.lit(B.BIG)))))
-    pick = inner.groupBy("page_id", "start", "widgetType").agg(
-        F.min_by(F.trim(F.col("tail")), F.when(F.col("is_tag") & ~F.col("is_close")
-                                               & F.col("name").isin(*B.HEADINGS, "strong"), F.col("pos")))
-        .alias("title"),
-        F.min_by(F.trim(F.col("tail")), F.when(F.col("is_tag") & ~F.col("is_close") & (F.col("name") == "p"),
-                                               F.col("pos"))).alias("text"))
+    ends = B.element_ends(tokens)
+    t = tokens.join(ends, ["page_id", "pos"], "left")
+    run = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    is_start = opens & special.isin(*SPECIAL_TYPES)
+    icon = F.when(F.col("type") == "icon-box", F.when(F.col("icon") == "", "fa fa-star").when(
+        F.col("icon").isin(*BOX_ICONS), F.concat(F.lit("fa fa-"), F.col("icon"))).otherwise(F.col("icon")))
+    own = F.struct(F.col("pos").alias("start"), F.coalesce("end", F.lit(B.BIG)).alias("end"), special.alias("type"), *[
+        _attr(a).alias(c) for c, a in (("icon", "data-icon"), ("number", "data-number"), ("prefix", "data-prefix"), ("suffix", "data-suffix"),
+                                       ("name", "data-name"), ("company", "data-company"), ("rating", "data-rating"),
+                                       ("scale", "data-scale"), ("image", "data-image"), ("href", "href"))])
+    t = t.withColumn("_s", F.last(F.when(is_start, own), ignorenulls=True).over(run))
+    inner = t.filter(F.col("_s").isNotNull() & (F.col("pos") < F.col("_s.end")))
+    head = F.trim(F.col("tail"))
+    after = opens & (F.col("pos") > F.col("_s.start"))
+    pick = inner.groupBy("page_id", "_s").agg(
+        F.min_by(head, F.when(after & F.col("name").isin(*B.HEADINGS, "strong"), F.col("pos"))).alias("title"),
+        F.min_by(head, F.when(after & (F.col("name") == "p"), F.col("pos"))).alias("text"),
+        F.min_by(_attr("href"), F.when(after & (F.col("name") == "a"), F.col("pos"))).alias("_href"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", B.decode_entities(F.col("tail")).alias("x")))),
+                                 lambda p: p["x"]), "").alias("_all"))
+    pick = pick.select("page_id", "_s.*", "title", "text", "_href", "_all")
+    when = lambda types, c: F.when(F.col("type").isin(*types), c)
+    known = lambda c, default=None: F.when(F.col(c) != "", F.col(c)).otherwise(F.lit(default).cast("string"))
     w = Window.partitionBy("page_id").orderBy("start")
-    return (span.join(pick, ["page_id", "start", "widgetType"], "left")
-            .select("page_id", F.row_number().over(w).alias("pos"), "widgetType", "title", "text"))
+    return pick.select(
+        "page_id", F.row_number().over(w).alias("pos"), F.col("type").alias("widgetType"), "title", "text",
+        F.btrim(F.col("_all"), F.lit(" \t\n\r\x0b\x0c")).alias("content"), icon.alias("icon"),
+        when(["counter"], F.coalesce(F.regexp_extract("number", r"^\s*([+-]?\d+)", 1).try_cast("bigint"), F.lit(0))).alias("number"),
+        when(["counter"], F.col("prefix")).alias("prefix"), when(["counter"], F.col("suffix")).alias("suffix"),
+        when(["testimonial"], known("name", "Customer")).alias("name"), when(["testimonial"], known("company")).alias("company"),
+        when(["testimonial"], known("image")).alias("image"),
+        F.when(F.col("type") == "testimonial", known("rating")).when(F.col("type") == "star-rating", known("rating", "5")).alias("rating"),
+        when(["star-rating"], known("scale", "5")).alias("scale"),
+        F.when(F.col("type") == "button", F.col("href")).when(F.col("type") == "call-to-action", F.coalesce(
+            F.when(F.col("_href") != "", F.col("_href")), F.lit("#"))).alias("link"))
