@@ -127,10 +127,19 @@ def safe_update(existing, new) -> Column:
     else insert it before every ``</body>``; else append after a newline.
     """
     old, nw = col(existing), col(new)
-    full = F.regexp_extract_all(nw, F.lit(MARKER_RE), 0)
-    names = F.regexp_extract_all(nw, F.lit(MARKER_RE), 1)
-    secs = F.arrays_zip(full.alias("sec"), names.alias("name"))
+    secs = marked_sections(nw)
+    return F.when(F.size(secs) == 0, nw).otherwise(fold_sections(old, secs))
 
+
+def marked_sections(html) -> Column:
+    """The marked sections of a html text, in order: array of (sec, name)."""
+    full = F.regexp_extract_all(col(html), F.lit(MARKER_RE), 0)
+    names = F.regexp_extract_all(col(html), F.lit(MARKER_RE), 1)
+    return F.arrays_zip(full.alias("sec"), names.alias("name"))
+
+
+def fold_sections(old, secs) -> Column:
+    """The text after each section in turn has replaced its namesakes, or been inserted or appended."""
     def step(acc, s):
         pat = _section_re(s["name"])
         present = F.size(F.split(acc, pat)) > 1
@@ -139,7 +148,34 @@ def safe_update(existing, new) -> Column:
                 .when(body, F.replace(acc, F.lit("</body>"), F.concat(s["sec"], F.lit("\n</body>"))))
                 .otherwise(F.concat(acc, F.lit("\n"), s["sec"])))
 
-    return F.when(F.size(full) == 0, nw).otherwise(F.aggregate(secs, old, step))
+    return F.aggregate(col(secs), col(old), step)
+
+
+def batch_updates(requests: DataFrame, order: str = "requested_at") -> DataFrame:
+    """Per slug what a batch of requests amounts to: the last request's fields, ``base_html`` and ``sections``.
+
+    ``base_html`` is the html of the last request that replaces the whole page (no marked
+    section, or another mode than ``safe``), NULL if there is none; ``first_html`` that of the first
+    request. ``sections`` holds, of every section named since then, the newest text, in the order in
+    which the names first came: folding these gives what folding every request in turn gives. Only
+    aggregates by slug and by (slug, section): no window over html, no gathering of requests.
+    """
+    at = F.struct(order, "request_id")
+    r = requests.withColumns({"_at": at, "_secs": marked_sections("html")})
+    whole = (F.col("update_mode") != "safe") | (F.size("_secs") == 0)
+    fields = [c for c in requests.columns if c not in ("slug", "html")]
+    last = r.groupBy("slug").agg(
+        F.max_by(F.struct(*fields), F.col("_at")).alias("_r"), F.max(F.when(whole, F.col("_at"))).alias("_full_at"),
+        F.max_by("html", F.when(whole, F.col("_at"))).alias("base_html"), F.min_by("html", F.col("_at")).alias("first_html"))
+    rows = r.filter(~whole).select("slug", "_at", F.posexplode("_secs").alias("_i", "_s"))
+    rows = rows.join(last.select("slug", "_full_at"), "slug").filter(F.col("_full_at").isNull() | (F.col("_at") > F.col("_full_at")))
+    place = F.struct("_at", "_i")
+    newest = rows.groupBy("slug", F.col("_s.name").alias("_name")).agg(F.max_by("_s.sec", place).alias("sec"), F.min(place).alias("_first"))
+    per_slug = newest.groupBy("slug").agg(F.array_sort(F.collect_list(F.struct("_first", "sec", F.col("_name").alias("name")))).alias("_secs"))
+    none = F.expr("cast(array() as array<struct<sec:string,name:string>>)")
+    return (last.join(per_slug, "slug", "left")
+            .select("slug", "_r.*", "base_html", "first_html", F.coalesce(
+                F.transform("_secs", lambda x: F.struct(x["sec"].alias("sec"), x["name"].alias("name"))), none).alias("sections")))
 
 
 def wrap_content(html) -> Column:

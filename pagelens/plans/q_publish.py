@@ -116,13 +116,47 @@ m AS (SELECT request_id, post_id, CASE WHEN len(sl) = 0 THEN html ELSE list_redu
   FROM secs)"""
 
 
-@query("safe_update", oracle=f"""{SAFE_SQL}
-SELECT request_id, post_id, md5(merged) AS merged_md5, {blen('merged')} AS merged_length FROM m""",
+IN_TURN_FOLD = """list_reduce(list_prepend(old, regexp_extract_all(html, '(?s)<!-- ECHO5:START \\w+ -->.*?<!-- ECHO5:END \\w+ -->')), lambda acc, s:
+  CASE WHEN regexp_matches(acc, '(?s)<!-- ECHO5:START ' || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->.*?<!-- ECHO5:END '
+                                || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->')
+       THEN regexp_replace(acc, '(?s)<!-- ECHO5:START ' || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->.*?<!-- ECHO5:END '
+                                || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->', s, 'g')
+       WHEN contains(acc, '</body>') THEN replace(acc, '</body>', s || chr(10) || '</body>')
+       ELSE acc || chr(10) || s END)"""
+# Every request of a slug applied to the page in turn: the whole html, or its marked sections.
+IN_TURN_SQL = f"""WITH RECURSIVE {BEST_SQL},
+rq AS (SELECT r.*, best.post_id, p.post_content AS existing,
+    row_number() OVER (PARTITION BY r.slug ORDER BY r.requested_at, r.request_id) AS rn, count(*) OVER (PARTITION BY r.slug) AS n
+  FROM publish_requests r LEFT JOIN best ON best.s = r.slug LEFT JOIN posts p ON p.id = best.post_id),
+st AS (SELECT *, coalesce(existing, html) AS start FROM rq),
+ap(slug, rn, merged) AS (
+  SELECT slug, rn, CASE WHEN update_mode <> 'safe' OR NOT regexp_matches(html, '(?s)<!-- ECHO5:START (\\w+) -->.*?<!-- ECHO5:END \\w+ -->') THEN html
+      ELSE {IN_TURN_FOLD.replace('list_prepend(old,', 'list_prepend(start,')} END FROM st WHERE rn = 1
+  UNION ALL
+  SELECT slug, rn, CASE WHEN update_mode <> 'safe' OR NOT regexp_matches(html, '(?s)<!-- ECHO5:START (\\w+) -->.*?<!-- ECHO5:END \\w+ -->') THEN html
+      ELSE {IN_TURN_FOLD} END
+  FROM (SELECT st.*, ap.merged AS old FROM ap JOIN st ON st.slug = ap.slug AND st.rn = ap.rn + 1)),
+mg AS (SELECT st.*, ap.merged FROM ap JOIN st ON st.slug = ap.slug AND st.rn = ap.rn WHERE st.rn = st.n)"""
+
+
+def _merged():
+    """The page's html after all requests of the batch (a new page starts from the first request's html)."""
+    return P.fold_sections(F.coalesce("base_html", "existing", "first_html"), F.col("sections"))
+
+
+def _batch(t):
+    r = P.batch_updates(t.publish_requests)
+    found = X.find_by_slug(r, t.posts)
+    return found.join(t.posts.select(F.col("id").alias("post_id"), F.col("post_content").alias("existing")), "post_id", "left")
+
+
+@query("safe_update", oracle=f"""{IN_TURN_SQL}
+SELECT request_id, post_id, md5(merged) AS merged_md5, {blen('merged')} AS merged_length FROM mg WHERE post_id IS NOT NULL""",
        views=("posts", "publish_requests"))
 def safe_update(t):
-    """Marked sections of each request merged into its existing page (last request per slug)."""
-    e = _existing_pages(t)
-    merged = P.safe_update(F.col("existing"), F.col("html"))
+    """Existing pages after the marked sections of every request of the batch, in order of the requests."""
+    e = _batch(t).filter(F.col("post_id").isNotNull())
+    merged = _merged()
     return e.select("request_id", "post_id", F.md5(merged).alias("merged_md5"),
                     F.octet_length(merged).cast("bigint").alias("merged_length"))
 
@@ -428,25 +462,11 @@ def robots_meta(t):
     return j.select("id", "seo_plugin", F.explode(r).alias("x")).select("id", "seo_plugin", "x.meta_key", "x.meta_value")
 
 
-MERGE_SQL = """list_reduce(list_prepend(existing, sl), lambda acc, s:
-  CASE WHEN regexp_matches(acc, '(?s)<!-- ECHO5:START ' || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->.*?<!-- ECHO5:END '
-                                || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->')
-       THEN regexp_replace(acc, '(?s)<!-- ECHO5:START ' || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->.*?<!-- ECHO5:END '
-                                || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->', s, 'g')
-       WHEN contains(acc, '</body>') THEN replace(acc, '</body>', s || chr(10) || '</body>')
-       ELSE acc || chr(10) || s END)"""
 SCHEMA_RE_SQL = "'(?s)<!-- ECHO5:START SCHEMA -->.*?<!-- ECHO5:END SCHEMA -->'"
 
 
-@query("publish_batch", oracle=f"""WITH {BEST_SQL},
-last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY requested_at DESC, request_id DESC) AS rk
-                        FROM publish_requests) WHERE rk = 1),
-lb AS (SELECT l.*, best.post_id, p.post_content AS existing FROM last l LEFT JOIN best ON best.s = l.slug
-       LEFT JOIN posts p ON p.id = best.post_id),
-secs AS (SELECT *, regexp_extract_all(html, '(?s)<!-- ECHO5:START \\w+ -->.*?<!-- ECHO5:END \\w+ -->') AS sl FROM lb),
-m AS (SELECT *, CASE WHEN post_id IS NOT NULL AND update_mode = 'safe'
-                     THEN CASE WHEN len(sl) = 0 THEN html ELSE {{MERGE}} END ELSE html END AS merged FROM secs),
-w AS (SELECT *, {{WRAP}} AS wrapped FROM m),
+@query("publish_batch", oracle=f"""{IN_TURN_SQL},
+w AS (SELECT mg.*, {{WRAP}} AS wrapped FROM mg),
 sc AS (SELECT w.request_id, string_agg('<script type="application/ld+json">' || chr(10) || je.value || chr(10) || '</script>'
          || chr(10), '' ORDER BY je.key) AS scripts
        FROM w, json_each(w.schema_json) je WHERE je.value IS NOT NULL
@@ -456,26 +476,22 @@ b AS (SELECT w.*, chr(10) || '<!-- ECHO5:START SCHEMA -->' || chr(10) || coalesc
 c AS (SELECT *, CASE WHEN schema_json IS NULL OR len(json_keys(schema_json)) = 0 THEN wrapped
                      WHEN regexp_matches(wrapped, {SCHEMA_RE_SQL}) THEN regexp_replace(wrapped, {SCHEMA_RE_SQL}, block, 'g')
                      ELSE wrapped || block END AS content FROM b),
-par AS (SELECT r.request_id, CAST(coalesce(best.post_id, 0) AS BIGINT) AS post_parent FROM last r
+par AS (SELECT r.request_id, CAST(coalesce(best.post_id, 0) AS BIGINT) AS post_parent FROM mg r
         LEFT JOIN best ON best.s = r.parent_slug),
 au AS (SELECT CAST(coalesce(min(id) FILTER (WHERE lower(login) = 'echo5-seo'),
                    arg_min(id, login) FILTER (WHERE lower(display_name) = 'echo5-seo'), 1) AS BIGINT) AS author_id FROM users)
 SELECT c.request_id, c.slug, CAST(coalesce(c.post_id, 1000000000000 + c.request_id) AS BIGINT) AS post_id,
   CASE WHEN c.post_id IS NOT NULL THEN 'updated' ELSE 'created' END AS action, 'draft' AS status,
   par.post_parent, (SELECT author_id FROM au) AS author_id, md5(c.content) AS content_md5
-FROM c JOIN par ON par.request_id = c.request_id""".replace("{MERGE}", MERGE_SQL).replace(
+FROM c JOIN par ON par.request_id = c.request_id""".replace(
     "{WRAP}", WRAP_SQL.replace("html", "merged")),
        views=("posts", "publish_requests", "users"))
 def publish_batch(t):
-    """The publish flow over a batch: merge/wrap/schema, parent, author, create-or-update rows."""
-    r = P.last_request_per_slug(t.publish_requests)
-    found = X.find_by_slug(r, t.posts)
-    cur = t.posts.select(F.col("id").alias("post_id"), F.col("post_content").alias("existing"))
-    j = found.join(cur, "post_id", "left")
-    merged = F.when(F.col("post_id").isNotNull() & (F.col("update_mode") == "safe"),
-                    P.safe_update(F.col("existing"), F.col("html"))).otherwise(F.col("html"))
+    """The publish flow over a batch: all requests merged per page, then wrap, schema, parent, author, create-or-update rows."""
+    j = _batch(t)
+    merged = _merged()
     content = P.inject_schema(P.wrap_content(merged), F.from_json("schema_json", "map<string,string>"))
-    parents = X.parent_lookup(r.select("request_id", "parent_slug"), t.posts).select("request_id", "post_parent")
+    parents = X.parent_lookup(j.select("request_id", "parent_slug"), t.posts).select("request_id", "post_parent")
     # the publishing author is one value: a scalar subquery, not a join
     author = X.publisher_author(t.users).scalar()
     out = j.join(parents, "request_id", "left").withColumn("author_id", author)
