@@ -79,7 +79,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = spark.sparkContext._jsc.sc().getCheckpointDir()
         d = d.get() if d.isDefined() else None
     if not d:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
         d = tempfile.mkdtemp(prefix="pagelens-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
