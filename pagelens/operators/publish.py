@@ -190,11 +190,12 @@ GALLERY_SECTION_RE = "(?s)<!-- ECHO5:START GALLERY -->.*?<!-- ECHO5:END GALLERY
 
 
 def schema_block(schema) -> Column:
-    """JSON-LD block for every non-empty schema entry (type -> JSON text), in key order."""
-    m = col(schema)
-    entries = F.filter(F.map_entries(m), lambda e: ~(falsy(e["value"]) | e["value"].isin("null", "{}", "[]", "false")))
-    scripts = F.array_join(F.transform(entries, lambda e: F.concat(
-        F.lit('<script type="application/ld+json">\n'), e["value"], F.lit("\n</script>\n"))), "")
+    """JSON-LD block for every non-empty schema entry (type -> JSON text), in key order, pretty-printed."""
+    from pagelens.functions.pyudf import schema_scripts
+
+    m = F.map_filter(col(schema), lambda k, v: ~(falsy(v) | v.isin("null", "{}", "[]", "false")))
+    # only maps with something to print reach the Arrow-batched UDF
+    scripts = F.coalesce(schema_scripts(F.when(F.size(m) > 0, m)), F.lit(""))
     return F.concat(F.lit("\n<!-- ECHO5:START SCHEMA -->\n"), scripts, F.lit("<!-- ECHO5:END SCHEMA -->\n"))
 
 

@@ -178,9 +178,14 @@ def wrap_content(t):
                                      F.octet_length(w).cast("bigint").alias("wrapped_length"))
 
 
+# A flat object over several lines, four blanks deep.
+PRETTY_SQL = """'{' || chr(10) || (SELECT string_agg('    "' || f.key || '": ' || f.value, ',' || chr(10)) FROM json_each(je.value) f)
+  || chr(10) || '}'"""
+
+
 @query("inject_schema", oracle="""
 WITH e AS (SELECT request_id, html, schema_json FROM publish_requests),
-s AS (SELECT e.request_id, string_agg('<script type="application/ld+json">' || chr(10) || je.value || chr(10) || '</script>' || chr(10), ''
+s AS (SELECT e.request_id, string_agg('<script type="application/ld+json">' || chr(10) || __PRETTY__ || chr(10) || '</script>' || chr(10), ''
         ORDER BY je.key) AS scripts
       FROM e, json_each(e.schema_json) je WHERE je.value IS NOT NULL AND CAST(je.value AS VARCHAR) NOT IN ('', '0', 'null', '{}', '[]', 'false')
       GROUP BY e.request_id),
@@ -191,7 +196,7 @@ SELECT request_id, md5(CASE WHEN schema_json IS NULL OR len(json_keys(schema_jso
   WHEN regexp_matches(html, '(?s)<!-- ECHO5:START SCHEMA -->.*?<!-- ECHO5:END SCHEMA -->')
   THEN regexp_replace(html, '(?s)<!-- ECHO5:START SCHEMA -->.*?<!-- ECHO5:END SCHEMA -->', block, 'g')
   ELSE html || block END) AS content_md5
-FROM b""", views=("publish_requests",))
+FROM b""".replace("__PRETTY__", PRETTY_SQL), views=("publish_requests",))
 def inject_schema(t):
     """JSON-LD SCHEMA section injected into every request's html (replace or append)."""
     r = t.publish_requests
@@ -467,7 +472,7 @@ SCHEMA_RE_SQL = "'(?s)<!-- ECHO5:START SCHEMA -->.*?<!-- ECHO5:END SCHEMA -->'"
 
 @query("publish_batch", oracle=f"""{IN_TURN_SQL},
 w AS (SELECT mg.*, {{WRAP}} AS wrapped FROM mg),
-sc AS (SELECT w.request_id, string_agg('<script type="application/ld+json">' || chr(10) || je.value || chr(10) || '</script>'
+sc AS (SELECT w.request_id, string_agg('<script type="application/ld+json">' || chr(10) || __PRETTY__ || chr(10) || '</script>'
          || chr(10), '' ORDER BY je.key) AS scripts
        FROM w, json_each(w.schema_json) je WHERE je.value IS NOT NULL
          AND CAST(je.value AS VARCHAR) NOT IN ('', '0', 'null', '{{}}', '[]', 'false') GROUP BY w.request_id),
@@ -483,7 +488,7 @@ au AS (SELECT CAST(coalesce(min(id) FILTER (WHERE lower(login) = 'echo5-seo'),
 SELECT c.request_id, c.slug, CAST(coalesce(c.post_id, 1000000000000 + c.request_id) AS BIGINT) AS post_id,
   CASE WHEN c.post_id IS NOT NULL THEN 'updated' ELSE 'created' END AS action, 'draft' AS status,
   par.post_parent, (SELECT author_id FROM au) AS author_id, md5(c.content) AS content_md5
-FROM c JOIN par ON par.request_id = c.request_id""".replace(
+FROM c JOIN par ON par.request_id = c.request_id""".replace("__PRETTY__", PRETTY_SQL).replace(
     "{WRAP}", WRAP_SQL.replace("html", "merged")),
        views=("posts", "publish_requests", "users"))
 def publish_batch(t):
