@@ -56,3 +56,28 @@ def schema_scripts(maps: pd.Series) -> pd.Series:
             out.append(f'<script type="application/ld+json">\n{value}\n</script>\n')
         return "".join(out)
     return maps.map(one)
+
+
+@pandas_udf(StringType())
+def rewrite_h1(tree: pd.Series, title: pd.Series, path: pd.Series, seed: pd.Series) -> pd.Series:
+    """A builder tree's JSON with the heading at ``path`` made the H1 of this title, or, without a path, with a new
+    section on top that holds it (its three ids are read off ``seed``)."""
+    def one(tree, title, path, seed):
+        try:
+            nodes = json.loads(tree) if tree else []
+        except ValueError:
+            nodes = []
+        nodes = nodes if isinstance(nodes, list) else []
+        if path is None or not len(path):
+            widget = {"id": seed[14:21], "elType": "widget", "widgetType": "heading",
+                      "settings": {"title": title, "header_size": "h1", "align": "left"}, "elements": []}
+            column = {"id": seed[7:14], "elType": "column", "settings": {"_column_size": 100}, "elements": [widget]}
+            nodes = [{"id": seed[:7], "elType": "section", "settings": {}, "elements": [column]}, *nodes]
+        else:
+            node = {"elements": nodes}
+            for i in path:
+                node = node["elements"][int(i)]
+            settings = node.get("settings")
+            node["settings"] = {**(settings if isinstance(settings, dict) else {}), "title": title, "header_size": "h1"}
+        return json.dumps(nodes, separators=(",", ":"), ensure_ascii=False)
+    return pd.Series([one(*row) for row in zip(tree, title, path, seed)], dtype=object)

@@ -327,10 +327,27 @@ def tree_set_h1_action(nodes: DataFrame) -> DataFrame:
     action = (F.when(F.col("h1_path").isNotNull(), F.lit("updated"))
               .when(F.col("h23_path").isNotNull(), F.lit("converted_from_h2")).otherwise(F.lit("created")))
     target = F.coalesce(F.col("h1_path"), F.col("h23_path"))
-    return per_page.select("page_id", action.alias("action"),
+    return per_page.select("page_id", action.alias("action"), target.alias("path"),
                            F.array_join(target.cast("array<string>"), ".").alias("target_path"))
 
 
+def tree_set_h1(trees: DataFrame, titles: DataFrame, id_col: str = "page_id", json_col: str = "tree_json") -> DataFrame:
+    """(page_id, action, target_path, tree_json): every tree of ``titles`` (page_id, title) with its H1 set.
+
+    Where the heading stands is found natively; only the changed trees' JSON is written
+    by a small Arrow-batched UDF. A page without a heading gets a section on top.
+    """
+    from pagelens.functions.pyudf import rewrite_h1
+
+    wanted = trees.select(F.col(id_col).alias("page_id"), F.col(json_col).alias("_tree")).join(
+        titles.select(F.col("page_id").alias("_p"), F.col("title").alias("_title")), F.col("page_id") == F.col("_p")).drop("_p")
+    act = tree_set_h1_action(tree_nodes(wanted.select("page_id", F.col("_tree").alias("tree_json"))))
+    j = wanted.join(act, "page_id", "left")
+    seed = F.md5(F.concat(F.lit("h1-"), F.col("page_id").cast("string")))
+    return j.select("page_id", F.coalesce("action", F.lit("created")).alias("action"), "target_path",
+                    rewrite_h1("_tree", "_title", "path", seed).alias("tree_json"))
+
+
 # Flat-builder settings that hold an image (reference order).
 FLAT_IMAGE_FIELDS = ("photo", "bg_image", "photo_source", "image", "poster", "ss_photo")
 

@@ -172,13 +172,19 @@ pp AS (SELECT DISTINCT page_id FROM builder_trees),
 a AS (SELECT pp.page_id, min(h.path) FILTER (WHERE h.hs = 'h1') AS p1,
         min(h.path) FILTER (WHERE h.hs IN ('h2', 'h3')) AS p23 FROM pp LEFT JOIN h ON h.page_id = pp.page_id
       GROUP BY pp.page_id)
-SELECT page_id, CASE WHEN p1 IS NOT NULL THEN 'updated' WHEN p23 IS NOT NULL THEN 'converted_from_h2'
-  ELSE 'created' END AS action, array_to_string(coalesce(p1, p23), '.') AS target_path FROM a
+SELECT a.page_id, CASE WHEN p1 IS NOT NULL THEN 'updated' WHEN p23 IS NOT NULL THEN 'converted_from_h2'
+  ELSE 'created' END AS action, array_to_string(coalesce(p1, p23), '.') AS target_path,
+  'New title ' || a.page_id AS h1_title,
+  (SELECT count(*) FROM nodes WHERE nodes.page_id = a.page_id) + CASE WHEN coalesce(p1, p23) IS NULL THEN 3 ELSE 0 END AS n_nodes
+FROM a
 """, views=("builder_trees",))
 def tree_set_h1(t):
-    """Set-H1 action per builder page: update first h1, else convert first h2/h3, else create."""
+    """A new H1 title set in every builder tree: what was done, and title and size of the rewritten tree."""
     trees = t.builder_trees
-    act = TR.tree_set_h1_action(TR.tree_nodes(trees))
-    # pages whose tree has no heading at all still get a row ("created")
-    return (trees.select("page_id").join(act, "page_id", "left")
-            .select("page_id", F.coalesce("action", F.lit("created")).alias("action"), "target_path"))
+    titles = trees.select("page_id", F.concat(F.lit("New title "), F.col("page_id").cast("string")).alias("title"))
+    new = TR.tree_set_h1(trees, titles)
+    nodes = TR.tree_nodes(new)
+    is_h1 = (F.col("widgetType") == "heading") & (TR.vstring(TR.setting("header_size")) == "h1")
+    seen = nodes.groupBy("page_id").agg(F.min_by(TR.vstring(TR.setting("title")), F.when(is_h1, F.col("path"))).alias("h1_title"),
+                                        F.count(F.lit(1)).alias("n_nodes"))
+    return new.select("page_id", "action", "target_path").join(seen, "page_id")
