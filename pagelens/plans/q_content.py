@@ -196,7 +196,8 @@ def seo_update_batch(t):
     """Partial SEO updates by post id: provided fields applied and listed, H1 handling reported."""
     t.documents.createOrReplaceTempView("documents")
     req = t.spark.sql(SEO_REQ)
-    h1 = REGISTRY["tree_set_h1"].fn(t)
+    act = TR.tree_set_h1_action(TR.tree_nodes(t.builder_trees))
+    h1 = t.builder_trees.select("page_id").join(act, "page_id", "left").select("page_id", F.coalesce("action", F.lit("created")).alias("action"))
     return P.seo_update_batch(req, t.posts, h1).select(
         "request_id", "post_id", "status", "updates_applied", "post_title", "elementor_h1_action")
 
