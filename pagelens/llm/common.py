@@ -40,6 +40,15 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col), F.length(text_col))
 
 
+def draw(*cols: str) -> Column:
+    """A number in [0, 1) from a hash of the row's values."""
+    return F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(1 << 53))
+
+
+#: A sample of n rows is ranked among about this many times n, told by their draw: no task or driver ranks more.
+SPARE = 4
+
+
 #: ASCII bytes that belong to a word of ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after lower-casing; as every
 #: byte of a multi-byte UTF-8 character is over 0x7F, the class can be told from bytes alone.
 WORD_BYTE = np.zeros(256, bool)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagelens.llm.common import LOWER_BYTE, prepare, runs, table
+from pagelens.llm.common import LOWER_BYTE, SPARE, draw, prepare, runs, table
 
 WINDOW, WIDTHS, FILTERS, EMBED = 256, (2, 3, 4), 12, 8
 #: Documents of each language that are learned from, windows of each, languages at most (the most frequent ones).
@@ -113,14 +113,17 @@ class Net:
 def train(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Net | None:
     """The network learned from windows spread over the texts of a sample; None without labelled texts."""
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & learn(F.col(id_col))).select(
-        F.col(lang_col).cast("string").alias("_lang"), F.xxhash64(id_col, text_col).alias("_h"), F.col(text_col).cast("string").cast("binary").alias("_b"))
-    langs = [r[0] for r in rows.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(LANGS).collect()]
-    # row_number below a bound: Spark keeps that many rows of a language in each task before it shuffles
+        F.col(lang_col).cast("string").alias("_lang"), draw(id_col, text_col).alias("_h"), F.col(text_col).cast("string").cast("binary").alias("_b"))
+    langs = {r[0]: r[1] for r in rows.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(LANGS).collect()}
+    if not langs:
+        return None
+    # the smallest draws of each language: about SPARE times the wanted rows are ranked, however many there are
+    share = F.create_map(*[F.lit(v) for lang, n in langs.items() for v in (lang, SPARE * TRAIN_PER_LANG / n)])
     order = Window.partitionBy("_lang").orderBy("_h")
     size = F.octet_length("_b")
     last = F.greatest(size - WINDOW, F.lit(0))
     cuts = F.array(*[F.substring(F.col("_b"), F.lit(1) + (last * F.lit(i) / F.lit(max(1, TRAIN_WINDOWS - 1))).cast("int"), F.lit(WINDOW)) for i in range(TRAIN_WINDOWS)])
-    chosen = rows.filter(F.col("_lang").isin(langs) & (size > 0)).select("_lang", "_h", cuts.alias("_w"))
+    chosen = rows.filter((F.col("_h") < F.try_element_at(share, F.col("_lang"))) & (size > 0)).select("_lang", "_h", cuts.alias("_w"))
     chosen = chosen.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= TRAIN_PER_LANG)
     got = sorted((r[0], r[1], [bytes(w) for w in r[2]]) for r in chosen.select("_lang", "_h", "_w").collect())  # at most LANGS x TRAIN_PER_LANG rows
     labels = sorted({r[0] for r in got})
