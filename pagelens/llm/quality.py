@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagelens.llm.common import _powers, mix64, prepare, runs, table
+from pagelens.llm.common import SPARE, _powers, draw, mix64, prepare, runs, table
 
 #: Word buckets (a power of two), dimensions, nonzero places of an index vector, neighbours to each side.
 BUCKETS, DIMS, NONZERO, REACH = 1 << 14, 32, 2, 2
@@ -175,7 +175,14 @@ def sample(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", la
     marks = labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_y")).filter("_id IS NOT NULL AND _y IN (0, 1)").filter(learn(F.col("_id")))
     marks = marks.groupBy("_id").agg(F.min("_y").alias("_y"), F.max("_y").alias("_z")).filter("_y = _z")
     marks = marks.join(docs.select(F.col(id_col).alias("_id")), "_id", "left_semi")
-    of = lambda y: marks.filter(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(per_class).select("_id", "_y")
+    # the smallest draws of each class: about SPARE times the wanted ids are ranked, however many there are
+    marks = marks.select("_id", "_y", draw("_id").alias("_h"))
+    size = dict(marks.groupBy("_y").count().collect())
+
+    def of(y: int) -> DataFrame:
+        share = SPARE * per_class / max(1, size.get(y, 0))
+        return marks.filter((F.col("_y") == y) & (F.col("_h") < share)).orderBy("_h", "_id").limit(per_class).select("_id", "_y")
+
     return of(0).unionByName(of(1))
 
 
