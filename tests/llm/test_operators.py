@@ -171,6 +171,34 @@ def test_unit_dedup(spark):
     assert substring_dedup.dedup_units(frame(spark, docs).limit(0)).count() == 0
 
 
+def test_short_units_go_with_their_passage(spark):
+    license = "licensed under the apache license, version 2.0."
+    verse = " ".join(f"Line {k} is short. So is {k} more!" for k in range(12))  # over 50 words, no sentence of eight
+    japanese = "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。何でも薄暗いじめじめした所で泣いていた事だけは記憶している。"
+    copy = f"Title\n\n- one item\n- two items\n{ODD[-1]}. Yes. No.\n短い行\nend"
+    junk = "spam. " * 300
+    docs = [(1, f"first\n{license}\nof all"), (2, f"{license.upper()}\nsecond"), (3, f"One begins here. {verse} And it ends."),
+            (4, f"Another start stands before. {verse} Then others follow."), (5, japanese), (6, "前置きです。" + japanese + "後書きである。"),
+            (7, copy), (8, copy), (9, junk), (10, junk), (11, "A yes. Yes. Quite so. No."), (12, None), (13, ""), (14, f"{license}\n{license}")]
+    got = {r.doc_id: r for r in substring_dedup.dedup_units(frame(spark, docs).repartition(3), passages=True).collect()}
+    text = {i: t for i, t in docs}
+    for i in (1, 3, 5, 7, 11, 12, 13):
+        assert got[i].text == text[i] and got[i].n_removed == 0
+    assert got[2].text == "second" and got[14].text == ""
+    assert got[4].text == "Another start stands before. Then others follow."
+    assert got[6].text == "前置きです。後書きである。"
+    assert got[8].text == "" and got[8].n_removed == got[8].n_units
+    assert got[9].text.split() == ["spam."] and got[10].text == ""
+    for r in got.values():  # what stays and what went together are the text
+        stay, at = [], 0
+        for s in r.spans:
+            stay.append(text[r.doc_id][at:s["start"]])
+            at = s["end"]
+        assert text[r.doc_id] is None or "".join(stay) + text[r.doc_id][at:] == r.text
+    plain = {r.doc_id: r.text for r in substring_dedup.dedup_units(frame(spark, docs)).collect()}
+    assert plain[2] == text[2] and plain[4] == text[4]
+
+
 def sharding_key(spark, row):
     from pagelens.llm.common import row_key
     return spark.createDataFrame([row], DOCS).select(row_key("doc_id", "text")).first()[0]
