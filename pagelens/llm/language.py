@@ -20,8 +20,10 @@ from pyspark.sql import types as T
 from pagelens.llm.common import LOWER_BYTE, SPARE, draw, prepare, runs, table
 
 WINDOW, WIDTHS, FILTERS, EMBED = 256, (2, 3, 4), 12, 8
-#: Documents of each language that are learned from, windows of each, languages at most (the most frequent ones).
-TRAIN_PER_LANG, TRAIN_WINDOWS, LANGS = 400, 4, 200
+#: Documents of each language that are learned from, windows of each; with many languages fewer documents of each, about so many in all.
+TRAIN_PER_LANG, TRAIN_WINDOWS, TRAIN_DOCS = 400, 4, 80_000
+#: Ranked of each language besides: by chance of the draws none of them comes out about once in e ** 40 times.
+LEAST_RANKED = 40
 EPOCHS, BATCH = 8, 128
 #: Bytes of text a task works on at once.
 CHUNK = 1 << 17
@@ -110,26 +112,35 @@ class Net:
         return q / q.sum(1, keepdims=True)
 
 
+def per_language(n: int) -> int:
+    """Documents to learn from of each of n languages; every language has one at least."""
+    return min(TRAIN_PER_LANG, max(1, TRAIN_DOCS // n))
+
+
 def train(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Net | None:
     """The network learned from windows spread over the texts of a sample; None without labelled texts."""
-    rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & learn(F.col(id_col))).select(
+    # octet_length of null is null: rows without text are not counted either
+    rows = docs.filter(F.col(lang_col).isNotNull() & (F.octet_length(F.col(text_col).cast("string")) > 0) & learn(F.col(id_col))).select(
         F.col(lang_col).cast("string").alias("_lang"), draw(id_col, text_col).alias("_h"), F.col(text_col).cast("string").cast("binary").alias("_b"))
-    langs = {r[0]: r[1] for r in rows.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(LANGS).collect()}
+    langs = {r[0]: r[1] for r in rows.groupBy("_lang").count().collect()}
     if not langs:
         return None
-    # the smallest draws of each language: about SPARE times the wanted rows are ranked, however many there are
-    share = F.create_map(*[F.lit(v) for lang, n in langs.items() for v in (lang, SPARE * TRAIN_PER_LANG / n)])
+    wanted = per_language(len(langs))
+    # the smallest draws of each language: about SPARE times the wanted rows are ranked, however many there are, and enough
+    # that no language is left without any
+    share = F.create_map(*[F.lit(v) for lang, n in langs.items() for v in (lang, (SPARE * wanted + LEAST_RANKED) / n)])
     order = Window.partitionBy("_lang").orderBy("_h")
     size = F.octet_length("_b")
     last = F.greatest(size - WINDOW, F.lit(0))
     cuts = F.array(*[F.substring(F.col("_b"), F.lit(1) + (last * F.lit(i) / F.lit(max(1, TRAIN_WINDOWS - 1))).cast("int"), F.lit(WINDOW)) for i in range(TRAIN_WINDOWS)])
-    chosen = rows.filter((F.col("_h") < F.try_element_at(share, F.col("_lang"))) & (size > 0)).select("_lang", "_h", cuts.alias("_w"))
-    chosen = chosen.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= TRAIN_PER_LANG)
-    got = sorted((r[0], r[1], [bytes(w) for w in r[2]]) for r in chosen.select("_lang", "_h", "_w").collect())  # at most LANGS x TRAIN_PER_LANG rows
+    chosen = rows.filter(F.col("_h") < F.try_element_at(share, F.col("_lang"))).select("_lang", "_h", cuts.alias("_w"))
+    chosen = chosen.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= wanted)
+    got = sorted((r[0], r[1], [bytes(w) for w in r[2]]) for r in chosen.select("_lang", "_h", "_w").collect())  # about TRAIN_DOCS rows
     labels = sorted({r[0] for r in got})
     if not labels:
         return None
-    pairs = sorted({(labels.index(lang), w) for lang, _, ws in got for w in ws if w})
+    number = {lang: y for y, lang in enumerate(labels)}
+    pairs = sorted({(number[lang], w) for lang, _, ws in got for w in ws if w})
     net = Net(labels)
     if len(labels) > 1:
         net.fit(np.concatenate([windows(w)[:1] for _, w in pairs]), np.array([y for y, _ in pairs]))
@@ -142,10 +153,13 @@ def predict(texts: list[str | None], net: Net, tables: dict) -> tuple[list[str],
     for base, run in runs([t for _, t in known], CHUNK):
         cut = [windows(t) for t in run]
         n = [len(c) for c in cut]
-        q = np.concatenate([net.probabilities(part, tables) for c in [np.concatenate(cut)] for part in np.array_split(c, max(1, len(c) // 512))])
         weight = np.concatenate([np.minimum(WINDOW, len(t) - np.arange(k) * (WINDOW - max(WIDTHS) + 1)) for t, k in zip(run, n)]).astype(float)[:, None]
-        first = np.cumsum(n) - n
-        mean = np.add.reduceat(q * weight, first, axis=0) / np.add.reduceat(weight, first, axis=0)
+        first, of = np.cumsum(n) - n, np.repeat(np.arange(len(n)), n)
+        mean, all_windows = np.zeros((len(n), len(net.labels))), np.concatenate(cut)
+        for part in np.array_split(np.arange(len(of)), max(1, len(of) // 512)):  # a long text times many languages is never held whole
+            start = np.flatnonzero(np.diff(of[part], prepend=-1))
+            mean[of[part[start]]] += np.add.reduceat(net.probabilities(all_windows[part[0]:part[-1] + 1], tables) * weight[part], start, axis=0)
+        mean /= np.add.reduceat(weight, first, axis=0)
         for k, (best, p) in enumerate(zip(mean.argmax(1).tolist(), mean.max(1).tolist())):
             out[known[base + k][0]], score[known[base + k][0]] = net.labels[best], min(p, 1.0)
     return out, score

@@ -317,6 +317,25 @@ def test_languages(spark):
     assert {r.lang_pred for r in language.languages(df.withColumn("lang", F.lit(None).cast("string")), language.learned).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    draw = random.Random(77)
+    code = {f"l{k:03d}": "".join(draw.sample("abcdefghijklmnopqrstuvwxyz", 3)) for k in range(230)}
+    rows = [(i, " ".join(code[g] for _ in range(30)), g) for i, g in enumerate([*code] * 4)]
+    df = spark.createDataFrame(rows, DOCS + ", lang string")
+    net = language.train(df, lambda i: i.isNotNull())
+    assert net.labels == sorted(code) and net.p["s"].shape[1] == len(code)
+    assert language.per_language(4) == 400 and language.per_language(230) == 80_000 // 230 and language.per_language(10 ** 6) == 1
+    monkeypatch.setattr(language, "TRAIN_DOCS", 300)  # one document of each language, none left without
+    assert language.train(df, lambda i: i.isNotNull()).labels == sorted(code)
+    # a text of many parts weighs its windows as one of few does
+    long = "".join(r[1] for r in rows[:500]) * 8
+    cut = language.windows(long.encode())
+    weight = np.minimum(language.WINDOW, len(long) - np.arange(len(cut)) * (language.WINDOW - max(language.WIDTHS) + 1))
+    mean = np.average(net.probabilities(cut, net.tables()), axis=0, weights=weight)
+    got = language.predict(["x", long, None, rows[0][1]], net, net.tables())
+    assert got[0][1] == net.labels[mean.argmax()] and got[1][1] == pytest.approx(mean.max())
+
+
 def test_language_windows_cover_the_text():
     for n in (1, 5, 255, 256, 257, 1000, 5000):
         data = bytes(range(97, 123)) * (n // 26 + 1)
