@@ -35,6 +35,18 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to be no column of ``df`` (whatever the case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def row_key(id_col: str, text_col: str) -> Column:
     """Key of a row by its values: equal rows share it, so results never depend on where a row was read."""
     return F.xxhash64(F.col(id_col), F.col(text_col), F.length(text_col))

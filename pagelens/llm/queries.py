@@ -16,6 +16,7 @@ from pagelens.llm.simhash import op6_simhash_pivots
 from pagelens.llm.substring_dedup import op4_unit_hashing
 from pagelens.llm.token_counts import op8_ragged_merging
 from pagelens.llm.topk import OP3_SQL, op3_histogram_selection
+from pagelens.llm.url_rules import OP11_SQL, op11_url_tokens
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -30,6 +31,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ragged_merging": op8_ragged_merging,
         "op9_random_indexing": op9_random_indexing,
         "op10_line_chunks": op10_line_chunks,
+        "op11_url_tokens": op11_url_tokens,
     }
 
 
@@ -38,4 +40,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_winnowing": OP1_SQL,
         "op3_histogram_selection": OP3_SQL,
         "op10_line_chunks": OP10_SQL,
+        "op11_url_tokens": OP11_SQL,
     }
