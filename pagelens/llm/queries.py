@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pagelens.llm.bpe import op2_distinct_words
 from pagelens.llm.decontaminate import OP1_SQL, op1_winnowing
+from pagelens.llm.filter_audit import OP12_SQL, op12_mask_folds
 from pagelens.llm.language import op7_byte_convolution
 from pagelens.llm.line_dedup import OP10_SQL, op10_line_chunks
 from pagelens.llm.quality import op9_random_indexing
@@ -32,6 +33,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_random_indexing": op9_random_indexing,
         "op10_line_chunks": op10_line_chunks,
         "op11_url_tokens": op11_url_tokens,
+        "op12_mask_folds": op12_mask_folds,
     }
 
 
@@ -41,4 +43,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_histogram_selection": OP3_SQL,
         "op10_line_chunks": OP10_SQL,
         "op11_url_tokens": OP11_SQL,
+        "op12_mask_folds": OP12_SQL,
     }
