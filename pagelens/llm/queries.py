@@ -12,6 +12,7 @@ from pagelens.llm.filter_audit import OP12_SQL, op12_mask_folds
 from pagelens.llm.language import op7_byte_convolution
 from pagelens.llm.line_dedup import OP10_SQL, op10_line_chunks
 from pagelens.llm.quality import op9_random_indexing
+from pagelens.llm.resampling import OP13_SQL, op13_crc_matrices
 from pagelens.llm.sharding import op5_weighted_hash_tree
 from pagelens.llm.simhash import op6_simhash_pivots
 from pagelens.llm.substring_dedup import op4_unit_hashing
@@ -34,6 +35,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_line_chunks": op10_line_chunks,
         "op11_url_tokens": op11_url_tokens,
         "op12_mask_folds": op12_mask_folds,
+        "op13_crc_matrices": op13_crc_matrices,
     }
 
 
@@ -44,4 +46,5 @@ def oracle_sql() -> dict[str, str]:
         "op10_line_chunks": OP10_SQL,
         "op11_url_tokens": OP11_SQL,
         "op12_mask_folds": OP12_SQL,
+        "op13_crc_matrices": OP13_SQL,
     }

@@ -22,6 +22,7 @@ COLUMNS = {
     "op10": "doc_id bigint, n_lines bigint, n_removed bigint, removed string, kept_sha256 string",
     "op11": "page_id bigint, host string, path string, rule string, verdict string",
     "op12": "part string, filter_order string, step int, kept bigint, removed bigint, redundant bigint, unique_fails bigint, good_lost bigint, toxic_lost bigint, shapley bigint",
+    "op13": "doc_id bigint, n_features bigint, weight bigint, score bigint, rank bigint",
 }
 
 
@@ -95,4 +96,4 @@ def test_digests_follow_the_contract(spark):
 
 
 def test_every_operator_has_a_query():
-    assert sorted({int(n[2:].split("_")[0]) for n in registered.queries()}) == list(range(1, 13))
+    assert sorted({int(n[2:].split("_")[0]) for n in registered.queries()}) == list(range(1, 14))
