@@ -13,7 +13,6 @@ from pagelens.operators import publish as P
 from pagelens.operators import seo as S
 from pagelens.operators import site as SI
 from pagelens.operators import tree as TR
-from pagelens.operators import widgets as W
 from pagelens.plans.duck import host_sql, path_sql, strip_sql
 from pagelens.plans.q_export import links_sql
 from pagelens.plans.registry import REGISTRY, query
@@ -202,161 +201,6 @@ def seo_update_batch(t):
         "request_id", "post_id", "status", "updates_applied", "post_title", "elementor_h1_action")
 
 
-WIDGET_PAGES_SQL = """
-SELECT doc_id AS page_id, concat(
-  '<section class="py-8 bg-gray-', CAST((doc_id % 10) * 100 AS STRING), '"><h2 class="text-center">Section ', CAST(doc_id AS STRING), '</h2><p>', text,
-  '</p><img src="/w.png" alt="w"><hr></section><header class="bg-slate-50"><ul class="l"><li>one <b>two</b></li><li>three</li></ul>',
-  '<blockquote>said <i>so</i></blockquote><iframe src="https://v.example.com/', CAST(doc_id AS STRING), '"></iframe></header>',
-  '<div class="grid"><a class="btn" href="/x">Go now</a><a href="https://o.example.com">out <b>there</b></a><table><tr><td>1</td></tr></table></div>',
-  '<div data-elementor="', element_at(array({types}), CAST(doc_id % 8 + 1 AS INT)), '" data-icon="', CASE WHEN doc_id % 3 = 0 THEN 'wrench' WHEN doc_id % 3 = 1 THEN 'fa fa-x' ELSE '' END,
-  '" data-number="', CAST(doc_id % 100 AS STRING), ' %" data-prefix="~" data-suffix="%" data-name="', CASE WHEN doc_id % 2 = 0 THEN 'Ann &amp; Co' ELSE '' END,
-  '" data-company="C" data-rating="', CASE WHEN doc_id % 4 = 0 THEN '4.5' ELSE '' END, '" data-image="/f.png" href="/own"><strong>Widget title</strong><p>', text,
-  '</p><p>More <em>text</em> &eacute;</p><a href="/cta">Call</a></div>') AS html
-FROM documents"""
-
-
-def _widget_pages(t):
-    """Documents as pages that hold every widget kind, one special widget of each type in turn."""
-    types = ", ".join(f"'{x}'" for x in W.SPECIAL_TYPES)
-    t.documents.createOrReplaceTempView("documents")
-    return t.spark.sql(WIDGET_PAGES_SQL.replace("{types}", types))
-
-
-def _widget_src_sql() -> str:
-    """The widget test pages as a DuckDB CTE (the same text)."""
-    types = ", ".join(f"'{x}'" for x in W.SPECIAL_TYPES)
-    text = WIDGET_PAGES_SQL.replace("element_at(array({types}), CAST(doc_id % 8 + 1 AS INT))", f"([{types}])[doc_id % 8 + 1]")
-    return f"src AS ({text})"
-
-
-def _widgets_sql() -> str:
-    from pagelens.plans.q_blocks import WS, _decode, _in, tokens_sql
-    types = ", ".join(f"'{x}'" for x in W.SPECIAL_TYPES)
-    opens = "is_tag AND NOT is_close"
-    nic = f"(is_close AND name NOT IN {_in(B.INLINE)})"
-    term_p = f"(({opens} AND name IN {_in(B.P_CLOSERS)}) OR {nic})"
-    term_h = f"(({opens} AND name IN {_in(B.BLOCK_TAGS)}) OR {nic})"
-    back = "OVER (PARTITION BY page_id ORDER BY pos DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    run = "OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    attr = lambda n: f"regexp_extract(attrs, '(?is)\\b{n}\\s*=\\s*[\"'']([^\"'']*)[\"'']', 1)"
-    wtype = (f"CASE WHEN NOT ({opens}) THEN NULL WHEN {attr('data-elementor')} IN ({types}) THEN {attr('data-elementor')} "
-             f"WHEN name IN {_in(B.HEADINGS)} THEN 'heading' WHEN name = 'p' THEN 'text-editor' "
-             f"WHEN name = 'img' THEN 'image' WHEN name = 'hr' THEN 'divider' "
-             f"WHEN name = 'a' AND (regexp_matches({attr('class')}, 'btn|button') OR {attr('data-elementor')} = 'button') THEN 'button' "
-             f"WHEN name IN {_in(('a',) + W.INLINE_TEXT_TAGS + W.LIST_TAGS)} THEN 'text-editor' "
-             f"WHEN name IN {_in(W.HTML_WIDGET_TAGS)} THEN 'html' END")
-    piece = _decode("tail")
-    piece = f"CASE WHEN {opens} AND name NOT IN {_in(B.VOID)} THEN regexp_replace({piece}, '^{WS}+', '') ELSE {piece} END"
-    piece = f"CASE WHEN next_close THEN regexp_replace({piece}, '{WS}+$', '') ELSE {piece} END"
-    void = _in(B.VOID)
-    return f"""WITH {_widget_src_sql()},{tokens_sql('src')},
-t1 AS (SELECT *, last_value(CASE WHEN {term_p} THEN pos END IGNORE NULLS) {back} AS next_tp,
-    last_value(CASE WHEN {term_h} THEN pos END IGNORE NULLS) {back} AS next_th,
-    lead(is_close, 1, false) OVER (PARTITION BY page_id ORDER BY pos) AS next_close,
-    sum(CASE WHEN {opens} AND name IN {_in(W.SECTION_TAGS)} THEN 1 ELSE 0 END) {run} AS section,
-    {wtype} AS wtype FROM tk),
-t2 AS (SELECT *,
-    last_value(CASE WHEN {opens} AND name IN {_in(B.BLOCK_TAGS)} THEN pos END IGNORE NULLS) {run} AS bstart,
-    last_value(CASE WHEN {opens} AND name IN {_in(B.BLOCK_TAGS)} THEN coalesce(CASE WHEN name = 'p' THEN next_tp ELSE next_th END, {B.BIG}) END IGNORE NULLS) {run} AS bend,
-    CASE WHEN {opens} AND name IN {_in(B.BLOCK_TAGS)} THEN coalesce(CASE WHEN name = 'p' THEN next_tp ELSE next_th END, {B.BIG}) END AS own_bend
-  FROM t1),
-bt AS (SELECT page_id, bstart AS pos,
-    regexp_replace(regexp_replace(string_agg({piece}, '' ORDER BY pos), '^{WS}+|{WS}+$', '', 'g'), '{WS}+', ' ', 'g') AS block_text
-  FROM t2 WHERE bstart IS NOT NULL AND pos < bend GROUP BY page_id, bstart),
-lv AS (SELECT *, sum(CASE WHEN is_close THEN -1 ELSE 1 END) OVER (PARTITION BY page_id, name ORDER BY pos
-         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS d FROM tk WHERE is_tag AND name NOT IN {void}),
-lv2 AS (SELECT *, CASE WHEN is_close THEN d + 1 ELSE d END AS lvl FROM lv),
-ee AS (SELECT page_id, pos, CASE WHEN lead(is_close) OVER (PARTITION BY page_id, name, lvl ORDER BY pos)
-              THEN lead(pos) OVER (PARTITION BY page_id, name, lvl ORDER BY pos) END AS e_end, is_close FROM lv2),
-t3 AS (SELECT t2.*, CASE WHEN t2.wtype IS NULL THEN NULL WHEN t2.name IN {void} THEN t2.pos + 1
-                         WHEN t2.name IN {_in(B.BLOCK_TAGS)} THEN t2.own_bend ELSE coalesce(ee.e_end, {B.BIG}) END AS span_end
-       FROM t2 LEFT JOIN ee ON ee.page_id = t2.page_id AND ee.pos = t2.pos AND NOT ee.is_close),
-t4 AS (SELECT *, coalesce(max(span_end) OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1)
-         > pos AS inside FROM t3),
-t5 AS (SELECT *, last_value(CASE WHEN {opens} AND name IN {_in(W.SECTION_TAGS)} THEN {attr('class')} END IGNORE NULLS) {run} AS sec,
-    last_value(CASE WHEN wtype IS NOT NULL AND NOT inside THEN pos END IGNORE NULLS) {run} AS ws,
-    last_value(CASE WHEN wtype IS NOT NULL AND NOT inside THEN span_end END IGNORE NULLS) {run} AS we,
-    last_value(CASE WHEN wtype IS NOT NULL AND NOT inside THEN name END IGNORE NULLS) {run} AS wn FROM t4),
-mk AS (SELECT page_id, ws AS pos, string_agg(CASE WHEN pos = we THEN '</' || name || '>' ELSE
-    CASE WHEN is_tag THEN (CASE WHEN is_close THEN '</' ELSE '<' END) || name || attrs || '>' ELSE '' END || tail END, '' ORDER BY pos) AS markup
-  FROM t5 WHERE pos < we OR (pos = we AND is_close AND name = wn) GROUP BY page_id, ws),
-w AS (SELECT t4.page_id, t4.section, t4.pos, t4.wtype AS widgetType, t4.name AS tag,
-        CASE WHEN t4.name IN {_in(B.BLOCK_TAGS)} THEN bt.block_text WHEN t4.name = 'a' THEN trim(t4.tail) END AS text,
-        CASE WHEN t4.name = 'img' THEN {attr('src')} END AS src, CASE WHEN t4.name = 'img' THEN {attr('alt')} END AS alt,
-        CASE WHEN contains({attr('class')}, 'text-center') THEN 'center' WHEN contains({attr('class')}, 'text-right') THEN 'right' END AS align,
-        CASE WHEN t4.wtype = 'heading' THEN CASE t4.name WHEN 'h1' THEN 'xl' WHEN 'h2' THEN 'large' WHEN 'h3' THEN 'medium' ELSE 'small' END END AS size,
-        CASE WHEN t4.name = 'a' OR t4.wtype = 'button' THEN {attr('href')} END AS link,
-        CASE WHEN t4.wtype IN ('text-editor', 'html') AND t4.name NOT IN {_in(B.BLOCK_TAGS)} THEN mk.markup END AS content, t4.sec
-      FROM t5 t4 LEFT JOIN bt ON bt.page_id = t4.page_id AND bt.pos = t4.pos LEFT JOIN mk ON mk.page_id = t4.page_id AND mk.pos = t4.pos
-      WHERE t4.wtype IS NOT NULL AND NOT t4.inside),
-w2 AS (SELECT * FROM w WHERE NOT (tag IN {_in(B.BLOCK_TAGS)} AND coalesce(text, '') = '')),
-lo AS (SELECT page_id, section, pos, 'text-editor' AS widgetType, CAST(NULL AS VARCHAR) AS tag, trim(tail) AS text,
-         CAST(NULL AS VARCHAR) AS src, CAST(NULL AS VARCHAR) AS alt, CAST(NULL AS VARCHAR) AS align, CAST(NULL AS VARCHAR) AS size,
-         CAST(NULL AS VARCHAR) AS link, CAST(NULL AS VARCHAR) AS content, sec
-       FROM t5 WHERE NOT inside AND wtype IS NULL AND trim(tail) <> '' AND NOT ({opens} AND name IN ('title', 'head'))),
-u AS (SELECT * FROM w2 UNION ALL SELECT * FROM lo)
-SELECT page_id, CAST(section AS BIGINT) AS section, CAST(row_number() OVER (PARTITION BY page_id ORDER BY pos) AS INTEGER) AS pos,
-  widgetType, tag, text, src, alt, align, size, link, content,
-  CASE WHEN shade >= 800 THEN '#1f2937' WHEN shade >= 600 THEN '#4b5563' WHEN shade >= 100 THEN '#f3f4f6' END AS section_background,
-  TRY_CAST(regexp_extract(sec, '(?i)py-(\\d+)', 1) AS BIGINT) * 4 AS section_padding
-FROM (SELECT *, TRY_CAST(regexp_extract(sec, '(?i)bg-(?:gray|slate|zinc|neutral|stone)-(\\d+)', 1) AS INTEGER) AS shade FROM u)
-UNION ALL
-SELECT s.page_id, 0, 1, 'text-editor', NULL, s.html, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM src s
-WHERE s.page_id NOT IN (SELECT page_id FROM u)"""
-
-
-@query("html_to_widgets", oracle=_widgets_sql())
-def html_to_widgets(t):
-    """Widget rows (section, position, type, text/src) converted from each page's html."""
-    return W.html_to_widgets(_widget_pages(t))
-
-
-def _special_sql() -> str:
-    from pagelens.plans.q_blocks import _decode, tokens_sql
-    types = ", ".join(f"'{x}'" for x in W.SPECIAL_TYPES)
-    void = ", ".join(f"'{x}'" for x in B.VOID)
-    heads = ", ".join(f"'{x}'" for x in (*B.HEADINGS, "strong"))
-    attr = lambda n, of="attrs": f"regexp_extract({of}, '(?is)\\b{n}\\s*=\\s*[\"'']([^\"'']*)[\"'']', 1)"
-    icons = ("wrench", "check", "star", "phone", "clock", "shield", "home", "users", "cog", "bolt", "heart", "thumbs-up", "award", "certificate")
-    icon = attr("data-icon", "sa")
-    return f"""WITH {_widget_src_sql()},{tokens_sql('src')},
-lv AS (SELECT *, sum(CASE WHEN is_close THEN -1 ELSE 1 END) OVER (PARTITION BY page_id, name ORDER BY pos
-         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS d FROM tk WHERE is_tag AND name NOT IN ({void})),
-lv2 AS (SELECT *, CASE WHEN is_close THEN d + 1 ELSE d END AS lvl FROM lv),
-ee AS (SELECT page_id, pos, is_close,
-         CASE WHEN lead(is_close) OVER (PARTITION BY page_id, name, lvl ORDER BY pos)
-              THEN lead(pos) OVER (PARTITION BY page_id, name, lvl ORDER BY pos) END AS e_end FROM lv2),
-sp AS (SELECT tk.page_id, tk.pos AS start, {attr('data-elementor', 'tk.attrs')} AS wt, tk.attrs AS sa, coalesce(ee.e_end, {B.BIG}) AS e_end
-       FROM tk LEFT JOIN ee ON ee.page_id = tk.page_id AND ee.pos = tk.pos AND NOT ee.is_close
-       WHERE tk.is_tag AND NOT tk.is_close AND {attr('data-elementor', 'tk.attrs')} IN ({types})),
-inn AS (SELECT sp.page_id, sp.start, tk.pos, tk.name, tk.attrs, tk.is_tag AND NOT tk.is_close AND tk.pos > sp.start AS o, trim(tk.tail) AS tt, tk.tail
-        FROM sp JOIN tk ON tk.page_id = sp.page_id AND tk.pos >= sp.start AND tk.pos < sp.e_end),
-pick AS (SELECT page_id, start,
-           arg_min(tt, pos) FILTER (WHERE o AND name IN ({heads})) AS title,
-           arg_min(tt, pos) FILTER (WHERE o AND name = 'p') AS text,
-           arg_min({attr('href')}, pos) FILTER (WHERE o AND name = 'a') AS href,
-           trim(string_agg({_decode('tail')}, '' ORDER BY pos), chr(32) || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)) AS content
-         FROM inn GROUP BY page_id, start)
-SELECT sp.page_id, CAST(row_number() OVER (PARTITION BY sp.page_id ORDER BY sp.start) AS INTEGER) AS pos,
-  sp.wt AS widgetType, pick.title, pick.text, pick.content,
-  CASE WHEN wt = 'icon-box' THEN CASE WHEN {icon} = '' THEN 'fa fa-star' WHEN {icon} IN ({", ".join(f"'{x}'" for x in icons)}) THEN 'fa fa-' || {icon} ELSE {icon} END END AS icon,
-  CASE WHEN wt = 'counter' THEN coalesce(TRY_CAST(regexp_extract({attr('data-number', 'sa')}, '^\\s*([+-]?\\d+)', 1) AS BIGINT), 0) END AS number,
-  CASE WHEN wt = 'counter' THEN {attr('data-prefix', 'sa')} END AS prefix, CASE WHEN wt = 'counter' THEN {attr('data-suffix', 'sa')} END AS suffix,
-  CASE WHEN wt = 'testimonial' THEN coalesce(nullif({attr('data-name', 'sa')}, ''), 'Customer') END AS name,
-  CASE WHEN wt = 'testimonial' THEN nullif({attr('data-company', 'sa')}, '') END AS company,
-  CASE WHEN wt = 'testimonial' THEN nullif({attr('data-image', 'sa')}, '') END AS image,
-  CASE wt WHEN 'testimonial' THEN nullif({attr('data-rating', 'sa')}, '') WHEN 'star-rating' THEN coalesce(nullif({attr('data-rating', 'sa')}, ''), '5') END AS rating,
-  CASE WHEN wt = 'star-rating' THEN coalesce(nullif({attr('data-scale', 'sa')}, ''), '5') END AS scale,
-  CASE wt WHEN 'button' THEN {attr('href', 'sa')} WHEN 'call-to-action' THEN coalesce(nullif(pick.href, ''), '#') END AS link
-FROM sp LEFT JOIN pick ON pick.page_id = sp.page_id AND pick.start = sp.start"""
-
-
-@query("special_widgets", oracle=_special_sql())
-def special_widgets(t):
-    """data-elementor widgets (icon-box, counter, testimonial, ...) with the settings of their type."""
-    return W.special_widgets(_widget_pages(t))
-
-
 SEO_COLS = ("meta_title", "meta_description", "focus_keyword", "canonical_url", "robots", "og_title",
             "og_description", "og_image", "twitter_title", "twitter_description", "twitter_image")
 
