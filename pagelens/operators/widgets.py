@@ -117,7 +117,8 @@ def html_to_widgets(pages: DataFrame, id_col: str = "page_id", html_col: str = "
     # sections in order: section k, then what follows it
     key = lambda w: w["k"] * 2 + F.when(w["s"], 0).otherwise(1)
     rows = rows.withColumn("_keys", F.array_sort(F.array_distinct(F.transform("_w", key))))
-    rows = rows.select("page_id", "_tops", "_keys", F.posexplode("_w").alias("_at", "_x"))
+    # an outer explode (there is always a widget): Spark would repeat the whole fold in a filter before an inner one
+    rows = rows.select("page_id", "_tops", "_keys", F.posexplode_outer("_w").alias("_at", "_x"))
     cls = F.when(F.col("_x.s"), F.get("_tops", F.col("_x.k") - 1))
     return rows.select(
         "page_id", (F.array_position("_keys", key(F.col("_x"))) - 1).cast("bigint").alias("section"), (F.col("_at") + 1).alias("pos"),
