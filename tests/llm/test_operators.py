@@ -385,34 +385,70 @@ def test_word_vectors_are_sums_over_all_neighbours(spark):
 
 # -- 10 --------------------------------------------------------------------------------------------------------------
 
-def chunks(text):
-    lines, out, first, before = text.split("\n"), [], 0, 0
-    for i, line in enumerate(lines):
-        h = int(hashlib.md5(line.encode()).hexdigest()[:8], 16)
-        if (3 * before + h) % line_dedup.MEAN_LINES == 0 or i == len(lines) - 1:
-            out.append((first, lines[first:i + 1]))
-            first = i + 1
-        before = h
+def chunks(lines):
+    """(first, last, lines before, lines after) of every chunk of lines that are not blank."""
+    h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
+    rolling = [int(hashlib.md5(f"{h[i - 1] if i else ''}:{h[i]}".encode()).hexdigest()[:8], 16) for i in range(len(h))]
+    cuts = [-1] + [i for i in range(len(h)) if i == len(h) - 1 or rolling[i] % line_dedup.SPARSE]
+    for k, s in enumerate(cuts):
+        if s <= len(h) - 3:
+            m = k + 1 if cuts[k + 1] >= s + 2 else k + 2
+            far = cuts[m + 2] if m + 2 < len(cuts) else len(h) - 1
+            yield s + 1, cuts[m], lines[cuts[k - 2] + 1 if k > 1 else 0:s + 1], lines[cuts[m] + 1:far + 1]
+
+
+def agree(a, b):
+    return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+def deduped(texts):
+    """The texts (in order of rank) without passages of an earlier one."""
+    seen, out = {}, []
+    for t, text in enumerate(texts):
+        lines = (text or "").split("\n")
+        unit = [i for i, x in enumerate(lines) if x.strip(" \t\r\n")]
+        gone = set()
+        for a, b, before, after in chunks([lines[i] for i in unit]):
+            body = "\n".join(lines[i] for i in unit[a:b + 1])
+            first = seen.setdefault(body, (t, a, before, after))
+            if first[:2] != (t, a):
+                gone |= set(range(a - agree(before[::-1], first[2][::-1]), b + agree(after, first[3]) + 1))
+        drop = {k for j in gone for k in range(unit[j], (unit + [len(lines)])[j + 1])}
+        out.append(None if text is None else "\n".join(x for i, x in enumerate(lines) if i not in drop))
     return out
 
 
 def test_line_dedup(spark):
     shared = "\n".join(f"shared line {k} of many" for k in range(30))
     docs = corpus(10) + [(500 + k, f"head {k}\n" * k + shared + f"\ntail {k}") for k in range(6)] + [(600, "\n" * 50), (601, "\n" * 50)]
-    seen, kept = {}, {}
-    for i, t in sorted(dict.fromkeys(docs), key=lambda r: (r[0] is None, r[0] or 0, sharding_key(spark, r) if r[0] in (None, 5) else 0)):
-        if t is None:
-            kept[i, t] = None
-            continue
-        stay = []
-        for a, part in chunks(t):
-            body = "\n".join(part)
-            if len(part) < 2 or not body.strip() or seen.setdefault(body, (i, t, a)) == (i, t, a):
-                stay += part
-        kept[i, t] = "\n".join(stay)
-    df = frame(spark, docs)
+    docs += [(700 + k, "\n\n".join(f"paragraph {i * (1 if 3 < i < 12 else k)}" for i in range(16)) + "\n \n") for k in range(1, 4)]
+    docs += [(800 + k, f"start {k}\n" + f"same {k % 4}\n" * (k + 2) + "end") for k in range(8)]
+    order = sorted(dict.fromkeys(docs), key=lambda r: (r[0] is None, r[0] or 0, line_keys(spark, r) if r[0] in (None, 5) else 0))
+    kept = dict(zip(order, deduped([t for _, t in order])))
+    df = frame(spark, docs).withColumns({c: F.lit(1) for c in ("__key", "__gone", "_ROW", "key", "unit", "_x")})
     got = line_dedup.dedup_lines(df)
-    assert sorted(got.columns) == sorted(df.columns)
+    assert got.columns == [*df.columns, "_spans"]
     assert rows_of(got, "doc_id", "text") == sorted(((i, kept[i, t]) for i, t in docs), key=repr)
-    assert all(len(r.text) < 400 for r in got.filter("doc_id BETWEEN 502 AND 505").collect())  # whatever stands before it, the passage goes
+    assert all(len(r.text) < 200 for r in got.filter("doc_id BETWEEN 501 AND 505").collect())  # whatever stands before it, the passage goes
+    for r in got.filter("_spans IS NOT NULL").collect():
+        spans = [tuple(s) for s in r["_spans"]]
+        assert spans == sorted(spans) and all(a + n <= b for (a, n), (b, _) in zip(spans, spans[1:]))
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
+
+
+def line_keys(spark, row):
+    return tuple(frame(spark, [row]).select(line_dedup.both_keys("doc_id", "text").alias("k")).first().k)
+
+
+def test_line_dedup_takes_whole_passages():
+    draw = random.Random(10)
+    line = lambda: " ".join(draw.choices("abcdefghijklmnop", k=9))
+    for n, least in ((4, 0.8), (5, 0.9), (8, 0.97), (20, 0.99)):
+        gone = 0
+        for _ in range(300):
+            passage = [line() for _ in range(n)]
+            a, b = ([line() for _ in range(draw.randint(2, 9))] + passage + [line() for _ in range(draw.randint(2, 9))] for _ in range(2))
+            left = deduped(["\n".join(a), "\n".join(b)])[1].split("\n")
+            assert all(x in left for x in b if x not in passage)
+            gone += n - sum(x in left for x in passage)
+        assert gone / (300 * n) > least

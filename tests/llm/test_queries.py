@@ -43,7 +43,7 @@ def test_line_dedup_is_native(spark):
 
 
 def test_pipeline(spark):
-    from test_operators import chunks, components, fingerprint, words
+    from test_operators import components, deduped, fingerprint, words
     from tokenizers import Tokenizer
 
     import public_tokenizers
@@ -59,14 +59,7 @@ def test_pipeline(spark):
     right = [(i in stay) == bool(marked[i]) for i in all_ids if i in marked]
     assert sum(right) / len(right) > 0.9
 
-    seen = {}
-    for i in sorted(stay):
-        out = []
-        for a, part in chunks(stay[i]):
-            body = "\n".join(part)
-            if len(part) < 2 or not body.strip() or seen.setdefault(body, (i, a)) == (i, a):
-                out += part
-        stay[i] = "\n".join(out)
+    stay = dict(zip(sorted(stay), deduped([stay[i] for i in sorted(stay)])))
     fps = {i: fingerprint(t) for i, t in stay.items()}
     root = components(sorted(set(fps.values())), 4)
     least = {}
