@@ -1,14 +1,13 @@
 """Removal of passages of lines that repeat across the corpus; chunks are cut by content and hits are extended.
 
 Lines that are not blank have a 32-bit hash each; a rolling hash covers a line and the one
-before it, and lines where it is not 0 modulo SPARSE are cuts, wherever they stand. A chunk starts after
-every cut (and at the first line) and ends at the first cut that gives it two lines, so
-chunks overlap and a shared passage of a few lines holds at least one whole chunk that both texts cut alike. Chunks
+before it, and where it is 0 modulo SPARSE a chunk ends if it has two lines by then, so two texts that share
+lines soon cut them alike wherever the lines stand. A single line at the end joins the chunk before it. Chunks
 are grouped by their bytes; of equal chunks the earliest stays. DataFrame functions only.
 
-A hit is extended to the whole shared run: every chunk carries the line hashes of the two stretches between cuts on
-either side of it, the earliest occurrence's travel with it, and as many lines go as agree (64 bits a line).
-All that lies further out and agrees holds a chunk of its own. Every line that goes stands in an earlier place with the same
+A hit is extended to the whole shared run: every chunk carries the line hashes of the two chunks on
+either side of it, the earliest occurrence's travel with it, and as many lines go as agree (64 bits a line);
+whole equal chunks further out are hits of their own. Every line that goes stands in an earlier place with the same
 neighbours, so of each passage the earliest copy stays. Blank lines go with the line before them.
 
 Grouping is by (hash, text): map-side aggregation folds copies inside a task before
@@ -24,8 +23,10 @@ from pyspark.sql import functions as F
 
 from pagelens.llm.common import free, prepare, row_key, table
 
-#: One line in so many is no cut.
-SPARSE = 4
+#: One line in so many may end a chunk.
+SPARSE = 2
+#: Possible ends that are walked before the chunks found are appended to the text's, so that long texts are not copied at every one.
+_BLOCK = 512
 _BLANK = " \t\r\n"
 
 
@@ -51,20 +52,32 @@ def chunked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = rows.select("*", F.size("_l").alias("_n"), F.transform("_l", line_hash).alias("_h"))
     rolling = lambda i: F.concat(F.coalesce(F.get("_h", i - 1).cast("string"), F.lit("")), F.lit(":"), F.get("_h", i).cast("string"))
     places = F.when(F.col("_n") > 1, F.sequence(F.lit(0), F.col("_n") - 1)).otherwise(F.array().cast("array<int>"))
-    cuts = F.filter(places, lambda i: (i == F.col("_n") - 1) | (line_hash(rolling(i)) % SPARSE != 0))
-    rows = rows.select("_id", "_key", "_l", "_n", F.concat(F.array(F.lit(-1)), cuts).alias("_c"))
+    may = F.filter(places, lambda i: line_hash(rolling(i)) % SPARSE == 0)
+    rows = rows.select("_id", "_key", "_l", "_n", may.alias("_m"))
+    none = F.array().cast("array<int>")
+    walk = lambda u, c: F.when(c - u["last"] >= 2, F.struct(c.alias("last"), F.concat(u["out"], F.array(c)).alias("out"))).otherwise(u)
+
+    def block(s: Column, part: Column) -> Column:
+        walked = F.aggregate(part, F.struct(s["last"], none.alias("out")), walk)
+        return F.transform(F.array(walked), lambda r: F.struct(r["last"], F.concat(s["out"], r["out"]).alias("out")))[0]
+
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size("_m") / _BLOCK).cast("int")), lambda b: F.slice("_m", b * _BLOCK + 1, _BLOCK))
+    ends = F.aggregate(blocks, F.struct(F.lit(-1).alias("last"), none.alias("out")), block, lambda s: s["out"])
+    rows = rows.select("_id", "_key", "_l", "_n", ends.alias("_e"))
+    # the text's last line ends a chunk; a single line joins the chunk before it
+    last = F.coalesce(F.try_element_at("_e", F.lit(-1)), F.lit(-1))
+    inner = F.filter("_e", lambda c: c < F.col("_n") - F.when(last == F.col("_n") - 2, 2).otherwise(1))
+    rows = rows.select("_id", "_key", "_l", "_n", F.when(F.col("_n") > 1, F.concat(F.array(F.lit(-1)), inner, F.array(F.col("_n") - 1))).alias("_c"))
     part = lambda a, b: F.slice("_l", a + 1, F.greatest(b - a, F.lit(0)))
     hashes = lambda a, b: F.transform(part(a, b), lambda x: F.xxhash64(x))
 
     def chunk(k: Column) -> Column:
-        s = F.get("_c", k)
-        m = F.when(F.get("_c", k + 1) >= s + 2, k + 1).otherwise(k + 2)
-        to = F.get("_c", m)
-        return F.struct(k.alias("no"), (s + 1).alias("from"), to.alias("to"), F.array_join(part(s + 1, to + 1), "\n").alias("text"),
-                        hashes(F.when(k >= 2, F.get("_c", k - 2) + 1).otherwise(0), s + 1).alias("before"),
-                        hashes(to + 1, F.coalesce(F.get("_c", m + 2), F.col("_n") - 1) + 1).alias("after"))
-
-    starts = F.filter(F.transform("_c", lambda s, k: F.when(s <= F.col("_n") - 3, k)), lambda k: k.isNotNull())
+        start, to = F.get("_c", k) + 1, F.get("_c", k + 1)
+        return F.struct(k.alias("no"), start.alias("from"), to.alias("to"), F.array_join(part(start, to + 1), "\n").alias("text"),
+                        hashes(F.get("_c", F.greatest(k - 2, F.lit(0))) + 1, start).alias("before"),
+                        hashes(to + 1, F.coalesce(F.get("_c", k + 3), F.col("_n") - 1) + 1).alias("after"))
+
+    starts = F.sequence(F.lit(0), F.size("_c") - 2)
     # an outer explode: Spark would repeat the work in a filter before an inner one
     rows = rows.select("_id", "_key", F.explode_outer(F.transform(starts, chunk)).alias("_x")).filter("_x IS NOT NULL")
     return rows.select("_id", "_key", *[F.col(f"_x.{c}").alias(f"_{c}") for c in ("no", "from", "to", "text", "before", "after")])
@@ -145,11 +158,12 @@ WITH l AS (SELECT doc_id, row_number() OVER () AS r, text, string_split(text, ch
 u AS (SELECT *, list_filter(range(0, len(ls)), lambda i: trim(ls[i + 1], chr(32) || chr(9) || chr(10) || chr(13)) <> '') AS ui FROM l),
 x AS (SELECT *, list_transform(ui, lambda i: ls[i + 1]) AS us, len(ui) AS n FROM u),
 h AS (SELECT *, list_transform(us, lambda s: ('0x' || substr(md5(s), 1, 8))::BIGINT) AS hs FROM x WHERE n > 1),
-b AS (SELECT r, doc_id, us, n, list_prepend(-1, list_filter(range(0, n), lambda i: i = n - 1
-  OR ('0x' || substr(md5(CASE WHEN i = 0 THEN '' ELSE hs[i]::VARCHAR END || ':' || hs[i + 1]), 1, 8))::BIGINT % {SPARSE} <> 0)) AS cs FROM h),
-s AS (SELECT *, cs[k] AS s, CASE WHEN cs[k + 1] >= cs[k] + 2 THEN k + 1 ELSE k + 2 END AS m FROM (SELECT *, unnest(range(1, len(cs) + 1)) AS k FROM b) WHERE cs[k] <= n - 3),
-c AS (SELECT r, doc_id, k, s + 1 AS f, cs[m] AS t, array_to_string(us[s + 2:cs[m] + 1], chr(10)) AS body,
-  list_reverse(us[CASE WHEN k > 2 THEN cs[k - 2] + 2 ELSE 1 END:s + 1]) AS bef, us[cs[m] + 2:coalesce(cs[m + 2], n - 1) + 1] AS aft FROM s),
+m AS (SELECT r, doc_id, us, n, list_reduce(list_prepend([-1], list_transform(list_filter(range(0, n), lambda i:
+  ('0x' || substr(md5(CASE WHEN i = 0 THEN '' ELSE hs[i]::VARCHAR END || ':' || hs[i + 1]), 1, 8))::BIGINT % {SPARSE} = 0), lambda i: [i])),
+  lambda a, c: CASE WHEN c[1] - a[-1] >= 2 THEN list_concat(a, c) ELSE a END) AS es FROM h),
+b AS (SELECT *, list_append(list_filter(es, lambda c: c = -1 OR c < n - CASE WHEN es[-1] = n - 2 THEN 2 ELSE 1 END), n - 1) AS cs FROM m),
+c AS (SELECT r, doc_id, k, cs[k] + 1 AS f, cs[k + 1] AS t, array_to_string(us[cs[k] + 2:cs[k + 1] + 1], chr(10)) AS body,
+  list_reverse(us[cs[greatest(k - 2, 1)] + 2:cs[k] + 1]) AS bef, us[cs[k + 1] + 2:coalesce(cs[k + 3], n - 1) + 1] AS aft FROM (SELECT *, unnest(range(1, len(cs))) AS k FROM b)),
 o AS (SELECT *, row_number() OVER w AS place, first_value(bef) OVER w AS fb, first_value(aft) OVER w AS fa FROM c WINDOW w AS (PARTITION BY body ORDER BY doc_id, r, k)),
 z AS (SELECT *, list_transform(range(1, least(len(bef), len(fb)) + 1), lambda i: bef[i] = fb[i]) AS zb, list_transform(range(1, least(len(aft), len(fa)) + 1), lambda i: aft[i] = fa[i]) AS za
   FROM o WHERE place > 1),
