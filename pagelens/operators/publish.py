@@ -151,30 +151,32 @@ def fold_sections(old, secs) -> Column:
     return F.aggregate(col(secs), col(old), step)
 
 
-def batch_updates(requests: DataFrame, order: str = "requested_at") -> DataFrame:
-    """Per slug what a batch of requests amounts to: the last request's fields, ``base_html`` and ``sections``.
+def batch_updates(requests: DataFrame, order: str = "requested_at", by: tuple[str, ...] = ("slug",)) -> DataFrame:
+    """Per slug (or other columns ``by``) what a batch of requests amounts to: the last request's fields, ``base_html`` and ``sections``.
 
     ``base_html`` is the html of the last request that replaces the whole page (no marked
-    section, or another mode than ``safe``), NULL if there is none; ``first_html`` that of the first
+    section, or another mode than ``safe``), NULL if there is none; ``first_html`` and ``first_request`` are those of the first
     request. ``sections`` holds, of every section named since then, the newest text, in the order in
     which the names first came: folding these gives what folding every request in turn gives. Only
     aggregates by slug and by (slug, section): no window over html, no gathering of requests.
     """
     at = F.struct(order, "request_id")
+    by = list(by)
     r = requests.withColumns({"_at": at, "_secs": marked_sections("html")})
     whole = (F.col("update_mode") != "safe") | (F.size("_secs") == 0)
-    fields = [c for c in requests.columns if c not in ("slug", "html")]
-    last = r.groupBy("slug").agg(
+    fields = [c for c in requests.columns if c not in (*by, "html")]
+    last = r.groupBy(*by).agg(
         F.max_by(F.struct(*fields), F.col("_at")).alias("_r"), F.max(F.when(whole, F.col("_at"))).alias("_full_at"),
-        F.max_by("html", F.when(whole, F.col("_at"))).alias("base_html"), F.min_by("html", F.col("_at")).alias("first_html"))
-    rows = r.filter(~whole).select("slug", "_at", F.posexplode("_secs").alias("_i", "_s"))
-    rows = rows.join(last.select("slug", "_full_at"), "slug").filter(F.col("_full_at").isNull() | (F.col("_at") > F.col("_full_at")))
+        F.max_by("html", F.when(whole, F.col("_at"))).alias("base_html"), F.min_by("html", F.col("_at")).alias("first_html"),
+        F.min("_at")["request_id"].alias("first_request"))
+    rows = r.filter(~whole).select(*by, "_at", F.posexplode("_secs").alias("_i", "_s"))
+    rows = rows.join(last.select(*by, "_full_at"), by).filter(F.col("_full_at").isNull() | (F.col("_at") > F.col("_full_at")))
     place = F.struct("_at", "_i")
-    newest = rows.groupBy("slug", F.col("_s.name").alias("_name")).agg(F.max_by("_s.sec", place).alias("sec"), F.min(place).alias("_first"))
-    per_slug = newest.groupBy("slug").agg(F.array_sort(F.collect_list(F.struct("_first", "sec", F.col("_name").alias("name")))).alias("_secs"))
+    newest = rows.groupBy(*by, F.col("_s.name").alias("_name")).agg(F.max_by("_s.sec", place).alias("sec"), F.min(place).alias("_first"))
+    per_slug = newest.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_first", "sec", F.col("_name").alias("name")))).alias("_secs"))
     none = F.expr("cast(array() as array<struct<sec:string,name:string>>)")
-    return (last.join(per_slug, "slug", "left")
-            .select("slug", "_r.*", "base_html", "first_html", F.coalesce(
+    return (last.join(per_slug, by, "left")
+            .select(*by, "_r.*", "base_html", "first_html", "first_request", F.coalesce(
                 F.transform("_secs", lambda x: F.struct(x["sec"].alias("sec"), x["name"].alias("name"))), none).alias("sections")))
 
 
@@ -354,15 +356,16 @@ def upsert_pages(posts: DataFrame, updates: DataFrame, key: str = "id") -> DataF
 def upsert_meta(postmeta: DataFrame, changes: DataFrame) -> DataFrame:
     """(post_id, meta_key) -> value after update-or-insert; existing keys read by first meta_id.
 
+    One scan and one shuffle: changes stand beside the stored rows and win by key.
     Of several changes of one key the greatest value is taken, so they never multiply rows.
     """
-    from pagelens.operators.seo import load_postmeta
-    cur = load_postmeta(postmeta)
-    ch = changes.groupBy("post_id", "meta_key").agg(F.max("meta_value").alias("_new"))
-    on = ["post_id", "meta_key"]
-    kept = cur.join(ch, on, "left").select(*on, F.coalesce("_new", "meta_value").alias("meta_value"))
-    new = ch.join(postmeta.select(*on), on, "left_anti").select(*on, F.col("_new").alias("meta_value"))
-    return kept.unionByName(new)
+    kind = dict(postmeta.dtypes)["post_id"]
+    rows = postmeta.select("post_id", "meta_key", "meta_value", "meta_id", F.lit(False).alias("_new")).unionByName(changes.select(
+        F.col("post_id").cast(kind).alias("post_id"), "meta_key", "meta_value", F.lit(None).cast(dict(postmeta.dtypes)["meta_id"]).alias("meta_id"), F.lit(True).alias("_new")))
+    new = F.max(F.when(F.col("_new"), F.struct("meta_value")))
+    old = F.min_by("meta_value", F.when(~F.col("_new"), F.col("meta_id")))
+    rows = rows.groupBy("post_id", "meta_key").agg(new.alias("_n"), old.alias("_o"))
+    return rows.select("post_id", "meta_key", F.when(F.col("_n").isNotNull(), F.col("_n.meta_value")).otherwise(F.col("_o")).alias("meta_value"))
 
 
 def robots_meta(plugin, noindex, nofollow) -> Column:
@@ -389,54 +392,6 @@ def robots_meta(plugin, noindex, nofollow) -> Column:
             .when(p == "seopress", sp).otherwise(gen))
 
 
-def save_meta_map(requests: DataFrame, active: DataFrame) -> DataFrame:
-    """Meta writes of ``save_all_meta`` as (request_id, post_id, meta_key, meta_value) rows.
-
-    Non-empty fields go to the active plugin's key and the generic backup key;
-    description also sets the excerpt; twitter title/description fall back to
-    the OG values; managed flag and plugin used are recorded.
-    """
-    from pagelens.operators.seo import META_KEYS
-    spark = requests.sparkSession
-    rows = [(p, f, k) for p, pairs in META_KEYS.items() for f, k in pairs]
-    kmap = F.broadcast(spark.createDataFrame(rows, "plugin string, field string, meta_key string"))
-    r = requests.join(active.select(F.col("id").alias("post_id"), "seo_plugin"), "post_id")
-    og_t, og_d = F.col("og_title"), F.col("og_description")
-    fields = F.array(
-        F.struct(F.lit("title").alias("f"), F.col("meta_title").alias("v"), F.lit("_echo5_seo_title").alias("g")),
-        F.struct(F.lit("description").alias("f"), F.col("meta_description").alias("v"),
-                 F.lit("_echo5_seo_description").alias("g")),
-        F.struct(F.lit("focus_keyword").alias("f"), F.col("focus_keyword").alias("v"),
-                 F.lit("_echo5_focus_keyword").alias("g")),
-        F.struct(F.lit("canonical").alias("f"), F.col("canonical").alias("v"), F.lit("_echo5_canonical").alias("g")),
-        F.struct(F.lit("og_title").alias("f"), og_t.alias("v"), F.lit(None).cast("string").alias("g")),
-        F.struct(F.lit("og_description").alias("f"), og_d.alias("v"), F.lit(None).cast("string").alias("g")),
-        F.struct(F.lit("twitter_title").alias("f"), og_t.alias("v"), F.lit(None).cast("string").alias("g")),
-        F.struct(F.lit("twitter_description").alias("f"), og_d.alias("v"), F.lit(None).cast("string").alias("g")),
-    )
-    fv = (r.select("request_id", "post_id", "seo_plugin", F.explode(fields).alias("x"))
-          .select("request_id", "post_id", "seo_plugin", "x.f", "x.v", "x.g").filter(~falsy(F.col("v"))))
-    # a plugin whose key is the backup key itself writes it once, as the backup
-    plugin_rows = (fv.join(kmap, (fv.seo_plugin == kmap.plugin) & (fv.f == kmap.field) & ~fv.g.eqNullSafe(kmap.meta_key))
-                   .select("request_id", "post_id", "meta_key", F.col("v").alias("meta_value")))
-    backup = fv.filter(F.col("g").isNotNull()).select("request_id", "post_id", F.col("g").alias("meta_key"),
-                                                      F.col("v").alias("meta_value"))
-    excerpt = (r.filter(~falsy(F.col("meta_description")))
-               .select("request_id", "post_id", F.lit("post_excerpt").alias("meta_key"),
-                       F.col("meta_description").alias("meta_value")))
-    flags = r.select("request_id", "post_id", F.explode(F.array(
-        F.struct(F.lit("_echo5_seo_managed").alias("k"), F.lit("1").alias("v")),
-        F.struct(F.lit("_echo5_seo_plugin_used").alias("k"), F.col("seo_plugin").alias("v")))).alias("x")) \
-        .select("request_id", "post_id", F.col("x.k").alias("meta_key"), F.col("x.v").alias("meta_value"))
-    return plugin_rows.unionByName(backup).unionByName(excerpt).unionByName(flags)
-
-
-def last_request_per_slug(requests: DataFrame, order: str = "requested_at") -> DataFrame:
-    """Within one batch, the last request per slug wins (window top-1 per slug)."""
-    w = Window.partitionBy("slug").orderBy(F.col(order).desc(), F.col("request_id").desc())
-    return requests.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
-
-
 # SEO update fields in the order they are reported.
 SEO_UPDATE_FIELDS = ("meta_title", "meta_description", "focus_keyword", "canonical", "og_title",
                      "og_description", "og_image")

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagelens.functions.common import col, falsy
-from pagelens.operators.seo import load_postmeta
 
 VERSION_KEY_PREFIX = "_echo5_version_"
 VERSION_COUNT_KEY = "_echo5_version_count"
@@ -64,29 +63,6 @@ def version_retention(versions: DataFrame, keep: int = 10, compat: bool = False)
     return versions.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_r")
 
 
-def _meta_map(postmeta: DataFrame, keys=SNAPSHOT_META_KEYS) -> DataFrame:
-    """post_id -> MAP of non-empty snapshot meta values (first value per key)."""
-    pm = load_postmeta(postmeta, keys).filter(F.col("meta_value").isNotNull() & (F.col("meta_value") != ""))
-    return pm.groupBy("post_id").agg(F.map_from_entries(F.collect_list(F.struct("meta_key", "meta_value")))
-                                     .alias("seo_meta"))
-
-
-def snapshot_versions(updates: DataFrame, posts: DataFrame, postmeta: DataFrame) -> DataFrame:
-    """Snapshot rows taken before updating existing pages.
-
-    ``updates`` has (page_id, saved_at). One snapshot per (page, epoch second):
-    same-second saves overwrite, the last request (by saved_at, request_id)
-    wins. Snapshot = current content, title and non-empty SEO meta.
-    """
-    u = (updates.select("page_id", "request_id", F.unix_timestamp(F.col("saved_at").cast("timestamp")).alias("version"))
-         .groupBy("page_id", "version").agg(F.max("request_id").alias("request_id")))
-    p = posts.select(F.col("id").alias("page_id"), F.col("post_content").alias("content"), "post_title")
-    m = _meta_map(postmeta).withColumnRenamed("post_id", "page_id")
-    return (u.join(p, "page_id").join(m, "page_id", "left")
-            .select("page_id", "version", "request_id", "content", "post_title",
-                    F.coalesce("seo_meta", F.create_map().cast("map<string,string>")).alias("seo_meta")))
-
-
 def rollback(requests: DataFrame, posts: DataFrame, versions: DataFrame) -> DataFrame:
     """Restore content/title/meta of a stored version, per request.
 

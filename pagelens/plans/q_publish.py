@@ -95,27 +95,6 @@ def blog_validate(t):
     return P.blog_validate(t.blog_requests)
 
 
-def _existing_pages(t):
-    r = P.last_request_per_slug(t.publish_requests)
-    found = X.find_by_slug(r, t.posts).filter(F.col("post_id").isNotNull())
-    return found.join(t.posts.select(F.col("id").alias("post_id"), F.col("post_content").alias("existing")), "post_id")
-
-
-SAFE_SQL = f"""WITH {BEST_SQL},
-last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY requested_at DESC, request_id DESC) AS rk
-                        FROM publish_requests) WHERE rk = 1),
-e AS (SELECT l.*, best.post_id, p.post_content AS existing FROM last l JOIN best ON best.s = l.slug JOIN posts p ON p.id = best.post_id),
-secs AS (SELECT *, regexp_extract_all(html, '(?s)<!-- ECHO5:START \\w+ -->.*?<!-- ECHO5:END \\w+ -->') AS sl FROM e),
-m AS (SELECT request_id, post_id, CASE WHEN len(sl) = 0 THEN html ELSE list_reduce(list_prepend(existing, sl), lambda acc, s:
-  CASE WHEN regexp_matches(acc, '(?s)<!-- ECHO5:START ' || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->.*?<!-- ECHO5:END '
-                                || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->')
-       THEN regexp_replace(acc, '(?s)<!-- ECHO5:START ' || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->.*?<!-- ECHO5:END '
-                                || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->', s, 'g')
-       WHEN contains(acc, '</body>') THEN replace(acc, '</body>', s || chr(10) || '</body>')
-       ELSE acc || chr(10) || s END) END AS merged
-  FROM secs)"""
-
-
 IN_TURN_FOLD = """list_reduce(list_prepend(old, regexp_extract_all(html, '(?s)<!-- ECHO5:START \\w+ -->.*?<!-- ECHO5:END \\w+ -->')), lambda acc, s:
   CASE WHEN regexp_matches(acc, '(?s)<!-- ECHO5:START ' || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->.*?<!-- ECHO5:END '
                                 || regexp_extract(s, 'START (\\w+) -->', 1) || ' -->')
@@ -323,29 +302,6 @@ def version_timestamp(t):
     return t.page_versions.select("page_id", k.alias("meta_key"), V.version_timestamp(k).alias("timestamp"))
 
 
-SNAP_META_VALUES = ", ".join(f"('{k}')" for k in V.SNAPSHOT_META_KEYS)
-
-
-@query("snapshot_versions", oracle=f"""{SAFE_SQL.split(',' + chr(10) + 'secs AS')[0]},
-u AS (SELECT post_id AS page_id, CAST(epoch(requested_at) AS BIGINT) AS version, max(request_id) AS request_id
-      FROM e GROUP BY 1, 2),
-km AS (SELECT * FROM (VALUES {SNAP_META_VALUES}) v(k)),
-pm AS (SELECT post_id, meta_key, arg_min(meta_value, meta_id) AS mv FROM postmeta WHERE meta_key IN (SELECT k FROM km)
-       GROUP BY post_id, meta_key),
-mc AS (SELECT post_id, count(*) AS n FROM pm WHERE mv IS NOT NULL AND mv <> '' GROUP BY post_id)
-SELECT u.page_id, u.version, u.request_id, p.post_title, md5(p.post_content) AS content_md5,
-  CAST(coalesce(mc.n, 0) AS INTEGER) AS meta_count
-FROM u JOIN posts p ON p.id = u.page_id LEFT JOIN mc ON mc.post_id = u.page_id""",
-       views=("posts", "publish_requests", "postmeta"))
-def snapshot_versions(t):
-    """Snapshot (content, title, SEO meta) of every page about to be updated; one per page and second."""
-    e = _existing_pages(t).select(F.col("post_id").alias("page_id"), "request_id",
-                                  F.col("requested_at").alias("saved_at"))
-    s = V.snapshot_versions(e, t.posts, t.postmeta)
-    return s.select("page_id", "version", "request_id", "post_title", F.md5("content").alias("content_md5"),
-                    F.size("seo_meta").cast("int").alias("meta_count"))
-
-
 ROLLBACK_REQ = """SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 1 ELSE max(version) - 1 END AS version,
   page_id AS request_id FROM page_versions GROUP BY page_id"""
 
@@ -375,76 +331,7 @@ def rollback(t):
                       "post_title", F.coalesce("seo_meta_restored", F.lit(False)).alias("seo_meta_restored"))
 
 
-# --- upserts and meta ------------------------------------------------------------
-
-@query("upsert_pages", oracle=f"""{SAFE_SQL.split(',' + chr(10) + 'secs AS')[0]},
-lastall AS (SELECT l.*, best.post_id FROM last l LEFT JOIN best ON best.s = l.slug),
-up AS (SELECT coalesce(post_id, 1000000000000 + request_id) AS id, title AS post_title, slug AS post_name, html AS post_content
-       FROM lastall)
-SELECT CAST(coalesce(up.id, p.id) AS BIGINT) AS id, coalesce(up.post_title, p.post_title) AS post_title,
-  coalesce(up.post_name, p.post_name) AS post_name, md5(coalesce(up.post_content, p.post_content)) AS content_md5
-FROM (SELECT id, post_title, post_name, post_content FROM posts) p FULL OUTER JOIN up ON up.id = p.id""",
-       views=("posts", "publish_requests"))
-def upsert_pages(t):
-    """Posts after the batch: matched slugs updated (last request wins), new slugs inserted."""
-    r = P.last_request_per_slug(t.publish_requests)
-    found = X.find_by_slug(r, t.posts)
-    updates = found.select(F.coalesce(F.col("post_id"), F.lit(1000000000000) + F.col("request_id")).alias("id"),
-                           F.col("title").alias("post_title"), F.col("slug").alias("post_name"),
-                           F.col("html").alias("post_content"))
-    base = t.posts.select("id", "post_title", "post_name", "post_content")
-    out = P.upsert_pages(base, updates)
-    return out.select(F.col("id").cast("bigint").alias("id"), "post_title", "post_name",
-                      F.md5("post_content").alias("content_md5"))
-
-
-@query("upsert_meta", oracle=f"""{SAFE_SQL.split(',' + chr(10) + 'secs AS')[0]},
-ch AS (SELECT post_id, '_echo5_update_mode' AS meta_key, update_mode AS meta_value FROM e
-       UNION ALL SELECT post_id, '_echo5_managed', '1' FROM e),
-cur AS (SELECT post_id, meta_key, arg_min(meta_value, meta_id) AS meta_value FROM postmeta GROUP BY post_id, meta_key)
-SELECT coalesce(ch.post_id, cur.post_id) AS post_id, coalesce(ch.meta_key, cur.meta_key) AS meta_key,
-  coalesce(ch.meta_value, cur.meta_value) AS meta_value
-FROM cur FULL OUTER JOIN ch ON ch.post_id = cur.post_id AND ch.meta_key = cur.meta_key""",
-       views=("posts", "publish_requests", "postmeta"))
-def upsert_meta(t):
-    """Post meta after setting update mode and managed flag on every updated page."""
-    e = _existing_pages(t)
-    ch = e.select("post_id", F.explode(F.array(
-        F.struct(F.lit("_echo5_update_mode").alias("k"), F.col("update_mode").alias("v")),
-        F.struct(F.lit("_echo5_managed").alias("k"), F.lit("1").alias("v")))).alias("x")) \
-        .select("post_id", F.col("x.k").alias("meta_key"), F.col("x.v").alias("meta_value"))
-    return P.upsert_meta(t.postmeta, ch)
-
-
-def _keymap_values() -> str:
-    return ", ".join(f"('{p}', '{f}', '{k}')" for p, pairs in S.META_KEYS.items() for f, k in pairs)
-
-
-@query("save_meta_map", oracle=f"""{SAFE_SQL.split(',' + chr(10) + 'secs AS')[0]},
-{__import__('pagelens.plans.q_seo', fromlist=['x']).FLAGS_SQL},
-km AS (SELECT * FROM (VALUES {_keymap_values()}) v(plugin, field, meta_key)),
-r AS (SELECT e.request_id, e.post_id, ap.seo_plugin, e.title AS meta_title, e.meta_description, e.focus_keyword
-      FROM e JOIN ap ON ap.id = e.post_id),
-fv AS (SELECT request_id, post_id, seo_plugin, 'title' AS f, meta_title AS v, '_echo5_seo_title' AS g FROM r
-  UNION ALL SELECT request_id, post_id, seo_plugin, 'description', meta_description, '_echo5_seo_description' FROM r
-  UNION ALL SELECT request_id, post_id, seo_plugin, 'focus_keyword', focus_keyword, '_echo5_focus_keyword' FROM r),
-nz AS (SELECT * FROM fv WHERE NOT {falsy_sql('v')})
-SELECT nz.request_id, nz.post_id, km.meta_key, nz.v AS meta_value FROM nz JOIN km ON km.plugin = nz.seo_plugin AND km.field = nz.f AND km.meta_key <> nz.g
-UNION ALL SELECT request_id, post_id, g, v FROM nz
-UNION ALL SELECT request_id, post_id, 'post_excerpt', meta_description FROM r WHERE NOT {falsy_sql('meta_description')}
-UNION ALL SELECT request_id, post_id, '_echo5_seo_managed', '1' FROM r
-UNION ALL SELECT request_id, post_id, '_echo5_seo_plugin_used', seo_plugin FROM r""",
-       views=("posts", "publish_requests", "site_plugins"))
-def save_meta_map(t):
-    """Meta writes of save_all_meta for every updated page (plugin keys, backups, excerpt, flags)."""
-    e = _existing_pages(t).select("request_id", "post_id", F.col("title").alias("meta_title"),
-                                  "meta_description", "focus_keyword",
-                                  F.lit(None).cast("string").alias("canonical"),
-                                  F.lit(None).cast("string").alias("og_title"),
-                                  F.lit(None).cast("string").alias("og_description"))
-    active = S.active_seo_plugin(t.posts, t.site_plugins)
-    return P.save_meta_map(e, active)
-
+# --- robots ---
 
 @query("robots_meta", oracle=f"""WITH {__import__('pagelens.plans.q_seo', fromlist=['x']).FLAGS_SQL},
 j AS (SELECT ap.id, ap.seo_plugin, p.post_status <> 'publish' AS ni, ap.id % 2 = 1 AS nf FROM ap JOIN posts p ON p.id = ap.id)
@@ -470,44 +357,6 @@ def robots_meta(t):
 SCHEMA_RE_SQL = "'(?s)<!-- ECHO5:START SCHEMA -->.*?<!-- ECHO5:END SCHEMA -->'"
 
 
-@query("publish_batch", oracle=f"""{IN_TURN_SQL},
-w AS (SELECT mg.*, {{WRAP}} AS wrapped FROM mg),
-sc AS (SELECT w.request_id, string_agg('<script type="application/ld+json">' || chr(10) || __PRETTY__ || chr(10) || '</script>'
-         || chr(10), '' ORDER BY je.key) AS scripts
-       FROM w, json_each(w.schema_json) je WHERE je.value IS NOT NULL
-         AND CAST(je.value AS VARCHAR) NOT IN ('', '0', 'null', '{{}}', '[]', 'false') GROUP BY w.request_id),
-b AS (SELECT w.*, chr(10) || '<!-- ECHO5:START SCHEMA -->' || chr(10) || coalesce(sc.scripts, '') || '<!-- ECHO5:END SCHEMA -->'
-        || chr(10) AS block FROM w LEFT JOIN sc ON sc.request_id = w.request_id),
-c AS (SELECT *, CASE WHEN schema_json IS NULL OR len(json_keys(schema_json)) = 0 THEN wrapped
-                     WHEN regexp_matches(wrapped, {SCHEMA_RE_SQL}) THEN regexp_replace(wrapped, {SCHEMA_RE_SQL}, block, 'g')
-                     ELSE wrapped || block END AS content FROM b),
-par AS (SELECT r.request_id, CAST(coalesce(best.post_id, 0) AS BIGINT) AS post_parent FROM mg r
-        LEFT JOIN best ON best.s = r.parent_slug),
-au AS (SELECT CAST(coalesce(min(id) FILTER (WHERE lower(login) = 'echo5-seo'),
-                   arg_min(id, login) FILTER (WHERE lower(display_name) = 'echo5-seo'), 1) AS BIGINT) AS author_id FROM users)
-SELECT c.request_id, c.slug, CAST(coalesce(c.post_id, 1000000000000 + c.request_id) AS BIGINT) AS post_id,
-  CASE WHEN c.post_id IS NOT NULL THEN 'updated' ELSE 'created' END AS action, 'draft' AS status,
-  par.post_parent, (SELECT author_id FROM au) AS author_id, md5(c.content) AS content_md5
-FROM c JOIN par ON par.request_id = c.request_id""".replace("__PRETTY__", PRETTY_SQL).replace(
-    "{WRAP}", WRAP_SQL.replace("html", "merged")),
-       views=("posts", "publish_requests", "users"))
-def publish_batch(t):
-    """The publish flow over a batch: all requests merged per page, then wrap, schema, parent, author, create-or-update rows."""
-    j = _batch(t)
-    merged = _merged()
-    content = P.inject_schema(P.wrap_content(merged), F.from_json("schema_json", "map<string,string>"))
-    parents = X.parent_lookup(j.select("request_id", "parent_slug"), t.posts).select("request_id", "post_parent")
-    # the publishing author is one value: a scalar subquery, not a join
-    author = X.publisher_author(t.users).scalar()
-    out = j.join(parents, "request_id", "left").withColumn("author_id", author)
-    return out.select(
-        "request_id", "slug",
-        F.coalesce("post_id", F.lit(1000000000000) + F.col("request_id")).alias("post_id"),
-        F.when(F.col("post_id").isNotNull(), F.lit("updated")).otherwise(F.lit("created")).alias("action"),
-        F.lit("draft").alias("status"), F.coalesce("post_parent", F.lit(0)).alias("post_parent"),
-        "author_id", F.md5(content).alias("content_md5"))
-
-
 # --- media ------------------------------------------------------------------------
 
 MIME_SQL = """CASE WHEN mime_type IN ('image/jpeg', 'image/png', 'image/gif', 'image/webp') THEN mime_type

@@ -44,6 +44,6 @@ def load_all() -> dict[str, Query]:
     """Import every catalogue module (registration happens on import)."""
     from pagelens.plans import (  # noqa: F401
         q_export, q_logs, q_blocks, q_seo, q_site, q_tree, q_brand, q_publish, q_access, q_streams,
-        q_content, q_widgets,
+        q_content, q_widgets, q_replay,
     )
     return REGISTRY

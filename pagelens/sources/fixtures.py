@@ -138,7 +138,18 @@ SELECT doc_id AS request_id, concat('slug-', CAST(doc_id % 60 AS STRING)) AS slu
   CASE WHEN doc_id % 5 = 0 THEN '' ELSE substr(replace(text, ' ', '-'), 1, CAST(doc_id % 200 AS INT)) END AS meta_description,
   CASE WHEN doc_id % 3 = 0 THEN NULL ELSE 'keyword' END AS focus_keyword,
   CASE WHEN doc_id % 6 = 0 THEN '{"service":{"@type":"Service"},"faqpage":null}' END AS schema_json,
-  TIMESTAMP '2024-03-01 00:00:00' + INTERVAL '1' MINUTE * doc_id AS requested_at
+  CASE WHEN doc_id % 7 = 0 THEN concat('https://example.com/c', CAST(doc_id AS STRING)) ELSE '' END AS canonical,
+  CASE WHEN doc_id % 4 = 1 THEN concat('OG ', CAST(doc_id AS STRING)) END AS og_title,
+  CASE WHEN doc_id % 4 IN (1, 2) THEN concat('OG text ', CAST(doc_id AS STRING)) ELSE '' END AS og_description,
+  CASE WHEN doc_id % 3 = 1 THEN '/og.png' END AS og_image,
+  CASE WHEN doc_id % 8 = 1 THEN concat('TW ', CAST(doc_id AS STRING)) END AS twitter_title,
+  CASE WHEN doc_id % 16 = 2 THEN concat('TW text ', CAST(doc_id AS STRING)) ELSE '0' END AS twitter_description,
+  CASE WHEN doc_id % 5 IN (2, 3) THEN concat('["second ', CAST(doc_id AS STRING), '","third"]') WHEN doc_id % 5 = 4 THEN '[]' END AS secondary_json,
+  CASE doc_id % 3 WHEN 0 THEN 'publish' WHEN 1 THEN 'draft' ELSE 'private' END AS status,
+  CASE WHEN doc_id % 4 = 3 THEN 'elementor_canvas' ELSE '' END AS template, doc_id % 6 = 5 AS hide_title,
+  CASE WHEN doc_id % 9 = 4 THEN concat('h1{margin:', CAST(doc_id AS STRING), 'px}') END AS custom_css,
+  CASE WHEN doc_id % 2 = 0 THEN concat('https://cdn.example.com/img', CAST(doc_id % 400 AS STRING), '.jpg') END AS featured_url,
+  TIMESTAMP '2024-03-01 00:00:00' + INTERVAL '1' MINUTE * (doc_id - doc_id % 120 + doc_id % 60) + INTERVAL '0.4' SECOND * (CASE WHEN doc_id % 120 < 60 THEN 0 ELSE 1 END) AS requested_at
 FROM documents
 """
 

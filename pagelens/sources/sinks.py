@@ -1,11 +1,13 @@
-"""Sinks: export envelopes as JSON lines under the shared checkpoint folder."""
+"""Sinks: export envelopes as JSON lines under the shared checkpoint folder; several tables in one commit."""
 
 from __future__ import annotations
 
 import os
+import time
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelens.session import checkpoint_dir
@@ -26,3 +28,33 @@ def write_export_json(records: DataFrame, name: str = "export", per_page: int =
         "total", F.ceil(F.col("total") / F.lit(per_page)).cast("bigint").alias("total_pages"))
     totals.coalesce(1).write.mode("overwrite").json(os.path.join(out, "pagination"))
     return out
+
+
+def commit_tables(spark: SparkSession, root: str, batch: str, tables: Callable[[str], dict[str, DataFrame]]) -> str:
+    """Write several tables as one batch; all of them become valid at once, or none.
+
+    ``tables(folder)`` gives the frames (and may write what they share to the folder first). Every attempt
+    has a folder of its own; when all tables are written, one row in the manifest names it, and that row appears with
+    the rename of a single file. A job that dies before leaves a folder that nobody reads; a batch that is run again replaces
+    what it committed before. Returns the folder.
+    """
+    attempt = time.time_ns()
+    folder = os.path.join(root, "data", batch, f"{attempt}-{uuid.uuid4().hex[:12]}")
+    for name, df in tables(folder).items():
+        df.write.parquet(os.path.join(folder, name))
+    row = spark.range(1).select(F.lit(batch).alias("batch"), F.lit(attempt).cast("long").alias("attempt"), F.lit(folder).alias("folder"))
+    row.coalesce(1).write.mode("append").parquet(os.path.join(root, "manifest"))
+    return folder
+
+
+def committed(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A table over all committed batches, each as its last attempt left it; a ``batch`` column names them.
+
+    The manifest has a row per commit; its folders are what comes to the driver.
+    """
+    rows = spark.read.parquet(os.path.join(root, "manifest")).groupBy("batch").agg(F.max_by("folder", "attempt").alias("folder"))
+    frames = [spark.read.parquet(os.path.join(r.folder, table)).withColumn("batch", F.lit(r.batch)) for r in rows.orderBy("batch").collect()]
+    out = frames[0]
+    for df in frames[1:]:
+        out = out.unionByName(df)
+    return out
