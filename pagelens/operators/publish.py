@@ -392,6 +392,27 @@ def robots_meta(plugin, noindex, nofollow) -> Column:
             .when(p == "seopress", sp).otherwise(gen))
 
 
+def save_meta_map(requests: DataFrame, active: DataFrame) -> DataFrame:
+    """Meta writes of each request by itself as (request_id, post_id, meta_key, meta_value) rows, a key once a request.
+
+    The rules are those of ``replay.seo_ops``, which also tells what a whole batch amounts to; fields that
+    ``requests`` lacks count as not given.
+    """
+    from pagelens.operators.replay import composed, seo_ops
+
+    text = ["og_image", "twitter_title", "twitter_description"]
+    lacking = {c: F.lit(None).cast("string") for c in text if c not in requests.columns}
+    if "secondary_keywords" not in requests.columns:
+        lacking["secondary_keywords"] = F.array().cast("array<string>")
+    if "requested_at" not in requests.columns:
+        lacking["requested_at"] = F.lit(None).cast("timestamp")
+    known = requests.join(active.select(F.col("id").alias("post_id")), "post_id", "left_semi")
+    ops = seo_ops(known.withColumns(lacking) if lacking else known, active)
+    rows = composed(ops, ["request_id", "post_id", "meta_key"])
+    value = F.when(F.col("_added") == "", F.col("_set.v")).otherwise(F.concat_ws(",", "_set.v", "_added"))
+    return rows.select("request_id", "post_id", "meta_key", value.alias("meta_value")).filter(F.col("meta_value").isNotNull())
+
+
 # SEO update fields in the order they are reported.
 SEO_UPDATE_FIELDS = ("meta_title", "meta_description", "focus_keyword", "canonical", "og_title",
                      "og_description", "og_image")

@@ -302,35 +302,6 @@ def version_timestamp(t):
     return t.page_versions.select("page_id", k.alias("meta_key"), V.version_timestamp(k).alias("timestamp"))
 
 
-ROLLBACK_REQ = """SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 1 ELSE max(version) - 1 END AS version,
-  page_id AS request_id FROM page_versions GROUP BY page_id"""
-
-
-@query("rollback", oracle=f"""
-WITH r AS ({ROLLBACK_REQ}),
-j AS (SELECT r.request_id, r.page_id, r.version, p.id AS pid, p.post_title AS cur_title, v.content AS v_content,
-        v.post_title AS v_title, v.seo_meta_json, v.legacy_format
-      FROM r LEFT JOIN (SELECT * FROM posts WHERE post_type IN ('page', 'post')) p ON p.id = r.page_id
-      LEFT JOIN page_versions v ON v.page_id = r.page_id AND v.version = r.version),
-k AS (SELECT *, CASE WHEN pid IS NULL THEN 'not_found' WHEN v_content IS NULL OR {falsy_sql('v_content')} THEN 'version_not_found'
-                     ELSE 'rolled_back' END AS status FROM j)
-SELECT request_id, page_id, version, status,
-  CASE WHEN status = 'rolled_back' THEN md5(v_content) END AS content_md5,
-  CASE WHEN status = 'rolled_back' THEN CASE WHEN legacy_format THEN cur_title ELSE coalesce(v_title, cur_title) END END AS post_title,
-  coalesce(status = 'rolled_back' AND NOT coalesce(legacy_format, false) AND seo_meta_json IS NOT NULL
-           AND len(json_keys(seo_meta_json)) > 0, false) AS seo_meta_restored
-FROM k""", views=("posts", "page_versions"))
-def rollback(t):
-    """Rollback of pages to a previous (or missing) version: status, restored title, meta restored."""
-    pv = t.page_versions
-    reqs = (pv.groupBy("page_id").agg(F.max("version").alias("_mx"))
-            .select("page_id", F.when(F.col("page_id") % 3 == 0, F.lit(1)).otherwise(F.col("_mx") - 1)
-                    .cast("bigint").alias("version"), F.col("page_id").alias("request_id")))
-    out = V.rollback(reqs, t.posts, pv)
-    return out.select("request_id", "page_id", "version", "status", F.md5("content").alias("content_md5"),
-                      "post_title", F.coalesce("seo_meta_restored", F.lit(False)).alias("seo_meta_restored"))
-
-
 # --- robots ---
 
 @query("robots_meta", oracle=f"""WITH {__import__('pagelens.plans.q_seo', fromlist=['x']).FLAGS_SQL},

@@ -10,6 +10,7 @@ from pagelens.operators import publish as P
 from pagelens.operators import replay as R
 from pagelens.operators import seo as S
 from pagelens.operators import site as X
+from pagelens.operators.rollbacks import rollback_batch
 from pagelens.plans.duck import falsy_sql
 from pagelens.plans.q_publish import IN_TURN_SQL, PRETTY_SQL, SCHEMA_RE_SQL, WRAP_SQL
 from pagelens.plans.q_seo import FLAGS_SQL
@@ -239,3 +240,66 @@ def publish_batch(t):
         one(got("meta"), "meta", "page_id", "meta_key", F.col("meta_value"))).unionByName(
         one(got("versions"), "versions", "page_id", "version", F.when(F.col("action") == "saved", F.concat_ws("|", "action", F.md5("content"), "post_title", F.coalesce(told, F.lit("")))).otherwise(F.col("action")))).unionByName(
         one(got("log"), "log", "page_id", "request_id", F.concat_ws("|", "action", "slug", "result", R.stamp(F.col("created_at")))))
+
+
+# -- rollbacks -----------------------------------------------------------------------------------------
+
+#: Rollbacks to stored versions, to ones that are not there, and to versions that earlier rollbacks of the batch have saved.
+ASKED_SQL = """SELECT event_id AS request_id, event_id % 141 AS page_id,
+  CASE event_id % 4 WHEN 0 THEN 1700000000 + event_id % 7 WHEN 1 THEN 1700000001 + event_id % 3 WHEN 2 THEN 5 ELSE {second} - 60 * 141 * (1 + event_id % 2) END AS version,
+  {time} AS requested_at
+FROM events"""
+
+
+def _asked(t):
+    time = "TIMESTAMP '2024-04-01 00:00:00' + INTERVAL '1' MINUTE * event_id"
+    sql = ASKED_SQL.replace("{time}", time).replace("{second}", f"unix_timestamp(CAST({time} AS TIMESTAMP))").replace("FROM events", "FROM {events}")
+    return t.spark.sql(sql, events=t.events).withColumn("version", F.col("version").cast("bigint"))
+
+
+def _stored(t):
+    whole = F.to_json(F.struct("content", F.coalesce(F.from_json("seo_meta_json", "map<string,string>"), F.create_map().cast("map<string,string>")).alias("seo_meta"), "post_title"))
+    return t.page_versions.select("page_id", "version", F.when(F.col("legacy_format"), F.col("content")).otherwise(whole).alias("meta_value"))
+
+
+_RQ_TIME = "TIMESTAMP '2024-04-01 00:00:00' + INTERVAL '1' MINUTE * event_id"
+ROLLBACK_SQL = f"""WITH RECURSIVE asked AS ({ASKED_SQL.replace('{time}', _RQ_TIME).replace('{second}', f'CAST(epoch({_RQ_TIME}) AS BIGINT)')}),
+old AS (SELECT post_id AS page_id, meta_key, arg_min(meta_value, meta_id) AS meta_value FROM postmeta WHERE meta_key IN {SNAPSHOT_SQL} GROUP BY ALL HAVING arg_min(meta_value, meta_id) <> ''),
+rq AS (SELECT a.*, CAST(epoch(requested_at) AS BIGINT) AS sec, row_number() OVER (PARTITION BY a.page_id ORDER BY requested_at, request_id) AS rn,
+    p.id IS NOT NULL AS found, EXISTS (SELECT 1 FROM old WHERE old.page_id = a.page_id) AS om
+  FROM asked a LEFT JOIN (SELECT id FROM posts WHERE post_type IN ('page', 'post')) p ON p.id = a.page_id),
+sv AS (SELECT page_id, list({{'v': version, 'c': CAST(version AS VARCHAR), 't': CASE WHEN NOT legacy_format THEN CAST(version AS VARCHAR) END,
+    'm': CASE WHEN NOT legacy_format AND seo_meta_json IS NOT NULL THEN [CAST(version AS VARCHAR)] ELSE []::VARCHAR[] END}}) AS vs FROM page_versions WHERE NOT {falsy_sql('content')} OR NOT legacy_format GROUP BY page_id),
+f AS (
+  SELECT s.page_id, 0::BIGINT AS rn, 'before' AS c, 'before' AS t, []::VARCHAR[] AS m, coalesce(sv.vs, []) AS vs, NULL::BIGINT AS request_id, NULL::BIGINT AS version, NULL::VARCHAR AS status, false AS restored, 0 AS saves, []::BIGINT[] AS mine
+  FROM (SELECT DISTINCT page_id FROM asked) s LEFT JOIN sv ON sv.page_id = s.page_id
+  UNION ALL
+  SELECT page_id, rn, CASE WHEN ok THEN hit.c ELSE c END, CASE WHEN ok THEN coalesce(hit.t, t) ELSE t END,
+    CASE WHEN ok THEN list_concat(list_filter(m, lambda x: NOT list_contains(hit.m, x)), hit.m) ELSE m END,
+    CASE WHEN ok THEN list_filter(vs2, lambda x: len(list_filter(vs2, lambda y: y.v > x.v)) < 9) ELSE vs END,
+    rid, ver, CASE WHEN NOT found THEN 'not_found' WHEN ok THEN 'rolled_back' ELSE 'version_not_found' END, ok AND len(hit.m) > 0, saves + CASE WHEN ok THEN 1 ELSE 0 END, CASE WHEN ok THEN list_append(mine, sec) ELSE mine END
+  FROM (SELECT *, found AND hit IS NOT NULL AS ok, list_append(list_filter(vs, lambda x: x.v <> sec), {{'v': sec, 'c': c, 't': t, 'm': CASE WHEN om THEN list_prepend('before', m) ELSE m END}}) AS vs2
+    FROM (SELECT f.page_id, rq.rn, f.c, f.t, f.m, f.vs, f.saves, f.mine, rq.request_id AS rid, rq.version AS ver, rq.sec, rq.found, rq.om, list_filter(f.vs, lambda x: x.v = rq.version)[1] AS hit
+      FROM f JOIN rq ON rq.page_id = f.page_id AND rq.rn = f.rn + 1))),
+fin AS (SELECT page_id, arg_max(c, rn) AS c, arg_max(t, rn) AS t, arg_max(m, rn) AS m, arg_max(vs, rn) AS vs, max(saves) AS saves, arg_max(mine, rn) AS mine FROM f GROUP BY page_id HAVING max(saves) > 0),
+src AS (SELECT page_id, CAST(version AS VARCHAR) AS s, content, CASE WHEN NOT legacy_format THEN post_title END AS post_title FROM page_versions UNION ALL SELECT id, 'before', post_content, post_title FROM posts),
+mt AS (SELECT page_id, CAST(version AS VARCHAR) AS s, je.key AS meta_key, json_extract_string(je.value, '$') AS meta_value FROM page_versions, json_each(seo_meta_json) je WHERE NOT legacy_format UNION ALL SELECT page_id, 'before', meta_key, meta_value FROM old),
+ly AS (SELECT page_id, unnest(m) AS s, unnest(range(1, len(m) + 1)) AS i FROM fin),
+sn AS (SELECT page_id, saves, mine, unnest(vs) AS x FROM fin)
+SELECT 'log' AS tbl, CAST(page_id AS BIGINT) AS page_id, CAST(request_id AS VARCHAR) AS item, concat_ws('|', status, CAST(version AS VARCHAR), CAST(restored AS VARCHAR)) AS value FROM f WHERE rn > 0
+UNION ALL SELECT 'posts', fin.page_id, 'post', md5(a.content) || '|' || b.post_title FROM fin JOIN src a ON a.page_id = fin.page_id AND a.s = fin.c JOIN src b ON b.page_id = fin.page_id AND b.s = fin.t
+UNION ALL SELECT 'meta', ly.page_id, mt.meta_key, arg_max(mt.meta_value, i) FROM ly JOIN mt ON mt.page_id = ly.page_id AND mt.s = ly.s GROUP BY ly.page_id, mt.meta_key
+UNION ALL SELECT 'versions', sn.page_id, CAST(x.v AS VARCHAR), concat_ws('|', md5(a.content), b.post_title, CAST(saves AS VARCHAR)) FROM sn JOIN src a ON a.page_id = sn.page_id AND a.s = x.c JOIN src b ON b.page_id = sn.page_id AND b.s = x.t
+  WHERE list_contains(mine, x.v)"""
+
+
+@query("rollback", oracle=ROLLBACK_SQL, views=("posts", "page_versions", "postmeta"))
+def rollback(t):
+    """Rollbacks of a batch in sequence: log, restored pages and meta, versions saved first (also ones restored later in the batch)."""
+    checkpoint_dir(t.spark)
+    out = rollback_batch(_asked(t), t.posts, t.postmeta, _stored(t))
+    one = lambda tbl, item, value: out[tbl].select(F.lit(tbl).alias("tbl"), F.col("page_id").cast("bigint").alias("page_id"), item.cast("string").alias("item"), value.alias("value"))
+    return one("log", F.col("request_id"), F.concat_ws("|", "status", "version", F.col("seo_meta_restored").cast("string"))).unionByName(
+        one("posts", F.lit("post"), F.concat(F.md5("content"), F.lit("|"), "post_title"))).unionByName(
+        one("meta", F.col("meta_key"), F.col("meta_value"))).unionByName(
+        one("versions", F.col("version"), F.concat_ws("|", F.md5("content"), "post_title", "n_saves")))
