@@ -409,7 +409,7 @@ def save_meta_map(requests: DataFrame, active: DataFrame) -> DataFrame:
     known = requests.join(active.select(F.col("id").alias("post_id")), "post_id", "left_semi")
     ops = seo_ops(known.withColumns(lacking) if lacking else known, active)
     rows = composed(ops, ["request_id", "post_id", "meta_key"])
-    value = F.when(F.col("_added") == "", F.col("_set.v")).otherwise(F.concat_ws(",", "_set.v", "_added"))
+    value = F.when(F.col("_added").isNull(), F.col("_set.v")).otherwise(F.concat_ws(",", "_set.v", "_added.all"))
     return rows.select("request_id", "post_id", "meta_key", value.alias("meta_value")).filter(F.col("meta_value").isNotNull())
 
 

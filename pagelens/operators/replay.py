@@ -85,7 +85,8 @@ def publish_ops(requests: DataFrame) -> DataFrame:
 
 
 def composed(ops: DataFrame, by: list[str]) -> DataFrame:
-    """Per group what its operations amount to: ``_set`` (last value set, as a struct; null: none) and ``_added`` (text appended since).
+    """Per group what its operations amount to: ``_set`` (last value set, as a struct; null: none) and ``_added`` (null or what was
+    appended since: ``all`` for a value that is there, ``alone`` for a falsy one, which an append replaces).
 
     The appended values of a group are one text by definition; of those before the last ``set`` nothing is kept.
     """
@@ -94,12 +95,14 @@ def composed(ops: DataFrame, by: list[str]) -> DataFrame:
     adds = F.collect_list(F.when(F.col("op") == "append", F.struct(at.alias("at"), F.col("value").alias("v"))))
     rows = ops.groupBy(*by).agg(sets.alias("_s"), adds.alias("_adds"))
     late = F.filter(F.array_sort("_adds"), lambda x: F.col("_s").isNull() | (x["at"] > F.col("_s.at")))
-    return rows.select(*by, F.when(F.col("_s").isNotNull(), F.struct(F.col("_s.v").alias("v"))).alias("_set"), F.array_join(F.transform(late, lambda x: x["v"]), ",").alias("_added"))
+    return rows.select(*by, F.when(F.col("_s").isNotNull(), F.struct(F.col("_s.v").alias("v"))).alias("_set"), F.when(F.size(late) > 0, F.struct(
+        F.array_join(F.transform(late, lambda x: x["v"]), ",").alias("all"),
+        F.aggregate(late, F.lit("").cast("string"), lambda a, x: F.when(falsy(a), x["v"]).otherwise(F.concat(a, F.lit(","), x["v"]))).alias("alone"))).alias("_added"))
 
 
 def _applied(old: Column, given: Column, added: Column) -> Column:
     base = F.when(given.isNotNull(), given["v"]).otherwise(old)
-    return F.when(added == "", base).when(falsy(base), added).otherwise(F.concat(base, F.lit(","), added))
+    return F.when(added.isNull(), base).when(falsy(base), added["alone"]).otherwise(F.concat(base, F.lit(","), added["all"]))
 
 
 def apply_ops(ops: DataFrame, postmeta: DataFrame) -> DataFrame:
