@@ -38,24 +38,32 @@ def redact_nested_json(s: pd.Series) -> pd.Series:
     return s.map(_redact_one)
 
 
+def _scripts(m, ascii_only):
+    if m is None:
+        return None
+    out = []
+    for _, value in (m.items() if isinstance(m, dict) else m):
+        try:
+            value = json.dumps(json.loads(value), indent=4, ensure_ascii=ascii_only)
+        except ValueError:
+            pass
+        out.append(f'<script type="application/ld+json">\n{value}\n</script>\n')
+    return "".join(out)
+
+
 @pandas_udf(StringType())
 def schema_scripts(maps: pd.Series) -> pd.Series:
     """The JSON-LD script elements of a map (type -> JSON text), each schema printed over several lines.
 
     Four blanks a level, slashes as they are, other than ASCII escaped; text that is no JSON stays as it is.
     """
-    def one(m):
-        if m is None:
-            return None
-        out = []
-        for _, value in (m.items() if isinstance(m, dict) else m):
-            try:
-                value = json.dumps(json.loads(value), indent=4)
-            except ValueError:
-                pass
-            out.append(f'<script type="application/ld+json">\n{value}\n</script>\n')
-        return "".join(out)
-    return maps.map(one)
+    return maps.map(lambda m: _scripts(m, True))
+
+
+@pandas_udf(StringType())
+def schema_scripts_unicode(maps: pd.Series) -> pd.Series:
+    """``schema_scripts`` with characters beyond ASCII as they are."""
+    return maps.map(lambda m: _scripts(m, False))
 
 
 @pandas_udf(StringType())

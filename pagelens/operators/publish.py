@@ -191,13 +191,14 @@ SCHEMA_SECTION_RE = "(?s)<!-- ECHO5:START SCHEMA -->.*?<!-- ECHO5:END SCHEMA -->
 GALLERY_SECTION_RE = "(?s)<!-- ECHO5:START GALLERY -->.*?<!-- ECHO5:END GALLERY -->"
 
 
-def schema_block(schema) -> Column:
+def schema_block(schema, unicode: bool = False) -> Column:
     """JSON-LD block for every non-empty schema entry (type -> JSON text), in key order, pretty-printed."""
-    from pagelens.functions.pyudf import schema_scripts
+    from pagelens.functions.pyudf import schema_scripts, schema_scripts_unicode
 
     m = F.map_filter(col(schema), lambda k, v: ~(falsy(v) | v.isin("null", "{}", "[]", "false")))
     # only maps with something to print reach the Arrow-batched UDF
-    scripts = F.coalesce(schema_scripts(F.when(F.size(m) > 0, m)), F.lit(""))
+    printed = schema_scripts_unicode if unicode else schema_scripts
+    scripts = F.coalesce(printed(F.when(F.size(m) > 0, m)), F.lit(""))
     return F.concat(F.lit("\n<!-- ECHO5:START SCHEMA -->\n"), scripts, F.lit("<!-- ECHO5:END SCHEMA -->\n"))
 
 

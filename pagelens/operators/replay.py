@@ -224,3 +224,45 @@ def version_ledger(seconds: DataFrame, pages: DataFrame, versions: DataFrame) ->
     counts = new.groupBy("page_id").agg(F.sum("n_saves").alias("_n")).join(old, "page_id", "left")
     counts = counts.select("page_id", F.lit(VERSION_COUNT_KEY).alias("meta_key"), (F.col("_n") + F.coalesce("_old", F.lit(0))).cast("string").alias("meta_value"))
     return rows.select("page_id", "version", action.alias("action")), counts
+
+
+# Fields of an SEO update that go through the meta rules; source that it records.
+SEO_FIELDS = ("meta_title", "meta_description", "focus_keyword", "canonical", "og_title", "og_description", "og_image")
+UPDATE_SOURCE = "manager_api"
+
+
+def seo_update_writes(requests: DataFrame, posts: DataFrame, postmeta: DataFrame, active: DataFrame, trees: DataFrame) -> dict[str, DataFrame]:
+    """``meta``, ``posts`` and ``trees`` after a batch of partial SEO updates (request_id, post_id, requested_at, SEO_FIELDS, page_title, schema).
+
+    A null field is not given and leaves what is there; an empty one is given and, by the rules of
+    ``seo_ops``, writes nothing either. Per post the last title and the last schema given count: the schema's block replaces
+    the one in the content or is appended; the title becomes that of the post and of the first heading of its tree. Requests for unknown posts
+    write nothing; posts that none names are not returned. meta: post_id, meta_key, meta_value; posts: post_id,
+    post_title, post_content; trees: page_id, action, target_path, tree_json.
+    """
+    from pagelens.operators.publish import SCHEMA_SECTION_RE, replace_all_literal, schema_block
+    from pagelens.operators.tree import tree_set_h1
+
+    kind = dict(posts.dtypes)["id"]
+    known = requests.join(posts.select(F.col("id").alias("post_id")), "post_id", "left_semi").withColumn("post_id", F.col("post_id").cast(kind))
+    text = {c: F.lit(None).cast("string") for c in ("twitter_title", "twitter_description")}
+    given = F.coalesce(*[F.col(f) for f in SEO_FIELDS]).isNotNull()
+    ops = seo_ops(known.filter(given).withColumns(text | {"secondary_keywords": F.array().cast("array<string>")}), active)
+    always, some = F.lit(True), F.col("schema").isNotNull()
+    data = F.try_parse_json("schema")
+    listed = F.when(data.isNotNull(), F.concat(F.lit('{"main":'), F.col("schema"), F.lit("}"))).otherwise(F.to_json(F.struct(F.col("schema").alias("main"))))
+    own = _ops(known, [(some, F.lit("_echo5_structured_data"), "set", F.col("schema")), (some, F.lit("_echo5_schemas"), "set", listed),
+                       (always, F.lit("_echo5_last_seo_update"), "set", stamp(F.col("requested_at"))), (always, F.lit("_echo5_seo_update_source"), "set", F.lit(UPDATE_SOURCE))])
+    at = F.struct("requested_at", "request_id")
+    last = known.groupBy("post_id").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in ("page_title", "schema")])
+    old = posts.select(F.col("id").alias("post_id"), "post_title", "post_content")
+    whole = F.map_from_arrays(F.array(F.lit("main")), F.array("schema"))
+    parts = F.from_json("schema", "map<string,string>")
+    single = parts.isNull() | F.exists(F.map_keys(F.coalesce(parts, F.create_map().cast("map<string,string>"))), lambda k: k.isin("@context", "@type", "@graph"))
+    block = schema_block(F.when(single, whole).otherwise(parts), unicode=True)
+    content = F.col("post_content")
+    has = F.size(F.split(content, SCHEMA_SECTION_RE)) > 1
+    written = F.when(F.col("schema").isNull(), content).when(has, replace_all_literal(content, F.lit(SCHEMA_SECTION_RE), F.col("_block"))).otherwise(F.concat(content, F.lit("\n"), F.col("_block")))
+    changed = last.withColumn("_block", F.when(F.col("schema").isNotNull(), block)).join(old, "post_id").select("post_id", F.coalesce("page_title", "post_title").alias("post_title"), written.alias("post_content"))
+    titles = last.filter("page_title IS NOT NULL").select(F.col("post_id").alias("page_id"), F.col("page_title").alias("title"))
+    return {"meta": apply_ops(ops.unionByName(own.withColumn("step", F.col("step") + 100)), postmeta), "posts": changed, "trees": tree_set_h1(trees, titles)}

@@ -166,17 +166,22 @@ def flat_builder_images(t):
     return TR.flat_builder_images(t.flat_builder, t.attachments)
 
 
-SEO_REQ = """SELECT doc_id AS request_id, doc_id % 300 AS post_id,
+SEO_REQ = """SELECT doc_id AS request_id, doc_id % 300 AS post_id, TIMESTAMP '2024-05-01 00:00:00' + INTERVAL '1' MINUTE * (doc_id % 700) AS requested_at,
   CASE WHEN doc_id % 2 = 0 THEN concat('Meta ', CAST(doc_id AS STRING)) END AS meta_title,
-  CASE WHEN doc_id % 3 = 0 THEN '' END AS meta_description,
+  CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 11 = 1 THEN concat('Text ', CAST(doc_id AS STRING)) END AS meta_description,
   CASE WHEN doc_id % 5 = 0 THEN 'kw' END AS focus_keyword,
-  CAST(NULL AS STRING) AS canonical, CASE WHEN doc_id % 7 = 0 THEN 'OG' END AS og_title,
-  CAST(NULL AS STRING) AS og_description, CAST(NULL AS STRING) AS og_image,
+  CASE WHEN doc_id % 13 = 2 THEN concat('https://example.com/', CAST(doc_id AS STRING)) END AS canonical, CASE WHEN doc_id % 7 = 0 THEN 'OG' END AS og_title,
+  CASE WHEN doc_id % 14 = 0 THEN concat('About ', CAST(doc_id AS STRING)) END AS og_description, CASE WHEN doc_id % 21 = 0 THEN '/i.png' WHEN doc_id % 9 = 0 THEN '/alone.png' END AS og_image,
   CASE WHEN doc_id % 4 = 1 THEN concat('Page ', CAST(doc_id AS STRING)) END AS page_title,
-  CASE WHEN doc_id % 6 = 5 THEN '{"@type":"WebPage"}' END AS schema
+  CASE WHEN doc_id % 12 = 5 THEN '{"@type":"WebPage","name":"Zürich"}' WHEN doc_id % 12 = 11 THEN '{"a":{"@type":"Service"},"b":{"@type":"FAQPage","n":1}}' END AS schema
 FROM documents"""
 
 
+def seo_requests(t):
+    text = SEO_REQ.replace("{", "{{").replace("}", "}}").replace("FROM documents", "FROM {documents}")
+    return t.spark.sql(text, documents=t.documents)
+
+
 @query("seo_update_batch", oracle=f"""
 WITH r AS ({SEO_REQ.replace('STRING', 'VARCHAR')}),
 h AS ({REGISTRY['tree_set_h1'].oracle})
@@ -193,8 +198,7 @@ FROM r LEFT JOIN posts p ON p.id = r.post_id LEFT JOIN h ON h.page_id = r.post_i
        views=("posts", "builder_trees"))
 def seo_update_batch(t):
     """Partial SEO updates by post id: provided fields applied and listed, H1 handling reported."""
-    t.documents.createOrReplaceTempView("documents")
-    req = t.spark.sql(SEO_REQ)
+    req = seo_requests(t)
     act = TR.tree_set_h1_action(TR.tree_nodes(t.builder_trees))
     h1 = t.builder_trees.select("page_id").join(act, "page_id", "left").select("page_id", F.coalesce("action", F.lit("created")).alias("action"))
     return P.seo_update_batch(req, t.posts, h1).select(

@@ -12,9 +12,10 @@ from pagelens.operators import seo as S
 from pagelens.operators import site as X
 from pagelens.operators.rollbacks import rollback_batch
 from pagelens.plans.duck import falsy_sql
+from pagelens.plans.q_content import SEO_REQ, seo_requests
 from pagelens.plans.q_publish import IN_TURN_SQL, PRETTY_SQL, SCHEMA_RE_SQL, WRAP_SQL
 from pagelens.plans.q_seo import FLAGS_SQL
-from pagelens.plans.registry import query
+from pagelens.plans.registry import REGISTRY, query
 from pagelens.session import checkpoint_dir
 from pagelens.sources.sinks import commit_tables, committed
 
@@ -303,3 +304,37 @@ def rollback(t):
         one("posts", F.lit("post"), F.concat(F.md5("content"), F.lit("|"), "post_title"))).unionByName(
         one("meta", F.col("meta_key"), F.col("meta_value"))).unionByName(
         one("versions", F.col("version"), F.concat_ws("|", F.md5("content"), "post_title", "n_saves")))
+
+
+# -- partial SEO updates ---------------------------------------------------------------------------------
+
+_FIELD_OPS_SQL = REPLAY_SQL[REPLAY_SQL.index("fl AS ("):REPLAY_SQL.index("pub_op AS (")].rstrip().rstrip(",")
+SEO_WRITES_SQL = f"""WITH r AS ({SEO_REQ.replace('STRING', 'VARCHAR')}), {FLAGS_SQL}, {KEYS_SQL},
+al AS (SELECT r.*, p.post_title, p.post_content, CAST(r.post_id AS BIGINT) AS page_id, CAST(r.post_id AS VARCHAR) AS slug, row_number() OVER (PARTITION BY r.post_id ORDER BY requested_at, request_id) AS rn,
+    ap.seo_plugin AS plugin, strftime(requested_at, '%Y-%m-%d %H:%M:%S') AS tm FROM r JOIN posts p ON p.id = r.post_id JOIN ap ON ap.id = r.post_id),
+rr AS (SELECT page_id, slug, rn, plugin, tm, meta_title AS title, meta_description, focus_keyword, canonical, og_title, og_description, og_image, NULL AS twitter_title, NULL AS twitter_description, []::VARCHAR[] AS kws
+  FROM al WHERE coalesce(meta_title, meta_description, focus_keyword, canonical, og_title, og_description, og_image) IS NOT NULL),
+{_FIELD_OPS_SQL},
+ops AS (SELECT * FROM seo_op UNION ALL SELECT page_id, slug, rn, 20, unnest(['_echo5_structured_data', '_echo5_schemas']), 'set', unnest([schema, '{{"main":' || schema || '}}']) FROM al WHERE schema IS NOT NULL
+  UNION ALL SELECT page_id, slug, rn, 20, unnest(['_echo5_last_seo_update', '_echo5_seo_update_source']), 'set', unnest([tm, 'manager_api']) FROM al),
+cur AS (SELECT post_id, meta_key, arg_min(meta_value, meta_id) AS v FROM postmeta GROUP BY post_id, meta_key),
+la AS (SELECT page_id, any_value(post_title) AS post_title, any_value(post_content) AS post_content, arg_max(page_title, rn) FILTER (page_title IS NOT NULL) AS page_title, arg_max(schema, rn) FILTER (schema IS NOT NULL) AS schema FROM al GROUP BY page_id),
+je AS (SELECT page_id, e.key, e.value FROM la, json_each(CASE WHEN json_exists(schema, '$."@type"') THEN '{{"main":' || schema || '}}' ELSE schema END) e WHERE schema IS NOT NULL),
+bl AS (SELECT page_id, chr(10) || '<!-- ECHO5:START SCHEMA -->' || chr(10) || string_agg('<script type="application/ld+json">' || chr(10) || {PRETTY_SQL} || chr(10) || '</script>' || chr(10), '' ORDER BY je.key) || '<!-- ECHO5:END SCHEMA -->' || chr(10) AS block
+  FROM je GROUP BY page_id),
+ps AS (SELECT la.page_id, coalesce(page_title, post_title) AS title, CASE WHEN block IS NULL THEN post_content WHEN regexp_matches(post_content, {SCHEMA_RE_SQL}) THEN regexp_replace(post_content, {SCHEMA_RE_SQL}, block, 'g')
+    ELSE post_content || chr(10) || block END AS content, page_title FROM la LEFT JOIN bl USING (page_id)),
+h AS ({REGISTRY['tree_set_h1'].oracle})
+SELECT 'meta' AS tbl, post_id AS page_id, meta_key AS item, meta_value AS value FROM ({_final_sql('ops')})
+UNION ALL SELECT 'posts', page_id, 'post', title || '|' || md5(content) FROM ps
+UNION ALL SELECT 'trees', ps.page_id, page_title, h.action FROM ps JOIN h ON h.page_id = ps.page_id WHERE page_title IS NOT NULL"""
+
+
+@query("seo_update_batch_writes", oracle=SEO_WRITES_SQL, views=("posts", "postmeta", "site_plugins", "builder_trees"))
+def seo_update_batch_writes(t):
+    """What a batch of partial SEO updates writes: meta values, posts with title and schema, builder trees with their heading."""
+    out = R.seo_update_writes(seo_requests(t), t.posts, t.postmeta, S.active_seo_plugin(t.posts, t.site_plugins), t.builder_trees)
+    one = lambda tbl, page, item, value: out[tbl].select(F.lit(tbl).alias("tbl"), F.col(page).cast("bigint").alias("page_id"), item.alias("item"), value.alias("value"))
+    heading = F.regexp_extract("tree_json", '"title":"(Page [0-9]+)"', 1)
+    return one("meta", "post_id", F.col("meta_key"), F.col("meta_value")).unionByName(one("posts", "post_id", F.lit("post"), F.concat("post_title", F.lit("|"), F.md5("post_content")))).unionByName(
+        one("trees", "page_id", heading, F.col("action")))
