@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagelens.llm.common import LOWER_BYTE, mix64, prepare, row_key, runs, table, word_hashes
+from pagelens.llm.common import LOWER_BYTE, free, mix64, prepare, row_key, runs, table, word_hashes
 
 #: Words of a window and of a fingerprinted gram.
 SPAN, K = 10, 5
@@ -218,10 +218,16 @@ def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **names) -> DataFrame:
-    """The rows of ``docs`` that hold no window of any item, with all their columns."""
-    dirty = hits(docs, items, id_col, text_col, **names).filter(F.size("spans") > 0).select(F.col("_key").alias("__dirty"))
-    keyed = docs.withColumn("__key", row_key(id_col, text_col))
-    return keyed.join(dirty, F.col("__key") == F.col("__dirty"), "left_anti").drop("__key")
+    """The rows of ``docs`` that hold no window of any item, with all their columns, whatever these are called.
+
+    Null and empty texts hold no window and stay; equal rows go or stay together. Items without words find nothing, so an
+    empty item table keeps all rows; an empty table gives an empty result.
+    """
+    key, dirty_key, dirty_id = free(docs, "key", "dirty", "id")
+    dirty = hits(docs, items, id_col, text_col, **names).filter(F.size("spans") > 0).select(F.col("_key").alias(dirty_key), F.col("doc_id").alias(dirty_id))
+    keyed = docs.withColumn(key, row_key(id_col, text_col))
+    same = (F.col(key) == F.col(dirty_key)) & F.col(id_col).eqNullSafe(F.col(dirty_id))
+    return keyed.join(dirty, same, "left_anti").select(*docs.columns)
 
 
 def op1_winnowing(spark, sf_dir: str) -> DataFrame:

@@ -9,7 +9,6 @@ trained in numpy, by the driver, on windows of a bounded sample of labelled docu
 
 from __future__ import annotations
 
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,6 @@ EPOCHS, BATCH = 8, 128
 #: Bytes of text a task works on at once.
 CHUNK = 1 << 17
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def windows(data: bytes) -> np.ndarray:
@@ -149,7 +147,7 @@ def train(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text"
 
 def predict(texts: list[str | None], net: Net, tables: dict) -> tuple[list[str], list[float]]:
     out, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
-    known = [(i, t.encode()) for i, t in enumerate(texts) if t and _LETTER.search(t)]
+    known = [(i, t.encode()) for i, t in enumerate(texts) if t and any(map(str.isalpha, t))]
     for base, run in runs([t for _, t in known], CHUNK):
         cut = [windows(t) for t in run]
         n = [len(c) for c in cut]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagelens.llm.common import SPARE, _powers, draw, mix64, prepare, runs, table
+from pagelens.llm.common import SPARE, _powers, draw, free, mix64, prepare, runs, table
 
 #: Word buckets (a power of two), dimensions, nonzero places of an index vector, neighbours to each side.
 BUCKETS, DIMS, NONZERO, REACH = 1 << 14, 32, 2, 2
@@ -120,7 +120,7 @@ class Network:
     """Two layers on standardised inputs, trained by Adam; probabilities are calibrated by a temperature."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray, hidden: int = HIDDEN, steps: int = STEPS):
-        self.shift, self.scale = x.mean(0), x.std(0) + 1e-3
+        self.shift, self.scale = (x.mean(0), x.std(0) + 1e-3) if len(x) else (0.0, 1.0)
         self.temperature, self.constant = 1.0, None
         if len(np.unique(y)) < 2:
             self.constant = float(y.mean()) if len(y) else 0.5
@@ -201,7 +201,7 @@ def train(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", tex
 
 
 def quality(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` and ``__score``: the calibrated probability of label 1.
+    """All columns of ``docs`` and, as the last column under a name that is free, ``__score``: the calibrated probability of label 1.
 
     ``learn`` tells from an id whether its label may be learned. A null or empty text has the
     zero vector and is scored like any other; without labels of both classes the score is
@@ -209,15 +209,16 @@ def quality(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", t
     """
     spark = prepare(docs.sparkSession)
     vectors, net = train(docs, labels, learn, id_col, text_col)
+    score_col, = free(docs, "__score")
     kept = spark.sparkContext.broadcast(vectors)  # BUCKETS x DIMS numbers; the network comes with the function
 
     def run(batches):
         for b in batches:
             at = b.schema.names.index(text_col)
             x = pooled([t or b"" for t in b.column(at).cast(pa.binary()).to_pylist()], kept.value)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(net.score(x.astype(np.float64)))], names=[*b.schema.names, "__score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(net.score(x.astype(np.float64)))], names=[*b.schema.names, score_col])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField("__score", T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField(score_col, T.DoubleType())]))
 
 
 def learned(i):

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagelens.llm.common import prepare, row_key, table
+from pagelens.llm.common import free, prepare, row_key, table
 from pagelens.llm.components import components
 
 #: Words of a shingle and largest distance of a link.
@@ -172,12 +172,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row of each component, with all columns of ``docs``: that of the smallest id (null ids last)."""
+    """One row of each component, with all columns of ``docs``, whatever these are called: that of the smallest id (null ids last).
+
+    Null, empty and blank texts are one component. Of equal rows one stays. An empty table gives an empty result.
+    """
+    key, kept_key, kept_id = free(docs, "key", "kept", "id")
     found = near_duplicates(docs, id_col, text_col, shingle, max_bits)
     rank = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("_key").alias("k"))
-    kept = found.groupBy("_root").agg(F.min(rank).alias("_first")).select(F.col("_first.k").alias("__kept"))
-    keyed = docs.withColumn("__key", row_key(id_col, text_col))
-    return keyed.join(kept, F.col("__key") == F.col("__kept"), "left_semi").dropDuplicates(["__key"]).drop("__key")
+    kept = found.groupBy("_root").agg(F.min(rank).alias("_first")).select(F.col("_first.k").alias(kept_key), F.col("_first.i").alias(kept_id))
+    keyed = docs.withColumn(key, row_key(id_col, text_col))
+    same = (F.col(key) == F.col(kept_key)) & F.col(id_col).eqNullSafe(F.col(kept_id))
+    return keyed.join(kept, same, "left_semi").dropDuplicates([key, id_col]).select(*docs.columns)
 
 
 def op6_simhash_pivots(spark, sf_dir: str) -> DataFrame:
