@@ -19,13 +19,13 @@ from pagelens.llm.simhash import keep_one
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose calibrated probability of good quality is one half or more."""
+    """Documents whose calibrated probability of good quality is one half or more; null and empty texts are scored like any other."""
     scored = quality(docs, table(spark, sf_dir, "labels"), learned)
-    return scored.filter(F.col("__score") >= 0.5).select(*docs.columns)
+    return scored.filter(F.col(scored.columns[-1]) >= 0.5).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without line chunks that stand in an earlier one; n_chars follows the text."""
+    """All documents, without passages of lines that stand in an earlier one; n_chars follows the text (null texts keep theirs)."""
     out = dedup_lines(docs).select(*docs.columns)
     return out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
