@@ -15,7 +15,7 @@ from conftest import MEDIUM, SMALL
 BAD_JOINS = ("CartesianProduct", "BroadcastNestedLoopJoin")
 PY_NODES = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonMapInArrow")
 # Python is planned only here (README "Python in the plan").
-ALLOWED_PY = {"redact_sensitive", "webhook_outbox", "append_log", "rate_limit", "inject_schema", "publish_batch",
+ALLOWED_PY = {"redact_sensitive", "webhook_outbox", "append_log", "rate_limit", "inject_schema", "publish_batch", "upsert_pages", "seo_update_batch_writes",
               "tree_set_h1"}
 
 
