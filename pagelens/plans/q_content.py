@@ -322,10 +322,13 @@ def page_full(t):
     return full_records(t)
 
 
-@query("write_export_json", oracle=_page_full_sql(), views=("posts", "postmeta", "attachments"))
+@query("write_export_json", oracle=f"""SELECT *, CAST((row_number() OVER (ORDER BY published_date DESC, id) - 1) // 50 + 1 AS BIGINT) AS current_page,
+  count(*) OVER () AS total, CAST(ceil(count(*) OVER () / 50.0) AS BIGINT) AS pages, CAST(50 AS BIGINT) AS per_page, 'Example' AS site_name
+FROM ({_page_full_sql()})""", views=("posts", "postmeta", "attachments"))
 def write_export_json(t):
-    """Full records written as JSON lines (with pagination totals) and read back with the records' schema."""
-    from pagelens.sources.sinks import write_export_json as write
+    """Full records written as numbered pages of envelopes (totals, site info), newest first, and read back record by record."""
+    from pagelens.sources.sinks import read_export_json, write_export_json as write
     records = full_records(t)
-    out = write(records, "page_full")
-    return t.spark.read.schema(records.schema).json(out + "/data")
+    out = write(records, [F.col("published_date").desc(), F.col("id")], "page_full", site_info={"name": "Example", "url": "https://example.com", "description": "", "language": "en-US"}, timestamp="2024-05-01 00:00:00")
+    pages = read_export_json(t.spark, out, records.schema)
+    return pages.select(F.explode("data").alias("r"), "pagination.*", F.col("site_info")["name"].alias("site_name")).select("r.*", "current_page", "total", "pages", "per_page", "site_name")

@@ -7,29 +7,63 @@ import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from pagelens.session import checkpoint_dir
 
 
-def write_export_json(records: DataFrame, name: str = "export", per_page: int = 50,
-                      path: str | None = None) -> str:
-    """Write export records as JSON lines (``data`` rows) plus a one-line totals file.
+def numbered(rows: DataFrame, order: list[Column], folder: str, name: str = "row_number") -> DataFrame:
+    """The rows with their number from 1 in that order, equal rows in any: sorted by ranges over all tasks.
 
-    Returns the folder. The totals (total rows, pages at ``per_page``) are a
-    separate one-row aggregate written next to the data, never a global
-    window over the records.
+    ``rows`` must read alike each time (a written table): Spark samples it for the ranges. The sorted rows are written to ``folder``
+    with their place in their range; what precedes a range is a sum over one count per range, at most the number of shuffle partitions.
+    """
+    at, within = "_numbered_at", "_numbered_range"
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({within: F.spark_partition_id(), at: F.monotonically_increasing_id()})
+    placed.write.parquet(folder)
+    placed = rows.sparkSession.read.parquet(folder)
+    counts = placed.groupBy(within).agg(F.count(F.lit(1)).alias("_in"), F.min(at).alias("_zero"))
+    counts = counts.select(within, "_zero", F.expr(f"sum(_in) OVER (ORDER BY {within} ROWS UNBOUNDED PRECEDING) - _in").alias("_before"))
+    met = placed.join(F.broadcast(counts), within)
+    return met.withColumn(name, F.col("_before") + F.col(at) - F.col("_zero") + 1).drop(within, at, "_zero", "_before")
+
+
+def write_export_json(records: DataFrame, order: list[Column], name: str = "export", per_page: int = 50,
+                      site_info: dict[str, str] | None = None, timestamp: str | None = None, path: str | None = None) -> str:
+    """Write export records as numbered pages: JSON lines in ``pages``, each the envelope of ``per_page`` records.
+
+    An envelope holds success, data, pagination (total, pages, current_page, per_page), site_info and timestamp. Returns the folder. The
+    record plan runs once (its rows are written first); the total is a count of what was written, and a page gathers its own records
+    only. Without records there is one page without data.
     """
     spark = records.sparkSession
     out = path or os.path.join(checkpoint_dir(spark), "exports", f"{name}-{uuid.uuid4().hex[:12]}")
-    records.write.mode("overwrite").json(os.path.join(out, "data"))
-    totals = records.agg(F.count(F.lit(1)).cast("bigint").alias("total")).select(
-        "total", F.ceil(F.col("total") / F.lit(per_page)).cast("bigint").alias("total_pages"))
-    totals.coalesce(1).write.mode("overwrite").json(os.path.join(out, "pagination"))
+    records.write.parquet(os.path.join(out, "rows"))
+    rows = spark.read.parquet(os.path.join(out, "rows"))
+    total = rows.count()  # read from the file footers
+    placed = numbered(rows, order, os.path.join(out, "numbered"), "_n")
+    page = F.floor((F.col("_n") - 1) / per_page) + 1
+    record = F.struct(F.col("_n").alias("n"), F.struct(*records.columns).alias("r"))
+    pages = placed.groupBy(page.cast("long").alias("_page")).agg(F.transform(F.array_sort(F.collect_list(record), lambda a, b: F.signum(a["n"] - b["n"]).cast("int")), lambda x: x["r"]).alias("data"))
+    first = spark.range(1, 2).select(F.col("id").alias("_page")) if not total else pages.select("_page").limit(0)
+    pages = pages.unionByName(first, allowMissingColumns=True)
+    info = F.struct(*[F.lit(v).alias(k) for k, v in (site_info or {}).items()]) if site_info else F.lit(None).cast("string")
+    envelope = F.struct(
+        F.lit(True).alias("success"), F.coalesce("data", F.array()).alias("data"),
+        F.struct(F.lit(total).cast("long").alias("total"), F.lit(-(-total // per_page)).cast("long").alias("pages"), F.col("_page").alias("current_page"), F.lit(per_page).cast("long").alias("per_page")).alias("pagination"),
+        info.alias("site_info"), F.lit(timestamp).alias("timestamp"))
+    pages.repartitionByRange("_page").sortWithinPartitions("_page").select(F.to_json(envelope).alias("value")).write.text(os.path.join(out, "pages"))
     return out
 
 
+def read_export_json(spark: SparkSession, path: str, records: StructType) -> DataFrame:
+    """The envelopes of an export: success, data, pagination, site_info (a map), timestamp."""
+    kind = StructType.fromDDL("success boolean, pagination struct<total:bigint,pages:bigint,current_page:bigint,per_page:bigint>, site_info map<string,string>, timestamp string")
+    return spark.read.schema(StructType([*kind, StructField("data", ArrayType(records))])).json(os.path.join(path, "pages"))
+
+
 def commit_tables(spark: SparkSession, root: str, batch: str, tables: Callable[[str], dict[str, DataFrame]]) -> str:
     """Write several tables as one batch; all of them become valid at once, or none.
 
