@@ -41,7 +41,11 @@ def stream_failed_sessions(t):
 WITH d AS (SELECT date_trunc('day', created_at) AS window_start, date_trunc('day', created_at) + INTERVAL 1 DAY AS window_end,
     CAST(count(*) FILTER (WHERE action = 'publish_success') AS BIGINT) AS total_publishes,
     CAST(count(*) FILTER (WHERE action = 'publish_error') AS BIGINT) AS error_count,
-    round(avg(response_time_ms), 6) AS avg_response_time_ms
+    round(avg(response_time_ms), 6) AS avg_response_time_ms,
+    CAST(count(*) FILTER (WHERE action = 'publish_success' AND contains(response_data, '"action":"created"')) AS BIGINT) AS pages_created,
+    CAST(count(*) FILTER (WHERE action = 'publish_success' AND contains(response_data, '"action":"updated"')) AS BIGINT) AS pages_updated,
+    CASE WHEN count(*) FILTER (WHERE action IN ('publish_success', 'publish_error')) > 0 THEN
+      round(100.0 * count(*) FILTER (WHERE action = 'publish_success') / count(*) FILTER (WHERE action IN ('publish_success', 'publish_error')), 1) ELSE 100.0 END AS success_rate
   FROM publish_logs GROUP BY 1, 2)
 SELECT * FROM d""", views=("publish_logs",))
 def stream_publish_stats(t):
@@ -51,15 +55,37 @@ def stream_publish_stats(t):
     return out.withColumn("avg_response_time_ms", F.round("avg_response_time_ms", 6))
 
 
+@query("stream_publish_stats_monthly", oracle="""
+WITH d AS (SELECT date_trunc('month', created_at)::TIMESTAMP AS window_start, (date_trunc('month', created_at) + INTERVAL 1 MONTH)::TIMESTAMP AS window_end,
+    CAST(count(*) FILTER (WHERE action = 'publish_success') AS BIGINT) AS total_publishes,
+    CAST(count(*) FILTER (WHERE action = 'publish_error') AS BIGINT) AS error_count,
+    round(avg(response_time_ms), 6) AS avg_response_time_ms,
+    CAST(count(*) FILTER (WHERE action = 'publish_success' AND contains(response_data, '"action":"created"')) AS BIGINT) AS pages_created,
+    CAST(count(*) FILTER (WHERE action = 'publish_success' AND contains(response_data, '"action":"updated"')) AS BIGINT) AS pages_updated,
+    CASE WHEN count(*) FILTER (WHERE action IN ('publish_success', 'publish_error')) > 0 THEN
+      round(100.0 * count(*) FILTER (WHERE action = 'publish_success') / count(*) FILTER (WHERE action IN ('publish_success', 'publish_error')), 1) ELSE 100.0 END AS success_rate
+  FROM publish_logs GROUP BY 1, 2)
+SELECT * FROM d""", views=("publish_logs",))
+def stream_publish_stats_monthly(t):
+    """Publish statistics by calendar month from a stream, the last month included."""
+    m = ST.Marked(ST.stream_view(t.spark, t.sf_dir, "publish_logs", "events"), "created_at")
+    out = ST.run_available_now(ST.publish_stats_monthly(m.stream), "publish_stats_month", marked=m)
+    return out.withColumn("avg_response_time_ms", F.round("avg_response_time_ms", 6))
+
+
 @query("stream_publish_stats_weekly", oracle="""
-WITH b AS (SELECT created_at, action, response_time_ms FROM publish_logs),
+WITH b AS (SELECT created_at, action, response_time_ms, response_data FROM publish_logs),
 w AS (SELECT TIMESTAMP '1970-01-01' + INTERVAL 1 DAY * (CAST(floor(epoch(created_at) / 86400) AS BIGINT) - k) AS window_start,
-        action, response_time_ms, created_at
+        action, response_time_ms, response_data, created_at
       FROM b, range(0, 7) r(k)),
 d AS (SELECT window_start, window_start + INTERVAL 7 DAY AS window_end,
     CAST(count(*) FILTER (WHERE action = 'publish_success') AS BIGINT) AS total_publishes,
     CAST(count(*) FILTER (WHERE action = 'publish_error') AS BIGINT) AS error_count,
-    round(avg(response_time_ms), 6) AS avg_response_time_ms
+    round(avg(response_time_ms), 6) AS avg_response_time_ms,
+    CAST(count(*) FILTER (WHERE action = 'publish_success' AND contains(response_data, '"action":"created"')) AS BIGINT) AS pages_created,
+    CAST(count(*) FILTER (WHERE action = 'publish_success' AND contains(response_data, '"action":"updated"')) AS BIGINT) AS pages_updated,
+    CASE WHEN count(*) FILTER (WHERE action IN ('publish_success', 'publish_error')) > 0 THEN
+      round(100.0 * count(*) FILTER (WHERE action = 'publish_success') / count(*) FILTER (WHERE action IN ('publish_success', 'publish_error')), 1) ELSE 100.0 END AS success_rate
   FROM w GROUP BY 1, 2)
 SELECT * FROM d""", views=("publish_logs",))
 def stream_publish_stats_weekly(t):

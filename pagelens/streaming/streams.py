@@ -23,7 +23,7 @@ import uuid
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -114,17 +114,43 @@ def failed_sessions(access: DataFrame, ip_col: str = "ip", gap: str = "1 hour",
                     F.col("failures").cast("bigint").alias("failures"))
 
 
+def _publish_measures() -> list[Column]:
+    success, error = F.col("action") == "publish_success", F.col("action") == "publish_error"
+    done = F.when(success, F.col("response_data"))
+    return [F.count_if(success).cast("bigint").alias("total_publishes"), F.count_if(error).cast("bigint").alias("error_count"),
+            F.avg("response_time_ms").alias("avg_response_time_ms"),
+            F.count_if(F.contains(done, F.lit('"action":"created"'))).cast("bigint").alias("pages_created"),
+            F.count_if(F.contains(done, F.lit('"action":"updated"'))).cast("bigint").alias("pages_updated")]
+
+
+def _with_rate(stats: DataFrame) -> DataFrame:
+    """``success_rate`` in percent with one decimal; 100 where nothing was published."""
+    tried = F.col("total_publishes") + F.col("error_count")
+    return stats.withColumn("success_rate", F.when(tried > 0, F.round(F.col("total_publishes") / tried * 100, 1)).otherwise(100.0))
+
+
 def publish_stats(logs: DataFrame, size: str = "1 day", slide: str | None = None,
                   delay: str = "0 seconds") -> DataFrame:
-    """Day (or sliding) windows of publish counts, errors and mean response time."""
+    """Day (or sliding) windows of publish counts, errors, success rate, mean response time, pages created and updated."""
     lg = logs.withColumn("created_at", F.col("created_at").cast("timestamp")).withWatermark("created_at", delay)
     w = F.window("created_at", size, slide) if slide else F.window("created_at", size)
-    a = lg.groupBy(w.alias("w")).agg(
-        F.count_if(F.col("action") == "publish_success").cast("bigint").alias("total_publishes"),
-        F.count_if(F.col("action") == "publish_error").cast("bigint").alias("error_count"),
-        F.avg("response_time_ms").alias("avg_response_time_ms"))
-    return a.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                    "total_publishes", "error_count", "avg_response_time_ms")
+    a = lg.groupBy(w.alias("w")).agg(*_publish_measures())
+    return _with_rate(a.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *a.columns[1:]))
+
+
+def publish_stats_monthly(logs: DataFrame, delay: str = "0 seconds") -> DataFrame:
+    """``publish_stats`` by calendar month: state is one row of sums a month, closed when the watermark passes the month's end.
+
+    No window of fixed length is a month; a session window whose gap reaches from each event to the end of its month, by
+    month, is: all events of a month overlap at its end, and none meets the next month's.
+    """
+    at = F.col("created_at")
+    lg = logs.withColumn("created_at", at.cast("timestamp")).withWatermark("created_at", delay)
+    month = F.date_trunc("month", at)
+    left = F.unix_micros(F.add_months(month, 1).cast("timestamp")) - F.unix_micros(at)
+    w = F.session_window("created_at", F.concat(left.cast("string"), F.lit(" microseconds")))
+    a = lg.groupBy(w.alias("w"), month.alias("window_start")).agg(*_publish_measures())
+    return _with_rate(a.select("window_start", F.col("w.end").alias("window_end"), *a.columns[2:]))
 
 
 # --- foreachBatch sinks ------------------------------------------------------

@@ -71,3 +71,15 @@ def test_newest_row_wins_over_batches(spark):
     table = spark.createDataFrame([("a", 1, "2024-01-01", 0), ("a", 2, "2024-01-03", 1), ("a", 3, "2024-01-02", 2)],
                                   "slug string, request_id int, at string, batch_id int")
     assert [r.request_id for r in ST.latest_state(table, "slug", "at").collect()] == [2]
+
+
+def test_months_close_at_their_calendar_end(spark, tmp_path):
+    times = ["2024-01-01 00:00:00", "2024-01-31 23:59:59.999999", "2024-02-01 00:00:00", "2024-02-29 12:00:00", "2024-03-31 23:59:59.999999", "2024-04-01 00:00:00", "2023-12-31 23:59:59.999999"]
+    rows = [(t, "publish_success" if i % 2 else "publish_error", i, '{"action":"created"}' if i % 3 else '{"action":"updated"}') for i, t in enumerate(times)]
+    logs = spark.createDataFrame(rows, "created_at string, action string, response_time_ms int, response_data string").withColumn("created_at", F.col("created_at").cast("timestamp"))
+    logs.repartition(4).write.parquet(f"{tmp_path}/logs")
+    m = ST.Marked(spark.readStream.schema(logs.schema).parquet(f"{tmp_path}/logs"), "created_at")
+    got = {str(r.window_start)[:10]: r for r in ST.run_available_now(ST.publish_stats_monthly(m.stream), "months", marked=m).collect()}
+    assert {k: (str(r.window_end)[:10], r.total_publishes, r.error_count, r.success_rate, r.pages_created, r.pages_updated) for k, r in got.items()} == {
+        "2023-12-01": ("2024-01-01", 0, 1, 0.0, 0, 0), "2024-01-01": ("2024-02-01", 1, 1, 50.0, 1, 0), "2024-02-01": ("2024-03-01", 1, 1, 50.0, 0, 1),
+        "2024-03-01": ("2024-04-01", 0, 1, 0.0, 0, 0), "2024-04-01": ("2024-05-01", 1, 0, 100.0, 1, 0)}
