@@ -60,6 +60,14 @@ SELECT * FROM (VALUES
   (2, 'all-in-one-seo-pack/all_in_one_seo_pack.php', 'aioseo', '4.5'), (2, 'pro-elements/pro-elements.php', NULL, '3.20'),
   (3, 'wordpress-seo/wp-seo.php', 'yoast', '22.0'), (3, 'seo-by-rank-math/rank-math.php', 'rankmath', '1.0')
 ) AS t(site_id, path, plugin, version)
+UNION ALL SELECT s_suppkey + 10,
+  CASE s_suppkey % 6 WHEN 0 THEN 'wordpress-seo/wp-seo.php' WHEN 1 THEN 'seo-by-rank-math/rank-math.php' WHEN 2 THEN 'all-in-one-seo-pack/all_in_one_seo_pack.php'
+    WHEN 3 THEN 'wp-seopress/seopress.php' WHEN 4 THEN 'autodescription/autodescription.php' ELSE concat('own-', CAST(s_suppkey AS STRING), '/own.php') END,
+  CASE s_suppkey % 6 WHEN 0 THEN 'yoast' WHEN 1 THEN 'rankmath' WHEN 2 THEN 'aioseo' WHEN 3 THEN 'seopress' WHEN 4 THEN 'tsf' END,
+  CASE WHEN s_suppkey % 7 = 3 THEN '' ELSE concat('2', CAST(s_suppkey % 5 AS STRING), '.1') END
+FROM supplier
+UNION ALL SELECT s_suppkey + 10, CASE s_suppkey % 4 WHEN 0 THEN 'elementor/elementor.php' WHEN 1 THEN 'royal-elementor-addons/wpr-addons.php'
+  WHEN 2 THEN 'elementor-pro/elementor-pro.php' ELSE 'pro-elements/pro-elements.php' END, NULL, '3.20' FROM supplier WHERE s_suppkey % 3 > 0
 """
 
 FIXTURE_SQL["attachments"] = """
@@ -201,11 +209,11 @@ FROM documents
 """
 
 FIXTURE_SQL["flat_builder"] = """
-SELECT page_id, concat('[{"node":"a","settings":{"heading":"Flat heading ', CAST(page_id AS STRING),
+SELECT page_id, CASE WHEN page_id % 3 = 1 THEN '[]' ELSE concat('[{"node":"a","settings":{"heading":"Flat heading ', CAST(page_id AS STRING),
   '","text":"<p>Flat body text</p>","photo":', CAST(page_id + 100000 AS STRING), '}},',
   '{"node":"b","settings":{"title":"', CASE WHEN page_id % 2 = 0 THEN '' ELSE 'Second' END,
-  '","bg_image":"https://cdn.example.com/bg', CAST(page_id AS STRING), '.jpg","image":"not a url","btn_text":"Go"}}]') AS flat_json
-FROM pages WHERE page_id % 3 <> 1
+  '","bg_image":"https://cdn.example.com/bg', CAST(page_id AS STRING), '.jpg","image":"not a url","btn_text":"Go"}}]') END AS flat_json
+FROM pages
 """
 
 # Base tables each view reads (registered as temp views before it runs).
@@ -213,7 +221,7 @@ VIEW_DEPS: dict[str, tuple[str, ...]] = {
     "posts": ('pages',),
     "enriched_pages": ('pages',),
     "postmeta": ('pages',),
-    "site_plugins": (),
+    "site_plugins": ('supplier',),
     "attachments": ('pages',),
     "builder_trees": ('pages',),
     "publish_logs": ('events',),
