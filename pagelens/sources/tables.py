@@ -9,6 +9,7 @@ SQL, so the very same text serves as input to the DuckDB oracle.
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,14 +44,25 @@ class Tables:
         raise AttributeError(name)
 
     def view(self, name: str) -> DataFrame:
-        """Run a derived view's SQL over this directory's base tables.
+        """Run a derived view's SQL over this directory's base tables, under private names: the caller's views stay as they are.
 
         The returned DataFrame is analysed eagerly, so re-registering the temp
         views later (another directory) does not change it.
         """
         for base in VIEW_DEPS[name]:
-            self.table(base).createOrReplaceTempView(base)
-        return self.spark.sql(FIXTURE_SQL[name])
+            self.table(base).createOrReplaceTempView(private(base))
+        return self.spark.sql(over_private(FIXTURE_SQL[name], VIEW_DEPS[name]))
+
+
+def private(base: str, kind: str = "batch") -> str:
+    """The temp view that stands for a base table in this library's own SQL texts."""
+    return f"_pagelens_{kind}_{base}"
+
+
+def over_private(sql: str, bases: tuple[str, ...], kind: str = "batch") -> str:
+    for base in bases:
+        sql = re.sub(rf"\bFROM {base}\b", f"FROM {private(base, kind)}", sql)
+    return sql
 
 
 def as_of_col(as_of: str | None = None):

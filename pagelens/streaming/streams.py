@@ -29,6 +29,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from pagelens.session import checkpoint_dir
 from pagelens.sources.fixtures import FIXTURE_SQL
+from pagelens.sources.tables import over_private, private
 
 # The event time of an end mark: later than any event, within the range of nanosecond timestamps.
 END_OF_INPUT = "2200-01-01 00:00:00"
@@ -45,8 +46,8 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int | N
 
 def stream_view(spark: SparkSession, sf_dir: str, view: str, base: str, max_files: int | None = None) -> DataFrame:
     """A derived input view over a streaming base table (same SQL as batch)."""
-    stream_table(spark, sf_dir, base, max_files).createOrReplaceTempView(base)
-    return spark.sql(FIXTURE_SQL[view])
+    stream_table(spark, sf_dir, base, max_files).createOrReplaceTempView(private(base, "stream"))
+    return spark.sql(over_private(FIXTURE_SQL[view], (base,), "stream"))
 
 
 def _dirs(spark: SparkSession, name: str) -> tuple[str, str]:

@@ -33,3 +33,17 @@ def test_oracle_keys_subset_of_queries():
 def test_queries_have_docstrings(registry):
     for k, q in registry.items():
         assert q.doc, f"{k} has no docstring"
+
+
+def test_the_callers_views_stay(spark):
+    from conftest import SMALL
+    from pagelens.sources.tables import Tables
+    for name in ("pages", "documents", "events", "supplier"):
+        spark.range(3).createOrReplaceTempView(name)
+    mod = _entry_module()
+    mod.queries()["stream_publish_stats"](spark, SMALL).count()
+    t = Tables(spark, SMALL)
+    assert t.posts.count() > 3 and t.publish_requests.count() > 3 and t.site_plugins.count() > 8
+    for name in ("pages", "documents", "events", "supplier"):
+        assert spark.table(name).count() == 3
+        spark.catalog.dropTempView(name)
