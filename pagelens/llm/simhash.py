@@ -180,7 +180,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = near_duplicates(docs, id_col, text_col, shingle, max_bits)
     rank = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("_key").alias("k"))
     kept = found.groupBy("_root").agg(F.min(rank).alias("_first")).select(F.struct(F.col("_first.k").alias("k"), F.col("_first.i").alias("i")).alias(kept_key))
-    # one key, so that what the join has dealt out needs no second exchange; structs with null ids are equal
+    # one key of hash and id; structs with null ids are equal
     keyed = docs.withColumn(key, F.struct(row_key(id_col, text_col).alias("k"), F.col(id_col).alias("i")))
     return keyed.join(kept, F.col(key) == F.col(kept_key), "left_semi").dropDuplicates([key]).select(*docs.columns)
 
