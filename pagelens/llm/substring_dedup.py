@@ -10,6 +10,10 @@ A unit of fewer than MIN_WORDS words alone is too common to tell a repeat. With
 ``passages`` it goes with what it stands in: a line of fewer words has a digest too, and successive units that
 together have MIN_WORDS words have one, so of a repeated run of units with MIN_WORDS words or more all go, however
 short each is. Whatever goes, the same unit stands at an earlier place, so the first one stays.
+
+A sentence that many documents share by chance, a heading or a closing brace is no passage. With ``run_words`` what
+repeats only goes as part of a run of successive repeated units with that many words together (blank units between
+them do not count), or where all of a document's units repeat.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ from pyspark.sql import types as T
 from pagelens.llm.common import prepare, row_key, table
 
 MIN_WORDS = 8
+#: Words that a run of repeated units must have for its removal by the registered query.
+RUN_WORDS = 25
 _END = re.compile(r"(?<=[^.!?\n][.!?])[ \t]+(?=[^ \t\n])|[。！？｡]+[」』”’）]*[ \t\u3000]*\n*|\n+")
 _MARKS = ".!?。！？｡"
 _TWO = r"\u3001-\u303f\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff01-\uff9f\U00020000-\U0003ffff"
@@ -123,33 +129,51 @@ def _at(text: str, of: list[tuple[int, int]], place: int) -> range:
     return range(first, last + 1)
 
 
-def _cut_pass(batches):
-    for b in batches:
-        kept, spans, counts, lost = [], [], [], []
-        for text, gone in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-            of = units(text or "")
-            counts.append(len(of))
-            gone = {n for place in gone or () for n in _at(text, of, place)}
-            lost.append(len(gone))
-            if not gone:
-                kept.append(text)
-                spans.append([])
-                continue
-            out, at, cut = [], 0, []
-            for n in sorted(gone):
-                s, e = of[n]
-                out.append(text[at:s])
-                at = e
-                if cut and cut[-1]["end"] == s:
-                    cut[-1]["end"] = e
-                else:
-                    cut.append({"start": s, "end": e})
-            kept.append("".join(out) + text[at:])
-            spans.append(cut)
-        span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(kept, pa.string()), pa.array(counts, pa.int32()),
-                                          pa.array(lost, pa.int32()), pa.array(spans, span)],
-                                         names=["doc_id", "text", "n_units", "n_removed", "spans"])
+def _long_runs(text: str, of: list[tuple[int, int]], gone: set[int], run_words: int) -> set[int]:
+    """Of the units that repeat, those in runs of ``run_words`` words or more; all, where every unit with words repeats."""
+    out, run, got, whole = set(), [], 0, True
+    for n, (s, e) in enumerate(of):
+        if n in gone:
+            run.append(n)
+            got += len(words(text[s:e]))
+        elif not text[s:e].isspace():
+            if got >= run_words:
+                out.update(run)
+            run, got, whole = [], 0, False
+    return gone if whole else out.union(run) if got >= run_words else out
+
+
+def _cut_pass(run_words: int):
+    def run(batches):
+        for b in batches:
+            kept, spans, counts, lost = [], [], [], []
+            for text, gone in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                of = units(text or "")
+                counts.append(len(of))
+                gone = {n for place in gone or () for n in _at(text, of, place)}
+                if gone and run_words:
+                    gone = _long_runs(text, of, gone, run_words)
+                lost.append(len(gone))
+                if not gone:
+                    kept.append(text)
+                    spans.append([])
+                    continue
+                out, at, cut = [], 0, []
+                for n in sorted(gone):
+                    s, e = of[n]
+                    out.append(text[at:s])
+                    at = e
+                    if cut and cut[-1]["end"] == s:
+                        cut[-1]["end"] = e
+                    else:
+                        cut.append({"start": s, "end": e})
+                kept.append("".join(out) + text[at:])
+                spans.append(cut)
+            span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(kept, pa.string()), pa.array(counts, pa.int32()),
+                                              pa.array(lost, pa.int32()), pa.array(spans, span)],
+                                             names=["doc_id", "text", "n_units", "n_removed", "spans"])
+    return run
 
 
 def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
@@ -166,12 +190,12 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def dedup_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
-                passages: bool = False) -> DataFrame:
+                passages: bool = False, run_words: int = 0) -> DataFrame:
     """``doc_id, text, n_units, n_removed, spans`` of every row; spans are [start, end) characters of the original text.
 
     Occurrences rank by id (a null id last), then place. A null text has no units and
     stays null. Equal rows (same id and text) are one row to the ranking: they keep and
-    lose the same units. An empty table gives an empty result.
+    lose the same units. An empty table gives an empty result. With ``run_words`` of 0 every repeated unit goes alone.
     """
     prepare(docs.sparkSession)
     gone = repeated_units(docs, id_col, text_col, min_words, passages).withColumnRenamed("_key", "_gone_key")
@@ -179,12 +203,12 @@ def dedup_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     met = rows.join(gone, F.col("_key") == F.col("_gone_key"), "left").select("doc_id", "_text", "_gone")
     out = T.StructType([rows.schema["doc_id"], *T._parse_datatype_string(
         "text string, n_units int, n_removed int, spans array<struct<start:int,end:int>>")])
-    return met.mapInArrow(_cut_pass, out)
+    return met.mapInArrow(_cut_pass(run_words), out)
 
 
 def op4_unit_hashing(spark, sf_dir: str) -> DataFrame:
     """Whole documents without lines, sentences and passages that stand earlier in the corpus, and where those stood."""
-    out = dedup_units(table(spark, sf_dir, "documents"), passages=True)
+    out = dedup_units(table(spark, sf_dir, "documents"), passages=True, run_words=RUN_WORDS)
     return out.select("doc_id", F.col("n_units").cast("long").alias("n_units"), F.col("n_removed").cast("long").alias("n_removed"),
                       F.array_join(F.transform("spans", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string"))), ",").alias("removed"),
                       F.sha2("text", 256).alias("kept_sha256"))
