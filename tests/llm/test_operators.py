@@ -199,6 +199,80 @@ def test_short_units_go_with_their_passage(spark):
     assert plain[2] == text[2] and plain[4] == text[4]
 
 
+def repeated_by_hand(spark, docs, run_words):
+    """The texts that stay, by (id, text), found with whole keys instead of digests."""
+    least, mark = substring_dedup.MIN_WORDS, ".!?。！？｡"
+    found, parts = {}, {}
+    for i, t in dict.fromkeys(docs):
+        of = [t[a:e] for a, e in substring_dedup.units(t or "")]
+        said = [substring_dedup.words(u) for u in of]
+        full = [n for n, w in enumerate(said) if w]
+        places = [((n,), ("unit", trim(" ".join(of[n].lower().split()), mark))) for n in full if len(said[n]) >= least]
+        line = []
+        for n in full:
+            line.append(n)
+            if of[n].endswith("\n") or n == full[-1]:
+                if sum(min(len(said[k]), least) for k in line) < least:
+                    places.append((tuple(line), ("line", trim(" ".join("".join(of[line[0]:n + 1]).lower().split()), mark))))
+                line = []
+        spans = set()
+        for at, n in enumerate(full):
+            if len(said[n]) < least:
+                for step in (1, -1):
+                    got, end = len(said[n]), at
+                    while got < least and 0 <= end + step < len(full):
+                        end += step
+                        got += len(said[full[end]])
+                    if got >= least:
+                        spans.add((min(at, end), max(at, end)))
+        for a, b in spans:
+            inner = [w for k in full[a + 1:b] for w in said[k]]
+            key = ("run", tuple(min(len(said[k]), least) for k in full[a:b + 1]),
+                   trim(" ".join([*said[full[a]][-least:], *inner, *said[full[b]][:least]]), mark))
+            places.append((tuple(k for k in full[a:b + 1] if len(said[k]) < least or a < full.index(k) < b), key))
+        parts[i, t] = of, full
+        order = (i is None, i or 0, sharding_key(spark, (i, t)))
+        for place, key in places:
+            found.setdefault(key, set()).add((order, place[0], len(place), place, (i, t)))
+    gone = {}
+    for key, places in found.items():
+        for *_, place, row in sorted(places, key=lambda p: p[:3])[1:]:
+            gone.setdefault(row, set()).update(range(place[0], place[-1] + 1))
+    kept = {}
+    for row, (of, full) in parts.items():
+        out, lost = set(), gone.get(row, set())
+        for first in full:
+            run = [first]
+            if first in lost and not (full.index(first) and full[full.index(first) - 1] in lost):
+                run = list(itertools.takewhile(lost.__contains__, full[full.index(first):]))
+                if len(run) == len(full) or sum(len(substring_dedup.words(of[k])) for k in run) >= run_words:
+                    out.update(n for n in lost if run[0] <= n <= run[-1])
+        kept[row] = "".join(u for n, u in enumerate(of) if n not in out) if row[1] is not None else None
+    return kept
+
+
+def trim(text, mark):
+    return text.rstrip(mark) or text
+
+
+def test_only_long_runs_go(spark):
+    shared = " ".join(f"Part {k} of the shared notice is told here again." for k in range(6))
+    lone = "This one sentence of more than eight words stands in many documents."
+    code = "def one(x):\n    y = x + 1\n    return x\n}\n"
+    verse = "\n".join(f"line {k} of it" for k in range(9))
+    docs = corpus(6)[:60] + [(700, f"Introduction\nFirst text of its own kind. {shared} Its end."), (701, f"Introduction\nAnother beginning. {lone} {shared}\nOther end."),
+                             (702, f"{lone} With its own words after it."), (703, code + "first of its kind"), (704, "something else\n" + code), (705, lone), (706, lone),
+                             (707, verse + "\nOne more."), (708, "Before it.\n\n" + verse.replace("\n", "\n\n") + "\n\nAfter it."), (709, "\n \n"), (710, ""), (711, None), (706, lone)]
+    got = substring_dedup.dedup_units(frame(spark, docs).repartition(3), passages=True, run_words=25)
+    kept = repeated_by_hand(spark, docs, 25)
+    assert rows_of(got, "doc_id", "text") == sorted(((i, kept[i, t]) for i, t in docs), key=repr)
+    text = {r.doc_id: r.text for r in got.collect()}
+    assert "shared notice" not in text[701] and lone in text[701] and text[701].startswith("Introduction")
+    assert text[702].startswith(lone) and text[704] == "something else\n" + code and text[706] == ""
+    assert "line 4 of it" not in text[708] and text[711] is None
+    assert substring_dedup.dedup_units(frame(spark, docs).limit(0), passages=True, run_words=25).count() == 0
+
+
 def sharding_key(spark, row):
     from pagelens.llm.common import row_key
     return spark.createDataFrame([row], DOCS).select(row_key("doc_id", "text")).first()[0]
