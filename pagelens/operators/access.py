@@ -160,9 +160,18 @@ def failed_attempt_sessions(failures: DataFrame, key: str = "ip", ts: str = "ts"
 
 RATE_SCHEMA = "event_id bigint, ip string, ts timestamp, accepted boolean"
 
+#: Events from which a segment is cut into blocks of whole time buckets; a block has this many and one bucket more at most.
+BLOCK_EVENTS = 100_000
+BLOCK_SCHEMA = ("ip string, seg_start bigint, _block bigint, _open_count array<int>, _open_last array<bigint>, "
+                "_upto array<bigint>, _exit_count array<int>, _exit_last array<bigint>")
+ENTRY_SCHEMA = "ip string, seg_start bigint, _block bigint, _count int, _last bigint"
+
 
 def _rate_fold(max_requests: int, window: int):
-    """Streaming fold over a partition sorted by (ip, seg_start, ts, event_id)."""
+    """Streaming fold over a partition sorted by (ip, seg_start, _block, _event, ts, event_id).
+
+    A row that is no event (``_event`` false) comes first in its block and brings the counter at the block's start.
+    """
     import numpy as np
     import pandas as pd
 
@@ -171,34 +180,123 @@ def _rate_fold(max_requests: int, window: int):
     def fold(batches):
         cur, count, last_ok = None, 0, None
         for pdf in batches:
-            t = pd.to_datetime(pdf["ts"]).astype("int64").to_numpy() // 1000
-            keys = list(zip(pdf["ip"].to_numpy(), pdf["seg_start"].to_numpy()))
+            t = pd.to_datetime(pdf["ts"]).to_numpy().astype("datetime64[us]").astype("int64").tolist()
+            event = pdf["_event"].to_numpy(dtype=bool)
+            counts, lasts = pdf["_count"].to_numpy(), pdf["_last"].to_numpy()
             acc = np.zeros(len(pdf), dtype=bool)
-            for i, ti in enumerate(t):
-                if keys[i] != cur:  # a new segment always starts from an empty counter
-                    cur, count, last_ok = keys[i], 0, None
-                if last_ok is None or ti - last_ok > window_us:
-                    count, last_ok, acc[i] = 1, ti, True
-                elif count >= max_requests:
-                    acc[i] = False
+            for i, key in enumerate(zip(pdf["ip"].to_numpy(), pdf["seg_start"].to_numpy(), pdf["_block"].to_numpy())):
+                if key != cur:  # a segment starts from an empty counter, a later block of it from the counter it is given
+                    cur, count, last_ok = key, 0, None
+                if not event[i]:
+                    count, last_ok = int(counts[i]), int(lasts[i])
+                elif last_ok is None or t[i] - last_ok > window_us:
+                    count, last_ok, acc[i] = 1, t[i], True
+                elif count < max_requests:
+                    count, last_ok, acc[i] = count + 1, t[i], True
+            yield pd.DataFrame({"event_id": pdf["event_id"].to_numpy()[event].astype("int64"), "ip": pdf["ip"].to_numpy()[event],
+                                "ts": pdf["ts"].to_numpy()[event], "accepted": acc[event]})
+    return fold
+
+
+def _block_effect(max_requests: int, window: int):
+    """What a block makes of each counter that it may be entered with.
+
+    Within a segment successive events are at most a window apart, so from an accepted event that restarts the counter on
+    ``max_requests`` successive events are accepted, then none until a window has passed since the last of them: the next
+    restart of every event is one sorted search, and the last restart of each chain within the block comes by doubling.
+    A counter that is not full (``_open``) goes on with the first events; a full one restarts at the first event after its
+    window, and the few different exits are told by the latest time of the last accepted event that leads to them (``_upto``).
+    """
+    import numpy as np
+    import pandas as pd
+
+    full, window_us = max(1, int(max_requests)), int(window) * 1_000_000
+
+    def effect(key, pdf):
+        t = np.sort(pdf["_t"].to_numpy(dtype="int64"))
+        n = len(t)
+        end = np.arange(n) + full - 1  # the event that fills the counter
+        filled = end < n
+        last = t[np.minimum(end, n - 1)]
+        then = np.where(filled, np.searchsorted(t, last + window_us, "right"), n)
+        chain = np.where(then < n, then, np.arange(n))
+        while True:
+            further = chain[chain]
+            if (further == chain).all():
+                break
+            chain = further
+        exit_count = np.where(filled, full, n - np.arange(n))[chain]
+        exit_last = last[chain]
+        open_count, open_last = [], []
+        for count in range(1, full):
+            at = full - count - 1
+            if at >= n:
+                open_count.append(count + n)
+                open_last.append(t[-1])
+                continue
+            restart = np.searchsorted(t, t[at] + window_us, "right")
+            open_count.append(exit_count[restart] if restart < n else full)
+            open_last.append(exit_last[restart] if restart < n else t[at])
+        reach = min(n, int(np.searchsorted(t, t[0] + window_us, "right")) + 1)  # no counter restarts later
+        count, at = exit_count[:reach], exit_last[:reach]
+        ends = np.append((count[1:] != count[:-1]) | (at[1:] != at[:-1]), True)
+        return pd.DataFrame({"ip": [key[0]], "seg_start": [key[1]], "_block": [key[2]], "_open_count": [open_count], "_open_last": [open_last],
+                             "_upto": [(t[:reach] - window_us)[ends]], "_exit_count": [count[ends]], "_exit_last": [at[ends]]})
+    return effect
+
+
+def _entry_fold(max_requests: int):
+    """Streaming fold over blocks sorted by (ip, seg_start, _block): the counter at each block's start but the first."""
+    import numpy as np
+    import pandas as pd
+
+    full = max(1, int(max_requests))
+
+    def fold(batches):
+        cur, count, last = None, full, None
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples(index=False, name=None):
+                ip, seg, block, open_count, open_last, upto, exit_count, exit_last = r
+                if (ip, seg) != cur:
+                    cur, count, last = (ip, seg), full, np.iinfo("int64").min
+                else:
+                    out.append((ip, seg, block, count, last))
+                if count < full:
+                    count, last = int(open_count[count - 1]), int(open_last[count - 1])
                 else:
-                    count, last_ok, acc[i] = count + 1, ti, True
-            yield pd.DataFrame({"event_id": pdf["event_id"].to_numpy(), "ip": pdf["ip"].to_numpy(),
-                                "ts": pdf["ts"].to_numpy(), "accepted": acc})
+                    at = int(np.searchsorted(upto, last, "right"))
+                    if at < len(upto):  # else the window outlasts the block
+                        count, last = int(exit_count[at]), int(exit_last[at])
+            yield pd.DataFrame(out, columns=["ip", "seg_start", "_block", "_count", "_last"])
     return fold
 
 
 def rate_limit(requests: DataFrame, max_requests: int = 60, window_seconds: int = 60,
-               key: str = "ip", ts: str = "ts", num_partitions: int | None = None) -> DataFrame:
+               key: str = "ip", ts: str = "ts", num_partitions: int | None = None,
+               block_events: int = BLOCK_EVENTS) -> DataFrame:
     """Exact accept/reject per request: counter with a TTL restarted by accepted requests only.
 
     An idle gap longer than the window always resets the counter, so segments
-    are independent: they are hash-partitioned by (address, segment), sorted
-    within each partition, and folded in one streaming ``mapInPandas`` pass
-    per task (O(1) state; a hot address's segments spread over tasks).
+    are independent. A segment of over ``block_events`` events (an address that is never idle) is cut into
+    blocks of whole time buckets: each block tells, on its own task, what it makes of any counter (``_block_effect``), one fold
+    over these rows (one a block, not events) gives the counter at every block's start, and the blocks are then decided
+    apart. All is hash-partitioned by (address, segment, block), sorted within each partition, and folded in one
+    streaming ``mapInPandas`` pass per task with O(1) state.
     """
     r = requests.select("event_id", F.col(key).alias("ip"), F.col(ts).cast("timestamp").alias("ts"))
-    seg = idle_segments(r, "ip", "ts", window_seconds)
-    part = seg.repartition(num_partitions, "ip", "seg_start") if num_partitions else seg.repartition("ip", "seg_start")
-    ordered = part.sortWithinPartitions("ip", "seg_start", "ts", "event_id")
+    e, b = _bucket_table(r, "ip", "ts", window_seconds)
+    size = F.sum("_n").over(Window.partitionBy("ip", "seg_start"))
+    block = F.when(size > block_events, F.floor(F.col("_before") / F.lit(block_events))).otherwise(0).cast("bigint")
+    b = b.select("ip", "_b", "seg_start", block.alias("_block"), (size > block_events).alias("_long"))
+    events = e.join(b, ["ip", "_b"])
+    key_cols = ["ip", "seg_start", "_block"]
+    effects = (events.filter("_long").select(*key_cols, "_t").groupBy(*key_cols)
+               .applyInPandas(_block_effect(max_requests, window_seconds), BLOCK_SCHEMA))
+    entries = (effects.repartition("ip", "seg_start").sortWithinPartitions(*key_cols)
+               .mapInPandas(_entry_fold(max_requests), ENTRY_SCHEMA))
+    rows = (events.select("event_id", "ts", *key_cols, F.lit(True).alias("_event"), F.lit(0).alias("_count"), F.lit(0).cast("bigint").alias("_last"))
+            .unionByName(entries.withColumns({"event_id": F.lit(0).cast("bigint"), "_event": F.lit(False)}), allowMissingColumns=True))
+    part = rows.repartition(num_partitions, *key_cols) if num_partitions else rows.repartition(*key_cols)
+    ordered = part.sortWithinPartitions(*key_cols, "_event", "ts", "event_id")
     return ordered.mapInPandas(_rate_fold(max_requests, window_seconds), RATE_SCHEMA)

@@ -6,11 +6,14 @@ The expected values come from a plain-Python transcription of the rules
 """
 
 import math
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import MEDIUM
 from pagelens.operators import brand as BR
+from pagelens.operators.access import rate_limit
 from pagelens.sources.tables import Tables
 
 
@@ -112,3 +115,35 @@ def test_color_merge_and_slots_match_brute_force(spark):
         m = _merge(g, e)
         assert spark_merge.get(site, []) == [c["value"] for c in m], site
         assert spark_slots.get(site, set()) == _slots(m), site
+
+
+def rate_limit_by_hand(rows, limit, window):
+    """event_id -> accepted, request by request."""
+    out, state = {}, {}
+    for ip, t, event in sorted(rows):
+        count, last = state.get(ip, (0, None))
+        if last is None or t - last > window * 1_000_000:
+            count, last, out[event] = 1, t, True
+        elif count < limit:
+            count, last, out[event] = count + 1, t, True
+        else:
+            out[event] = False
+        state[ip] = (count, last)
+    return out
+
+
+@pytest.mark.parametrize("limit,window,block", [(3, 60, 40), (1, 60, 1), (25, 7, 5), (200, 30, 60), (3, 600, 1), (2, 60, 10**9)])
+def test_rate_limit_inside_a_never_idle_address(spark, limit, window, block):
+    draw = random.Random(limit * window)
+    rows, event = [], 0
+    for ip, n, gap in (("busy", 900, window / 2), ("flood", 600, 0.2), ("steady", 300, window), ("idle", 60, 3 * window), ("mixed", 400, 1.5 * window)):
+        t = 1_700_000_000_000_000 + draw.randrange(10**9)
+        for _ in range(n):
+            event += 1
+            t += draw.choice([0, 1, int(draw.random() * gap * 1_000_000), int(gap * 1_000_000)])
+            rows.append((ip, t, event))
+    df = spark.createDataFrame(rows, "ip string, t long, event_id long").withColumn("ts", F.timestamp_micros("t")).repartition(4)
+    got = {r.event_id: r.accepted for r in rate_limit(df, limit, window, block_events=block).collect()}
+    assert got == rate_limit_by_hand(rows, limit, window)
+    assert len(set(got.values())) == 2
+    assert rate_limit(df.limit(0), limit, window, block_events=block).count() == 0
