@@ -26,20 +26,25 @@ _EXACT = float(1 << 53)
 
 
 def _vectors(rows: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
-    """``_id, _v`` with one row per id: components floored after scaling; rows without a usable vector are left out."""
+    """``_id, _vid, _v``: a number of the row's own, its id, components floored after scaling; rows without a usable vector are left out.
+
+    The numbers are unique, but another reading may give others: they are to be written down (a checkpoint) before use.
+    """
     v = F.col(vec_col)
     usable = rows.filter(F.col(id_col).isNotNull() & v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))))
     floored = F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("long"))
-    return usable.select(F.col(id_col).alias("_id"), floored.alias("_v")).groupBy("_id").agg(F.max("_v").alias("_v"))
+    return usable.select(F.monotonically_increasing_id().alias("_id"), F.col(id_col).alias("_vid"), floored.alias("_v"))
 
 
 def _blocks(rows: DataFrame, n: int, per_block: int, width: int) -> DataFrame:
-    """``_block, _ids, _data`` with all components of about ``per_block`` rows, zero-padded to the width."""
+    """``_block, _ids, _vids, _data`` with all components of about ``per_block`` rows, by ascending id, zero-padded to the width."""
     count = max(1, -(-n // per_block))
-    flat = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_id", "_v"))), lambda r: F.slice(F.concat(
+    members = F.array_sort(F.collect_list(F.struct("_vid", "_id", "_v")))
+    flat = F.flatten(F.transform(members, lambda r: F.slice(F.concat(
         r["_v"], F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size(r["_v"]))), 1, width)))
-    ids = F.transform(F.array_sort(F.collect_list(F.struct("_id", "_v"))), lambda r: r["_id"])
-    return rows.groupBy(F.pmod(F.xxhash64("_id"), F.lit(count)).cast("int").alias("_block")).agg(ids.alias("_ids"), flat.alias("_data"))
+    ids, vids = F.transform(members, lambda r: r["_id"]), F.transform(members, lambda r: r["_vid"])
+    return rows.groupBy(F.pmod(F.xxhash64("_id"), F.lit(count)).cast("int").alias("_block")).agg(
+        ids.alias("_ids"), vids.alias("_vids"), flat.alias("_data"))
 
 
 def _matrix(col, i: int, width: int) -> np.ndarray:
@@ -58,9 +63,9 @@ def _cells(queries: DataFrame, rows: DataFrame, n_blocks: int, n_groups: int) ->
     """Each query block beside each candidate block, dealt by both numbers."""
     every = F.explode(F.expr(f"sequence(0, {n_blocks - 1})")).alias("_block")
     group = F.explode(F.expr(f"sequence(0, {n_groups - 1})")).alias("_group")
-    left = queries.select(F.col("_block").alias("_group"), F.col("_ids").alias("_qids"), F.col("_data").alias("_q"), "_lo", "_need", every)
-    right = rows.select("_block", "_ids", "_data", group)
-    return left.join(right, ["_group", "_block"]).select("_qids", "_q", "_lo", "_need", "_ids", "_data")
+    left = queries.select(F.col("_block").alias("_group"), F.col("_ids").alias("_qids"), F.col("_vids").alias("_qvids"), F.col("_data").alias("_q"), "_lo", "_need", every)
+    right = rows.select("_block", "_ids", "_vids", "_data", group)
+    return left.join(right, ["_group", "_block"]).select("_qids", "_q", "_lo", "_need", "_ids", "_data", "_qvids", "_vids")
 
 
 def _histogram(width: int, span: int, shift: int):
@@ -91,6 +96,7 @@ def _winners(width: int):
                 q, c = _matrix(b.column(1), r, width), _matrix(b.column(5), r, width)
                 qids, ids = b.column(0)[r].values.to_numpy(), b.column(4)[r].values.to_numpy()
                 kth, ties = b.column(2)[r].values.to_numpy(), b.column(3)[r].values.to_numpy()
+                qvids, vids = b.column(6)[r].values.to_numpy(), b.column(7)[r].values.to_numpy()
                 score = _scores(q, c)
                 other = qids[:, None] != ids[None, :]
                 at, to = np.nonzero((score > kth[:, None]) & other)
@@ -99,21 +105,21 @@ def _winners(width: int):
                 tie &= tie.cumsum(axis=1) <= ties[:, None]
                 more, to2 = np.nonzero(tie)
                 at, to = np.concatenate((at, more)), np.concatenate((to, to2))
-                yield pa.RecordBatch.from_arrays([pa.array(qids[at]), pa.array(ids[to]), pa.array(score[at, to])], names=["query_id", "vec_id", "score"])
+                yield pa.RecordBatch.from_arrays([pa.array(qids[at]), pa.array(qvids[at]), pa.array(vids[to]), pa.array(score[at, to])], names=["_id", "query_id", "vec_id", "score"])
     return run
 
 
 def top_k(rows: DataFrame, is_query, k: int, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 64) -> DataFrame:
-    """``query_id, rank, vec_id, score``: for each row for which ``is_query`` holds, its k best other rows by inner product.
+    """``query_id, rank, vec_id, score``: for each row for which ``is_query`` holds (of its id), its k best other rows by inner product.
 
     Ties go to the smaller id; with fewer than k other rows all are returned. Rows
     with a null id or a vector that is null or holds a null, NaN or infinite component take no
-    part. A repeated id counts once, with its greatest vector in array order. Shorter
+    part. Rows of one id, equal or not, are rows of their own: each is a candidate of the others, and each asks for itself. Shorter
     vectors are padded with zeros; scores are 64-bit, larger ones wrap. An empty table, or one without queries, gives an empty result.
     """
     prepare(rows.sparkSession)
     vectors = _vectors(rows, id_col, vec_col, scale).checkpoint()
-    asked = vectors.filter(is_query(F.col("_id")))
+    asked = vectors.filter(is_query(F.col("_vid")))
     n, width, norm = vectors.agg(F.count(F.lit(1)), F.max(F.size("_v")), F.max(F.expr("aggregate(_v, 0D, (s, x) -> s + cast(x AS double) * x)"))).first()
     n_queries = asked.count()
     width = max(1, width or 0)
@@ -127,10 +133,10 @@ def top_k(rows: DataFrame, is_query, k: int, id_col: str = "vec_id", vec_col: st
 
     def cells(state: DataFrame) -> DataFrame:
         q = asked.join(state, "_id")
-        packed = F.array_sort(F.collect_list(F.struct("_id", "_v", "_lo", "_need")))
+        packed = F.array_sort(F.collect_list(F.struct("_vid", "_id", "_v", "_lo", "_need")))
         block = F.pmod(F.xxhash64("_id"), F.lit(n_groups)).cast("int").alias("_block")
         q = q.groupBy(block).agg(packed.alias("_p")).select(
-            "_block", F.expr("transform(_p, r -> r._id)").alias("_ids"),
+            "_block", F.expr("transform(_p, r -> r._id)").alias("_ids"), F.expr("transform(_p, r -> r._vid)").alias("_vids"),
             F.expr(f"flatten(transform(_p, r -> slice(concat(r._v, array_repeat(0L, {width} - size(r._v))), 1, {width})))").alias("_data"),
             F.expr("transform(_p, r -> r._lo)").alias("_lo"), F.expr("transform(_p, r -> r._need)").alias("_need"))
         return _cells(q, blocks, n_blocks, n_groups)
@@ -138,7 +144,7 @@ def top_k(rows: DataFrame, is_query, k: int, id_col: str = "vec_id", vec_col: st
     shift = bits
     while shift > 0:
         span, shift = shift, max(0, shift - BIN_BITS)
-        seen = cells(state).mapInArrow(_histogram(width, span, shift), "_id long, _bin int, _n long").groupBy("_id", "_bin").agg(F.sum("_n").alias("_n"))
+        seen = cells(state).drop("_qvids", "_vids").mapInArrow(_histogram(width, span, shift), "_id long, _bin int, _n long").groupBy("_id", "_bin").agg(F.sum("_n").alias("_n"))
         # the first bin from the top with which k scores are reached; the lowest one if there are fewer
         above = Window.partitionBy("_id").orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         seen = seen.withColumn("_upto", F.sum("_n").over(above)).join(state, "_id")
@@ -150,8 +156,8 @@ def top_k(rows: DataFrame, is_query, k: int, id_col: str = "vec_id", vec_col: st
         state = hit.select("_id", F.expr("_lo").alias("_from"), bin_.cast("long").alias("_b"), (F.col("_need") - before).alias("_need"))
         low = F.expr(f"cast(cast(_from AS decimal(20, 0)) + cast(_b AS decimal(5, 0)) * {1 << shift}BD AS bigint)")
         state = state.select("_id", low.alias("_lo"), "_need").checkpoint()
-    found = cells(state).mapInArrow(_winners(width), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = cells(state).mapInArrow(_winners(width), "_id long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
@@ -161,11 +167,11 @@ def op3_histogram_selection(spark, sf_dir: str) -> DataFrame:
 
 
 OP3_SQL = """
-WITH v AS (SELECT vec_id, max(list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT)) AS v FROM embeddings
+WITH v AS (SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 GROUP BY vec_id),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.n, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON q.n <> c.n WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
 """

@@ -137,13 +137,14 @@ def test_top_k(spark, monkeypatch, scale):
     monkeypatch.setattr(topk, "ROW_BLOCK", 8)
     draw = random.Random(scale)
     rows = [(i, [draw.choice([0.1, 0.5, -0.3, 2.0]) for _ in range(3)]) for i in range(50)]
-    rows += [(60, None), (61, [None, 1.0]), (62, [math.nan]), (None, [1.0]), (80, [math.inf]), (64, []), (65, [1.0]), (65, [1.0]), (100, [1.0, 2.0, 3.0])]
-    vectors = {i: [math.floor(scale * float(np.float32(x))) for x in v] for i, v in rows
-               if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
+    rows += [(60, None), (61, [None, 1.0]), (62, [math.nan]), (None, [1.0]), (80, [math.inf]), (64, []), (65, [1.0]), (65, [1.0]), (100, [1.0, 2.0, 3.0]),
+             (40, [0.5, 2.0, 0.1]), (100, [1.0, 2.0, 3.0]), (100, [2.0, 2.0, -0.3]), (7, [2.0, 2.0, 2.0])]
+    vectors = [(i, [math.floor(scale * float(np.float32(x))) for x in v]) for i, v in rows
+               if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     expected = []
-    for q in vectors:
+    for n, (q, v) in enumerate(vectors):
         if q % 20 == 0:
-            best = sorted((-sum(a * b for a, b in zip(vectors[q], vectors[c])), c) for c in vectors if c != q)[:7]
+            best = sorted((-sum(a * b for a, b in zip(v, w)), c) for m, (c, w) in enumerate(vectors) if m != n)[:7]
             expected += [(q, r + 1, c, -s) for r, (s, c) in enumerate(best)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({"rank": F.lit(1), "_v": F.lit(1), "score": F.lit(0)})
     got = topk.top_k(df, lambda i: i % 20 == 0, 7, scale=scale)
