@@ -110,11 +110,11 @@ def stream_webhook_outbox(t):
 SELECT slug, arg_max(request_id, requested_at) AS request_id, max(requested_at) AS requested_at
 FROM publish_requests GROUP BY slug""", views=("publish_requests",))
 def stream_latest_page_state(t):
-    """Newest publish request per slug: the newest of each micro-batch, the newest of these on read."""
+    """Newest publish request per slug: the newest of each micro-batch, merged into generations of one row per slug."""
     reqs = ST.stream_view(t.spark, t.sf_dir, "publish_requests", "documents").select(
         "slug", "request_id", F.col("requested_at").cast("timestamp").alias("requested_at"))
-    kept = ST.run_foreach_batch(reqs, "latest_page_state", ST.latest_state_handler("slug", "requested_at"))
-    return ST.latest_state(kept, "slug", "requested_at")
+    return ST.run_foreach_batch(reqs, "latest_page_state", ST.compacted_state_handler("slug", "requested_at"),
+                                lambda spark, table: ST.compacted_state(spark, table, "slug", "requested_at"))
 
 
 def _fold_sql(key_sql: str, max_n: int, window_s: int, key_name: str) -> str:

@@ -23,6 +23,7 @@ import uuid
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -95,14 +96,14 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append", mar
     return spark.read.schema(df.schema).parquet(out)
 
 
-def run_foreach_batch(df: DataFrame, name: str, handler) -> DataFrame:
-    """Drain the stream through ``handler(batch_df, batch_id, table_path)``; return the table."""
+def run_foreach_batch(df: DataFrame, name: str, handler, read=None) -> DataFrame:
+    """Drain the stream through ``handler(batch_df, batch_id, table_path)``; return the table, as ``read(spark, table_path)`` reads it if given."""
     spark = df.sparkSession
     out, ckpt = _dirs(spark, name)
     q = (df.writeStream.foreachBatch(lambda b, i: handler(b, i, out))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return read(spark, out) if read else spark.read.parquet(out)
 
 
 # --- windowed aggregations ---------------------------------------------------
@@ -183,6 +184,58 @@ def latest_state(table: DataFrame, key: str, ts: str) -> DataFrame:
     return _newest(table, key, ts, [c for c in table.columns if c != "batch_id"])
 
 
+#: Batches whose rows stand beside a generation of a compacted state before they are merged into the next one.
+SEGMENTS = 8
+
+
+def _generation(spark: SparkSession, table: str) -> tuple[int, int]:
+    """Number of the valid generation and the last batch it holds; (0, -1) before the first."""
+    try:
+        rows = spark.read.schema("generation long, upto long").parquet(os.path.join(table, "manifest"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0, -1
+    last = rows.agg(F.max(F.struct("generation", "upto")).alias("m")).first().m
+    return (last.generation, last.upto) if last else (0, -1)
+
+
+def _live(spark: SparkSession, table: str, generation: int, upto: int) -> DataFrame:
+    """Rows of the valid generation and of the batches after it."""
+    segments = spark.read.option("recursiveFileLookup", "true").parquet(os.path.join(table, "segments")).filter(F.col("batch_id") > upto)
+    if not generation:
+        return segments
+    return spark.read.parquet(os.path.join(table, "generations", str(generation % 2))).unionByName(segments)
+
+
+def compacted_state_handler(key: str, ts: str, segments: int = SEGMENTS):
+    """Newest row per key in a table whose size is bounded by its keys, however many batches come.
+
+    Each batch leaves its newest rows in one of ``segments`` places. When all places are taken, they and the valid
+    generation are merged, key by key, into the other of two generation folders, and one manifest row makes that
+    one valid and its batches settled. A place or folder is only overwritten when nothing valid stands there, and rows of
+    settled batches are not read, so a crash between any two steps, or a repeated batch, changes nothing. A reader
+    that is still at work two generations later has to read again.
+    """
+    def handle(batch: DataFrame, batch_id: int, table: str) -> None:
+        spark = batch.sparkSession
+        generation, upto = _generation(spark, table)
+        newest = _newest(batch, key, ts, batch.columns).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        newest.write.mode("overwrite").parquet(os.path.join(table, "segments", str(batch_id % segments)))
+        if batch_id - upto >= segments:
+            live = _live(spark, table, generation, upto)
+            merged = _newest(live, key, ts, batch.columns).withColumn("batch_id", F.lit(batch_id).cast("long"))
+            merged.write.mode("overwrite").parquet(os.path.join(table, "generations", str((generation + 1) % 2)))
+            row = spark.range(1).select(F.lit(generation + 1).cast("long").alias("generation"), F.lit(batch_id).cast("long").alias("upto"))
+            row.coalesce(1).write.mode("append").parquet(os.path.join(table, "manifest"))
+    return handle
+
+
+def compacted_state(spark: SparkSession, table: str, key: str, ts: str) -> DataFrame:
+    """The newest row per key of a ``compacted_state_handler`` table."""
+    return latest_state(_live(spark, table, *_generation(spark, table)), key, ts)
+
+
 # --- stateful per-key folds ---------------------------------------------------
 
 def _ttl_fold(max_requests: int, window_seconds: int, key_col: str):
