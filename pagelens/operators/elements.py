@@ -1,25 +1,30 @@
 """The element tree of a page as one fold over its token array: no window, no shuffle, no parser.
 
 A page's html is cut at every ``<``; the pieces become an array of tokens in the row.
-``aggregate`` walks them with a stack of the elements that are open and writes a node
+A small Python fold in an Arrow UDF, given the tokens' names and marks but no texts,
+walks them with a stack of the elements that are open and writes a node
 when an element ends, so each node has its span of tokens, its parent and, for widgets, its
-type. Rules: an end tag closes the innermost open element of its name and all above it, and is ignored
+type (as ``aggregate`` the step was some hundred expressions that Spark interprets, 0.1 ms a token).
+Rules: an end tag closes the innermost open element of its name and all above it, and is ignored
 where there is none; void elements end at once; a start tag first ends up to two
 innermost elements that it closes by implication (a paragraph before a block, a heading
 before a heading or paragraph, list items, cells and the like before their own kind); what is
 open at the end of the page ends there. ``html`` and ``body`` tags are not elements.
 
-The array of nodes grows in chunks of CHUNK tokens, so a long page does not copy it at every token.
+(No ``from __future__ import annotations`` here: arrow_udf reads the type hints.)
 """
 
-from __future__ import annotations
+from array import array
+from itertools import chain
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pagelens.operators.blocks import HEADINGS, P_CLOSERS, VOID, clean_html, decode_entities
 
-#: Tokens folded before their nodes are appended to the page's.
+#: Tokens of a page that are Python objects at a time.
 CHUNK = 256
 # Elements that a start tag of the second group ends when they are innermost.
 IMPLIED_ENDS = (
@@ -28,7 +33,6 @@ IMPLIED_ENDS = (
 )
 PHP_TRIM = " \t\n\r\0\x0b"
 
-_ENTRY = "struct<p:int,n:string,u:int,w:boolean,t:string,c:int,k:int,s:boolean>"
 _NODE = "struct<p:int,e:int,u:int,t:string,k:int,s:boolean>"
 
 
@@ -39,7 +43,8 @@ def let(value: Column, body) -> Column:
 
 def attr(attrs: Column, name: str) -> Column:
     """Value of a quoted attribute; empty without it."""
-    return F.regexp_extract(attrs, rf"""(?is)(?:^|[\s"'/]){name}\s*=\s*["']([^"']*)["']""", 1)
+    value = F.regexp_extract(attrs, rf"""(?is)(?:^|[\s"'/]){name}\s*=\s*["']([^"']*)["']""", 1)
+    return F.when(F.contains(attrs, F.lit("=")), value).when(attrs.isNotNull(), "")
 
 
 def falsy(c: Column) -> Column:
@@ -52,32 +57,66 @@ def trimmed(c: Column) -> Column:
 
 def tokens(html: Column) -> Column:
     """Array of (name, close, attrs, tail), a token for each piece between ``<`` signs; name is '' for text and declarations."""
-    def token(piece, i):
-        is_elem = (i > 0) & piece.rlike("^/?[A-Za-z]")
-        is_decl = (i > 0) & piece.rlike("^[!?]")
+    def token(x):
+        element, slash, head = x["name"] != "", x["head"].startswith("/"), x["head"]
+        declared = x["tag"] & (head.startswith("!") | head.startswith("?"))
         return F.struct(
-            F.when(is_elem, F.lower(F.regexp_extract(piece, r"^/?([A-Za-z][A-Za-z0-9]*)", 1))).otherwise("").alias("name"),
-            (is_elem & piece.startswith("/")).alias("close"),
-            F.when(is_elem, F.regexp_extract(piece, r"(?s)^/?[A-Za-z][A-Za-z0-9]*([^>]*)", 1)).otherwise("").alias("attrs"),
-            F.when(is_elem | is_decl, F.regexp_extract(piece, r"(?s)^[^>]*>(.*)$", 1)).when(i == 0, piece).otherwise(F.concat(F.lit("<"), piece)).alias("tail"))
-    return F.transform(F.split(clean_html(html), "<"), token)
-
-
-def _ends(top: Column, new: Column) -> Column:
-    out = F.lit(False)
-    for olds, news in IMPLIED_ENDS:
-        out = out | (top.isin(*olds) & new.isin(*news))
-    return F.coalesce(out, F.lit(False))
-
-
-def _popped(entries: Column, end: Column) -> Column:
-    return F.transform(entries, lambda x: F.struct(x["p"], end.alias("e"), x["u"], x["t"], x["k"], x["s"]))
-
-
-def _hollow(entries: Column, n: Column, end: Column) -> Column:
-    """The innermost ended element of no widget kind in which no widget has begun, as an array of at most one node."""
-    bare = F.filter(entries, lambda x: ~x["w"] & x["t"].isNull() & (x["c"] == n))
-    return F.transform(F.slice(F.reverse(bare), 1, 1), lambda x: F.struct(x["p"], end.alias("e"), x["u"], F.lit("hollow").alias("t"), x["k"], x["s"]))
+            F.lower(x["name"]).alias("name"), (element & slash).alias("close"),
+            F.when(element, F.substr(head, F.length(x["name"]) + F.when(slash, 2).otherwise(1))).otherwise("").alias("attrs"),
+            F.when(element | declared, F.substr(x["piece"], F.length(head) + 2)).when(~x["tag"], x["piece"]).otherwise(F.concat(F.lit("<"), x["piece"])).alias("tail"))
+
+    # step by step, so that each piece is looked at up to its first ">" by one pattern; not nested: Spark leaves a Python function of nested lambdas unplanned
+    pieces = F.transform(F.split(clean_html(html), "<"), lambda piece, i: F.struct((i > 0).alias("tag"), piece.alias("piece"), F.substring_index(piece, ">", 1).alias("head")))
+    named = F.transform(pieces, lambda x: F.struct(x["tag"], x["piece"], x["head"], F.when(x["tag"], F.regexp_extract(x["head"], r"^/?([A-Za-z][A-Za-z0-9]*)", 1)).otherwise("").alias("name")))
+    return F.transform(named, token)
+
+
+#: Start tag -> names of the innermost elements that it ends.
+_ENDED_BY = {name: frozenset(old for olds, news in IMPLIED_ENDS if name in news for old in olds) for _, names in IMPLIED_ENDS for name in names}
+
+
+def _fold(marks, plain: tuple[str, ...], sections: tuple[str, ...]) -> list[tuple]:
+    """The nodes (p, e, u, t, k, s) of one page's marks (name, close, kind, text), by p."""
+    stack, out, n, k, i = [], [], 0, 0, -1  # stack: the open elements (p, u, t, k, s, name, w, c)
+
+    def end(gone, at):
+        """Write ended elements and, as hollow, the innermost one of no widget kind in which no widget has begun; the widgets so far."""
+        so_far = n
+        for p, u, t, of, s, _, _, _ in gone:
+            out.append((p, at, u, t, of, s))
+            so_far += t is not None
+        for p, u, t, of, s, _, w, c in reversed(gone):
+            if c == so_far and not w and t is None:
+                out.append((p, at, u, "hollow", of, s))
+                return so_far + 1
+        return so_far
+
+    for i, (name, close, kind, text) in enumerate(marks):
+        if name:
+            keep = len(stack)
+            if close:
+                keep = next((j for j in range(keep - 1, -1, -1) if stack[j][5] == name), keep)
+            elif name in _ENDED_BY:
+                while keep and len(stack) - keep < 2 and stack[keep - 1][5] in _ENDED_BY[name]:
+                    keep -= 1
+            if keep < len(stack):
+                n = end(stack[keep:], i)
+                del stack[keep:]
+            if not close:
+                outermost = not stack and name in sections
+                k += outermost
+                u, s, inside = (stack[-1][0], stack[0][4], stack[-1][6]) if stack else (-1, outermost, False)
+                entry = (i, u, None if inside else kind, k, s, name, inside or kind is not None, -1 if name in plain else n)
+                if name in VOID:
+                    end([entry], i + 1)
+                    n += not inside
+                else:
+                    stack.append(entry)
+        if text and not (stack and stack[-1][6]):
+            out.append((i, i + 1, stack[-1][0], "text", k, stack[0][4]) if stack else (i, i + 1, -1, "text", k, False))
+            n += 1
+    end(stack, i + 1)
+    return sorted(out, key=lambda x: (x[0], x[1], x[2], x[3] or ""))
 
 
 def nodes(toks: Column, widget, plain: tuple[str, ...], sections: tuple[str, ...]) -> Column:
@@ -88,64 +127,25 @@ def nodes(toks: Column, widget, plain: tuple[str, ...], sections: tuple[str, ...
     (beside the element's own node) for an element, not of the names in ``plain``, in which nothing else is a widget.
     ``k`` counts the outermost elements named in ``sections`` so far; ``s`` tells whether the node is inside one.
     """
-    n_tokens = F.size(toks)
-    marked = F.transform(toks, lambda t, i: F.struct(
-        i.alias("i"), F.when(t["name"].isin("html", "body"), "").otherwise(t["name"]).alias("name"), t["close"].alias("close"),
+    marks = F.transform(toks, lambda t: F.struct(
+        F.when(t["name"].isin("html", "body"), "").otherwise(t["name"]).alias("name"), t["close"].alias("close"),
         F.when(~t["close"] & (t["name"] != ""), widget(t)).alias("t"), (F.trim(t["tail"]) != "").alias("text")))
-    none = F.array().cast(f"array<{_NODE}>")
-    start = F.struct(F.array().cast(f"array<{_ENTRY}>").alias("open"), F.lit(0).alias("n"), F.lit(0).alias("k"), none.alias("out"))
-
-    def step(s: Column, t: Column) -> Column:
-        stack = s["open"]
-        tag = t["name"] != ""
-        back = F.array_position(F.reverse(F.transform(stack, lambda x: x["n"])), t["name"]).cast("int")
-        top, below = F.try_element_at(stack, F.lit(-1))["n"], F.try_element_at(stack, F.lit(-2))["n"]
-        ends = F.when(_ends(top, t["name"]), F.when(_ends(below, t["name"]), 2).otherwise(1)).otherwise(0)
-        keep = F.size(stack) - F.when(~tag, 0).when(t["close"], back).otherwise(ends)
-
-        def popped(c: Column) -> Column:
-            gone = F.slice(stack, c["keep"] + 1, F.greatest(F.size(stack) - c["keep"], F.lit(0)))
-            return let(F.struct(F.slice(stack, F.lit(1), c["keep"]).alias("stack"), gone.alias("gone")), opened)
-
-        def opened(c: Column) -> Column:
-            up = F.try_element_at(c["stack"], F.lit(-1))
-            widgets = F.size(F.filter(c["gone"], lambda x: x["t"].isNotNull()))
-            hollow = _hollow(c["gone"], s["n"] + widgets, t["i"])
-            n = s["n"] + widgets + F.size(hollow)
-            opens, inside = tag & ~t["close"], F.coalesce(up["w"], F.lit(False))
-            k = s["k"] + F.when(opens & (F.size(c["stack"]) == 0) & t["name"].isin(*sections), 1).otherwise(0)
-            in_section = F.when(F.size(c["stack"]) > 0, F.coalesce(F.get(c["stack"], F.lit(0))["s"], F.lit(False))).otherwise(opens & t["name"].isin(*sections))
-            own = F.when(~inside, t["t"])
-            entry = F.struct(t["i"].alias("p"), t["name"].alias("n"), F.coalesce(up["p"], F.lit(-1)).alias("u"), (inside | t["t"].isNotNull()).alias("w"), own.alias("t"),
-                             F.when(t["name"].isin(*plain), -1).otherwise(n).alias("c"), k.alias("k"), in_section.alias("s"))
-            return let(F.struct(c["stack"].alias("stack"), F.concat(_popped(c["gone"], t["i"]), hollow).alias("out"), n.alias("n"), k.alias("k"),
-                                entry.alias("entry"), opens.alias("opens"), (opens & t["name"].isin(*VOID)).alias("void")), ended)
-
-        def ended(c: Column) -> Column:
-            entry = F.array(c["entry"])
-            lone = F.when(c["void"], F.concat(_popped(entry, t["i"] + 1), _hollow(entry, c["n"], t["i"] + 1))).otherwise(none)
-            stack2 = F.when(c["opens"] & ~c["void"], F.concat(c["stack"], entry)).otherwise(c["stack"])
-            return let(F.struct(stack2.alias("stack"), F.concat(c["out"], lone).alias("out"),
-                                (c["n"] + F.when(c["void"] & ~F.try_element_at(c["stack"], F.lit(-1))["w"].eqNullSafe(F.lit(True)), 1).otherwise(0)).alias("n"), c["k"].alias("k")), written)
-
-        def written(c: Column) -> Column:
-            up = F.try_element_at(c["stack"], F.lit(-1))
-            loose = t["text"] & ~F.coalesce(up["w"], F.lit(False))
-            text = F.struct(t["i"].alias("p"), (t["i"] + 1).alias("e"), F.coalesce(up["p"], F.lit(-1)).alias("u"), F.lit("text").alias("t"), c["k"].alias("k"),
-                            F.coalesce(F.get(c["stack"], F.lit(0))["s"], F.lit(False)).alias("s"))
-            return F.struct(c["stack"].alias("open"), (c["n"] + F.when(loose, 1).otherwise(0)).alias("n"), c["k"].alias("k"),
-                            F.when(loose, F.concat(c["out"], F.array(text))).otherwise(c["out"]).alias("out"))
-
-        return let(let(F.struct(keep.alias("keep")), popped), lambda r: F.struct(r["open"], r["n"], r["k"], F.concat(s["out"], r["out"]).alias("out")))
-
-    def chunk(s: Column, part: Column) -> Column:
-        folded = F.aggregate(part, F.struct(s["open"], s["n"], s["k"], none.alias("out")), step)
-        return let(folded, lambda r: F.struct(r["open"], r["n"], r["k"], F.concat(s["out"], r["out"]).alias("out")))
-
-    parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(marked) - 1) / CHUNK).cast("int")), lambda c: F.slice(marked, c * CHUNK + 1, CHUNK))
-    done = F.aggregate(parts, start, chunk)
-    out = let(done, lambda r: F.concat(r["out"], _popped(r["open"], n_tokens), _hollow(r["open"], r["n"] + F.size(F.filter(r["open"], lambda x: x["t"].isNotNull())), n_tokens)))
-    return F.array_sort(out)
+
+    @F.arrow_udf(f"array<{_NODE}>")
+    def folded(pages: pa.Array) -> pa.Array:
+        fields, offsets = pages.values.flatten(), pages.offsets.to_pylist()
+        cut = lambda at, end: zip(*(f.slice(at, min(CHUNK, end - at)).to_numpy(zero_copy_only=False).tolist() for f in fields))
+        ints, kinds, inside, starts = [array("i") for _ in range(4)], [], [], []
+        for valid, first, after in zip(pages.is_valid().to_pylist(), offsets, offsets[1:]):
+            starts.append(len(kinds) if valid else None)
+            found = _fold(chain.from_iterable(cut(at, after) for at in range(first, after, CHUNK)), plain, sections) if valid else []
+            for column, values in zip((*ints[:3], kinds, ints[3], inside), zip(*found)):
+                column.extend(values)
+        p, e, u, k = (pa.array(np.frombuffer(c, "i4") if c else [], pa.int32()) for c in ints)
+        rows = pa.StructArray.from_arrays([p, e, u, pa.array(kinds, pa.string()), k, pa.array(inside, pa.bool_())], list("peutks"))
+        return pa.ListArray.from_arrays(pa.array([*starts, len(kinds)], pa.int32()), rows)
+
+    return folded(marks)
 
 
 def _span(toks: Column, first: Column, after: Column) -> Column:
