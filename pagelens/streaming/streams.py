@@ -143,16 +143,18 @@ def publish_stats(logs: DataFrame, size: str = "1 day", slide: str | None = None
 def publish_stats_monthly(logs: DataFrame, delay: str = "0 seconds") -> DataFrame:
     """``publish_stats`` by calendar month: state is one row of sums a month, closed when the watermark passes the month's end.
 
-    No window of fixed length is a month; a session window whose gap reaches from each event to the end of its month, by
-    month, is: all events of a month overlap at its end, and none meets the next month's.
+    No window of fixed length is a month; a session window that starts with the month, with the month's length as its gap, is.
+    All events of a month have the same one, so each task adds up its events to one row a month before they are shuffled.
+    The watermark is that of the months' starts: it passes the end of a month with the first event of a later one that
+    is ``delay`` old.
     """
-    at = F.col("created_at")
-    lg = logs.withColumn("created_at", at.cast("timestamp")).withWatermark("created_at", delay)
-    month = F.date_trunc("month", at)
-    left = F.unix_micros(F.add_months(month, 1).cast("timestamp")) - F.unix_micros(at)
-    w = F.session_window("created_at", F.concat(left.cast("string"), F.lit(" microseconds")))
-    a = lg.groupBy(w.alias("w"), month.alias("window_start")).agg(*_publish_measures())
-    return _with_rate(a.select("window_start", F.col("w.end").alias("window_end"), *a.columns[2:]))
+    lg = logs.withColumn("window_start", F.date_trunc("month", F.col("created_at").cast("timestamp"))).withWatermark("window_start", delay)
+    start = F.col("window_start")
+    length = F.unix_micros(F.add_months(start, 1).cast("timestamp")) - F.unix_micros(start)
+    w = F.session_window("window_start", F.concat(length.cast("string"), F.lit(" microseconds")))
+    # Spark takes a session window only beside another key
+    a = lg.groupBy(w.alias("w"), F.unix_micros(start).alias("_month")).agg(*_publish_measures())
+    return _with_rate(a.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *a.columns[2:]))
 
 
 # --- foreachBatch sinks ------------------------------------------------------

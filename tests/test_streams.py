@@ -126,3 +126,21 @@ def test_compacted_state_is_bounded_and_survives_crashes(spark, tmp_path, monkey
         stored.append(kept)
     assert generation(spark, table) == (3, 8)
     assert max(stored) <= (2 + 3) * len(newest)
+
+
+def test_a_months_events_are_added_up_before_the_shuffle(spark):
+    """The aggregate of each task, before all tasks' rows of a month meet in one, gives a row a month, not a row an event."""
+    logs = spark.range(0, 20000, 1, 1).select((F.lit(1704067200) + F.col("id") * 200).cast("timestamp").alias("created_at"), F.lit("publish_error").alias("action"),
+                                              F.lit(1).alias("response_time_ms"), F.lit(None).cast("string").alias("response_data"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stats = ST.publish_stats_monthly(logs)
+        assert sorted(r.error_count for r in stats.collect()) == [20000 - 31 * 432, 31 * 432]
+        plans = [stats._jdf.queryExecution().executedPlan()]
+        for p in plans:
+            plans += [p.children().apply(i) for i in range(p.children().size())]
+        rows = [p.metrics().apply("numOutputRows").value() for p in plans if p.nodeName() == "HashAggregate"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert rows == [2, 2]
