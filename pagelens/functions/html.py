@@ -28,7 +28,10 @@ def heading_re(level: int) -> str:
 
 def headings(html, level: int) -> Column:
     """Tag-stripped texts of every ``<hN>`` element, in document order."""
-    return F.transform(F.regexp_extract_all(col(html), F.lit(heading_re(level)), 1), strip_tags)
+    h = col(html)
+    opened = F.contains(h, F.lit(f"<h{level}")) | F.contains(h, F.lit(f"<H{level}"))  # most pages lack some levels: no pattern for them
+    found = F.when(~opened, F.array().cast("array<string>")).otherwise(F.regexp_extract_all(h, F.lit(heading_re(level)), 1))
+    return F.transform(found, strip_tags)
 
 
 def heading_map(html) -> Column:
@@ -96,7 +99,7 @@ def links(html, site_host) -> Column:
 
     def shape(z, i):
         host = url_host(z["url"])
-        internal = (host == F.lit("")) | (host == col(site_host))
+        internal = host.isin(F.lit(""), col(site_host))
         return F.struct(
             (i + 1).alias("pos"),
             z["url"].alias("url"),

@@ -52,15 +52,24 @@ def words(c) -> Column:
 
 def trim_words(c, n: int = 30, more: str = "&hellip;") -> Column:
     """``wp_trim_words``: first ``n`` words of the tag-stripped text, ``more`` if cut."""
-    w = words(strip_tags(c))
-    head = F.array_join(F.slice(w, 1, n), " ")
-    return F.when(F.size(w) > n, F.concat(head, F.lit(more))).otherwise(head)
+    return first_words(strip_tags(c), n, more)
 
 
-def excerpt(own_excerpt, text, n: int = 30) -> Column:
-    """Own excerpt when set, else the first ``n`` words of the text."""
+def first_words(text, n: int = 30, more: str = "&hellip;") -> Column:
+    """First ``n`` words of a stripped (trimmed) text, ``more`` if cut; what follows them stays one piece."""
+    def cut(w):
+        head = F.array_join(F.slice(w, 1, n), " ")
+        return F.when(F.size(w) > n, F.concat(head, F.lit(more))).otherwise(head)
+
+    # the pieces are made once and handed on as a value
+    pieces = F.transform(F.array(F.split(col(text), WS_SPLIT_RE, n + 1)), lambda p: F.filter(p, lambda w: w != F.lit("")))
+    return F.transform(pieces, cut)[0]
+
+
+def excerpt(own_excerpt, text, n: int = 30, stripped=None) -> Column:
+    """Own excerpt when set, else the first ``n`` words of the text; ``stripped`` is the text without tags where there is one."""
     own = col(own_excerpt)
-    return F.when(own.isNotNull() & (own != ""), own).otherwise(trim_words(text, n))
+    return F.when(own.isNotNull() & (own != ""), own).otherwise(trim_words(text, n) if stripped is None else first_words(stripped, n))
 
 
 def normalize_text(c) -> Column:
@@ -83,11 +92,13 @@ BOILERPLATE_PHRASES = (
 
 def is_boilerplate(c) -> Column:
     """True when the lower-cased text contains any boilerplate phrase."""
-    low = F.lower(col(c))
-    hit = F.lit(False)
-    for p in BOILERPLATE_PHRASES:
-        hit = hit | F.contains(low, F.lit(p))
-    return hit
+    def any_of(low):
+        hit = F.lit(False)
+        for p in BOILERPLATE_PHRASES:
+            hit = hit | F.contains(low, F.lit(p))
+        return hit
+
+    return F.exists(F.array(F.lower(col(c))), any_of)  # lower-cased once for all phrases
 
 
 def has_blocks(c) -> Column:

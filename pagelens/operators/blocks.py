@@ -19,6 +19,7 @@ Design (all JVM-side, no Python):
 
 from __future__ import annotations
 
+import functools
 import json
 from html.entities import html5
 
@@ -47,6 +48,7 @@ VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 # All named character references that end in a semicolon, from Python's own table of the HTML standard.
 NAMED_ENTITIES = {name: char for name, char in html5.items() if name.endswith(";")}
 WS_CLASS = "[ \\t\\n\\r\\f\\x0B]"
+WS_CHARS = " \t\n\r\f\x0b"
 BIG = 2 ** 31 - 1
 
 
@@ -89,6 +91,17 @@ def clean_html(c: Column) -> Column:
     return F.regexp_replace(c, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", "")
 
 
+def _trim_end(c: Column) -> Column:
+    """White space before the end, also before a last line separator, where ``$`` matches too."""
+    return F.when(F.right(c, F.lit(1)).isin("\u0085", "\u2028", "\u2029"), F.regexp_replace(c, f"{WS_CLASS}+$", "")).otherwise(F.rtrim(c, F.lit(WS_CHARS)))
+
+
+def _one_space(c: Column) -> Column:
+    """Runs of white space as one space; a text of single spaces stays as it is, without a pattern."""
+    other = [F.contains(c, F.lit(w)) for w in ("  ", *WS_CHARS[1:])]
+    return F.when(functools.reduce(Column.__or__, other), F.regexp_replace(c, f"{WS_CLASS}{{2,}}|[\\t\\n\\r\\f\\x0B]", " ")).otherwise(c)
+
+
 def html_tokens(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
                 num_partitions: int | None = None) -> DataFrame:
     """One row per ``<``-piece: (page_id, pos, name, is_close, is_tag, attrs, tail).
@@ -98,17 +111,20 @@ def html_tokens(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
     src = pages.select(F.col(id_col).alias("page_id"), clean_html(F.col(html_col)).alias("h"))
     src = src.repartition(num_partitions, "page_id") if num_partitions else src.repartition("page_id")
     pieces = src.select("page_id", F.posexplode(F.split("h", "<")).alias("pos", "piece"))
-    piece = F.col("piece")
-    is_elem = (F.col("pos") > 0) & piece.rlike("^/?[A-Za-z]")
-    is_decl = (F.col("pos") > 0) & piece.rlike("^[!?]")
-    tail_after_gt = F.regexp_extract(piece, r"(?s)^[^>]*>(.*)$", 1)
+    piece, name = F.col("piece"), F.col("name")
+    head = F.substring_index(piece, ">", 1)
+    # one pattern per token, over the part before '>'; all else is cut by position
+    pieces = pieces.withColumn("name", F.when(F.col("pos") > 0, F.lower(F.regexp_extract(head, r"^/?([A-Za-z][A-Za-z0-9]*)", 1))).otherwise(F.lit("")))
+    is_elem = name != ""
+    is_close = is_elem & piece.startswith("/")
+    is_decl = (F.col("pos") > 0) & (piece.startswith("!") | piece.startswith("?"))
+    gt = F.instr(piece, ">")
+    tail_after_gt = F.when(gt > 0, F.substring(piece, gt + 1, F.length(piece))).otherwise(F.lit(""))
     return pieces.select(
-        "page_id", F.col("pos").cast("int").alias("pos"),
-        F.when(is_elem, F.lower(F.regexp_extract(piece, r"^/?([A-Za-z][A-Za-z0-9]*)", 1)))
-         .otherwise(F.lit("")).alias("name"),
-        (is_elem & piece.startswith("/")).alias("is_close"),
+        "page_id", F.col("pos").cast("int").alias("pos"), "name",
+        is_close.alias("is_close"),
         is_elem.alias("is_tag"),
-        F.when(is_elem, F.regexp_extract(piece, r"(?s)^/?[A-Za-z][A-Za-z0-9]*([^>]*)", 1))
+        F.when(is_elem, F.substring(head, F.length(name) + F.when(is_close, 2).otherwise(1), F.length(head)))
          .otherwise(F.lit("")).alias("attrs"),
         F.when(is_elem | is_decl, tail_after_gt)
          .when(F.col("pos") == 0, piece)
@@ -146,19 +162,19 @@ def selector_priority(name: Column, attrs: Column, cls: Column | None = None) ->
 def main_content_scope(tokens: DataFrame) -> DataFrame:
     """Add ``scope_start``/``scope_end``: the main content element's span.
 
-    Pages with no matching selector keep the whole document (body fallback).
+    Pages with no matching selector keep the whole document (body fallback). All windows go by (page_id, pos): one sort.
     """
-    page = Window.partitionBy("page_id")
-    by_name = Window.partitionBy("page_id", "name").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    fwd = Window.partitionBy("page_id").orderBy("pos")
+    page = fwd.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    run = fwd.rowsBetween(Window.unboundedPreceding, 0)
     opens = F.col("is_tag") & ~F.col("is_close")
     t = tokens.withColumn("_cls", F.when(opens, _class_attr(F.col("attrs"))))
     t = t.withColumn("prio", F.when(opens, selector_priority(F.col("name"), F.col("attrs"), F.col("_cls"))))
-    t = t.withColumn("depth", F.sum(F.when(opens, 1).when(F.col("is_close"), -1).otherwise(0)).over(by_name))
-    best = F.min(F.when(F.col("prio").isNotNull(),
-                        F.struct(F.col("prio"), F.col("pos"), F.col("name"), F.col("depth")))).over(page)
+    best = F.min(F.when(F.col("prio").isNotNull(), F.struct(F.col("prio"), F.col("pos"), F.col("name")))).over(page)
     t = t.withColumn("scope", best)
-    closes_scope = (F.col("is_close") & (F.col("name") == F.col("scope.name"))
-                    & (F.col("pos") > F.col("scope.pos")) & (F.col("depth") == F.col("scope.depth") - 1))
+    inside = (F.col("name") == F.col("scope.name")) & (F.col("pos") > F.col("scope.pos"))  # elements of the scope's name after its open
+    t = t.withColumn("depth", F.sum(F.when(inside & opens, 1).when(inside & F.col("is_close"), -1).otherwise(0)).over(run))
+    closes_scope = F.col("is_close") & inside & (F.col("depth") == -1)
     t = t.withColumn("scope_end", F.min(F.when(closes_scope, F.col("pos"))).over(page))
     return t.select(
         *tokens.columns,
@@ -174,6 +190,8 @@ def block_rows(tokens: DataFrame) -> DataFrame:
 
     ``pos`` is the block's open-token position. Tokens keep their page
     partitioning; the final aggregation groups by (page_id, pos) in place.
+    A token belongs to the last block opened before it while as many ends of
+    that block's kind are counted as at its open: windows in one direction, one sort.
     """
     name, is_close, is_tag = F.col("name"), F.col("is_close"), F.col("is_tag")
     opens = is_tag & ~is_close
@@ -184,44 +202,55 @@ def block_rows(tokens: DataFrame) -> DataFrame:
 
     fwd = Window.partitionBy("page_id").orderBy("pos")
     run = fwd.rowsBetween(Window.unboundedPreceding, 0)
-    back = Window.partitionBy("page_id").orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    before = fwd.rowsBetween(Window.unboundedPreceding, -1)
+    upto = fwd.rangeBetween(Window.unboundedPreceding, Window.currentRow)
 
     t = tokens.withColumns({
-        "next_tp": F.last(F.when(term_p, F.col("pos")), ignorenulls=True).over(back),
-        "next_th": F.last(F.when(term_h, F.col("pos")), ignorenulls=True).over(back),
+        "ends_p": F.count(F.when(term_p, 1)).over(upto),
+        "ends_h": F.count(F.when(term_h, 1)).over(upto),
+        "last_p": F.max(F.when(term_p, F.col("pos"))).over(before),
+        "last_h": F.max(F.when(term_h, F.col("pos"))).over(before),
         "next_close": F.lead(is_close, 1, False).over(fwd),
     })
-    block_end = F.coalesce(F.when(name == "p", F.col("next_tp")).otherwise(F.col("next_th")), F.lit(BIG))
+    ends = lambda tag: F.when(tag == "p", F.col("ends_p")).otherwise(F.col("ends_h"))
+    # a page given twice has each token twice: the second open of a block ends at its own place
+    again = F.coalesce(F.when(name == "p", F.col("last_p")).otherwise(F.col("last_h")) == F.col("pos"), F.lit(False))
     t = t.withColumns({
         "bstart": F.last(F.when(is_block, F.col("pos")), ignorenulls=True).over(run),
-        "bend": F.last(F.when(is_block, block_end), ignorenulls=True).over(run),
+        "bends": F.last(F.when(is_block, F.when(again, -1).otherwise(ends(name))), ignorenulls=True).over(run),
         "btag": F.last(F.when(is_block, name), ignorenulls=True).over(run),
     })
-    t = t.filter(F.col("bstart").isNotNull() & (F.col("pos") < F.col("bend")))
+    t = t.filter(F.col("bstart").isNotNull() & (ends(F.col("btag")) == F.col("bends")))
     if "scope_start" in tokens.columns:
         t = t.filter((F.col("bstart") > F.col("scope_start")) & (F.col("bstart") < F.col("scope_end")))
 
     # decode once per token (the trims below reference the piece several times)
     t = t.withColumn("_dec", decode_entities(F.col("tail")))
     piece = F.col("_dec")
-    piece = F.when(opens & ~name.isin(*VOID), F.regexp_replace(piece, f"^{WS_CLASS}+", "")).otherwise(piece)
-    piece = F.when(F.col("next_close"), F.regexp_replace(piece, f"{WS_CLASS}+$", "")).otherwise(piece)
+    piece = F.when(opens & ~name.isin(*VOID), F.ltrim(piece, F.lit(WS_CHARS))).otherwise(piece)
+    t = t.withColumn("_piece", piece)
+    piece = F.when(F.col("next_close"), _trim_end(F.col("_piece"))).otherwise(F.col("_piece"))
     parts = t.select("page_id", F.col("bstart").alias("pos"), F.col("btag").alias("tag"),
                      F.struct(F.col("pos").alias("p"), piece.alias("s")).alias("part"))
-    grouped = parts.groupBy("page_id", "pos", "tag").agg(F.array_sort(F.collect_list("part")).alias("parts"))
-    joined = F.array_join(F.transform("parts", lambda x: x["s"]), "")
-    text = F.regexp_replace(F.regexp_replace(joined, f"^{WS_CLASS}+|{WS_CLASS}+$", ""), f"{WS_CLASS}+", " ")
-    return grouped.select("page_id", "pos", "tag", text.alias("text"))
+    grouped = parts.groupBy("page_id", "pos", "tag").agg(F.sort_array(F.collect_list("part")).alias("parts"))
+    # one column per step, so that a step is not built anew for each use of it
+    joined = grouped.select("page_id", "pos", "tag", F.ltrim(F.array_join("parts.s", ""), F.lit(WS_CHARS)).alias("text"))
+    return joined.withColumn("text", _trim_end(F.col("text"))).withColumn("text", _one_space(F.col("text")))
 
 
 def block_filters(blocks: DataFrame, skip_boilerplate: bool) -> DataFrame:
-    """Drop empty, short (p < 20 bytes, headings < 10) and optionally boilerplate blocks."""
-    t = F.col("text")
+    """Drop empty, short (p < 20 bytes, headings < 10) and optionally boilerplate blocks.
+
+    The text is handed to the tests as a value: a plain filter would be pushed below the projection that builds the text and build it
+    anew for each of the tests.
+    """
     min_len = F.when(F.col("tag") == "p", F.lit(20)).otherwise(F.lit(10))
-    keep = t.isNotNull() & (t != "") & (t != "0") & (F.octet_length(t) >= min_len)
-    if skip_boilerplate:
-        keep = keep & ~is_boilerplate(t)
-    return blocks.filter(keep)
+
+    def keep(t):
+        ok = t.isNotNull() & (t != "") & (t != "0") & (F.octet_length(t) >= min_len)
+        return ok & ~is_boilerplate(t) if skip_boilerplate else ok
+
+    return blocks.withColumn("text", F.explode(F.filter(F.array("text"), keep)))
 
 
 def block_dedup(blocks: DataFrame) -> DataFrame:

@@ -183,9 +183,9 @@ def export_record(posts: DataFrame) -> DataFrame:
         "id", "post_type", "url", "post_title", "post_status", "post_date", "post_modified",
         "post_excerpt", "post_content")
     path = U.url_path(F.col("url"))
-    text = T.strip_tags(F.col("post_content"))
-    wc = T.word_count(text)
-    ls = H.links(F.col("post_content"), U.url_host(F.col("url")))
+    rows = rows.withColumns({"_text": T.strip_tags(F.col("post_content")), "_links": H.links(F.col("post_content"), U.url_host(F.col("url")))})
+    wc = T.word_count(F.col("_text"))
+    ls = F.col("_links")
     stats = H.content_stats(F.col("post_content"))
     return rows.select(
         F.col("id").cast("bigint").alias("id"),
@@ -199,7 +199,7 @@ def export_record(posts: DataFrame) -> DataFrame:
         F.col("post_modified").cast("timestamp").alias("modified_date"),
         wc.alias("word_count"),
         T.reading_time(wc).alias("reading_time"),
-        T.excerpt(F.col("post_excerpt"), F.col("post_content")).alias("excerpt"),
+        T.excerpt(F.col("post_excerpt"), F.col("post_content"), stripped=F.col("_text")).alias("excerpt"),
         T.has_blocks(F.col("post_content")).alias("has_blocks"),
         F.size(H.headings(F.col("post_content"), 1)).cast("bigint").alias("h1_count"),
         F.size(F.filter(ls, lambda x: x["kind"] == "internal")).cast("bigint").alias("internal_count"),

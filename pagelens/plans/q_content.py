@@ -269,9 +269,9 @@ def full_records(t):
     """
     posts = X.load_pages(t.posts)
     content = F.col("post_content")
-    links = H.links(content, U.url_host(F.col("url")))
+    links = F.col("_links")
     kind = lambda k: F.transform(F.filter(links, lambda x: x["kind"] == k), lambda x: F.struct(x["url"].alias("url"), x["text"].alias("text")))
-    base = posts.select(
+    base = posts.withColumn("_links", H.links(content, U.url_host(F.col("url")))).select(
         F.col("id").cast("bigint").alias("id"), content.alias("content_html"), T.strip_tags(content).alias("content_text"),
         F.to_json(H.heading_map(content)).alias("headings"),
         F.to_json(F.struct(kind("internal").alias("internal"), kind("external").alias("external"))).alias("links"))
@@ -282,15 +282,15 @@ def full_records(t):
     for g, more in enumerate((TR.tree_images(nodes, t.attachments), TR.flat_builder_images(t.flat_builder, t.attachments)), 1):
         images = images.unionByName(more.select(F.lit(g).alias("_g"), "page_id", "pos", "src", "alt", "source"))
     blocks = B.content_blocks_smart(B.content_blocks_main(t.pages), TR.tree_blocks(nodes),
-                                    B.content_blocks_html(t.posts, id_col="id", html_col="post_content"))
+                                    B.content_blocks_html(posts, id_col="id", html_col="post_content"))
     ld = X.page_jsonld(t.enriched_pages).groupBy(F.col("page_id").cast("bigint").alias("id")).agg(F.concat(
         F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "json"))), lambda x: x["json"]), ","), F.lit("]")).alias("schema"))
     template = S.load_postmeta(t.postmeta, ["_wp_page_template"]).select(F.col("post_id").cast("bigint").alias("id"), F.col("meta_value").alias("template"))
     featured = S.featured_images(t.postmeta, t.attachments).select(F.col("post_id").cast("bigint").alias("id"), "featured_image")
 
     seo = S.seo_resolve(t.posts, t.postmeta, t.site_plugins)
-    exc = t.posts.select(F.col("id").cast("bigint").alias("id"),
-                         T.excerpt(F.col("post_excerpt"), F.col("post_content")).alias("excerpt"))
+    exc = posts.select(F.col("id").cast("bigint").alias("id"),
+                       T.excerpt(F.col("post_excerpt"), F.col("post_content")).alias("excerpt"))
     seo_rec = S.seo_fallbacks(seo, t.posts, exc, S.featured_images(t.postmeta, t.attachments)).select("id", *SEO_COLS)
     author = SI.join_author(posts.select("id", "post_author"), t.users).select(
         F.col("id").cast("bigint").alias("id"), "author_name", "author_email")
