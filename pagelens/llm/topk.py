@@ -1,111 +1,233 @@
 """Exact top-k search by selection on distributed score histograms.
 
-The query set meets all candidates in a grid of bounded blocks; every score is
-computed, none is stored. In each round a cell counts its scores per query in bins of
-the range that still holds the kth score; the counts are summed over all cells, the
-bin of the kth score becomes the next range, until it is one score wide. A last
-round emits the scores above that value and, of the scores equal to it, the smallest ids.
-
-A cell only reports its highest bins, down to its own kth score: the global kth
-score is no lower, so no bin below can matter.
+The rows are packed once into blocks of bounded size, and the queries among them into
+blocks of their own. Every pair of a part of the candidates and a part of the queries is
+one task: it reads both from where they are kept, so the grid of pairs is never written
+down, joined by a key or sent to the driver. Every score is computed, none is stored. In each
+round a task counts its scores per query in bins of the range that still holds the kth score;
+the counts are summed over all tasks, the bin of the kth score becomes the next range, until it is
+one score wide. A last round emits the scores above that value and, of the scores equal to it, the smallest ids.
+
+A task only reports its highest bins, down to its own kth score: the global kth
+score is no lower, so no bin below can matter, and no score below what it has counted already need be looked at.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagelens.llm.common import prepare, table
 
-#: Queries and candidates of a block, and log2 of the bins of a histogram.
-QUERY_BLOCK, ROW_BLOCK, BIN_BITS = 256, 4096, 8
-#: Sums of products below this are exact in doubles.
-_EXACT = float(1 << 53)
+#: Most queries and candidates of a block, and log2 of the bins of a histogram.
+QUERY_BLOCK, ROW_BLOCK, BIN_BITS = 4096, 4096, 8
+#: Most components of a block of more than one row, and scores computed at once.
+BLOCK_COMPONENTS, TILE = 1 << 22, 1 << 20
+#: Parts of the candidates: a round's counts grow with the queries times this.
+PARTS = 16
+#: A query's key is the number of its block and, in so many bits, its place there.
+_PLACE_BITS = 24
+#: Sums of products below these are exact in floats and doubles.
+_EXACT = ((np.float32, float(1 << 24)), (np.float64, float(1 << 53)))
+
+_BLOCK = "_block long, _n int, _queries int, _norm double, _bytes int, _ids binary, _vids binary, _asked binary, _data binary"
 
 
-def _vectors(rows: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
-    """``_id, _vid, _v``: a number of the row's own, its id, components floored after scaling; rows without a usable vector are left out.
+def _vectors(rows: DataFrame, is_query, id_col: str, vec_col: str, scale: int) -> DataFrame:
+    """``_id, _vid, _asked, _v``: a number of the row's own, its id, whether it is a query, components floored after scaling; rows without a usable vector are left out.
 
     The numbers are unique, but another reading may give others: they are to be written down (a checkpoint) before use.
     """
     v = F.col(vec_col)
     usable = rows.filter(F.col(id_col).isNotNull() & v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))))
     floored = F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("long"))
-    return usable.select(F.monotonically_increasing_id().alias("_id"), F.col(id_col).alias("_vid"), floored.alias("_v"))
+    numbered = usable.select(F.monotonically_increasing_id().alias("_id"), F.col(id_col).alias("_vid"), floored.alias("_v"))
+    return numbered.select("_id", "_vid", F.coalesce(is_query(F.col("_vid")), F.lit(False)).alias("_asked"), "_v")
+
+
+def _runs(batches, size: int):
+    """Lists of successive batches with at most ``size`` rows and, zero-padded, ``BLOCK_COMPONENTS`` components (or one row) together."""
+    run, rows, widest = [], 0, 1
+    for b in batches:
+        wide = max(1, pc.max(pc.list_value_length(b.column("_v"))).as_py() or 0)
+        while b.num_rows:
+            room = min(size, BLOCK_COMPONENTS // max(widest, wide)) - rows
+            if run and room < 1:
+                yield run
+                run, rows, widest = [], 0, 1
+                continue
+            part = b.slice(0, max(1, room))
+            run.append(part)
+            rows, widest, b = rows + part.num_rows, max(widest, wide), b.slice(part.num_rows)
+    if run:
+        yield run
+
+
+def _pack(size: int):
+    """Rows to blocks of about ``size`` rows, by ascending id; components are zero-padded to the block's width and kept in as few bytes as hold them."""
+    def run(batches):
+        block = TaskContext.get().partitionId() << 20
+        for i, rows in enumerate(_runs(batches, size)):
+            t = pa.Table.from_batches(rows).combine_chunks()
+            ids, vids, asked = (t.column(c).to_numpy().astype(kind) for c, kind in (("_id", np.int64), ("_vid", np.int64), ("_asked", bool)))
+            lists = t.column("_v").combine_chunks()
+            width = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            data = np.zeros((len(ids), max(1, width.max())), np.int64)
+            data[np.arange(data.shape[1]) < width[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
+            order = np.lexsort((ids, vids))
+            norm = float((data.astype(float) ** 2).sum(axis=1).max())
+            kind = next(x for x in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(x).min <= data.min() and data.max() <= np.iinfo(x).max)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([block | i], pa.int64()), pa.array([len(ids)], pa.int32()), pa.array([int(asked.sum())], pa.int32()), pa.array([norm]),
+                pa.array([np.dtype(kind).itemsize], pa.int32()),
+                *(pa.array([x.tobytes()], pa.binary()) for x in (ids[order], vids[order], asked[order], data.astype(kind)[order]))],
+                names=["_block", "_n", "_queries", "_norm", "_bytes", "_ids", "_vids", "_asked", "_data"])
+    return run
+
 
+def _read(b, r: int, prefix: str = "") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers, ids and components of the block in a row of a batch."""
+    ids, vids = (np.frombuffer(b.column(prefix + c)[r].as_buffer(), np.int64) for c in ("_ids", "_vids"))
+    data = np.frombuffer(b.column(prefix + "_data")[r].as_buffer(), f"i{b.column(prefix + '_bytes')[r].as_py()}")
+    return ids, vids, data.reshape(len(ids), -1)
 
-def _blocks(rows: DataFrame, n: int, per_block: int, width: int) -> DataFrame:
-    """``_block, _ids, _vids, _data`` with all components of about ``per_block`` rows, by ascending id, zero-padded to the width."""
-    count = max(1, -(-n // per_block))
-    members = F.array_sort(F.collect_list(F.struct("_vid", "_id", "_v")))
-    flat = F.flatten(F.transform(members, lambda r: F.slice(F.concat(
-        r["_v"], F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size(r["_v"]))), 1, width)))
-    ids, vids = F.transform(members, lambda r: r["_id"]), F.transform(members, lambda r: r["_vid"])
-    return rows.groupBy(F.pmod(F.xxhash64("_id"), F.lit(count)).cast("int").alias("_block")).agg(
-        ids.alias("_ids"), vids.alias("_vids"), flat.alias("_data"))
 
+def _asked(batches):
+    """The queries of blocks, as rows."""
+    for b in batches:
+        for r in range(b.num_rows):
+            ids, vids, data = _read(b, r)
+            asked = np.frombuffer(b.column("_asked")[r].as_buffer(), bool)
+            data = data[asked].astype(np.int64)
+            ends = np.arange(len(data) + 1, dtype=np.int32) * data.shape[1]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[asked]), pa.array(vids[asked]), pa.array(asked[asked]), pa.ListArray.from_arrays(
+                pa.array(ends), pa.array(data.ravel()))], names=["_id", "_vid", "_asked", "_v"])
 
-def _matrix(col, i: int, width: int) -> np.ndarray:
-    return col[i].values.to_numpy(zero_copy_only=False).reshape(-1, width)
 
+class _Scores:
+    """The queries of a block, with the range of their kth scores, beside one block of candidates after the other."""
 
-def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Inner products as 64-bit integers; sums beyond 64 bits wrap."""
-    top = float(np.abs(q.astype(float)).max(initial=0)) * float(np.abs(c.astype(float)).max(initial=0)) * max(1, q.shape[1])
-    if top < _EXACT:
-        return (q.astype(np.float64) @ c.astype(np.float64).T).astype(np.int64)
-    return q @ c.T
+    def __init__(self, b, r: int, lowest: int, k: int):
+        self.ids, self.vids, self.data = _read(b, r, "_q")
+        self.keys = b.column("_block")[r].as_py() << _PLACE_BITS | np.arange(len(self.ids))
+        if b.column("_places")[r].is_valid:
+            at = b.column("_places")[r].values.to_numpy()
+            self.ids, self.vids, self.data, self.keys = (x[at] for x in (self.ids, self.vids, self.data, self.keys))
+            self.lo, self.need = (b.column(c)[r].values.to_numpy() for c in ("_lo", "_need"))
+        else:
+            self.lo, self.need = (np.full(len(self.ids), x, np.int64) for x in (lowest, k))
+        self.most = float(max(self.data.max(initial=0), -int(self.data.min(initial=0))))
+        self.least, self.seen, self.kept = self.lo.copy(), 0, {}
 
+    def _as(self, kind):
+        if kind not in self.kept:
+            self.kept[kind] = self.data.astype(kind)
+        return self.kept[kind]
 
-def _cells(queries: DataFrame, rows: DataFrame, n_blocks: int, n_groups: int) -> DataFrame:
-    """Each query block beside each candidate block, dealt by both numbers."""
-    every = F.explode(F.expr(f"sequence(0, {n_blocks - 1})")).alias("_block")
-    group = F.explode(F.expr(f"sequence(0, {n_groups - 1})")).alias("_group")
-    left = queries.select(F.col("_block").alias("_group"), F.col("_ids").alias("_qids"), F.col("_vids").alias("_qvids"), F.col("_data").alias("_q"), "_lo", "_need", every)
-    right = rows.select("_block", "_ids", "_vids", "_data", group)
-    return left.join(right, ["_group", "_block"]).select("_qids", "_q", "_lo", "_need", "_ids", "_data", "_qvids", "_vids")
+    def tiles(self, data: np.ndarray):
+        """``rows, at, to, score``: a slice of the queries; numbers of query and candidate and score of its pairs that reach ``least``, by query, then candidate.
 
+        Scores are 64-bit integers; sums beyond 64 bits wrap. The first candidates come in few at a time, as nothing is known of the kth score yet.
+        """
+        width = min(self.data.shape[1], data.shape[1])
+        top = self.most * float(max(data.max(initial=0), -int(data.min(initial=0)))) * width
+        kind = next((x for x, exact in _EXACT if top < exact), np.int64)
+        q, c, first = self._as(kind)[:, :width], data.astype(kind)[:, :width], 0
+        while first < len(c):
+            last = min(len(c), first + max(256, 2 * self.seen))
+            step = max(1, TILE // (last - first))
+            for i in range(0, len(q), step):
+                rows = slice(i, i + step)
+                score = q[rows] @ c[first:last].T
+                hit = np.flatnonzero(score >= self.least[rows, None].astype(kind))
+                at, to = np.divmod(hit, last - first)
+                yield rows, at, to + first, score.ravel()[hit].astype(np.int64)
+            self.seen += last - first
+            first = last
+
+
+def _each(batches, lowest: int, k: int, kept: dict):
+    """Each block of candidates (numbers, ids, components) with the scores of the block of queries beside it."""
+    for b in batches:
+        for r in range(b.num_rows):
+            block = b.column("_block")[r].as_py()
+            if block not in kept:
+                kept[block] = _Scores(b, r, lowest, k)
+            yield kept[block], _read(b, r)
+
+
+def _histogram(span: int, shift: int, lowest: int, k: int):
+    """``_q, _need, _from, _n``: how many scores of a query are in the bin that begins at a score."""
+    bins = 1 << BIN_BITS
 
-def _histogram(width: int, span: int, shift: int):
     def run(batches):
-        for b in batches:
-            for r in range(b.num_rows):
-                q, c = _matrix(b.column(1), r, width), _matrix(b.column(5), r, width)
-                qids, ids = b.column(0)[r].values.to_numpy(), b.column(4)[r].values.to_numpy()
-                lo, need = b.column(2)[r].values.to_numpy(), b.column(3)[r].values.to_numpy()
-                score = _scores(q, c)
-                own = qids[:, None] == ids[None, :]
+        kept, counts = {}, {}
+        for s, (ids, _, data) in _each(batches, lowest, k, kept):
+            n = counts.setdefault(id(s), np.zeros((len(s.ids), bins), np.int64))
+            for rows, at, to, score in s.tiles(data):
                 # bins of the range [lo, lo + 2**span); scores above it are counted already, those below can't be wanted
-                bins = ((score - lo[:, None]).view(np.uint64) >> np.uint64(shift))
-                inside = (score >= lo[:, None]) & (bins < np.uint64(1 << (span - shift))) & ~own
-                flat = (np.arange(len(qids))[:, None] << BIN_BITS | np.where(inside, bins, 0).astype(np.int64))[inside]
-                counts = np.bincount(flat, minlength=len(qids) << BIN_BITS).reshape(len(qids), -1)
-                above = counts[:, ::-1].cumsum(axis=1)[:, ::-1] - counts
-                at, bin_ = np.nonzero((counts > 0) & (above < need[:, None]))
-                yield pa.RecordBatch.from_arrays([pa.array(qids[at]), pa.array(bin_.astype(np.int32)), pa.array(counts[at, bin_])],
-                                                 names=["_id", "_bin", "_n"])
+                bin_ = (score - s.lo[rows][at]).view(np.uint64) >> np.uint64(shift)
+                inside = (bin_ < np.uint64(1 << (span - shift))) & (s.ids[rows][at] != ids[to])
+                if not inside.any():
+                    continue
+                mine = n[rows]
+                mine += np.bincount(at[inside] << BIN_BITS | bin_[inside].astype(np.int64), minlength=mine.size).reshape(mine.shape)
+                reached = mine[:, ::-1].cumsum(axis=1) >= s.need[rows, None]
+                kth = np.where(reached[:, -1], bins - 1 - reached.argmax(axis=1), 0)
+                s.least[rows] = s.lo[rows] + (kth << shift)
+        for s in kept.values():
+            n = counts[id(s)]
+            above = n[:, ::-1].cumsum(axis=1)[:, ::-1] - n
+            at, bin_ = np.nonzero((n > 0) & (above < s.need[:, None]))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (s.keys[at], s.need[at], s.lo[at] + (bin_ << shift), n[at, bin_])],
+                                             names=["_q", "_need", "_from", "_n"])
     return run
 
 
-def _winners(width: int):
+def _first(at: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Of entries in order of ``at``, which are among the first ``most`` of their own."""
+    start = np.flatnonzero(np.diff(at, prepend=-1))
+    return np.arange(len(at)) - np.repeat(start, np.diff(start, append=len(at))) < most[at]
+
+
+def _winners(lowest: int, k: int):
+    """Scores above the kth one and, of those equal to it, the missing ones with the smallest ids."""
+    def out(s, at, vids, score):
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (s.keys[at], s.vids[at], vids, score)], names=["_q", "query_id", "vec_id", "score"])
+
+    def least(s, ties):
+        at, vids = (np.concatenate(x) for x in zip(*ties))
+        order = np.lexsort((vids, at))
+        at, vids = at[order], vids[order]
+        mine = _first(at, s.need)
+        return at[mine], vids[mine]
+
     def run(batches):
-        for b in batches:
-            for r in range(b.num_rows):
-                q, c = _matrix(b.column(1), r, width), _matrix(b.column(5), r, width)
-                qids, ids = b.column(0)[r].values.to_numpy(), b.column(4)[r].values.to_numpy()
-                kth, ties = b.column(2)[r].values.to_numpy(), b.column(3)[r].values.to_numpy()
-                qvids, vids = b.column(6)[r].values.to_numpy(), b.column(7)[r].values.to_numpy()
-                score = _scores(q, c)
-                other = qids[:, None] != ids[None, :]
-                at, to = np.nonzero((score > kth[:, None]) & other)
+        kept, ties, held = {}, {}, {}
+        for s, (ids, vids, data) in _each(batches, lowest, k, kept):
+            mine = ties.setdefault(id(s), [])
+            for rows, at, to, score in s.tiles(data):
+                other = s.ids[rows][at] != ids[to]
+                at, to, score = at[other] + rows.start, to[other], score[other]
+                above = score > s.lo[at]
+                if above.any():
+                    yield out(s, at[above], vids[to[above]], score[above])
                 # ids ascend in a block, so the first ties are those with the smallest ids
-                tie = (score == kth[:, None]) & other
-                tie &= tie.cumsum(axis=1) <= ties[:, None]
-                more, to2 = np.nonzero(tie)
-                at, to = np.concatenate((at, more)), np.concatenate((to, to2))
-                yield pa.RecordBatch.from_arrays([pa.array(qids[at]), pa.array(qvids[at]), pa.array(vids[to]), pa.array(score[at, to])], names=["_id", "query_id", "vec_id", "score"])
+                at, to = at[~above], to[~above]
+                first = _first(at, s.need)
+                mine.append((at[first], vids[to[first]]))
+                held[id(s)] = held.get(id(s), 0) + int(first.sum())
+                if held[id(s)] > 2 * TILE:
+                    mine[:] = [least(s, mine)]
+                    held[id(s)] = 0
+        for s in kept.values():
+            if ties[id(s)]:
+                at, vids = least(s, ties[id(s)])
+                yield out(s, at, vids, s.lo[at])
     return run
 
 
@@ -118,46 +240,41 @@ def top_k(rows: DataFrame, is_query, k: int, id_col: str = "vec_id", vec_col: st
     vectors are padded with zeros; scores are 64-bit, larger ones wrap. An empty table, or one without queries, gives an empty result.
     """
     prepare(rows.sparkSession)
-    vectors = _vectors(rows, id_col, vec_col, scale).checkpoint()
-    asked = vectors.filter(is_query(F.col("_vid")))
-    n, width, norm = vectors.agg(F.count(F.lit(1)), F.max(F.size("_v")), F.max(F.expr("aggregate(_v, 0D, (s, x) -> s + cast(x AS double) * x)"))).first()
-    n_queries = asked.count()
-    width = max(1, width or 0)
-    n_blocks, n_groups = max(1, -(-n // ROW_BLOCK)), max(1, -(-n_queries // QUERY_BLOCK))
-    blocks = _blocks(vectors, n, ROW_BLOCK, width)
+    blocks = _vectors(rows, is_query, id_col, vec_col, scale).mapInArrow(_pack(ROW_BLOCK), _BLOCK).repartition(PARTS).checkpoint()
+    n_queries, norm = blocks.agg(F.sum("_queries"), F.max("_norm")).first()
+    n_parts = max(1, -(-(n_queries or 0) // QUERY_BLOCK))
+    asked = blocks.filter("_queries > 0").mapInArrow(_asked, "_id long, _vid long, _asked boolean, _v array<long>")
+    asked = asked.repartition(n_parts).mapInArrow(_pack(QUERY_BLOCK), _BLOCK).select(
+        "_block", *(F.col(c).alias("_q" + c) for c in ("_bytes", "_ids", "_vids", "_data"))).checkpoint()
     # no score is outside [-reach, reach]
-    reach = int(norm or 0) + 2
+    reach = int((norm or 0) * (1 + 2.0 ** -40)) + 2
     bits = min(64, (2 * reach + 1).bit_length())
     lowest = -reach if bits < 64 else -(1 << 63)
-    state = asked.select("_id", F.lit(lowest).cast("long").alias("_lo"), F.lit(k).cast("long").alias("_need"))
-
-    def cells(state: DataFrame) -> DataFrame:
-        q = asked.join(state, "_id")
-        packed = F.array_sort(F.collect_list(F.struct("_vid", "_id", "_v", "_lo", "_need")))
-        block = F.pmod(F.xxhash64("_id"), F.lit(n_groups)).cast("int").alias("_block")
-        q = q.groupBy(block).agg(packed.alias("_p")).select(
-            "_block", F.expr("transform(_p, r -> r._id)").alias("_ids"), F.expr("transform(_p, r -> r._vid)").alias("_vids"),
-            F.expr(f"flatten(transform(_p, r -> slice(concat(r._v, array_repeat(0L, {width} - size(r._v))), 1, {width})))").alias("_data"),
-            F.expr("transform(_p, r -> r._lo)").alias("_lo"), F.expr("transform(_p, r -> r._need)").alias("_need"))
-        return _cells(q, blocks, n_blocks, n_groups)
+    queries = asked.select("*", *(F.lit(None).cast(f"array<{t}>").alias(c) for c, t in (("_places", "int"), ("_lo", "long"), ("_need", "long"))))
+
+    def cells(run, schema: str) -> DataFrame:
+        # each part of the candidates beside each part of the queries, read in place: no side is broadcast, whatever Spark takes its size for
+        candidates = blocks.select("_bytes", "_ids", "_vids", "_data")
+        return candidates.crossJoin(queries.hint("shuffle_replicate_nl")).mapInArrow(run, schema)
 
     shift = bits
     while shift > 0:
         span, shift = shift, max(0, shift - BIN_BITS)
-        seen = cells(state).drop("_qvids", "_vids").mapInArrow(_histogram(width, span, shift), "_id long, _bin int, _n long").groupBy("_id", "_bin").agg(F.sum("_n").alias("_n"))
+        seen = cells(_histogram(span, shift, lowest, k), "_q long, _need long, _from long, _n long").repartition("_q")
+        seen = seen.groupBy("_q", "_need", "_from").agg(F.sum("_n").alias("_n"))
         # the first bin from the top with which k scores are reached; the lowest one if there are fewer
-        above = Window.partitionBy("_id").orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        seen = seen.withColumn("_upto", F.sum("_n").over(above)).join(state, "_id")
-        hit = seen.groupBy("_id", "_lo", "_need").agg(
-            F.max(F.when(F.col("_upto") >= F.col("_need"), F.struct("_bin", (F.col("_upto") - F.col("_n")).alias("_before")))).alias("_at"),
-            F.min("_bin").alias("_least"), F.sum("_n").alias("_all"), F.min_by("_n", "_bin").alias("_last"))
-        bin_ = F.coalesce(F.col("_at._bin"), F.col("_least"))
+        above = Window.partitionBy("_q").orderBy(F.desc("_from")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        hit = seen.withColumn("_upto", F.sum("_n").over(above)).groupBy("_q", "_need").agg(
+            F.max(F.when(F.col("_upto") >= F.col("_need"), F.struct("_from", (F.col("_upto") - F.col("_n")).alias("_before")))).alias("_at"),
+            F.min("_from").alias("_least"), F.sum("_n").alias("_all"), F.min_by("_n", "_from").alias("_last"))
         before = F.coalesce(F.col("_at._before"), F.col("_all") - F.col("_last"))
-        state = hit.select("_id", F.expr("_lo").alias("_from"), bin_.cast("long").alias("_b"), (F.col("_need") - before).alias("_need"))
-        low = F.expr(f"cast(cast(_from AS decimal(20, 0)) + cast(_b AS decimal(5, 0)) * {1 << shift}BD AS bigint)")
-        state = state.select("_id", low.alias("_lo"), "_need").checkpoint()
-    found = cells(state).mapInArrow(_winners(width), "_id long, query_id long, vec_id long, score long")
-    order = Window.partitionBy("_id").orderBy(F.desc("score"), "vec_id")
+        place = F.col("_q").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).cast("int")
+        state = hit.groupBy(F.shiftright("_q", _PLACE_BITS).alias("_block")).agg(F.array_sort(F.collect_list(F.struct(
+            place.alias("_place"), F.coalesce("_at._from", "_least").alias("_lo"), (F.col("_need") - before).alias("_need")))).alias("_s"))
+        state = state.select("_block", F.col("_s._place").alias("_places"), F.col("_s._lo").alias("_lo"), F.col("_s._need").alias("_need"))
+        queries = asked.join(state.hint("merge"), "_block").repartitionByRange(n_parts, "_block").checkpoint()
+    found = cells(_winners(lowest, k), "_q long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("_q").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -8,6 +8,8 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -152,6 +154,62 @@ def test_top_k(spark, monkeypatch, scale):
     assert topk.top_k(df.limit(0), lambda i: i % 20 == 0, 7).count() == 0
 
 
+def best_by_numpy(vectors, k):
+    """Rows of the k best other vectors of each whose id is divisible by 20; scores wrap at 64 bits."""
+    data, out = np.array([v for _, v in vectors], np.int64), []
+    score = data @ data.T
+    for n, (q, _) in enumerate(vectors):
+        if q % 20 == 0:
+            best = sorted((-int(score[n, m]), c) for m, (c, _) in enumerate(vectors) if m != n)[:k]
+            out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(best)]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("scale, k", [(1, 9), (64, 1), (64, 400), (10 ** 6, 9), (2 ** 40, 9)])
+def test_top_k_over_many_blocks(spark, monkeypatch, scale, k):
+    # scores in floats, doubles and wrapping integers, in tiles of a few pairs; a third of the vectors are one vector, so ties cross parts and blocks
+    for name, value in (("QUERY_BLOCK", 4), ("ROW_BLOCK", 16), ("TILE", 32), ("PARTS", 3)):
+        monkeypatch.setattr(topk, name, value)
+    draw = np.random.default_rng(5)
+    ids = draw.permutation(300)
+    data = draw.normal(size=(300, 6)).astype(np.float32)
+    data[::3] = data[0]
+    rows = [(int(i), [float(x) for x in v]) for i, v in zip(ids, data)]
+    vectors = [(i, [math.floor(scale * x) for x in v]) for i, v in rows]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk.top_k(df, lambda i: i % 20 == 0, k, scale=scale)
+    assert rows_of(got, "query_id", "rank", "vec_id", "score") == best_by_numpy(vectors, k)
+
+
+def test_top_k_grid_is_not_broadcast(spark, monkeypatch):
+    # the pairs of blocks are many times the table: Spark sizes them as the table, so nothing of them may be left to its choice of joins
+    for name, value in (("QUERY_BLOCK", 2), ("ROW_BLOCK", 8)):
+        monkeypatch.setattr(topk, name, value)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        draw = np.random.default_rng(6)
+        vectors = [(i, [float(x) for x in draw.integers(-9, 9, 4)]) for i in range(100)]
+        df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+        got = topk.top_k(df, lambda i: i % 20 == 0, 5, scale=1)
+        assert sorted((tuple(r) for r in got.collect()), key=repr) == best_by_numpy(vectors, 5)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "Generate" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+@pytest.mark.parametrize("size", [4, 100])
+def test_top_k_blocks_are_bounded(monkeypatch, size):
+    # a wide vector among short ones: padded blocks stay under the bound, or hold one row
+    monkeypatch.setattr(topk, "BLOCK_COMPONENTS", 64)
+    widths = [3] * 30 + [50, 200] + [5] * 9
+    rows = pa.table({"_id": range(len(widths)), "_v": [[1] * w for w in widths]})
+    runs = [[w for b in run for w in pc.list_value_length(b.column("_v")).to_pylist()] for run in topk._runs(rows.to_batches(7), size)]
+    assert [w for run in runs for w in run] == widths
+    assert all(len(run) <= size and (len(run) == 1 or len(run) * max(run) <= 64) for run in runs)
+
+
 # -- 4 ---------------------------------------------------------------------------------------------------------------
 
 def test_unit_dedup(spark):
